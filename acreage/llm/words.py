@@ -35,7 +35,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def multipliers(n: int, stream: int) -> np.ndarray:
     """The first n odd multipliers of a stream; a longer request has the same beginning."""
     steps = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return mix64(steps + np.uint64(stream) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
+    return mix64(steps + np.full(1, stream, np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
