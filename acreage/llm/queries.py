@@ -1,13 +1,28 @@
 """Queries of this subpackage, and SQL for those that SQL can express."""
 
+from acreage.llm.chat import OP3_SQL, op3_chat_format
+from acreage.llm.decontaminate import op4_decontaminate
 from acreage.llm.mixing import OP1_SQL, op1_mix_sources
+from acreage.llm.perplexity import op5_perplexity
 from acreage.llm.quality_rules import op10_quality_rules
+from acreage.llm.secrets import OP2_SQL, op2_secret_scan
+from acreage.llm.sharding import op8_kd_shards
+from acreage.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_chat_format": op3_chat_format,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_perplexity": op5_perplexity,
+    "op8_kd_shards": op8_kd_shards,
+    "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL = {
     "op1_mix_sources": OP1_SQL,
+    "op2_secret_scan": OP2_SQL,
+    "op3_chat_format": OP3_SQL,
+    "op9_warc": OP9_SQL,
 }

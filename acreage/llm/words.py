@@ -15,6 +15,7 @@ import pyarrow as pa
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
+_MARK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SLICE_BYTES = 4 << 20
@@ -97,11 +98,12 @@ class Words:
     at: np.ndarray
 
     @classmethod
-    def of(cls, column: pa.Array, lower: bool = False) -> Words:
+    def of(cls, column: pa.Array, lower: bool = False, plain: bool = False) -> Words:
+        """``plain``: ASCII marks other than letters and digits separate words too."""
         raw, rows = text_bytes(column)
         if lower:
             raw = _LOWER[raw]
-        inside = ~_SEPARATOR[raw]
+        inside = ~(_MARK if plain else _SEPARATOR)[raw]
         head = inside.copy()
         head[1:] &= ~inside[:-1]
         tail = inside.copy()
