@@ -80,11 +80,18 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, in the columns of ``docs``."""
-    taken = schedule(docs, weights, share, repeats).where("taken").groupBy("doc_id", "size", "_t").agg(F.count("*").alias("_n"), F.countDistinct("source", "_bucket", "_row").alias("_rows"))
+    same = ["doc_id", "source", "size", "_t"]
+    row = schedule(docs, weights, share, repeats).where("taken").groupBy(*same, "_bucket", "_row").agg(F.count("*").cast("int").alias("_times"))
+    # rows that agree in all of these are interchangeable: they are numbered on both sides
+    number = Window.partitionBy(*same)
+    row = row.withColumn("_k", F.row_number().over(number.orderBy(F.desc("_times"), "_row"))).drop("_bucket", "_row")
+    row = row.withColumnsRenamed({c: f"_r_{c}" for c in same})
     keyed = docs.withColumns({"_size": word_count(F.col("text")), "_text": F.xxhash64("text")})
-    same = keyed["doc_id"].eqNullSafe(taken["doc_id"]) & (keyed["_size"] == taken["size"]) & (keyed["_text"] == taken["_t"])
-    times = F.greatest(F.lit(1), F.round(F.col("_n") / F.col("_rows"))).cast("int")
-    return keyed.join(taken.withColumn("_times", times), same).select(*(keyed[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy")
+    keyed = keyed.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "source", "_size", "_text").orderBy(F.lit(1))))
+    met = keyed["_n"] == row["_k"]
+    for left, right in zip(("doc_id", "source", "_size", "_text"), same, strict=True):
+        met &= keyed[left].eqNullSafe(row[f"_r_{right}"])
+    return keyed.join(row, met).select(*(keyed[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy")
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

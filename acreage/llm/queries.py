@@ -2,11 +2,13 @@
 
 from acreage.llm.chat import OP3_SQL, op3_chat_format
 from acreage.llm.decontaminate import op4_decontaminate
+from acreage.llm.jaccard import op7_jaccard_join
 from acreage.llm.mixing import OP1_SQL, op1_mix_sources
 from acreage.llm.perplexity import op5_perplexity
 from acreage.llm.quality_rules import op10_quality_rules
 from acreage.llm.secrets import OP2_SQL, op2_secret_scan
 from acreage.llm.sharding import op8_kd_shards
+from acreage.llm.substring import op6_substring_dedup
 from acreage.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
@@ -15,6 +17,8 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_decontaminate": op4_decontaminate,
     "op5_perplexity": op5_perplexity,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_kd_shards": op8_kd_shards,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
