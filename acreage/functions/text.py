@@ -70,7 +70,7 @@ def clean_json(c: Column) -> Column:
 def list_items(c: Column) -> Column:
     """Items of a list written as text, such as ``{a,"b"}`` or ``['a', 'b']``."""
     bare = F.regexp_replace(c, r"[\[\]{}\"']", "")
-    return F.filter(F.transform(F.split(bare, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(bare, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def valid_utf8(c: Column) -> Column:
