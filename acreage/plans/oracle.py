@@ -146,8 +146,8 @@ ORACLE_SQL = {
     "row_changes": f"with {_DAYS} select user_id, day, round((v + 1) / lag(v + 1) over (partition by user_id order by day) - 1, 4) as v_change from days",
     "rolling_rows": f"with {_DAYS} select user_id, day, {_rolling()} from days",
     "interpolated": f"""
-      with {_DAYS}, h as (select user_id, day, case when extract(day from day) % 4 = 1 then v end as v, row_number() over (partition by user_id order by day) as i from days), k as (select *, case when v is not null then i end as at from h),
-      f as (select *, arg_max(v, at) over b as a, max(at) over b as ai, arg_min(v, at) over n as z, min(at) over n as zi from k
+      with {_DAYS}, h as (select user_id, day, case when extract(day from day) % 4 = 1 then v end as v, row_number() over (partition by user_id order by day) as i from days), k as (select *, case when v is not null then i end as pos from h),
+      f as (select *, arg_max(v, pos) over b as a, max(pos) over b as ai, arg_min(v, pos) over n as z, min(pos) over n as zi from k
         window b as (partition by user_id order by day rows between unbounded preceding and current row), n as (partition by user_id order by day rows between current row and unbounded following))
       select user_id, day, round(case when v is not null then v when i - ai <= 2 then case when zi is null then a else a + (z - a) * (i - ai) / (zi - ai) end end, 3) as v from f""",
     "weeks_ahead": f"""
