@@ -38,8 +38,9 @@ from acreage.llm.words import Words, covered, mix64, multipliers, slices, window
 
 SIZE = 35
 ANCHOR = 8
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 250_000
 BROADCAST_ROWS = 500_000
+_CHUNK = 1 << 14
 
 
 def _hash_at(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
@@ -56,7 +57,10 @@ def _regions(w: Words, hashes: np.ndarray, size: int, anchor: int) -> tuple[np.n
     if not len(starts):
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     anchors = window_hashes(hashes, anchor, 9)
-    least = np.lib.stride_tricks.sliding_window_view(anchors, size - anchor + 1).argmin(axis=1)[starts] + starts
+    width = size - anchor + 1
+    views = np.lib.stride_tricks.sliding_window_view(anchors, width)
+    parts = [views[k : k + _CHUNK].argmin(axis=1) for k in range(0, len(views), _CHUNK)]  # argmin copies its rows
+    least = np.concatenate(parts)[starts] + starts
     head = np.concatenate([[True], (least[1:] != least[:-1]) | (starts[1:] != starts[:-1] + 1)])
     first = np.flatnonzero(head)
     last = np.concatenate([first[1:], [len(starts)]]) - 1
@@ -75,7 +79,7 @@ def _all_regions(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", 2 << 20):
             w = Words.of(piece.column("text"))
             row, start, n, least, content = _regions(w, w.hashes(), size, anchor)
             at = pa.array(row)
