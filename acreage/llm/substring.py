@@ -38,7 +38,7 @@ from acreage.llm.words import Words, covered, mix64, multipliers, slices, window
 
 SIZE = 35
 ANCHOR = 8
-SHARD_WORDS = 250_000
+SHARD_WORDS = 100_000
 BROADCAST_ROWS = 500_000
 _CHUNK = 1 << 14
 
@@ -79,7 +79,7 @@ def _all_regions(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text", 2 << 20):
+        for piece in slices(batches, "text", 1 << 20):
             w = Words.of(piece.column("text"))
             row, start, n, least, content = _regions(w, w.hashes(), size, anchor)
             at = pa.array(row)
@@ -103,7 +103,7 @@ def _contents(docs: DataFrame, regions: DataFrame, few: bool) -> DataFrame:
     kinds = dict(regions.dtypes)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", 1 << 20):
             w = Words.of(piece.column("text"))
             hashes = w.hashes().view(np.int64)
             owner = np.repeat(np.arange(piece.num_rows), pa.compute.list_value_length(piece.column("_list")).to_numpy())
@@ -184,7 +184,7 @@ def _apply(docs: DataFrame, spans: DataFrame, names: list[str], schema: T.Struct
     lists = spans.groupBy("doc_id", "_t").agg(F.collect_list(F.struct("begin", "end")).alias("_spans"))  # spans of one document
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", 1 << 20):
             w = Words.of(piece.column("text"))
             column = piece.column("_spans")
             owner = np.repeat(np.arange(piece.num_rows), pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy())

@@ -18,8 +18,8 @@ _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 _MARK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_SLICE_BYTES = 4 << 20
-_HASH_BYTES = 1 << 20
+_SLICE_BYTES = 2 << 20
+_HASH_BYTES = 1 << 19
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -60,6 +60,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = _SLICE_BY
             last = min(last, batch.num_rows)
             yield batch.slice(first, last - first)
             first = last
+    pa.default_memory_pool().release_unused()  # an idle worker keeps little
 
 
 def segment_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, stream: int) -> np.ndarray:
