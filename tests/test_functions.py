@@ -51,7 +51,7 @@ def test_radius_and_nearest(spark):
     refs = spark.createDataFrame([(1, 40.0, -112.0, 1.0), (2, 40.01, -112.0, 2.0), (3, 40.0, -111.95, None), (4, 40.0, -111.909, 9.0), (5, 40.08, -112.0, 9.0), (6, None, 1.0, 9.0)], "id int, lat double, lon double, v double")
     centre = spark.createDataFrame([(0, 40.0, -112.0)], "k int, lat double, lon double")
     pairs = spatial.radius_join(centre, refs, 8046.7)
-    assert sorted((r.r_id, round(r.distance, 1)) for r in pairs.collect()) == [(1, 0.0), (2, 1111.9), (3, 4259.0), (4, 7751.4)]
+    assert sorted((r.r_id, round(r.distance, 1)) for r in pairs.collect()) == [(1, 0.0), (2, 1112.0), (3, 4259.0), (4, 7751.4)]
     assert spatial.radius_join(centre, refs, 8046.7, degree_circle=5 / 69 * 1.2).count() == 3
     w = pairs.where("r_id < 4").withColumn("w", M.decay_weight(F.col("distance")))
     assert w.agg(M.weighted_mean(F.col("r_v"), F.col("w")).alias("m")).first().m == pytest.approx(1.35251, abs=1e-4)
