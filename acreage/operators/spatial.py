@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from acreage.functions.maths import DEGREE_METERS, haversine
 
 
-def _cells(df: DataFrame, lat: str, lon: str, step: tuple[float, float], spread: bool, rings: int = 1) -> DataFrame:
+def _cells(df: DataFrame, lat: str, lon: str, step: tuple[float, float], spread: bool) -> DataFrame:
     row, column = F.floor(F.col(lat) / step[0]), F.floor(F.col(lon) / step[1])
     if not spread:
         return df.withColumns({"_row": row, "_column": column})
-    around = [F.struct((row + a).alias("r"), (column + b).alias("c")) for a in range(-rings, rings + 1) for b in range(-rings, rings + 1)]
+    around = [F.struct((row + a).alias("r"), (column + b).alias("c")) for a in (-1, 0, 1) for b in (-1, 0, 1)]
     return df.withColumn("_cell", F.explode(F.array(*around))).withColumns({"_row": F.col("_cell.r"), "_column": F.col("_cell.c")}).drop("_cell")
 
 
@@ -47,34 +47,26 @@ def planar_degrees(prefix: str) -> Column:
     return F.sqrt(F.pow(F.col("lat") - F.col(f"{prefix}lat"), F.lit(2.0)) + F.pow(F.col("lon") - F.col(f"{prefix}lon"), F.lit(2.0)))
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, tie: str, prefix: str = "r_", cell: float = 0.05, most_rings: int = 16) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, key: str, tie: str, prefix: str = "r_", cell: float = 0.05) -> DataFrame:
     """Each left row with its nearest right row in planar degrees, ``distance`` = degrees * 111000; ties go to the least ``tie``.
 
-    Square cells; the ring of cells looked at doubles for rows without a hit
-    that is provably nearest, and what is left after ``most_rings`` is compared
-    with the right side as a whole (far points only).
+    Square cells, of which 3 x 3 are looked at. A hit within one cell's width
+    is the nearest; rows without one go on with cells four times as wide.
     """
     points = left.dropna(subset=["lat", "lon"])
     other = _prefixed(right.dropna(subset=["lat", "lon"]), prefix)
     best = F.min_by(F.struct(*other.columns, "_degrees"), F.struct("_degrees", f"{prefix}{tie}"))
-    done, rings = None, 1
+    done = None
     while True:
-        last = rings > most_rings
-        if last:
-            pairs = points.crossJoin(other) if rings < 0 else points.join(other, F.lit(True))
-        else:
-            pairs = _cells(points, "lat", "lon", (cell, cell), spread=False).join(_cells(other, f"{prefix}lat", f"{prefix}lon", (cell, cell), spread=True, rings=rings), ["_row", "_column"]).drop("_row", "_column")
-        hit = pairs.withColumn("_degrees", planar_degrees(prefix)).groupBy(key).agg(best.alias("_best"))
-        if not last:
-            hit = hit.where(F.col("_best._degrees") <= cell * rings)
+        steps = (cell, cell)
+        pairs = _cells(points, "lat", "lon", steps, spread=False).join(_cells(other, f"{prefix}lat", f"{prefix}lon", steps, spread=True), ["_row", "_column"])
+        hit = pairs.withColumn("_degrees", planar_degrees(prefix)).groupBy(key).agg(best.alias("_best")).where(F.col("_best._degrees") <= cell).persist()
         found = points.join(hit, key).select(*points.columns, *(F.col(f"_best.{c}").alias(c) for c in other.columns), (F.col("_best._degrees") * DEGREE_METERS).alias("distance"))
         done = found if done is None else done.unionByName(found)
-        if last:
+        points = points.join(hit.select(key), key, "left_anti").persist()
+        if cell > 720 or not points.limit(1).count():
             return done
-        points = points.join(hit.select(key), key, "left_anti")
-        if not points.limit(1).count():
-            return done
-        rings *= 4
+        cell *= 4
 
 
 def top_k(pairs: DataFrame, keys: list[str], item: str, k: int = 10) -> DataFrame:
