@@ -36,7 +36,7 @@ def to_sqft(value: Column, unit: Column, unknown_is_sqft: bool) -> Column:
     return (
         F.when(unit.ilike("%acre%"), value * SQFT_PER_ACRE)
         .when(unit.ilike("%sqm%") | unit.ilike("%square m%"), value * SQFT_PER_SQM)
-        .when(unit.ilike("%sqft%") | unit.ilike("%square f%"), value)
+        .when(unit.ilike("%sq%"), value)
         .otherwise(rest)
     )
 

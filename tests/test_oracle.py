@@ -3,8 +3,9 @@
 import duckdb
 import pytest
 
-from acreage.plans.oracle import ORACLE_SQL
-from acreage.plans.queries import QUERIES
+from acreage.plans import mart_queries, oracle, queries
+
+QUERIES, ORACLE_SQL = queries.QUERIES | mart_queries.QUERIES, oracle.ORACLE_SQL | mart_queries.ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events pages".split()
