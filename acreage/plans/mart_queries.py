@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from acreage.functions import maths as M
 from acreage.operators import series
 from acreage.plans import marts
 from acreage.plans.oracle import _A, _B
 from acreage.plans.queries import AS_OF, _point, _read
+from acreage.sources import tables
 
 NEAR, AROUND = 20000.0, 15000.0
 QUERIES = {}
@@ -58,15 +60,41 @@ def _land(spark, d):
 
 def _staged(spark, d):
     homes, land = _homes(spark, d), _land(spark, d)
-    lookup = marts.building_lookup(_buildings(spark, d), {"home": homes, "land": land})
-    return marts.home_staging(homes, lookup, NEAR).persist(), marts.land_staging(land, lookup, NEAR).persist()
+    lookup = tables.settled(marts.building_lookup(_buildings(spark, d), {"home": homes, "land": land}), "mart-lookup")
+    return tables.settled(marts.home_staging(homes, lookup, NEAR), "mart-homes"), tables.settled(marts.land_staging(land, lookup, NEAR), "mart-land")
 
 
 def _summary(spark, d):
     units = _units(spark, d)
     points = units.groupBy("building_id", F.trunc("date", "month").alias("date")).agg(F.avg("price").alias("price"), F.avg("effective_price").alias("effective_price"))
     found = marts.analysis(points, ["building_id"], {"price": "price", "effective_price": "effective_price"}, AS_OF, least=8)
-    return marts.building_summary(_buildings(spark, d), units, found).persist()
+    return tables.settled(marts.building_summary(_buildings(spark, d), units, found), "mart-buildings")
+
+
+def _unified(spark, d):
+    homes, land = _staged(spark, d)
+    return tables.settled(marts.developed(homes, land), "mart-developed"), tables.settled(marts.empty_lots(homes, land), "mart-lots")
+
+
+def _sets(spark, d, developed, lots):
+    rents = ["avg_rent_price_per_sqft", "avg_rent_price_per_bed", "avg_effective_rent_price_per_sqft"]
+    predicted = [f"predicted_current_effective_price_per_{u}" for u in ("sqft", "bed")]
+    return {
+        "buildings": (_summary(spark, d), {n: n for n in rents} | {f"avg_{n}": n for n in (*predicted, "leased_percentage")}, {}),
+        "homes": (developed.where("source = 'home'"), {"avg_home_price_per_sqft": "price_per_sqft"}, {}),
+        "lots": (lots, {"avg_empty_lot_cost_per_sqft": "price_per_lot_sqft"}, {}),
+    }
+
+
+def _around(spark, d, rows, sets):
+    return tables.settled(marts.smoothed(rows, ["source", "source_id"], sets, AROUND, {"buildings": "building_id"}), "mart-around")
+
+
+def _main(spark, d):
+    """Developed properties with their surroundings, empty lots, and what surroundings are made of."""
+    developed, lots = _unified(spark, d)
+    sets = _sets(spark, d, developed, lots)
+    return tables.settled(marts.developed_main(developed, _around(spark, d, developed, sets)), "mart-main"), lots, sets
 
 
 @query
@@ -97,6 +125,33 @@ def mart_developed(spark, d):
     return marts.developed(homes, land).select("source", "source_id", "property_type", "year_built", F.round("price_per_sqft", 2).alias("price_per_sqft"), F.round("price_per_lot_sqft", 3).alias("price_per_lot_sqft"))
 
 
+@query
+def mart_surroundings(spark, d):
+    developed, lots = _unified(spark, d)
+    around = _around(spark, d, developed, _sets(spark, d, developed, lots))
+    means = ["avg_rent_price_per_sqft", "avg_predicted_current_effective_price_per_bed", "avg_leased_percentage", "avg_home_price_per_sqft", "avg_empty_lot_cost_per_sqft"]
+    return around.select("source", "source_id", *(F.round(c, 3).alias(c) for c in means), "buildings_within_radius", "homes_within_radius", "lots_within_radius", F.array_join(F.transform("closest_buildings", lambda x: x.cast("string")), ",").alias("closest_buildings"))
+
+
+@query
+def mart_profits(spark, d):
+    rows = marts.expanded_developed(_main(spark, d)[0])
+    return rows.select("unified_id", "source", "source_id", *(F.round(c, 1).alias(c) for c in ("monthly_payment", "best_case_profit", "worst_case_profit", "average_case_profit")))
+
+
+@query
+def mart_lots(spark, d):
+    main, lots, sets = _main(spark, d)
+    rows = marts.expanded_lots(lots.join(_around(spark, d, lots, sets), ["source", "source_id"], "left"), main)
+    return rows.select("source", "source_id", *(F.round(c, 1).alias(c) for c in ("potential_sqft", "lot_payment", "full_payment", "profit_sqft")))
+
+
+@query
+def mart_flips(spark, d):
+    rejected = _read(spark, d, "customer").where("c_acctbal < 0").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"))
+    return marts.flips(_main(spark, d)[0], rejected).select("source", "source_id", *(F.round(c, 3).alias(c) for c in ("hoped_income", "invest_to_monthly_return", "share_of_average_price")))
+
+
 _LAND_POINT = _A.replace("10000)", "9941)", 1).replace("104729 % 10000)", "104729 % 9931)").format("p_partkey")
 _POINT_SIN = "2 * 6371008.8::double * asin(sqrt(least(pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2), 1)))"
 _STAGED = f"""build as (select s_suppkey as building_id, 'msa' || s_nationkey as msa, case when s_suppkey % 3 > 0 then s_nationkey::varchar end as bzip, s_suppkey % 10 / 10.0::double as leased, {_B.format('s_suppkey')} from supplier),
@@ -139,7 +194,42 @@ summary as (select b.*, num_units, m.price / m.sqft as rent_sqft, m.price / m.be
   from build b left join means m on m.building_id = b.building_id left join tp on tp.building_id = b.building_id left join te on te.building_id = b.building_id)"""
 
 
+def _means_sql(name: str, at: str, other: str, values: dict[str, str]) -> str:
+    gap = _POINT_SIN.format(a="p", b="o")
+    means = ", ".join(f"sum(w * {c}) / nullif(sum(case when {c} is not null then w end), 0) as {n}" for n, c in values.items())
+    pairs = f"select p.source, p.source_id, {', '.join(f'o.{c}' for c in values.values())}, {gap} as gap from {at} p, {other} o"
+    return f"{name} as (select source, source_id, count(*) as n, {means} from (select *, exp(-4.4::double * gap / {AROUND}) as w from ({pairs}) where gap <= {AROUND}) group by 1, 2)"
+
+
+def _main_sql(at: str) -> str:
+    """The properties of a table with the means around them."""
+    rents = {"a_rent_sqft": "rent_sqft", "a_rent_bed": "rent_bed", "a_effective_sqft": "effective_sqft", "a_now_sqft": "now_effective_sqft", "a_now_bed": "now_effective_bed", "a_leased": "leased"}
+    parts = [_means_sql(f"{at}_b", at, "summary", rents), _means_sql(f"{at}_h", at, "home_prices", {"a_home": "home_sqft"}), _means_sql(f"{at}_l", at, "lot_prices", {"a_lot": "lot_cost"})]
+    joins = " ".join(f"left join {at}_{x} {x} on {x}.source = p.source and {x}.source_id = p.source_id" for x in "bhl")
+    counts = ", ".join(f"coalesce({x}.n, 0) as {x}_n" for x in "bhl")
+    return f"{', '.join(parts)}, {at}_main as (select p.*, {', '.join(f'b.{n}' for n in rents)}, h.a_home, l.a_lot, {counts} from {at} p {joins})"
+
+
+_MAIN = f"""{_DEVELOPED}, {_SUMMARY},
+home_prices as (select lat, lon, price / interior_sqft as home_sqft from developed where source = 'home'),
+lot_prices as (select lat, lon, case when lot_sqft > 0 then price / lot_sqft end as lot_cost from lots), {_main_sql('developed')}"""
+_PAY, _LOT_PAY = (f"({1000000 * r * (1 + r) ** 360 / ((1 + r) ** 360 - 1)!r}::double / 1000000)" for r in (8.2 / 1200, 6.25 / 1200))
+
+
 ORACLE_SQL = {
+    "mart_surroundings": f"""with {_MAIN}, near as (select source, source_id, string_agg(building_id::varchar, ',' order by rk) as ids from (select *, row_number() over (partition by source, source_id order by gap, building_id) as rk from
+      (select p.source, p.source_id, o.building_id, {_POINT_SIN.format(a="p", b="o")} as gap from developed p, summary o) where gap <= {AROUND}) where rk <= 10 group by 1, 2)
+      select m.source, m.source_id, round(a_rent_sqft, 3) as avg_rent_price_per_sqft, round(a_now_bed, 3) as avg_predicted_current_effective_price_per_bed, round(a_leased, 3) as avg_leased_percentage, round(a_home, 3) as avg_home_price_per_sqft,
+      round(a_lot, 3) as avg_empty_lot_cost_per_sqft, b_n as buildings_within_radius, h_n as homes_within_radius, l_n as lots_within_radius, near.ids as closest_buildings from developed_main m left join near on near.source = m.source and near.source_id = m.source_id""",
+    "mart_profits": f"""with {_MAIN}, e as (select *, row_number() over (order by source, source_id) as unified_id, price * {_PAY} as pay, coalesce(a_rent_sqft, a_now_sqft) * interior_sqft as by_area, coalesce(a_rent_bed, a_now_bed) * beds as by_beds from developed_main)
+      select unified_id, source, source_id, round(pay, 1) as monthly_payment, round(greatest(by_area - pay, by_beds - pay), 1) as best_case_profit, round(least(by_area - pay, by_beds - pay), 1) as worst_case_profit, round((by_area - pay + by_beds - pay) / 2, 1) as average_case_profit
+      from e where by_area is not null""",
+    "mart_lots": f"""with {_MAIN}, {_main_sql('lots')}, r as (select avg(interior_sqft / lot_sqft) as interior, avg((price - lot_sqft * a_lot) / interior_sqft) as build from developed_main where interior_sqft > 0 and lot_sqft > 0 and a_lot is not null),
+      e as (select l.*, lot_sqft * r.interior as potential, price + lot_sqft * r.interior * r.build as total from lots_main l, r)
+      select source, source_id, round(potential, 1) as potential_sqft, round(price * {_LOT_PAY}, 1) as lot_payment, round(total * {_LOT_PAY}, 1) as full_payment, round(a_now_sqft * potential - total * {_LOT_PAY}, 1) as profit_sqft from e""",
+    "mart_flips": f"""with {_MAIN}, e as (select *, coalesce(interior_sqft * a_effective_sqft * a_leased, interior_sqft * a_effective_sqft * 0.9::double) as income from developed_main
+        where b_n > 2 and h_n > 2 and beds > 0 and baths > 0 and price > 20000 and property_type not in ('undeveloped-land', 'manufactured') and year_built < 2015 and url not in (select 'u' || c_custkey from customer where c_acctbal < 0))
+      select source, source_id, round(income, 3) as hoped_income, round(price / nullif(income, 0), 3) as invest_to_monthly_return, round(price / interior_sqft / nullif(a_home, 0), 3) as share_of_average_price from e""",
     "mart_homes": f"with {_STAGED} select id, street_address, home_type, bedrooms, round(interior_sqft, 2) as interior_sqft, round(lot_sqft, 1) as lot_sqft, zip_code, msa, building_id as closest_building_id, round(distance, 1) as distance from homes",
     "mart_land": f"with {_STAGED} select id, property_type, beds, round(interior_sqft, 1) as interior_sqft, round(lot_sqft, 1) as lot_sqft, round(coalesce(case when lot_sqft > 0 then price / lot_sqft * 43560 end, 0), 1) as cost_per_acre, building_id as closest_building_id from land",
     "mart_home_history": f"""with {_STAGED}, pts as (select id, msa, zip_code, o_orderdate::date as date, o_totalprice as price from homes join orders on o_custkey = k where o_totalprice > 0),
