@@ -7,8 +7,10 @@ totals and lower-order probabilities are joined by (language, n-gram), so
 that training is a chain of sharded joins and no count is gathered anywhere.
 
 Scoring looks the n-grams up in a broadcast model while that has at most
-``broadcast_rows`` rows, and joins the distinct words' n-grams with the
-sharded tables beyond it; both give the same perplexities. Perplexity is per
+``broadcast_rows`` rows. Beyond it, distinct words' n-grams are joined with the
+sharded tables; the most frequent trusted words' scores, a fixed number of
+them, are broadcast and other words of documents are joined with theirs. Both
+give the same perplexities. Perplexity is per
 character. A language's threshold is a quantile of its trusted documents'
 perplexities, counted exactly in steps of 0.001 of its logarithm.
 
@@ -35,6 +37,7 @@ ORDER = 5
 QUANTILE = 0.99
 BROADCAST_ROWS = 1_000_000
 BROADCAST_IDS = 2_000_000
+HEAD_WORDS = 100_000
 _BEGIN, _END = "\x02", "\x03"
 
 
@@ -52,9 +55,9 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(go, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
+def train(docs: DataFrame, order: int = ORDER, words: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Probabilities (lang, gram, logp) of n-grams of all orders, and back-off weights (lang, ctx, logbow) of contexts."""
-    words = _word_counts(docs)
+    words = _word_counts(docs) if words is None else words
     padded = F.concat(F.lit(_BEGIN * (order - 1)), "word", F.lit(_END))
     grams = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(order)))
     top = words.select("lang", F.explode(grams).alias("gram"), "n").groupBy("lang", "gram").agg(F.sum("n").alias("raw"))
@@ -146,13 +149,10 @@ def _scored_here(docs: DataFrame, probabilities: DataFrame, weights: DataFrame,
     return docs.select("doc_id", "lang", "text").mapInArrow(go, f"doc_id {kind}, lang string, n_words long, chars long, total double")
 
 
-def _scored_by_joins(docs: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int) -> DataFrame:
-    keyed = docs.select("doc_id", F.col("lang"), F.coalesce("lang", F.lit("")).alias("_lang"), F.xxhash64("text").alias("_t"), F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("_words"))
-    keyed = keyed.distinct()
-    counted = keyed.select("doc_id", "lang", "_lang", "_t", F.explode("_words").alias("word")).groupBy("doc_id", "lang", "_lang", "_t", "word").agg(F.count("*").alias("n"))
-    counted = written(counted, "kn-words")
+def _word_scores(words: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int) -> DataFrame:
+    """(_lang, word, _score, _chars) of distinct (_lang, word) by joins with the sharded tables."""
     padded = F.concat(F.lit(_BEGIN * (order - 1)), "word", F.lit(_END))
-    places = counted.select("_lang", "word").distinct().select("_lang", "word", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(order)))).alias("_g"))
+    places = words.select("_lang", "word", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(order)))).alias("_g"))
     places = places.groupBy("_lang", "word", "_g").agg(F.count("*").alias("_times"))
     score, backed = None, F.lit(0.0)
     for k in range(order, 0, -1):
@@ -162,16 +162,47 @@ def _scored_by_joins(docs: DataFrame, probabilities: DataFrame, weights: DataFra
         places = places.withColumn("_ctx", F.substring("_g", order - k + 1, k - 1)).join(w, ["_lang", "_ctx"], "left").drop("_ctx")
         score = F.when(F.col(f"_p{k}").isNotNull(), backed + F.col(f"_p{k}")) if score is None else score.when(F.col(f"_p{k}").isNotNull(), backed + F.col(f"_p{k}"))
         backed = backed + F.coalesce(F.col(f"_w{k}"), F.lit(0.0))
-    by_word = places.groupBy("_lang", "word").agg(F.sum(score.otherwise(backed) * F.col("_times")).alias("_score"), F.sum("_times").alias("_chars"))
-    known = weights.select(F.col("lang").alias("_lang")).distinct().withColumn("_known", F.lit(True))
-    by_word = by_word.join(F.broadcast(known), "_lang", "left").withColumn("_known", F.coalesce("_known", F.lit(False)))  # a row per language
-    on = F.when(F.col("_known"), F.col("n")).otherwise(0)
-    scored = counted.join(by_word, ["_lang", "word"]).groupBy("doc_id", "lang", "_t").agg(F.sum("n").alias("n_words"), F.sum(on * F.col("_chars")).alias("chars"), F.sum(on * F.col("_score")).alias("total"))
-    s = scored.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"), F.col("_t").alias("_u"), "n_words", "chars", "total")
+    return places.groupBy("_lang", "word").agg(F.sum(score.otherwise(backed) * F.col("_times")).alias("_score"), F.sum("_times").alias("_chars"))
+
+
+def _scored_by_joins(docs: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int, words: DataFrame, head: int = HEAD_WORDS) -> DataFrame:
+    """The ``head`` most frequent trusted words are scored once and sent to all tasks; only the other words of documents are shuffled and joined."""
+    top = words.orderBy(F.desc("n"), "lang", "word").limit(head).select(F.col("lang").alias("_lang"), "word")
+    scores: dict[str, dict[bytes, tuple[float, int]]] = {r[0]: {} for r in weights.select("lang").distinct().collect()}  # a row per language
+    found = _word_scores(top, probabilities, weights, order).toArrow()
+    for lang, word, score, chars in zip(*(found.column(c).to_pylist() for c in ("_lang", "word", "_score", "_chars")), strict=True):
+        scores[lang][word.encode()] = (score, chars)
+    sent = docs.sparkSession.sparkContext.broadcast(scores)
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, "text"):
+            row, word, n, chars, total = [], [], [], [], []
+            for k, (lang, text) in enumerate(zip(piece.column("lang").to_pylist(), piece.column("text").to_pylist(), strict=True)):
+                own = sent.value.get(lang or "")
+                counts = Counter((text or "").encode().split())
+                known = [(own[x], m) for x, m in counts.items() if x in own] if own is not None else []
+                rest = [(x.decode(), m) for x, m in counts.items() if x not in own] if own is not None else []
+                row += [k] * (len(rest) + 1)
+                word += [None, *(x for x, _ in rest)]
+                n += [counts.total(), *(m for _, m in rest)]
+                chars += [sum(c * m for (_, c), m in known), *([0] * len(rest))]
+                total += [math.fsum(x * m for (x, _), m in known), *([0.0] * len(rest))]
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(piece.column(c).take(at) for c in ("doc_id", "lang", "_t")), pa.array(word, pa.string()), pa.array(n, pa.int64()), pa.array(chars, pa.int64()), pa.array(total, pa.float64())], names=["doc_id", "lang", "_t", "word", "n", "chars", "total"]
+            )
+
     rows = docs.select("doc_id", "lang", F.xxhash64("text").alias("_t"))
+    parts = written(docs.select("doc_id", "lang", F.xxhash64("text").alias("_t"), "text").mapInArrow(go, f"doc_id {kind}, lang string, _t long, word string, n long, chars long, total double"), "kn-parts")
+    rare = parts.where("word is not null").withColumn("_lang", F.coalesce("lang", F.lit("")))
+    late = rare.join(_word_scores(rare.select("_lang", "word").distinct(), probabilities, weights, order), ["_lang", "word"])
+    late = late.select("doc_id", "lang", "_t", F.lit(0).cast("long").alias("n"), (F.col("n") * F.col("_chars")).alias("chars"), (F.col("n") * F.col("_score")).alias("total"), F.lit(0).alias("_rows"))
+    whole = parts.where("word is null").select("doc_id", "lang", "_t", "n", "chars", "total", F.lit(1).alias("_rows"))
+    share = lambda c: F.sum(c) / F.sum("_rows")  # noqa: E731  rows that repeat count once
+    s = whole.unionByName(late).groupBy(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"), F.col("_t").alias("_u")).agg(share("n").cast("long").alias("n_words"), share("chars").cast("long").alias("chars"), share("total").alias("total"))
     same = rows["doc_id"].eqNullSafe(s["_d"]) & rows["lang"].eqNullSafe(s["_l"]) & (rows["_t"] == s["_u"])
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return rows.join(s, same, "left").select("doc_id", "lang", zero("n_words"), zero("chars"), F.coalesce("total", F.lit(0.0)).alias("total"))
+    return rows.join(s, same).select("doc_id", "lang", "n_words", "chars", "total")
 
 
 def classify(docs: DataFrame, trusted_ids: DataFrame, order: int = ORDER, quantile: float = QUANTILE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -179,9 +210,12 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, order: int = ORDER, quanti
     ids = trusted_ids.select("doc_id").where("doc_id is not null").distinct()
     small = ids.count() <= BROADCAST_IDS
     trusted = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    probabilities, weights = train(trusted, order)
-    way = _scored_here if probabilities.count() + weights.count() <= broadcast_rows else _scored_by_joins
-    scored = written(way(docs, probabilities, weights, order), "kn-scores")
+    words = written(_word_counts(trusted), "kn-words")
+    probabilities, weights = train(trusted, order, words)
+    if probabilities.count() + weights.count() <= broadcast_rows:
+        scored = written(_scored_here(docs, probabilities, weights, order), "kn-scores")
+    else:
+        scored = written(_scored_by_joins(docs, probabilities, weights, order, words), "kn-scores")
     scored = scored.withColumn("_log", F.when(F.col("chars") > 0, -F.col("total") / F.col("chars")))
     steps = scored.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi").where("_log is not null").groupBy("lang", F.ceil(F.col("_log") * 1000).alias("_step")).agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("lang").orderBy("_step")) / F.sum("n").over(Window.partitionBy("lang"))
