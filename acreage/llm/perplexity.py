@@ -1,20 +1,22 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model, with thresholds by language.
 
-The model predicts the characters of words, one model per language, trained
-on all trusted text: every word of every trusted document counts. A word
-stands between ``order - 1`` start marks and one end mark. Counts, context
-totals and lower-order probabilities are joined by (language, n-gram), so
-that training is a chain of sharded joins and no count is gathered anywhere.
-
-Scoring looks the n-grams up in a broadcast model while that has at most
-``broadcast_rows`` rows. Beyond it, distinct words' n-grams are joined with the
-sharded tables; the most frequent trusted words' scores, a fixed number of
-them, are broadcast and other words of documents are joined with theirs. Both
-give the same perplexities. Perplexity is per
+The model predicts the characters of whole texts, spaces and line ends among
+them, so n-grams run over word boundaries; there is one model per language,
+trained on all trusted text. A text stands between ``order - 1`` start marks
+and one end mark. Counts, context totals and lower-order probabilities are
+joined by (language, n-gram), so that training is a chain of sharded joins and
+no count is gathered anywhere.
+
+A text's score is the sum of its windows' of ``order`` characters, and equal
+windows have equal scores. Windows are looked up in a broadcast model while that
+has at most ``broadcast_rows`` rows. Beyond it, distinct windows of documents are
+joined with the sharded tables; the scores of the most frequent ones, at most
+``HEAD_GRAMS``, are broadcast, and the others are counted by document and joined
+with theirs. Both give the same perplexities. Perplexity is per
 character. A language's threshold is a quantile of its trusted documents'
 perplexities, counted exactly in steps of 0.001 of its logarithm.
 
-Defined results: a null or empty text has no perplexity and isn't kept; a
+Defined results: a null, empty or blank text has no perplexity and isn't kept; a
 language without trusted text, null included, has no model: its documents
 have no perplexity and are kept if they have words; rows that share doc_id
 and text get the same result; an empty table gives no rows.
@@ -22,48 +24,107 @@ and text get the same result; an empty table gives no rows.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acreage.llm.scratch import written
-from acreage.llm.words import slices
+from acreage.llm.words import Words, slices
 
 ORDER = 5
 QUANTILE = 0.99
 BROADCAST_ROWS = 1_000_000
 BROADCAST_IDS = 2_000_000
-HEAD_WORDS = 100_000
+HEAD_GRAMS = 1_000_000
+_DENSE = 1 << 23
+_COUNTED = 300_000
 _BEGIN, _END = "\x02", "\x03"
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, n) over whole texts, counted in each task before the shuffle."""
+def _numbered(key: np.ndarray, size: int) -> tuple[np.ndarray, int]:
+    """The keys, which are below ``size``, as numbers of distinct ones in order, and how many there are."""
+    if size > _DENSE:
+        distinct, which = np.unique(key, return_inverse=True)
+        return which, len(distinct)
+    seen = np.zeros(size, bool)
+    seen[key] = True
+    upto = np.cumsum(seen, dtype=np.int32)
+    return (upto[key] - 1).astype(np.int64), int(upto[-1])
+
+
+@dataclass
+class _Windows:
+    """Runs of ``order`` characters of a slice of padded texts; ``which`` numbers the distinct (language, run) of each."""
+
+    n_words: np.ndarray
+    row: np.ndarray
+    which: np.ndarray
+    lang: list[str]
+    grams: list[str]
+
+    @classmethod
+    def of(cls, texts: pa.Array, langs: pa.Array, order: int) -> _Windows:
+        w = Words.of(texts)
+        points = np.frombuffer(w.raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        at = np.concatenate([[0], np.cumsum((w.raw & 0xC0) != 0x80)])[w.rows]
+        n = np.diff(at)
+        begin = at + order * np.arange(len(at))  # a padded text has ``order`` characters more
+        padded = np.full(begin[-1], ord(_BEGIN), np.uint32)
+        padded[np.arange(len(points)) + np.repeat(order * np.arange(len(n)) + order - 1, n)] = points
+        padded[begin[1:] - 1] = ord(_END)
+        seen = np.zeros(0x110000, bool)
+        seen[padded] = True
+        ids, size = (np.cumsum(seen) - 1)[padded], int(seen.sum())
+        several = np.where(w.counts > 0, n + 1, 0)  # a blank text has no windows
+        row = np.repeat(np.arange(len(n)), several)
+        starts = np.arange(len(row)) + np.repeat(begin[:-1] - np.cumsum(several) + several, several)
+        named = pc.fill_null(langs, "").dictionary_encode()
+        key, most = named.indices.to_numpy()[row].astype(np.int64), max(len(named.dictionary), 1)
+        for k in range(order):
+            if most * size > _DENSE:
+                key, most = _numbered(key, most)
+            key, most = key * size + ids[starts + k], most * size
+        which, most = _numbered(key, most)
+        first = np.zeros(most, np.int64)
+        first[which] = np.arange(len(row))  # any place of each
+        text = padded[starts[first][:, None] + np.arange(order)].astype("<u4").tobytes().decode("utf-32-le")
+        names = named.dictionary.to_pylist()
+        return cls(w.counts, row, which, [names[k] for k in named.indices.to_numpy()[row[first]].tolist()], [text[k : k + order] for k in range(0, len(text), order)])
+
+
+def _gram_counts(docs: DataFrame, order: int) -> DataFrame:
+    """(lang, gram, raw) of the windows of whole texts, counted in each task before the shuffle."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text", 8 << 20):
-            counts: dict[str, Counter] = {}
-            for lang, text in zip(piece.column("lang").to_pylist(), piece.column("text").to_pylist(), strict=True):
-                counts.setdefault(lang or "", Counter()).update((text or "").encode().split())
-            for lang, own in counts.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own)), pa.array(list(own), pa.binary()).cast(pa.string()), pa.array(list(own.values()), pa.int64())], names=["lang", "word", "n"])
+        counts: Counter = Counter()
 
-    return docs.select("lang", "text").mapInArrow(go, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["lang", "gram", "raw"])
 
+        for piece in slices(batches, "text"):
+            x = _Windows.of(piece.column("text"), piece.column("lang"), order)
+            for key, n in zip(zip(x.lang, x.grams, strict=True), np.bincount(x.which, minlength=len(x.grams)).tolist(), strict=True):
+                counts[key] += n
+            if len(counts) > _COUNTED:
+                yield batch()
+                counts.clear()
+        yield batch()
+
+    return docs.select("lang", "text").mapInArrow(go, "lang string, gram string, raw long").groupBy("lang", "gram").agg(F.sum("raw").alias("raw"))
 
-def train(docs: DataFrame, order: int = ORDER, words: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+
+def train(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
     """Probabilities (lang, gram, logp) of n-grams of all orders, and back-off weights (lang, ctx, logbow) of contexts."""
-    words = _word_counts(docs) if words is None else words
-    padded = F.concat(F.lit(_BEGIN * (order - 1)), "word", F.lit(_END))
-    grams = F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(order)))
-    top = words.select("lang", F.explode(grams).alias("gram"), "n").groupBy("lang", "gram").agg(F.sum("n").alias("raw"))
+    top = _gram_counts(docs, order)
     levels = [written(top.withColumn("c", F.col("raw")), "kn-counts")]
     for k in range(order - 1, 0, -1):
-        # below the highest order an n-gram counts the characters that come before it; at a word's start there is only one, so its own count stands
+        # below the highest order an n-gram counts the characters that come before it; at a text's start there is only one, so its own count stands
         lower = levels[0].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.sum("raw").alias("raw"), F.count("*").alias("types"))
         levels.insert(0, written(lower.withColumn("c", F.when(F.col("gram").startswith(_BEGIN), F.col("raw")).otherwise(F.col("types"))).drop("types"), "kn-counts"))
     lower, probabilities, weights = None, [], []
@@ -102,25 +163,20 @@ def train(docs: DataFrame, order: int = ORDER, words: DataFrame | None = None) -
 
 
 class _Model(dict):
-    """Scores of words, worked out when first asked for; emptied when it has very many."""
+    """Scores of windows, worked out when first asked for; emptied when it has very many."""
 
-    def __init__(self, p: dict[str, float], w: dict[str, float], order: int) -> None:
+    def __init__(self, p: dict[str, float], w: dict[str, float]) -> None:
         super().__init__()
-        self.p, self.w, self.order = p, w, order
-
-    def __missing__(self, word: bytes) -> tuple[float, int]:
-        text = _BEGIN * (self.order - 1) + word.decode() + _END
-        total = 0.0
-        for k in range(self.order, len(text) + 1):
-            gram = text[k - self.order : k]
-            while gram and (logp := self.p.get(gram)) is None:
-                total += self.w.get(gram[:-1], 0.0)
-                gram = gram[1:]
-            if gram:
-                total += logp
+        self.p, self.w = p, w
+
+    def __missing__(self, window: str) -> float:
+        gram, total = window, 0.0
+        while gram and (logp := self.p.get(gram)) is None:
+            total += self.w.get(gram[:-1], 0.0)
+            gram = gram[1:]
         if len(self) >= 200_000:
             self.clear()
-        self[word] = found = (total, len(text) - self.order + 1)
+        self[window] = found = total + logp if gram else total
         return found
 
 
@@ -134,71 +190,74 @@ def _scored_here(docs: DataFrame, probabilities: DataFrame, weights: DataFrame,
     kind = dict(docs.dtypes)["doc_id"]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = {lang: _Model(*t, order) for lang, t in sent.value.items()}
+        models = {lang: _Model(*t) for lang, t in sent.value.items()}
         for piece in slices(batches, "text"):
-            n, chars, total = [], [], []
-            for lang, text in zip(piece.column("lang").to_pylist(), piece.column("text").to_pylist(), strict=True):
-                words = (text or "").encode().split()
-                model = models.get(lang or "")
-                found = [model[x] for x in words] if model is not None else []
-                n.append(len(words))
-                total.append(math.fsum(x for x, _ in found))
-                chars.append(sum(c for _, c in found))
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("lang"), pa.array(n, pa.int64()), pa.array(chars, pa.int64()), pa.array(total, pa.float64())], names=["doc_id", "lang", "n_words", "chars", "total"])
+            x = _Windows.of(piece.column("text"), piece.column("lang"), order)
+            scores = np.array([models[lang][gram] if lang in models else np.nan for lang, gram in zip(x.lang, x.grams, strict=True)], float)[x.which]
+            known = ~np.isnan(scores)
+            chars, total = np.bincount(x.row[known], minlength=piece.num_rows), np.bincount(x.row[known], scores[known], piece.num_rows)
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("lang"), pa.array(x.n_words, pa.int64()), pa.array(chars, pa.int64()), pa.array(total, pa.float64())], names=["doc_id", "lang", "n_words", "chars", "total"])
 
     return docs.select("doc_id", "lang", "text").mapInArrow(go, f"doc_id {kind}, lang string, n_words long, chars long, total double")
 
 
-def _word_scores(words: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int) -> DataFrame:
-    """(_lang, word, _score, _chars) of distinct (_lang, word) by joins with the sharded tables."""
-    padded = F.concat(F.lit(_BEGIN * (order - 1)), "word", F.lit(_END))
-    places = words.select("_lang", "word", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(order)))).alias("_g"))
-    places = places.groupBy("_lang", "word", "_g").agg(F.count("*").alias("_times"))
-    score, backed = None, F.lit(0.0)
+def _window_scores(windows: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int) -> DataFrame:
+    """(lang, gram, raw, score) of distinct windows in languages with a model, by joins with the sharded tables."""
+    trained = weights.where("ctx = ''").select("lang")  # a row per language
+    places, backed, scored = windows.join(F.broadcast(trained), "lang", "left_semi").withColumn("_backed", F.lit(0.0)), F.col("_backed"), None
     for k in range(order, 0, -1):
-        p = probabilities.where(F.length("gram") == k).select(F.col("lang").alias("_lang"), F.col("gram").alias("_gram"), F.col("logp").alias(f"_p{k}"))
-        w = weights.where(F.length("ctx") == k - 1).select(F.col("lang").alias("_lang"), F.col("ctx").alias("_ctx"), F.col("logbow").alias(f"_w{k}"))
-        places = places.withColumn("_gram", F.substring("_g", order - k + 1, k)).join(p, ["_lang", "_gram"], "left").drop("_gram")
-        places = places.withColumn("_ctx", F.substring("_g", order - k + 1, k - 1)).join(w, ["_lang", "_ctx"], "left").drop("_ctx")
-        score = F.when(F.col(f"_p{k}").isNotNull(), backed + F.col(f"_p{k}")) if score is None else score.when(F.col(f"_p{k}").isNotNull(), backed + F.col(f"_p{k}"))
-        backed = backed + F.coalesce(F.col(f"_w{k}"), F.lit(0.0))
-    return places.groupBy("_lang", "word").agg(F.sum(score.otherwise(backed) * F.col("_times")).alias("_score"), F.sum("_times").alias("_chars"))
-
-
-def _scored_by_joins(docs: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int, words: DataFrame, head: int = HEAD_WORDS) -> DataFrame:
-    """The ``head`` most frequent trusted words are scored once and sent to all tasks; only the other words of documents are shuffled and joined."""
-    top = words.orderBy(F.desc("n"), "lang", "word").limit(head).select(F.col("lang").alias("_lang"), "word")
-    scores: dict[str, dict[bytes, tuple[float, int]]] = {r[0]: {} for r in weights.select("lang").distinct().collect()}  # a row per language
-    found = _word_scores(top, probabilities, weights, order).toArrow()
-    for lang, word, score, chars in zip(*(found.column(c).to_pylist() for c in ("_lang", "word", "_score", "_chars")), strict=True):
-        scores[lang][word.encode()] = (score, chars)
+        p = probabilities.where(F.length("gram") == k).select("lang", F.col("gram").alias("_gram"), "logp")
+        places = written(places.withColumn("_gram", F.substring("gram", order - k + 1, k)).join(p, ["lang", "_gram"], "left").drop("_gram"), "kn-places")
+        found = places.where("logp is not null").select("lang", "gram", "raw", (backed + F.col("logp")).alias("score"))
+        scored = found if scored is None else scored.unionByName(found)
+        w = weights.where(F.length("ctx") == k - 1).select("lang", F.col("ctx").alias("_ctx"), "logbow")
+        places = places.where("logp is null").drop("logp").withColumn("_ctx", F.substring("gram", order - k + 1, k - 1)).join(w, ["lang", "_ctx"], "left")
+        places = places.select("lang", "gram", "raw", (backed + F.coalesce("logbow", F.lit(0.0))).alias("_backed"))
+    return written(scored.unionByName(places.withColumnRenamed("_backed", "score")), "kn-window-scores")
+
+
+def _scored_by_joins(docs: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int) -> DataFrame:
+    """The documents' most frequent windows are scored once and sent to all tasks; only the others are shuffled and joined."""
+    windows = _window_scores(_gram_counts(docs, order), probabilities, weights, order)
+    level = F.floor(F.log2("raw") * 16)
+    upto, least = 0, None
+    for r in windows.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():  # at most 1,024 rows
+        upto += r["n"]
+        if upto > HEAD_GRAMS:
+            break
+        least = r["level"]
+    scores: dict[str, dict[str, float]] = {r[0]: {} for r in weights.where("ctx = ''").select("lang").collect()}  # a row per language
+    in_head = F.lit(False) if least is None else level >= least
+    found = windows.where(in_head).select("lang", "gram", "score").toArrow()
+    for lang, gram, score in zip(*(found.column(c).to_pylist() for c in ("lang", "gram", "score")), strict=True):
+        scores[lang][gram] = score
     sent = docs.sparkSession.sparkContext.broadcast(scores)
     kind = dict(docs.dtypes)["doc_id"]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
-            row, word, n, chars, total = [], [], [], [], []
-            for k, (lang, text) in enumerate(zip(piece.column("lang").to_pylist(), piece.column("text").to_pylist(), strict=True)):
-                own = sent.value.get(lang or "")
-                counts = Counter((text or "").encode().split())
-                known = [(own[x], m) for x, m in counts.items() if x in own] if own is not None else []
-                rest = [(x.decode(), m) for x, m in counts.items() if x not in own] if own is not None else []
-                row += [k] * (len(rest) + 1)
-                word += [None, *(x for x, _ in rest)]
-                n += [counts.total(), *(m for _, m in rest)]
-                chars += [sum(c * m for (_, c), m in known), *([0] * len(rest))]
-                total += [math.fsum(x * m for (x, _), m in known), *([0.0] * len(rest))]
-            at = pa.array(row, pa.int64())
+            x = _Windows.of(piece.column("text"), piece.column("lang"), order)
+            trained = np.array([lang in sent.value for lang in x.lang], bool)[x.which]
+            row, which = x.row[trained], x.which[trained]
+            score = np.array([sent.value[lang].get(gram, np.nan) if lang in sent.value else np.nan for lang, gram in zip(x.lang, x.grams, strict=True)], float)[which]
+            known = ~np.isnan(score)
+            rest, times = np.unique(row[~known] * len(x.grams) + which[~known], return_counts=True)
+            none = np.zeros(len(rest), np.int64)
+            at = pa.array(np.concatenate([np.arange(piece.num_rows), rest // max(len(x.grams), 1)]))
+            grams = [None] * piece.num_rows + [x.grams[k] for k in (rest % max(len(x.grams), 1)).tolist()]
+            n = np.concatenate([x.n_words, times])
+            chars = np.concatenate([np.bincount(row, minlength=piece.num_rows), none])
+            total = np.concatenate([np.bincount(row[known], score[known], piece.num_rows), none])
             yield pa.RecordBatch.from_arrays(
-                [*(piece.column(c).take(at) for c in ("doc_id", "lang", "_t")), pa.array(word, pa.string()), pa.array(n, pa.int64()), pa.array(chars, pa.int64()), pa.array(total, pa.float64())], names=["doc_id", "lang", "_t", "word", "n", "chars", "total"]
+                [*(piece.column(c).take(at) for c in ("doc_id", "lang", "_t")), pa.array(grams, pa.string()), pa.array(n, pa.int64()), pa.array(chars, pa.int64()), pa.array(total, pa.float64())], names=["doc_id", "lang", "_t", "gram", "n", "chars", "total"]
             )
 
     rows = docs.select("doc_id", "lang", F.xxhash64("text").alias("_t"))
-    parts = written(docs.select("doc_id", "lang", F.xxhash64("text").alias("_t"), "text").mapInArrow(go, f"doc_id {kind}, lang string, _t long, word string, n long, chars long, total double"), "kn-parts")
-    rare = parts.where("word is not null").withColumn("_lang", F.coalesce("lang", F.lit("")))
-    late = rare.join(_word_scores(rare.select("_lang", "word").distinct(), probabilities, weights, order), ["_lang", "word"])
-    late = late.select("doc_id", "lang", "_t", F.lit(0).cast("long").alias("n"), (F.col("n") * F.col("_chars")).alias("chars"), (F.col("n") * F.col("_score")).alias("total"), F.lit(0).alias("_rows"))
-    whole = parts.where("word is null").select("doc_id", "lang", "_t", "n", "chars", "total", F.lit(1).alias("_rows"))
+    parts = written(docs.select("doc_id", "lang", F.xxhash64("text").alias("_t"), "text").mapInArrow(go, f"doc_id {kind}, lang string, _t long, gram string, n long, chars long, total double"), "kn-parts")
+    rare = parts.where("gram is not null").select("doc_id", "lang", "_t", F.coalesce("lang", F.lit("")).alias("_lang"), "gram", "n")
+    late = rare.join(windows.where(~in_head).select(F.col("lang").alias("_lang"), "gram", "score"), ["_lang", "gram"])
+    late = late.select("doc_id", "lang", "_t", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("chars"), (F.col("n") * F.col("score")).alias("total"), F.lit(0).alias("_rows"))
+    whole = parts.where("gram is null").select("doc_id", "lang", "_t", "n", "chars", "total", F.lit(1).alias("_rows"))
     share = lambda c: F.sum(c) / F.sum("_rows")  # noqa: E731  rows that repeat count once
     s = whole.unionByName(late).groupBy(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"), F.col("_t").alias("_u")).agg(share("n").cast("long").alias("n_words"), share("chars").cast("long").alias("chars"), share("total").alias("total"))
     same = rows["doc_id"].eqNullSafe(s["_d"]) & rows["lang"].eqNullSafe(s["_l"]) & (rows["_t"] == s["_u"])
@@ -210,12 +269,11 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, order: int = ORDER, quanti
     ids = trusted_ids.select("doc_id").where("doc_id is not null").distinct()
     small = ids.count() <= BROADCAST_IDS
     trusted = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    words = written(_word_counts(trusted), "kn-words")
-    probabilities, weights = train(trusted, order, words)
+    probabilities, weights = train(trusted, order)
     if probabilities.count() + weights.count() <= broadcast_rows:
         scored = written(_scored_here(docs, probabilities, weights, order), "kn-scores")
     else:
-        scored = written(_scored_by_joins(docs, probabilities, weights, order, words), "kn-scores")
+        scored = written(_scored_by_joins(docs, probabilities, weights, order), "kn-scores")
     scored = scored.withColumn("_log", F.when(F.col("chars") > 0, -F.col("total") / F.col("chars")))
     steps = scored.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi").where("_log is not null").groupBy("lang", F.ceil(F.col("_log") * 1000).alias("_step")).agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("lang").orderBy("_step")) / F.sum("n").over(Window.partitionBy("lang"))

@@ -120,6 +120,34 @@ def test_perplexity(spark, docs, nothing):
     assert perplexity.classify(nothing, trusted).count() == 0
 
 
+def test_perplexity_over_word_boundaries(spark, docs, monkeypatch):
+    """Word order and repetition count, and windows in and outside the head give the same scores as the model's own back-off."""
+    random.seed(8)
+    clean = [" ".join(random.choice(["the red fox", "an old cat", "one big dog"]) for _ in range(30)) + "." for _ in range(30)]
+    words = clean[0].split()
+    random.shuffle(words)
+    texts = [*clean, " ".join(words), "fox " * 200, "é\nfox\u4e2d cat the", None, " \n"]
+    df = spark.createDataFrame([(d, t, "en") for d, t in enumerate(texts)], "doc_id long, text string, lang string")
+    trusted = df.where("doc_id < 30").select("doc_id")
+    p, w = perplexity.train(df.where("doc_id < 30"))
+    p, w = {r.gram: r.logp for r in p.collect()}, {r.ctx: r.logbow for r in w.collect()}
+
+    def score(gram):
+        total = 0.0
+        while gram and gram not in p:
+            total, gram = total + w.get(gram[:-1], 0.0), gram[1:]
+        return total + (p[gram] if gram else 0.0)
+
+    padded = ["\x02" * 4 + t + "\x03" for t in texts[:33]]
+    said = {d: np.exp(-sum(score(t[i : i + 5]) for i in range(len(t) - 4)) / (len(t) - 4)) for d, t in enumerate(padded)}
+    for rows, head in ((10**6, 0), (0, 10**6), (0, 40), (0, 0)):
+        monkeypatch.setattr(perplexity, "HEAD_GRAMS", head, raising=False)
+        by = {r.doc_id: r for r in perplexity.classify(df, trusted, broadcast_rows=rows).collect()}
+        assert {d: by[d].perplexity for d in said} == pytest.approx(said)
+        assert [by[d].perplexity for d in (33, 34)] == [None, None] and not by[33].kept and not by[34].kept
+        assert by[0].kept and not by[30].kept and not by[31].kept
+
+
 def brute_repeats(rows, size=35):
     words = [(r[0], (r[1] or "").encode().split()) for r in rows]
     times = collections.Counter(tuple(w[i : i + size]) for _, w in words for i in range(len(w) - size + 1))
