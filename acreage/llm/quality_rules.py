@@ -5,6 +5,15 @@ character 4-grams. It is fitted on at most ``sample`` labelled rows (a
 documented bound, taken in hash order of doc_id), probability-calibrated on
 the part held out of the fit, and scored in Arrow batches.
 
+Toxic documents are rejected here, and so in the pipeline by its first stage:
+a second logistic regression on the same labelled rows is fitted to
+``toxic``. A few words tell those, so it sees which of the hashed words and
+character 4-grams occur in a text, and only those whose shares of toxic and
+other texts differ by ``_TELLING`` standard errors. ``probability`` is that of a text of
+good quality times that of one that isn't toxic. Labels without a ``toxic`` column,
+or with a null in it, count as not toxic; with too few toxic rows nothing is
+rejected as toxic.
+
 Defined results: a null or empty text has zero figures and fails the base
 rules (fewer than 50 words); without labels of both kinds the classifier
 keeps everything that passes the base rules; repeated rows get one row each;
@@ -32,6 +41,7 @@ SAMPLE = 2400
 _BITS = 17
 _CHARS = 4
 _SCALE = 8.0
+_TELLING = 5.0
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -111,6 +121,7 @@ class Classifier:
     bias: float
     slope: float
     offset: float
+    presence: Classifier | None = None
 
     def probability(self, w: Words, hashes: np.ndarray) -> np.ndarray:
         n_rows = len(w.at) - 1
@@ -118,7 +129,18 @@ class Classifier:
         for index, row, begin in _features(w, hashes):
             total = np.bincount(row, self.weights[begin : begin + (1 << _BITS)][index], n_rows)
             score += _SCALE * total / np.maximum(np.bincount(row, minlength=n_rows), 1)
-        return 1 / (1 + np.exp(-(self.slope * score + self.offset)))
+        p = 1 / (1 + np.exp(-(self.slope * score + self.offset)))
+        return p if self.presence is None else p * self.presence.probability_of_presence(w, hashes)
+
+    def probability_of_presence(self, w: Words, hashes: np.ndarray) -> np.ndarray:
+        """As ``probability``, of a classifier to which a feature counts once a text; few features have weights."""
+        n_rows = len(w.at) - 1
+        score = np.full(n_rows, self.bias)
+        for index, row, begin in _features(w, hashes):
+            has = self.weights[begin + index] != 0
+            cell = np.unique(row[has] * (1 << _BITS) + index[has])
+            score += np.bincount(cell >> _BITS, self.weights[begin + (cell & ((1 << _BITS) - 1))], n_rows)
+        return 1 / (1 + np.exp(-np.clip(self.slope * score + self.offset, -700, 700)))
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,14 +199,38 @@ def _calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a[0]), float(a[1])
 
 
+def _fit_presence(cells: np.ndarray, row: np.ndarray, toxic: np.ndarray, cut: int, epochs: int) -> Classifier | None:
+    """The classifier of texts that aren't toxic, fitted on the rows before ``cut`` and calibrated on the others."""
+    parts = toxic[:cut], toxic[cut:]
+    if min(n for y in parts for n in (y.sum(), len(y) - y.sum())) < 2:
+        return None
+    seen = row < cut
+    bad = np.bincount(cells[seen], toxic[row[seen]], 3 << _BITS) / parts[0].sum()
+    good = np.bincount(cells[seen], 1 - toxic[row[seen]], 3 << _BITS) / (cut - parts[0].sum())
+    share = (bad * parts[0].sum() + good * (cut - parts[0].sum())) / cut
+    error = np.sqrt(share * (1 - share) * (1 / parts[0].sum() + 1 / (cut - parts[0].sum())))
+    telling = np.abs(bad - good) > _TELLING * error
+    telling[1 << _BITS : 2 << _BITS] = False  # pairs of words are too rare
+    own = telling[cells]
+    if not (own & seen).any():
+        return None
+    cells, row = cells[own], row[own]
+    ends = np.searchsorted(row, np.arange(len(toxic) + 1))
+    weights, bias = _descend(cells[: ends[cut]], np.ones(ends[cut]), ends[: cut + 1], 1 - parts[0], epochs)
+    score = np.bincount(row, weights[cells].astype(float), len(toxic)) + bias
+    slope, offset = _calibrate(score[cut:], 1 - parts[1])
+    return Classifier(weights, bias, slope, offset)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = 60) -> Classifier | None:
     """Fit on at most ``sample`` labelled rows; the driver gets hashed features of these rows, no texts.
 
     None if the sample hasn't both kinds of rows.
     """
+    toxic = F.coalesce(F.max("toxic").cast("int"), F.lit(0)) if "toxic" in labels.columns else F.lit(0)
     chosen = (
         labels.where("doc_id is not null and quality is not null")
-        .groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
+        .groupBy("doc_id").agg((F.min("quality").cast("int") + 2 * toxic).alias("label"))
         .orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id").limit(sample)
     )
     rows = (
@@ -192,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
         .mapInArrow(_sparse, "doc_id long, label int, cells array<int>, weights array<float>")
         .orderBy(F.xxhash64("doc_id", F.lit("order")), "doc_id").toArrow()
     )
-    y = rows.column("label").to_numpy().astype(float)
+    y, toxic = ((rows.column("label").to_numpy() >> k & 1).astype(float) for k in (0, 1))
     cut = len(y) * 2 // 3
     if len(y) < 30 or min(y[:cut].sum(), cut - y[:cut].sum(), y[cut:].sum(), len(y) - cut - y[cut:].sum()) < 2:
         return None
@@ -204,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     row = np.repeat(np.arange(len(y)), n)
     score = np.bincount(row, values * weights[cells], len(y)) + bias
     slope, offset = _calibrate(score[cut:], y[cut:])
-    return Classifier(weights, bias, slope, offset)
+    return Classifier(weights, bias, slope, offset, _fit_presence(cells, row, toxic, cut, epochs))
 
 
 def apply_rules(docs: DataFrame, model: Classifier | None, keep_from: float = KEEP_FROM) -> DataFrame:

@@ -252,3 +252,24 @@ def test_quality(spark, docs, nothing, rows):
         assert tuple(r[c] for c in quality_rules.FIGURES) == said
         assert r.base_failed == (len(w) < 50 or 100 * len(repeat) > 50 * len(w)) and not (r.kept and r.base_failed)
     assert quality_rules.apply_rules(nothing, None).count() == 0 and quality_rules.fit(docs, labels.limit(0)) is None
+
+
+def test_quality_rejects_toxic(spark):
+    """Rows of good quality that hold a toxic word are rejected on labels outside the fit, clean ones are kept."""
+    random.seed(9)
+    words = [f"{a}{b}" for a in "bcdfgklm" for b in ("ano", "eri", "ilo", "oru")]
+
+    def text(d):
+        own = [random.choice(words) for _ in range(random.randrange(80, 160))]
+        if d % 5 == 0:
+            own = [f"{w}###" for w in own]
+        if d % 5 == 1:
+            own[::30] = ["idiot"] * len(own[::30])
+        return " ".join(own)
+
+    docs = spark.createDataFrame([(d, text(d)) for d in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d % 5 > 0), int(d % 5 == 1)) for d in range(400)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in quality_rules.apply_rules(docs, quality_rules.fit(docs, labels)).where("kept and doc_id >= 400").collect()}
+    assert not {d for d in kept if d % 5 < 2} and len(kept) >= 55
+    without = {r.doc_id for r in quality_rules.apply_rules(docs, quality_rules.fit(docs, labels.drop("toxic"))).where("kept and doc_id >= 400").collect()}
+    assert len({d for d in without if d % 5 == 1}) > 15
