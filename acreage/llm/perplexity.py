@@ -1,128 +1,168 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model, with thresholds by language.
 
 The model predicts the characters of whole texts, spaces and line ends among
-them, so n-grams run over word boundaries; there is one model per language,
-trained on all trusted text. A text stands between ``order - 1`` start marks
-and one end mark. Counts, context totals and lower-order probabilities are
-joined by (language, n-gram), so that training is a chain of sharded joins and
-no count is gathered anywhere.
-
-A text's score is the sum of its windows' of ``order`` characters, and equal
-windows have equal scores. Windows are looked up in a broadcast model while that
-has at most ``broadcast_rows`` rows. Beyond it, distinct windows of documents are
-joined with the sharded tables; the scores of the most frequent ones, at most
-``HEAD_GRAMS``, are broadcast, and the others are counted by document and joined
-with theirs. Both give the same perplexities. Perplexity is per
-character. A language's threshold is a quantile of its trusted documents'
-perplexities, counted exactly in steps of 0.001 of its logarithm.
+them, so n-grams run over word boundaries; there is one model per language.
+A text stands between ``order - 1`` start marks and one end mark. Counts,
+context totals and lower-order probabilities are joined by (language, n-gram),
+so that training is a chain of sharded joins and no count is gathered anywhere.
+
+Trusted texts are dealt to ``FOLDS`` by hash of the text. All folds but the
+first train the model; the first sets the thresholds, as texts that the model
+has seen score better than new ones. A language's threshold is a quantile of
+those documents' perplexities, counted exactly in steps of 0.001 of the
+logarithm; a language that has none takes it from its training documents.
+
+Scoring: the distinct windows of ``order`` characters of all documents are
+counted, and each is scored once, by joins with the sharded model. The scores of
+the most frequent windows, ``head`` at most (16 bytes each), are broadcast; the
+other windows are counted by document and joined with their scores. Perplexity
+is per character. Windows are told apart by 64-bit hashes of language and text.
 
 Defined results: a null, empty or blank text has no perplexity and isn't kept; a
-language without trusted text, null included, has no model: its documents
-have no perplexity and are kept if they have words; rows that share doc_id
-and text get the same result; an empty table gives no rows.
+language without training text has no model: its documents have no perplexity
+and are kept if they have words; null is a language of its own; repeated rows
+get the same result each; texts of any length are scored whole; a doc_id that
+occurs twice is trusted in all its rows; other columns aren't read, so their names
+can't clash; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from acreage.llm.scratch import written
-from acreage.llm.words import Words, slices
+from acreage.llm.words import Words, mix64, multipliers, slices, text_bytes
 
 ORDER = 5
 QUANTILE = 0.99
-BROADCAST_ROWS = 1_000_000
-BROADCAST_IDS = 2_000_000
-HEAD_GRAMS = 1_000_000
-_DENSE = 1 << 23
-_COUNTED = 300_000
+FOLDS = 5
+HEAD = 1 << 20
+#: Ids of trusted documents are broadcast up to this many bytes, and joined by shuffle beyond.
+BROADCAST_BYTES = 64 << 20
+_SLICE = 4 << 20
+_MERGED = 1 << 20
+_CHUNK = 1 << 16
 _BEGIN, _END = "\x02", "\x03"
 
 
-def _numbered(key: np.ndarray, size: int) -> tuple[np.ndarray, int]:
-    """The keys, which are below ``size``, as numbers of distinct ones in order, and how many there are."""
-    if size > _DENSE:
-        distinct, which = np.unique(key, return_inverse=True)
-        return which, len(distinct)
-    seen = np.zeros(size, bool)
-    seen[key] = True
-    upto = np.cumsum(seen, dtype=np.int32)
-    return (upto[key] - 1).astype(np.int64), int(upto[-1])
-
-
-@dataclass
 class _Windows:
-    """Runs of ``order`` characters of a slice of padded texts; ``which`` numbers the distinct (language, run) of each."""
-
-    n_words: np.ndarray
-    row: np.ndarray
-    which: np.ndarray
-    lang: list[str]
-    grams: list[str]
-
-    @classmethod
-    def of(cls, texts: pa.Array, langs: pa.Array, order: int) -> _Windows:
-        w = Words.of(texts)
-        points = np.frombuffer(w.raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-        at = np.concatenate([[0], np.cumsum((w.raw & 0xC0) != 0x80)])[w.rows]
-        n = np.diff(at)
-        begin = at + order * np.arange(len(at))  # a padded text has ``order`` characters more
-        padded = np.full(begin[-1], ord(_BEGIN), np.uint32)
-        padded[np.arange(len(points)) + np.repeat(order * np.arange(len(n)) + order - 1, n)] = points
-        padded[begin[1:] - 1] = ord(_END)
+    """Runs of ``order`` code points of padded texts; ``valid`` marks those that lie within one text."""
+
+    def __init__(self, texts: pa.Array, order: int) -> None:
+        padded = pc.binary_join_element_wise(_BEGIN * (order - 1), texts, _END, "")
+        raw, _ = text_bytes(padded)
+        self.order = order
+        self.points = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+        self.begin = np.concatenate([[0], np.cumsum(pc.utf8_length(padded).to_numpy())]).astype(np.int64)
+        self.size = max(len(self.points) - order + 1, 0)
+        self.valid = np.ones(self.size, bool)
+        across = (self.begin[1:, None] - np.arange(1, order)).ravel()
+        self.valid[across[across < self.size]] = False
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct windows as rows of code points, and how often each occurs."""
         seen = np.zeros(0x110000, bool)
-        seen[padded] = True
-        ids, size = (np.cumsum(seen) - 1)[padded], int(seen.sum())
-        several = np.where(w.counts > 0, n + 1, 0)  # a blank text has no windows
-        row = np.repeat(np.arange(len(n)), several)
-        starts = np.arange(len(row)) + np.repeat(begin[:-1] - np.cumsum(several) + several, several)
-        named = pc.fill_null(langs, "").dictionary_encode()
-        key, most = named.indices.to_numpy()[row].astype(np.int64), max(len(named.dictionary), 1)
-        for k in range(order):
-            if most * size > _DENSE:
-                key, most = _numbered(key, most)
-            key, most = key * size + ids[starts + k], most * size
-        which, most = _numbered(key, most)
-        first = np.zeros(most, np.int64)
-        first[which] = np.arange(len(row))  # any place of each
-        text = padded[starts[first][:, None] + np.arange(order)].astype("<u4").tobytes().decode("utf-32-le")
-        names = named.dictionary.to_pylist()
-        return cls(w.counts, row, which, [names[k] for k in named.indices.to_numpy()[row[first]].tolist()], [text[k : k + order] for k in range(0, len(text), order)])
+        seen[self.points] = True
+        alphabet = np.flatnonzero(seen)
+        number = np.zeros(0x110000, np.int64)
+        number[alphabet] = np.arange(len(alphabet))
+        ids = number[self.points]
+        key, most, tables = ids[: self.size].copy(), len(alphabet), {}
+        for k in range(1, self.order):
+            if most * len(alphabet) >= 1 << 62:  # a very large alphabet: number the runs so far
+                tables[k], key = np.unique(key, return_inverse=True)
+                most = len(tables[k])
+            key *= len(alphabet)
+            key += ids[k : k + self.size]
+            most *= len(alphabet)
+        key = np.sort(key[self.valid])
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]]))
+        key, times = key[first], np.diff(np.append(first, len(key)))
+        grams = np.empty((len(key), self.order), np.uint32)
+        for k in range(self.order - 1, 0, -1):
+            key, grams[:, k] = key // len(alphabet), alphabet[key % len(alphabet)]
+            key = tables[k][key] if k in tables else key
+        grams[:, 0] = alphabet[key]
+        return grams, times
+
+    def hashes(self, salt: np.uint64) -> np.ndarray:
+        out = np.zeros(self.size, np.uint64)
+        for a in range(0, self.size, _CHUNK):
+            b = min(a + _CHUNK, self.size)
+            points = self.points[a : b + self.order - 1].astype(np.uint64)
+            out[a:b] = _hashed([points[k : k + b - a] for k in range(self.order)], salt)
+        return out
+
+
+def _hashed(columns: list[np.ndarray], salt: np.uint64) -> np.ndarray:
+    total = np.full(len(columns[0]), salt)
+    for factor, column in zip(multipliers(len(columns), 20), columns, strict=True):
+        total += column * factor
+    return mix64(total)
+
+
+def _salt(lang: str) -> np.uint64:
+    raw = np.frombuffer(lang.encode(), np.uint8).astype(np.uint64)
+    return mix64(np.array([int((raw * multipliers(len(raw), 21)).sum(dtype=np.uint64)) & (2**64 - 1)], np.uint64))[0]
+
+
+def _language() -> Column:
+    return F.when(F.col("lang").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), "lang"))
+
+
+def _by_language(piece: pa.RecordBatch, flag: str | None = None) -> Iterator[tuple[str, bool, np.ndarray]]:
+    """(language, flag, row numbers) of a batch's rows."""
+    named = piece.column("_lang").dictionary_encode()
+    code = named.indices.to_numpy().astype(np.int64) * 2
+    if flag:
+        code += piece.column(flag).to_numpy(zero_copy_only=False)
+    names = named.dictionary.to_pylist()
+    for k in np.unique(code).tolist():
+        yield names[k // 2], bool(k % 2), np.flatnonzero(code == k)
 
 
 def _gram_counts(docs: DataFrame, order: int) -> DataFrame:
-    """(lang, gram, raw) of the windows of whole texts, counted in each task before the shuffle."""
+    """(lang, gram, h, raw, trusted): how often windows occur in all texts and in those with ``_train``, counted in each task first."""
+    text = [("lang", pa.string()), ("gram", pa.string()), ("h", pa.int64()), ("raw", pa.int64()), ("trusted", pa.int64())]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["lang", "gram", "raw"])
-
-        for piece in slices(batches, "text"):
-            x = _Windows.of(piece.column("text"), piece.column("lang"), order)
-            for key, n in zip(zip(x.lang, x.grams, strict=True), np.bincount(x.which, minlength=len(x.grams)).tolist(), strict=True):
-                counts[key] += n
-            if len(counts) > _COUNTED:
-                yield batch()
-                counts.clear()
-        yield batch()
-
-    return docs.select("lang", "text").mapInArrow(go, "lang string, gram string, raw long").groupBy("lang", "gram").agg(F.sum("raw").alias("raw"))
-
-
-def train(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
-    """Probabilities (lang, gram, logp) of n-grams of all orders, and back-off weights (lang, ctx, logbow) of contexts."""
-    top = _gram_counts(docs, order)
-    levels = [written(top.withColumn("c", F.col("raw")), "kn-counts")]
+        waiting: dict[str, list[tuple[np.ndarray, ...]]] = {}
+
+        def merged(lang: str) -> pa.RecordBatch:
+            grams, h, raw, trusted = (np.concatenate(x) for x in zip(*waiting.pop(lang), strict=True))
+            order_ = np.argsort(h)
+            first = np.flatnonzero(np.concatenate([np.ones(min(len(h), 1), bool), h[order_[1:]] != h[order_[:-1]]]))
+            one = order_[first]
+            whole = grams[one].astype("<u4").tobytes().decode("utf-32-le")
+            columns = [[lang] * len(one), [whole[k : k + order] for k in range(0, len(whole), order)], h[one].view(np.int64)]
+            columns += [np.add.reduceat(x[order_], first) if len(h) else x for x in (raw, trusted)]
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, text, strict=True)], names=[n for n, _ in text])
+
+        for piece in slices(batches, "text", _SLICE):
+            for lang, trusted, rows in _by_language(piece, "_train"):
+                grams, times = _Windows(piece.column("text").take(pa.array(rows)), order).counted()
+                h = _hashed([grams[:, k].astype(np.uint64) for k in range(order)], _salt(lang))
+                waiting.setdefault(lang, []).append((grams, h, times, times if trusted else np.zeros_like(times)))
+                if sum(len(x[1]) for x in waiting[lang]) > _MERGED:
+                    yield merged(lang)
+        for lang in list(waiting):
+            yield merged(lang)
+
+    worded = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    grams = worded.select("_lang", "_train", "text").mapInArrow(go, "lang string, gram string, h long, raw long, trusted long")
+    return grams.groupBy("lang", "gram", "h").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
+
+
+def train(grams: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
+    """Probabilities (lang, gram, logp) of n-grams of all orders, and back-off weights (lang, ctx, logbow) of contexts, from (lang, gram, raw) of the highest order."""
+    levels = [written(grams.select("lang", "gram", "raw", F.col("raw").alias("c")), "kn-counts")]
     for k in range(order - 1, 0, -1):
         # below the highest order an n-gram counts the characters that come before it; at a text's start there is only one, so its own count stands
         lower = levels[0].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.sum("raw").alias("raw"), F.count("*").alias("types"))
@@ -162,123 +202,124 @@ def train(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
     return all_p, written(all_w, "kn-weights")
 
 
-class _Model(dict):
-    """Scores of windows, worked out when first asked for; emptied when it has very many."""
+class _Table:
+    """Sorted 64-bit keys with values, looked up many at once from the first key of each key's bucket."""
 
-    def __init__(self, p: dict[str, float], w: dict[str, float]) -> None:
-        super().__init__()
-        self.p, self.w = p, w
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        bits = len(keys).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        sizes = np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.start = (np.cumsum(sizes) - sizes).astype(np.int32)
+        self.keys, self.values = np.append(keys, np.uint64(2**64 - 1)), np.append(values, np.nan)
 
-    def __missing__(self, window: str) -> float:
-        gram, total = window, 0.0
-        while gram and (logp := self.p.get(gram)) is None:
-            total += self.w.get(gram[:-1], 0.0)
-            gram = gram[1:]
-        if len(self) >= 200_000:
-            self.clear()
-        self[window] = found = total + logp if gram else total
-        return found
-
-
-def _scored_here(docs: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int) -> DataFrame:
-    p, w = probabilities.toArrow(), weights.toArrow()
-    tables: dict[str, tuple[dict, dict]] = {}
-    for k, (rows, key, value) in enumerate(((p, "gram", "logp"), (w, "ctx", "logbow"))):
-        for lang, gram, x in zip(rows.column("lang").to_pylist(), rows.column(key).to_pylist(), rows.column(value).to_pylist(), strict=True):
-            tables.setdefault(lang, ({}, {}))[k][gram] = x
-    sent = docs.sparkSession.sparkContext.broadcast(tables)
-    kind = dict(docs.dtypes)["doc_id"]
-
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = {lang: _Model(*t) for lang, t in sent.value.items()}
-        for piece in slices(batches, "text"):
-            x = _Windows.of(piece.column("text"), piece.column("lang"), order)
-            scores = np.array([models[lang][gram] if lang in models else np.nan for lang, gram in zip(x.lang, x.grams, strict=True)], float)[x.which]
-            known = ~np.isnan(scores)
-            chars, total = np.bincount(x.row[known], minlength=piece.num_rows), np.bincount(x.row[known], scores[known], piece.num_rows)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("lang"), pa.array(x.n_words, pa.int64()), pa.array(chars, pa.int64()), pa.array(total, pa.float64())], names=["doc_id", "lang", "n_words", "chars", "total"])
-
-    return docs.select("doc_id", "lang", "text").mapInArrow(go, f"doc_id {kind}, lang string, n_words long, chars long, total double")
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Each key's value; NaN for a key that isn't there."""
+        at = self.start[(h >> self.shift).astype(np.int64)]
+        rest = np.flatnonzero(self.keys[at] < h)
+        while len(rest):
+            at[rest] += 1
+            rest = rest[self.keys[at[rest]] < h[rest]]
+        return np.where(self.keys[at] == h, self.values[at], np.nan)
 
 
 def _window_scores(windows: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int) -> DataFrame:
-    """(lang, gram, raw, score) of distinct windows in languages with a model, by joins with the sharded tables."""
+    """(lang, h, raw, score) of distinct windows in languages with a model, by joins with the sharded tables."""
     trained = weights.where("ctx = ''").select("lang")  # a row per language
     places, backed, scored = windows.join(F.broadcast(trained), "lang", "left_semi").withColumn("_backed", F.lit(0.0)), F.col("_backed"), None
     for k in range(order, 0, -1):
         p = probabilities.where(F.length("gram") == k).select("lang", F.col("gram").alias("_gram"), "logp")
         places = written(places.withColumn("_gram", F.substring("gram", order - k + 1, k)).join(p, ["lang", "_gram"], "left").drop("_gram"), "kn-places")
-        found = places.where("logp is not null").select("lang", "gram", "raw", (backed + F.col("logp")).alias("score"))
+        found = places.where("logp is not null").select("lang", "h", "raw", (backed + F.col("logp")).alias("score"))
         scored = found if scored is None else scored.unionByName(found)
         w = weights.where(F.length("ctx") == k - 1).select("lang", F.col("ctx").alias("_ctx"), "logbow")
         places = places.where("logp is null").drop("logp").withColumn("_ctx", F.substring("gram", order - k + 1, k - 1)).join(w, ["lang", "_ctx"], "left")
-        places = places.select("lang", "gram", "raw", (backed + F.coalesce("logbow", F.lit(0.0))).alias("_backed"))
-    return written(scored.unionByName(places.withColumnRenamed("_backed", "score")), "kn-window-scores")
+        places = places.select("lang", "gram", "h", "raw", (backed + F.coalesce("logbow", F.lit(0.0))).alias("_backed"))
+    return written(scored.unionByName(places.select("lang", "h", "raw", F.col("_backed").alias("score"))), "kn-window-scores")
 
 
-def _scored_by_joins(docs: DataFrame, probabilities: DataFrame, weights: DataFrame, order: int) -> DataFrame:
-    """The documents' most frequent windows are scored once and sent to all tasks; only the others are shuffled and joined."""
-    windows = _window_scores(_gram_counts(docs, order), probabilities, weights, order)
+def _scored(docs: DataFrame, windows: DataFrame, weights: DataFrame, order: int, head: int) -> DataFrame:
+    """(doc_id, lang, _held, _train, n_words, chars, total) of each row: the sum of its windows' scores."""
     level = F.floor(F.log2("raw") * 16)
     upto, least = 0, None
     for r in windows.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect():  # at most 1,024 rows
         upto += r["n"]
-        if upto > HEAD_GRAMS:
+        if upto > head:
             break
         least = r["level"]
-    scores: dict[str, dict[str, float]] = {r[0]: {} for r in weights.where("ctx = ''").select("lang").collect()}  # a row per language
     in_head = F.lit(False) if least is None else level >= least
-    found = windows.where(in_head).select("lang", "gram", "score").toArrow()
-    for lang, gram, score in zip(*(found.column(c).to_pylist() for c in ("lang", "gram", "score")), strict=True):
-        scores[lang][gram] = score
-    sent = docs.sparkSession.sparkContext.broadcast(scores)
-    kind = dict(docs.dtypes)["doc_id"]
+    found = windows.where(in_head).select("lang", "h", "score").toArrow()  # ``head`` rows at most
+    langs, keys, scores = found.column("lang").combine_chunks(), found.column("h").to_numpy().view(np.uint64), found.column("score").to_numpy()
+    tables = {}
+    for lang in [r[0] for r in weights.where("ctx = ''").select("lang").collect()]:  # a row per language
+        own = np.flatnonzero(pc.equal(langs, lang).to_numpy(zero_copy_only=False)) if len(keys) else np.zeros(0, np.int64)
+        own = own[np.argsort(keys[own])]
+        tables[lang] = keys[own], scores[own]
+    sent = docs.sparkSession.sparkContext.broadcast(tables)
+    names = ["_row", "doc_id", "lang", "_held", "_train", "n", "chars", "total", "h"]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
-            x = _Windows.of(piece.column("text"), piece.column("lang"), order)
-            trained = np.array([lang in sent.value for lang in x.lang], bool)[x.which]
-            row, which = x.row[trained], x.which[trained]
-            score = np.array([sent.value[lang].get(gram, np.nan) if lang in sent.value else np.nan for lang, gram in zip(x.lang, x.grams, strict=True)], float)[which]
-            known = ~np.isnan(score)
-            rest, times = np.unique(row[~known] * len(x.grams) + which[~known], return_counts=True)
-            none = np.zeros(len(rest), np.int64)
-            at = pa.array(np.concatenate([np.arange(piece.num_rows), rest // max(len(x.grams), 1)]))
-            grams = [None] * piece.num_rows + [x.grams[k] for k in (rest % max(len(x.grams), 1)).tolist()]
-            n = np.concatenate([x.n_words, times])
-            chars = np.concatenate([np.bincount(row, minlength=piece.num_rows), none])
-            total = np.concatenate([np.bincount(row[known], score[known], piece.num_rows), none])
-            yield pa.RecordBatch.from_arrays(
-                [*(piece.column(c).take(at) for c in ("doc_id", "lang", "_t")), pa.array(grams, pa.string()), pa.array(n, pa.int64()), pa.array(chars, pa.int64()), pa.array(total, pa.float64())], names=["doc_id", "lang", "_t", "gram", "n", "chars", "total"]
-            )
-
-    rows = docs.select("doc_id", "lang", F.xxhash64("text").alias("_t"))
-    parts = written(docs.select("doc_id", "lang", F.xxhash64("text").alias("_t"), "text").mapInArrow(go, f"doc_id {kind}, lang string, _t long, gram string, n long, chars long, total double"), "kn-parts")
-    rare = parts.where("gram is not null").select("doc_id", "lang", "_t", F.coalesce("lang", F.lit("")).alias("_lang"), "gram", "n")
-    late = rare.join(windows.where(~in_head).select(F.col("lang").alias("_lang"), "gram", "score"), ["_lang", "gram"])
-    late = late.select("doc_id", "lang", "_t", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("chars"), (F.col("n") * F.col("score")).alias("total"), F.lit(0).alias("_rows"))
-    whole = parts.where("gram is null").select("doc_id", "lang", "_t", "n", "chars", "total", F.lit(1).alias("_rows"))
-    share = lambda c: F.sum(c) / F.sum("_rows")  # noqa: E731  rows that repeat count once
-    s = whole.unionByName(late).groupBy(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"), F.col("_t").alias("_u")).agg(share("n").cast("long").alias("n_words"), share("chars").cast("long").alias("chars"), share("total").alias("total"))
-    same = rows["doc_id"].eqNullSafe(s["_d"]) & rows["lang"].eqNullSafe(s["_l"]) & (rows["_t"] == s["_u"])
-    return rows.join(s, same).select("doc_id", "lang", "n_words", "chars", "total")
-
-
-def classify(docs: DataFrame, trusted_ids: DataFrame, order: int = ORDER, quantile: float = QUANTILE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+        known, row = {lang: _Table(*t) for lang, t in sent.value.items()}, TaskContext.get().partitionId() << 40
+        for piece in slices(batches, "text", _SLICE):
+            n_words = Words.of(piece.column("text")).counts
+            chars, total = np.zeros(piece.num_rows, np.int64), np.zeros(piece.num_rows)
+            late: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+            for lang, _, rows in _by_language(piece):
+                rows = rows[n_words[rows] > 0]
+                if lang not in known or not len(rows):
+                    continue
+                x = _Windows(piece.column("text").take(pa.array(rows)), order)
+                h = x.hashes(_salt(lang))
+                score = known[lang].find(h)
+                missing = np.flatnonzero(np.isnan(score) & x.valid)
+                score[~x.valid] = 0
+                score[missing] = 0
+                chars[rows] = np.diff(x.begin) - order + 1
+                total[rows] = np.add.reduceat(score, x.begin[:-1])
+                if len(missing):
+                    owner = np.searchsorted(x.begin, missing, "right") - 1
+                    sorted_ = np.lexsort((h[missing], owner))
+                    a, b = owner[sorted_], h[missing][sorted_]
+                    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+                    late.append((rows[a[first]], b[first], np.diff(np.append(first, len(a)))))
+            at, rest, times = (np.concatenate(c) for c in zip(*late, strict=True))
+            whole, none = np.arange(piece.num_rows), np.zeros(len(at), np.int64)
+            columns = [pa.array(row + np.concatenate([whole, at])), *(pa.concat_arrays([piece.column(c), pa.nulls(len(at), piece.column(c).type)]) for c in ("doc_id", "lang", "_held", "_train"))]
+            columns += [pa.array(np.concatenate([n_words, times]).astype(np.int64)), pa.array(np.concatenate([chars, none])), pa.array(np.concatenate([total, none.astype(float)]))]
+            columns += [pa.concat_arrays([pa.nulls(piece.num_rows, pa.int64()), pa.array(rest.view(np.int64))])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+            row += piece.num_rows
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    parts = docs.select("doc_id", "lang", "_lang", "_held", "_train", "text").mapInArrow(go, f"_row long, doc_id {kind}, lang string, _held boolean, _train boolean, n long, chars long, total double, h long")
+    parts = written(parts, "kn-parts")  # a row's number holds from here on
+    late = parts.where("h is not null").select("_row", "h", "n").join(windows.where(~in_head).select("h", "score"), "h")
+    late = written(late.groupBy("_row").agg(F.sum(F.col("n") * F.col("score")).alias("_late")), "kn-late")
+    whole = parts.where("h is null").join(late, "_row", "left")
+    return whole.select("doc_id", "lang", "_held", "_train", F.col("n").alias("n_words"), "chars", (F.col("total") + F.coalesce("_late", F.lit(0.0))).alias("total"))
+
+
+def _flagged(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
+    """(doc_id, lang, _lang, _held, _train, text): the trusted rows are held out or train."""
+    ids = trusted_ids.select("doc_id").where("doc_id is not null").distinct().withColumn("_trusted", F.lit(True))
+    volume = ids.agg(F.coalesce(F.sum(F.octet_length(F.col("doc_id").cast("string")) + 16), F.lit(0))).first()[0]
+    docs = docs.select("doc_id", "lang", "text").join(F.broadcast(ids) if volume <= BROADCAST_BYTES else ids, "doc_id", "left")
+    trusted, first = F.coalesce("_trusted", F.lit(False)), F.pmod(F.xxhash64("text"), F.lit(FOLDS)) == 0
+    return docs.select("doc_id", "lang", _language().alias("_lang"), (trusted & first).alias("_held"), (trusted & ~first).alias("_train"), "text")
+
+
+def classify(docs: DataFrame, trusted_ids: DataFrame, order: int = ORDER, quantile: float = QUANTILE, head: int = HEAD) -> DataFrame:
     """(doc_id, lang, n_words, perplexity, threshold, kept) of each row; ``trusted_ids`` has the doc_id of trusted documents."""
-    ids = trusted_ids.select("doc_id").where("doc_id is not null").distinct()
-    small = ids.count() <= BROADCAST_IDS
-    trusted = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    probabilities, weights = train(trusted, order)
-    if probabilities.count() + weights.count() <= broadcast_rows:
-        scored = written(_scored_here(docs, probabilities, weights, order), "kn-scores")
-    else:
-        scored = written(_scored_by_joins(docs, probabilities, weights, order), "kn-scores")
-    scored = scored.withColumn("_log", F.when(F.col("chars") > 0, -F.col("total") / F.col("chars")))
-    steps = scored.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi").where("_log is not null").groupBy("lang", F.ceil(F.col("_log") * 1000).alias("_step")).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("lang").orderBy("_step")) / F.sum("n").over(Window.partitionBy("lang"))
-    limits = steps.withColumn("_upto", upto).where(F.col("_upto") >= quantile).groupBy(F.col("lang").alias("_lang")).agg((F.min("_step") / 1000).alias("_limit"))
-    joined = scored.join(F.broadcast(limits), scored["lang"].eqNullSafe(limits["_lang"]), "left")  # a row per language
+    flagged = _flagged(docs, trusted_ids)
+    grams = written(_gram_counts(flagged, order), "kn-grams")
+    probabilities, weights = train(grams.where("trusted > 0").select("lang", "gram", F.col("trusted").alias("raw")), order)
+    windows = _window_scores(grams.select("lang", "gram", "h", "raw"), probabilities, weights, order)
+    scored = written(_scored(flagged, windows, weights, order, head).withColumn("_log", F.when(F.col("chars") > 0, -F.col("total") / F.col("chars"))), "kn-scores")
+    steps = scored.where("(_held or _train) and _log is not null").groupBy("lang", "_held", F.ceil(F.col("_log") * 1000).alias("_step")).agg(F.count("*").alias("n"))
+    group = Window.partitionBy("lang", "_held")  # a row per step: few thousand
+    upto = F.sum("n").over(group.orderBy("_step")) / F.sum("n").over(group)
+    limits = steps.withColumn("_upto", upto).where(F.col("_upto") >= quantile).groupBy(F.col("lang").alias("_l"), "_held").agg((F.min("_step") / 1000).alias("_limit"))
+    limits = limits.groupBy("_l").agg(F.coalesce(F.max(F.when(F.col("_held"), F.col("_limit"))), F.max("_limit")).alias("_limit"))
+    joined = scored.join(F.broadcast(limits), scored["lang"].eqNullSafe(limits["_l"]), "left")  # a row per language
     kept = (F.col("n_words") > 0) & F.coalesce(F.col("_log") <= F.col("_limit"), F.lit(True))
     return joined.select("doc_id", "lang", "n_words", F.exp("_log").alias("perplexity"), F.exp("_limit").alias("threshold"), kept.alias("kept"))
 

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,56 +97,85 @@ def test_decontamination(spark, docs, nothing):
     assert decontaminate.decontaminate(nothing, bench).count() == 0 and decontaminate.decontaminate(docs, bench.limit(0)).count() == docs.count()
 
 
-def test_perplexity(spark, docs, nothing):
-    trusted = spark.createDataFrame([(d,) for d in range(0, 40)], "doc_id long")
-    a, b = (sorted(perplexity.classify(docs.select("doc_id", "lang", "text"), trusted, broadcast_rows=n).collect(), key=str) for n in (10**6, 0))
-    assert [r.kept for r in a] == [r.kept for r in b]
-    assert [r.perplexity for r in a if r.perplexity] == pytest.approx([r.perplexity for r in b if r.perplexity])
-    by = {r.doc_id: r for r in a}
-    assert len(a) == docs.count() and by[200].perplexity is None and not by[201].kept
-    assert by[203].perplexity > by[1].perplexity
-    p, w = perplexity.train(docs.where("doc_id < 60"))
-    grams = {r.gram: r.logp for r in p.where("lang = 'en'").collect()}
-    bows = {r.ctx: r.logbow for r in w.where("lang = 'en'").collect()}
-
-    def score(gram):
-        total = 0.0
-        while gram and gram not in grams:
-            total, gram = total + bows.get(gram[:-1], 0.0), gram[1:]
-        return np.exp(total + (grams[gram] if gram else 0.0))
-
-    chars = [g for g in grams if len(g) == 1]
-    for ctx in ("\x02\x02\x02\x02", "\x02\x02\x02w", "zzzz"):
-        assert sum(score(ctx + c) for c in [*chars, "?"]) == pytest.approx(1.0)
-    assert perplexity.classify(nothing, trusted).count() == 0
-
-
-def test_perplexity_over_word_boundaries(spark, docs, monkeypatch):
-    """Word order and repetition count, and windows in and outside the head give the same scores as the model's own back-off."""
+def kneser_ney(texts, order):
+    """An independent modified Kneser-Ney model: a function from (context, character) to its interpolated probability."""
+    count = [collections.Counter() for _ in range(order + 1)]
+    for t in texts:
+        padded = "\x02" * (order - 1) + t + "\x03"
+        count[order].update(padded[i : i + order] for i in range(len(padded) - order + 1))
+    raw = dict(count[order])
+    for k in range(order - 1, 0, -1):
+        raw = {g: sum(n for h, n in count[order].items() if h[-k:] == g) for g in {h[-k:] for h in count[order]}}
+        before = collections.Counter(h[1:] for h in count[k + 1])
+        count[k] = collections.Counter({g: raw[g] if g[0] == "\x02" else before[g] for g in raw})
+    discounts = [None]
+    for k in range(1, order + 1):
+        t = [sum(1 for n in count[k].values() if n == j) for j in range(5)]
+        y = t[1] / (t[1] + 2 * t[2]) if t[1] + 2 * t[2] else 0.5
+        discounts.append([0, *(max(min(j - (j + 1) * y * (t[j + 1] / t[j] if t[j] else 0), j - 0.05), 0.05) for j in (1, 2, 3))])
+
+    def p(context, char):
+        k = len(context) + 1
+        under = p(context[1:], char) if k > 1 else 1 / (len(count[1]) + 1)
+        followers = {g: n for g, n in count[k].items() if g[:-1] == context}
+        if not followers:
+            return under
+        total, n = sum(followers.values()), followers.get(context + char, 0)
+        mass = sum(discounts[k][min(c, 3)] for c in followers.values())
+        return (max(n - discounts[k][min(n, 3)], 0) + mass * under) / total
+
+    return p
+
+
+def test_perplexity(spark):
+    """Every document's perplexity equals that of an independent model, inside and outside the head; word order and repetition count."""
     random.seed(8)
-    clean = [" ".join(random.choice(["the red fox", "an old cat", "one big dog"]) for _ in range(30)) + "." for _ in range(30)]
+    clean = [" ".join(random.choice(["the red fox", "an old cat", "one big dog"]) for _ in range(12)) + "." for _ in range(30)]
     words = clean[0].split()
     random.shuffle(words)
-    texts = [*clean, " ".join(words), "fox " * 200, "é\nfox\u4e2d cat the", None, " \n"]
-    df = spark.createDataFrame([(d, t, "en") for d, t in enumerate(texts)], "doc_id long, text string, lang string")
-    trusted = df.where("doc_id < 30").select("doc_id")
-    p, w = perplexity.train(df.where("doc_id < 30"))
-    p, w = {r.gram: r.logp for r in p.collect()}, {r.ctx: r.logbow for r in w.collect()}
-
-    def score(gram):
-        total = 0.0
-        while gram and gram not in p:
-            total, gram = total + w.get(gram[:-1], 0.0), gram[1:]
-        return total + (p[gram] if gram else 0.0)
-
-    padded = ["\x02" * 4 + t + "\x03" for t in texts[:33]]
-    said = {d: np.exp(-sum(score(t[i : i + 5]) for i in range(len(t) - 4)) / (len(t) - 4)) for d, t in enumerate(padded)}
-    for rows, head in ((10**6, 0), (0, 10**6), (0, 40), (0, 0)):
-        monkeypatch.setattr(perplexity, "HEAD_GRAMS", head, raising=False)
-        by = {r.doc_id: r for r in perplexity.classify(df, trusted, broadcast_rows=rows).collect()}
-        assert {d: by[d].perplexity for d in said} == pytest.approx(said)
-        assert [by[d].perplexity for d in (33, 34)] == [None, None] and not by[33].kept and not by[34].kept
-        assert by[0].kept and not by[30].kept and not by[31].kept
+    texts = [*clean, " ".join(words), "fox " * 60, "é\nfox中 cat the", None, " \n", "Der Hund", "zz zz", clean[1], clean[1]]
+    langs = ["en"] * 35 + ["de", None, "en", "en"]
+    df = spark.createDataFrame([(d, t, lang, 7) for d, (t, lang) in enumerate(zip(texts, langs, strict=True))], "doc_id long, text string, lang string, n_words int").repartition(3)
+    df = df.unionByName(df.where("doc_id = 30"))
+    trusted = spark.createDataFrame([(d,) for d in [*range(30), 36, 99]] + [(None,), (3,)], "doc_id long")
+    held = {r.doc_id for r in df.where((F.pmod(F.xxhash64("text"), F.lit(perplexity.FOLDS)) == 0) & F.col("doc_id").isin([*range(30), 36])).collect()}
+    assert held - {36} and len(held) < 20
+    p = kneser_ney([texts[d] for d in range(30) if d not in held], 5)
+    said = {}
+    for d, t in enumerate(texts):
+        if t and t.strip() and langs[d] == "en":
+            padded = "\x02" * 4 + t + "\x03"
+            said[d] = np.exp(-np.mean([np.log(p(padded[i : i + 4], padded[i + 4])) for i in range(len(t) + 1)]))
+    for head in (perplexity.HEAD, 40, 0):
+        got = perplexity.classify(df, trusted, head=head).collect()
+        assert len(got) == len(texts) + 1
+        by = {r.doc_id: r for r in got}
+        assert {d: by[d].perplexity for d in said} == pytest.approx(said, rel=1e-9)
+        assert all(by[d].perplexity is None for d in (33, 34, 35)) and not by[33].kept and not by[34].kept and by[35].kept
+        limit = by[0].threshold
+        assert limit == pytest.approx(max(np.ceil(np.log(said[d]) * 1000) / 1000 for d in held - {36}) and np.exp(max(np.ceil(np.log(said[d]) * 1000) / 1000 for d in held - {36})))
+        assert all(by[d].kept == (said[d] <= limit) for d in said) and by[0].kept and not by[31].kept and not by[32].kept
+    assert said[30] > said[0]
+
+
+def test_perplexity_edge_cases(spark, docs, nothing):
+    trusted = spark.createDataFrame([(d,) for d in range(40)], "doc_id long")
+    got = perplexity.classify(docs, trusted).collect()
+    assert len(got) == docs.count() and all(r.perplexity is None for r in got if r.doc_id in (200, 201, 202))
+    assert perplexity.classify(nothing, trusted).count() == 0
+    untrained = perplexity.classify(docs, trusted.limit(0)).collect()
+    assert all(r.perplexity is None and r.kept == bool(r.n_words) for r in untrained) and len(untrained) == len(got)
+    long = docs.where("doc_id = 1").withColumn("text", F.repeat(F.concat("text", F.lit("中 ")), 2000)).withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert perplexity.classify(long, trusted).first().n_words > 200_000
+
+
+def test_windows_of_many_characters():
+    """Windows over an alphabet too large to be packed in one number are counted as well."""
+    random.seed(3)
+    texts = ["".join(chr(random.randrange(0x4E00, 0x9000)) for _ in range(9000)) * 2, "ab", "abab"]
+    grams, times = perplexity._Windows(pa.array(texts), 5).counted()
+    got = {"".join(map(chr, g)): n for g, n in zip(grams.tolist(), times.tolist(), strict=True)}
+    assert got == collections.Counter(("\x02" * 4 + t + "\x03")[i : i + 5] for t in texts for i in range(len(t) + 1))
 
 
 def brute_repeats(rows, size=35):
