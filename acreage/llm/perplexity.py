@@ -46,7 +46,7 @@ FOLDS = 5
 HEAD = 1 << 20
 #: Ids of trusted documents are broadcast up to this many bytes, and joined by shuffle beyond.
 BROADCAST_BYTES = 64 << 20
-_SLICE = 4 << 20
+_SLICE = 2 << 20
 _MERGED = 1 << 20
 _CHUNK = 1 << 16
 _BEGIN, _END = "\x02", "\x03"
@@ -135,25 +135,39 @@ def _gram_counts(docs: DataFrame, order: int) -> DataFrame:
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[tuple[np.ndarray, ...]]] = {}
 
-        def merged(lang: str) -> pa.RecordBatch:
-            grams, h, raw, trusted = (np.concatenate(x) for x in zip(*waiting.pop(lang), strict=True))
+        def merge(lang: str) -> int:
+            grams, h, raw, trusted = (np.concatenate(x) for x in zip(*waiting[lang], strict=True))
             order_ = np.argsort(h)
             first = np.flatnonzero(np.concatenate([np.ones(min(len(h), 1), bool), h[order_[1:]] != h[order_[:-1]]]))
             one = order_[first]
-            whole = grams[one].astype("<u4").tobytes().decode("utf-32-le")
-            columns = [[lang] * len(one), [whole[k : k + order] for k in range(0, len(whole), order)], h[one].view(np.int64)]
-            columns += [np.add.reduceat(x[order_], first) if len(h) else x for x in (raw, trusted)]
-            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, text, strict=True)], names=[n for n, _ in text])
-
+            waiting[lang] = [(grams[one], h[one], *(np.add.reduceat(x[order_], first) if len(h) else x for x in (raw, trusted)))]
+            return len(one)
+
+        def emptied() -> Iterator[pa.RecordBatch]:
+            for lang, [(grams, h, raw, trusted)] in waiting.items():
+                for a in range(0, len(h), _CHUNK):
+                    own = slice(a, a + _CHUNK)
+                    whole = grams[own].astype("<u4").tobytes().decode("utf-32-le")
+                    said = [whole[k : k + order] for k in range(0, len(whole), order)]
+                    columns = [[lang] * len(said), said, h[own].view(np.int64), raw[own], trusted[own]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, text, strict=True)], names=[n for n, _ in text])
+            waiting.clear()
+
+        held = 0
         for piece in slices(batches, "text", _SLICE):
             for lang, trusted, rows in _by_language(piece, "_train"):
                 grams, times = _Windows(piece.column("text").take(pa.array(rows)), order).counted()
                 h = _hashed([grams[:, k].astype(np.uint64) for k in range(order)], _salt(lang))
                 waiting.setdefault(lang, []).append((grams, h, times, times if trusted else np.zeros_like(times)))
-                if sum(len(x[1]) for x in waiting[lang]) > _MERGED:
-                    yield merged(lang)
-        for lang in list(waiting):
-            yield merged(lang)
+                held += len(h)
+            if held > _MERGED:
+                held = sum(merge(lang) for lang in waiting)
+                if held > _MERGED // 2:
+                    yield from emptied()
+                    held = 0
+        for lang in waiting:
+            merge(lang)
+        yield from emptied()
 
     worded = docs.where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     grams = worded.select("_lang", "_train", "text").mapInArrow(go, "lang string, gram string, h long, raw long, trusted long")
@@ -255,7 +269,7 @@ def _scored(docs: DataFrame, windows: DataFrame, weights: DataFrame, order: int,
         own = own[np.argsort(keys[own])]
         tables[lang] = keys[own], scores[own]
     sent = docs.sparkSession.sparkContext.broadcast(tables)
-    names = ["_row", "doc_id", "lang", "_held", "_train", "n", "chars", "total", "h"]
+    names = ["_row", "doc_id", "lang", "_held", "_train", "n_words", "chars", "total", "late"]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, row = {lang: _Table(*t) for lang, t in sent.value.items()}, TaskContext.get().partitionId() << 40
@@ -282,20 +296,19 @@ def _scored(docs: DataFrame, windows: DataFrame, weights: DataFrame, order: int,
                     first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
                     late.append((rows[a[first]], b[first], np.diff(np.append(first, len(a)))))
             at, rest, times = (np.concatenate(c) for c in zip(*late, strict=True))
-            whole, none = np.arange(piece.num_rows), np.zeros(len(at), np.int64)
-            columns = [pa.array(row + np.concatenate([whole, at])), *(pa.concat_arrays([piece.column(c), pa.nulls(len(at), piece.column(c).type)]) for c in ("doc_id", "lang", "_held", "_train"))]
-            columns += [pa.array(np.concatenate([n_words, times]).astype(np.int64)), pa.array(np.concatenate([chars, none])), pa.array(np.concatenate([total, none.astype(float)]))]
-            columns += [pa.concat_arrays([pa.nulls(piece.num_rows, pa.int64()), pa.array(rest.view(np.int64))])]
+            sorted_ = np.argsort(at, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=piece.num_rows))]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(rest[sorted_].view(np.int64)), pa.array(times[sorted_])], ["h", "n"]))
+            columns = [pa.array(row + np.arange(piece.num_rows)), *(piece.column(c) for c in ("doc_id", "lang", "_held", "_train")), pa.array(n_words.astype(np.int64)), pa.array(chars), pa.array(total), lists]
             yield pa.RecordBatch.from_arrays(columns, names=names)
             row += piece.num_rows
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = docs.select("doc_id", "lang", "_lang", "_held", "_train", "text").mapInArrow(go, f"_row long, doc_id {kind}, lang string, _held boolean, _train boolean, n long, chars long, total double, h long")
-    parts = written(parts, "kn-parts")  # a row's number holds from here on
-    late = parts.where("h is not null").select("_row", "h", "n").join(windows.where(~in_head).select("h", "score"), "h")
+    schema = f"_row long, doc_id {kind}, lang string, _held boolean, _train boolean, n_words long, chars long, total double, late array<struct<h: long, n: long>>"
+    parts = written(docs.select("doc_id", "lang", "_lang", "_held", "_train", "text").mapInArrow(go, schema), "kn-parts")  # a row's number holds from here on
+    late = parts.select("_row", F.inline("late")).join(windows.where(~in_head).select("h", "score"), "h")
     late = written(late.groupBy("_row").agg(F.sum(F.col("n") * F.col("score")).alias("_late")), "kn-late")
-    whole = parts.where("h is null").join(late, "_row", "left")
-    return whole.select("doc_id", "lang", "_held", "_train", F.col("n").alias("n_words"), "chars", (F.col("total") + F.coalesce("_late", F.lit(0.0))).alias("total"))
+    return parts.join(late, "_row", "left").select("doc_id", "lang", "_held", "_train", "n_words", "chars", (F.col("total") + F.coalesce("_late", F.lit(0.0))).alias("total"))
 
 
 def _flagged(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
