@@ -76,35 +76,57 @@ class FmIndex:
         return base + moved[: len(symbol)], base + moved[len(symbol) :]
 
 
-def repeated_windows(index: FmIndex, streamed: list[np.ndarray], size: int, least: int = 2) -> list[np.ndarray]:
-    """For each streamed sequence the starts of its windows of ``size`` symbols that the index holds ``least`` times.
-
-    All sequences are searched in step. A window is matched backward from its
-    end. If the part from j on is too rare, so is every window that contains
-    it, and the search goes on with the window that begins after j.
+def matching_intervals(index: FmIndex, streamed: list[np.ndarray], size: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sequence, begin, end) of the maximal runs of at least ``size`` symbols of each streamed sequence that the index holds ``least`` times.
+
+    These are the matching statistics that reach ``size``. All sequences are
+    searched in step. A run is matched backward from its end until the part from
+    j on is too rare; the match without j is as long as it can be for its end.
+    Then the shortest rare part that begins at j is looked for by searches of
+    growing and halved lengths: the next run ends just before that part's last
+    symbol. A sequence is left when too few symbols remain.
     """
     lengths = np.array([len(s) for s in streamed], np.int64)
     text = index.encode(np.concatenate([*streamed, np.zeros(0, np.int64)]))
     base = np.cumsum(lengths) - lengths
-    start = np.zeros(len(streamed), np.int64)
-    lane = np.flatnonzero(lengths >= size)
-    at = start + size
-    low, high = np.zeros(len(streamed), np.int64), np.full(len(streamed), index.size)
-    found_lane, found_start = [], []
+    least = np.asarray(least, np.int64)
+    end, at, floor = lengths.copy(), lengths.copy(), np.zeros(len(lengths), np.int64)
+    held, rare_length, probed = (np.zeros(len(lengths), np.int64) for _ in range(3))  # of parts that begin at ``floor``
+    probing = np.zeros(len(lengths), bool)
+    low, high = np.zeros(len(lengths), np.int64), np.full(len(lengths), index.size)
+    lane, found = np.flatnonzero(lengths >= size), []
     while len(lane):
         at[lane] -= 1
         low[lane], high[lane] = index.extend(text[base[lane] + at[lane]], low[lane], high[lane])
-        rare = high[lane] - low[lane] < least
-        whole = ~rare & (at[lane] == start[lane])
-        found_lane.append(lane[whole])
-        found_start.append(start[lane[whole]])
-        done = rare | whole
-        again = lane[done]
-        start[again] = at[again] + 1
-        at[again] = start[again] + size
-        low[again], high[again] = 0, index.size
-        lane = lane[start[lane] + size <= lengths[lane]]
-    lanes, starts = np.concatenate([*found_lane, np.zeros(0, np.int64)]), np.concatenate([*found_start, np.zeros(0, np.int64)])
-    order = np.lexsort((starts, lanes))
-    ends = np.searchsorted(lanes[order], np.arange(len(streamed) + 1))
-    return [starts[order][a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        rare = high[lane] - low[lane] < least[lane]
+        halted = rare | (at[lane] == floor[lane])
+        probe = probing[lane]
+
+        of, cut = lane[halted & ~probe], rare[halted & ~probe]
+        begin = at[of] + cut
+        long = end[of] - begin >= size
+        found.append((of[long], begin[long], end[of[long]]))
+        over = of[~cut]  # matched to the sequence's beginning
+        of = of[cut]
+        floor[of], held[of], rare_length[of] = at[of], 0, end[of] - at[of]
+
+        shown, cut = lane[halted & probe], rare[halted & probe]
+        rare_length[shown[cut]] = probed[shown[cut]]
+        held[shown[~cut]] = probed[shown[~cut]]
+
+        of = np.concatenate([of, shown])
+        few = floor[of] + rare_length[of] - 1 < size
+        over, of = np.concatenate([over, of[few]]), of[~few]
+        low[of], high[of] = 0, index.size
+        sure = rare_length[of] - held[of] == 1
+        again, more = of[sure], of[~sure]
+        end[again] = at[again] = floor[again] + held[again]
+        floor[again], probing[again] = 0, False
+        over = np.concatenate([over, again[end[again] < size]])
+        probed[more] = held[more] + np.maximum(1, np.minimum(held[more], (rare_length[more] - held[more]) // 2))
+        at[more], probing[more] = floor[more] + probed[more], True
+        if len(over):
+            lane = np.setdiff1d(lane, over, assume_unique=True)
+    which, begin, end = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+    order = np.lexsort((begin, which))
+    return which[order], begin[order], end[order]

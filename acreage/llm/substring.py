@@ -2,22 +2,27 @@
 
 Every window of ``size`` words is led by its minimizer, the least hash among
 its runs of ``anchor`` words; consecutive windows with the same one form a
-region. Equal windows have equal minimizers, so
+region. Equal windows have equal minimizers, so a region whose minimizer occurs
+nowhere else has no repeated window. The distinct regions of the others are dealt
+by minimizer to shards. Each shard builds an FM-index of its regions and streams
+all of them through it; backward search gives their matching statistics, and the
+maximal runs of ``size`` words or more that occur elsewhere too are reported. A
+region that occurs in several places is indexed once, so one match of it is enough.
 
-* a region whose minimizer occurs nowhere else has no repeated window;
-* a region that occurs twice or more, whole, is repeated;
-* other regions are dealt by their minimizer to shards. Each shard builds an
-  FM-index of its distinct regions and streams those that occur once
-  through it; backward search gives their windows that occur elsewhere too.
+A minimizer with more than ``shard_words`` words of distinct regions isn't given to
+one shard: its regions are cut into their windows, and the distinct windows are
+dealt to further shards by their own hash, where they are indexed and searched
+in the same way.
 
-A minimizer with more than ``shard_words`` words of distinct regions isn't
-given to one shard: its windows are counted by hash over all tasks instead,
-which is exact as well. Words are compared by 64-bit hashes.
+Words are compared by 64-bit hashes, and so are regions and windows. Texts are
+shuffled twice, to where their regions are asked for and to their spans.
 
 Defined results: a null, empty or short text loses nothing and keeps its
-words joined by one space; windows are judged on the input; repeated rows are
-documents of their own and repeat each other; a null doc_id is a document;
-other columns are carried by ``remove_repeats``.
+words joined by one space; texts of any length are taken whole; windows are judged
+on the input; repeated rows are documents of their own and repeat each other; a
+null doc_id is a document; doc_ids of any type; an empty table gives no rows. Other
+columns, of any name, are carried by ``remove_repeats``, but for ``n_words``
+and ``n_removed``, which it replaces.
 """
 
 from __future__ import annotations
@@ -32,14 +37,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acreage.llm.fm_index import FmIndex, repeated_windows
-from acreage.llm.scratch import written
+from acreage.llm.fm_index import FmIndex, matching_intervals
+from acreage.llm.scratch import released, written
 from acreage.llm.words import Words, covered, mix64, multipliers, slices, window_hashes, windows_in_rows
 
 SIZE = 35
 ANCHOR = 8
 SHARD_WORDS = 100_000
-BROADCAST_ROWS = 500_000
 _CHUNK = 1 << 14
 
 
@@ -88,100 +92,100 @@ def _all_regions(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     return _keyed(docs).select("doc_id", "_t", "text").mapInArrow(go, f"doc_id {kind}, _t long, least long, content long, start int, n int")
 
 
-def _with_lists(docs: DataFrame, lists: DataFrame, few: bool, how: str) -> DataFrame:
+def _with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     """The rows joined with a list of structs by (doc_id, _t)."""
-    keyed = _keyed(docs)
     lists = lists.withColumnsRenamed({"doc_id": "_d", "_t": "_u"})
-    same = keyed["doc_id"].eqNullSafe(lists["_d"]) & (keyed["_t"] == lists["_u"])
-    return keyed.join(F.broadcast(lists) if few else lists, same, how).drop("_d", "_u")
+    same = docs["doc_id"].eqNullSafe(lists["_d"]) & (docs["_t"] == lists["_u"])
+    return docs.join(lists, same, how).drop("_d", "_u")
 
 
-def _contents(docs: DataFrame, regions: DataFrame, few: bool) -> DataFrame:
-    """The regions with ``words``: the hashes of their words."""
-    rest = [c for c in regions.columns if c not in ("doc_id", "_t")]
-    lists = regions.groupBy("doc_id", "_t").agg(F.collect_list(F.struct(*rest)).alias("_list"))  # regions of one document
+def _parts(w: Words, first: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The texts of runs of n words."""
+    begin, end = w.starts[first], w.ends[first + n - 1]
+    ends = np.concatenate([[0], np.cumsum(end - begin)])
+    inside = np.arange(ends[-1]) - np.repeat(ends[:-1] - begin, end - begin)
+    return pa.LargeStringArray.from_buffers(len(n), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(w.raw[inside])))
+
+
+def _contents(docs: DataFrame, regions: DataFrame) -> DataFrame:
+    """The regions with ``text``, that of their words."""
+    rest = [c for c in regions.columns if c not in ("doc_id", "_t", "start")]
+    lists = regions.groupBy("doc_id", "_t").agg(F.collect_list(F.struct("start", *rest)).alias("_list"))  # regions of one document
     kinds = dict(regions.dtypes)
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text", 1 << 20):
             w = Words.of(piece.column("text"))
-            hashes = w.hashes().view(np.int64)
             owner = np.repeat(np.arange(piece.num_rows), pa.compute.list_value_length(piece.column("_list")).to_numpy())
             flat = piece.column("_list").flatten()
-            columns = {c: flat.field(k) for k, c in enumerate(rest)}
-            begin = w.at[owner] + columns["start"].to_numpy()
-            n = columns["n"].to_numpy().astype(np.int64)
-            ends = np.concatenate([[0], np.cumsum(n)])
-            inside = np.arange(int(n.sum())) - np.repeat(ends[:-1], n)
-            words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes[np.repeat(begin, n) + inside]))
-            at = pa.array(owner)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id").take(at), piece.column("_t").take(at), *columns.values(), words], names=["doc_id", "_t", *rest, "words"])
+            columns = {c: flat.field(k) for k, c in enumerate(["start", *rest])}
+            texts = _parts(w, w.at[owner] + columns.pop("start").to_numpy(), columns["n"].to_numpy().astype(np.int64))
+            yield pa.RecordBatch.from_arrays([*columns.values(), texts.cast(pa.string())], names=[*columns, "text"])
 
-    schema = ", ".join(f"{c} {kinds[c]}" for c in ("doc_id", "_t", *rest))
-    return _with_lists(docs.select("doc_id", "text"), lists, few, "inner").mapInArrow(go, f"{schema}, words array<long>")
+    schema = ", ".join(f"{c} {kinds[c]}" for c in rest)
+    lists = written(lists, "substring-asked")
+    return _with_lists(_keyed(docs), lists, "inner").drop("doc_id", "_t").mapInArrow(go, f"{schema}, text string")
 
 
-def _search(regions: DataFrame, size: int) -> DataFrame:
-    """(doc_id, _t, begin, end) of repeated windows of the regions that occur once, by one FM-index per shard."""
-    kind = dict(regions.dtypes)["doc_id"]
+def _windows(contents: DataFrame, size: int) -> DataFrame:
+    """(content, times, window, begin, text) of each window of the regions; ``window`` is its hash."""
 
-    def go(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = [np.asarray(x, np.int64) for x in pdf["words"]]
-        once = np.flatnonzero(pdf["times"].to_numpy() == 1)
-        found = repeated_windows(FmIndex(words, 2 * size), [words[i] for i in once], size)
-        n = np.array([len(x) for x in found], np.int64)
-        rows = pdf.iloc[np.repeat(once, n)]
-        begin = rows["start"].to_numpy() + np.concatenate([*found, np.zeros(0, np.int64)])
-        return pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "_t": rows["_t"].to_numpy(), "begin": begin, "end": begin + size})
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, "text", 1 << 18):
+            w = Words.of(piece.column("text"))
+            starts = windows_in_rows(w.at, size)
+            row = np.searchsorted(w.at, starts, "right") - 1
+            texts = _parts(w, starts, np.full(len(starts), size))
+            window = _hash_at(w.hashes(), starts, size).view(np.int64) if len(starts) else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([*(piece.column(c).take(pa.array(row)) for c in ("content", "times")), pa.array(window), pa.array(starts - w.at[row]), texts.cast(pa.string())], names=["content", "times", "window", "begin", "text"])
 
-    # least distinct keys: a shard is a hash range of minimizers
-    return regions.groupBy("shard").applyInPandas(go, f"doc_id {kind}, _t long, begin long, end long")
+    return contents.select("content", "times", "text").mapInArrow(go, "content long, times long, window long, begin long, text string")
 
 
-def _count_windows(regions: DataFrame, size: int) -> DataFrame:
-    """The same for regions of any minimizer, by counting window hashes over all tasks."""
-    kind = dict(regions.dtypes)["doc_id"]
+def _search(sequences: DataFrame, size: int) -> DataFrame:
+    """(key, cut, begin, end) of the runs of words of (shard, key, cut, times, text) that occur elsewhere too, by one FM-index per shard."""
 
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat = batch.column("words").flatten().to_numpy().view(np.uint64)
-            at = np.concatenate([[0], np.cumsum(batch.column("n").to_numpy().astype(np.int64))])
-            starts = windows_in_rows(at, size)
-            row = np.searchsorted(at, starts, "right") - 1
-            rows = pa.array(row)
-            begin = starts - at[row] + batch.column("start").to_numpy()[row]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in ("doc_id", "_t", "times")), pa.array(_hash_at(flat, starts, size).view(np.int64)), pa.array(begin.astype(np.int64))], names=["doc_id", "_t", "times", "window", "begin"])
+    def go(pdf: pd.DataFrame) -> pd.DataFrame:
+        w = Words.of(pa.array(pdf["text"], pa.large_string()))
+        words = np.split(w.hashes().view(np.int64), w.at[1:-1])
+        which, begin, end = matching_intervals(FmIndex(words, 2 * size), words, size, np.where(pdf["times"] > 1, 1, 2))
+        return pd.DataFrame({"key": pdf["key"].to_numpy()[which], "cut": pdf["cut"].to_numpy()[which], "begin": begin, "end": end})
 
-    windows = regions.select("doc_id", "_t", "times", "start", "n", "words").mapInArrow(go, f"doc_id {kind}, _t long, times long, window long, begin long")
-    windows = written(windows, "substring-windows")
-    often = windows.groupBy("window").agg(F.sum("times").alias("_n")).where("_n > 1").select("window")
-    return windows.where("times = 1").join(often, "window").select("doc_id", "_t", "begin", (F.col("begin") + size).alias("end"))
+    # least distinct keys: a shard is a hash range of minimizers or windows
+    return sequences.groupBy("shard").applyInPandas(go, "key long, cut boolean, begin long, end long")
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(doc_id, _t, begin, end): word spans whose windows of ``size`` words all occur more than once; _t is the text's hash."""
+    """(doc_id, _t, begin, end): spans of ``size`` words or more whose windows all occur more than once; _t is the text's hash."""
+    docs = docs.select("doc_id", "text")
     regions = written(_all_regions(docs, size, anchor), "substring-regions")
-    minimizers = regions.groupBy("least").agg(F.count("*").alias("_n"), (F.min("content") != F.max("content")).alias("mixed")).where("_n > 1").drop("_n")
-    met = written(regions.join(minimizers, "least"), "substring-met")
+    shared = written(regions.groupBy("least").agg(F.count("*").alias("_n")).where("_n > 1").select("least"), "substring-minimizers")
+    met = written(regions.join(shared, "least"), "substring-met")
+    released(regions, shared)
     # a content hash also tells the minimizer; equal regions are counted in each task first
-    whole = met.groupBy("content").agg(F.count("*").alias("times")).where("times > 1").select("content")
-    direct = met.join(whole, "content").select("doc_id", "_t", F.col("start").cast("long").alias("begin"), (F.col("start") + F.col("n")).cast("long").alias("end"))
-    first = F.struct("doc_id", "_t", "start", "n")
-    distinct = met.where("mixed").groupBy("least", "content").agg(F.count("*").alias("times"), F.min(first).alias("_first"))
+    distinct = met.groupBy("least", "content").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "_t", "start", "n")).alias("_first"))
     distinct = written(distinct.select("least", "content", "times", "_first.*"), "substring-distinct")
-    n_regions, n_words = distinct.agg(F.count("*"), F.sum("n")).first()
-    if not n_regions:
-        return direct
-    shards = max(1, -(-n_words // shard_words))
-    hot = distinct.groupBy("least").agg(F.sum("n").alias("_n")).where(F.col("_n") > shard_words).select("least", F.lit(True).alias("hot"))
-    distinct = distinct.join(hot, "least", "left").withColumn("shard", F.pmod(F.xxhash64("least"), F.lit(shards)))
-    contents = written(_contents(docs, distinct, n_regions <= BROADCAST_ROWS), "substring-contents")
-    return direct.unionByName(_search(contents.where("hot is null"), size)).unionByName(_count_windows(contents.where("hot"), size))
-
-
-def _apply(docs: DataFrame, spans: DataFrame, names: list[str], schema: T.StructType | str, out: Callable) -> DataFrame:
-    spans = written(spans.distinct(), "substring-spans")
-    lists = spans.groupBy("doc_id", "_t").agg(F.collect_list(F.struct("begin", "end")).alias("_spans"))  # spans of one document
+    hot = distinct.groupBy("least").agg(F.sum("n").alias("_n")).where(F.col("_n") > shard_words).select("least", F.lit(True).alias("cut"))
+    asked = distinct.join(written(hot, "substring-hot"), "least", "left").withColumn("cut", F.coalesce("cut", F.lit(False)))
+    contents = written(_contents(docs, asked), "substring-contents")
+    windows = written(_windows(contents.where("cut"), size), "substring-windows")
+    n_words, n_windows = contents.where("not cut").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], windows.count()
+    shards, more = max(1, -(-n_words // shard_words)), max(1, -(-n_windows * size // shard_words))
+    whole = contents.where("not cut").select(F.pmod(F.xxhash64("least"), F.lit(shards)).alias("shard"), F.col("content").alias("key"), "cut", "times", "text")
+    single = windows.groupBy("window").agg(F.sum("times").alias("times"), F.min("text").alias("text"))
+    single = single.select((F.pmod(F.xxhash64("window"), F.lit(more)) + shards).alias("shard"), F.col("window").alias("key"), F.lit(True).alias("cut"), "times", "text")
+    found = written(_search(whole.unionByName(single), size), "substring-found")
+    by_content = found.where("not cut").select(F.col("key").alias("content"), "begin", "end")
+    cut = windows.select("content", "window", "begin").join(found.where("cut").select(F.col("key").alias("window")), "window")
+    by_content = written(by_content.unionByName(cut.select("content", "begin", (F.col("begin") + size).alias("end"))), "substring-by-content")
+    released(contents, windows, found)
+    return met.join(by_content, "content").select("doc_id", "_t", (F.col("start") + F.col("begin")).alias("begin"), (F.col("start") + F.col("end")).alias("end"))
+
+
+def _apply(docs: DataFrame, spans: DataFrame, name: str, kind: str, out: Callable) -> DataFrame:
+    """``name`` of each row, and what ``out`` makes of the words that remain; docs has doc_id, text and ``name``."""
+    # spans of one document; repeated rows have the same ones
+    lists = written(spans.groupBy("doc_id", "_t").agg(F.collect_set(F.struct("begin", "end")).alias("_spans")), "substring-spans")
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text", 1 << 20):
@@ -193,28 +197,21 @@ def _apply(docs: DataFrame, spans: DataFrame, names: list[str], schema: T.Struct
             end = w.at[owner] + (flat.field(1).to_numpy() if len(flat) else np.zeros(0, np.int64))
             gone = covered(begin, end - begin, len(w.starts))
             kept = [b" ".join(x for x, g in zip(w.bytes_of(k), gone[a:b], strict=True) if not g) if b > a else b"" for k, (a, b) in enumerate(zip(w.at[:-1], w.at[1:], strict=True))]
-            yield out(piece, w.counts, np.diff(np.concatenate([[0], np.cumsum(gone)])[w.at]), kept)
+            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[w.at])
+            yield pa.RecordBatch.from_arrays([piece.column(name), pa.array(out(kept), pa.string()), pa.array(w.counts.astype(np.int64)), pa.array(removed.astype(np.int64))], names=[name, "kept", "n_words", "n_removed"])
 
-    return _with_lists(docs, lists, False, "left").select(*names, "text", "_spans").mapInArrow(go, schema)
+    return _with_lists(_keyed(docs), lists, "left").select(name, "text", "_spans").mapInArrow(go, f"{name} {kind}, kept string, n_words long, n_removed long")
 
 
 def remove_repeats(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS) -> DataFrame:
     """The rows of ``docs`` with what is left of their texts, ``n_words`` and ``n_removed``."""
-    rest = [c for c in docs.columns if c not in ("text", "n_words", "n_removed")]
-    schema = T.StructType([docs.schema[c] for c in rest]).add("text", "string").add("n_words", "long").add("n_removed", "long")
-
-    def out(piece: pa.RecordBatch, n: np.ndarray, removed: np.ndarray, kept: list[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*(piece.column(c) for c in rest), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n.astype(np.int64)), pa.array(removed.astype(np.int64))], names=schema.names)
-
-    docs = docs.select(*rest, "text")
-    return _apply(docs, repeated_spans(docs, size, anchor, shard_words), rest, schema, out)
+    rest = [c for c in docs.columns if c.lower() not in ("text", "n_words", "n_removed")]
+    packed = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_rest"))
+    done = _apply(packed, repeated_spans(docs, size, anchor, shard_words), "_rest", packed.schema["_rest"].dataType.simpleString(), lambda kept: [x.decode() for x in kept])
+    return done.select("_rest.*", F.col("kept").alias("text"), "n_words", "n_removed")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-
-    def out(piece: pa.RecordBatch, n: np.ndarray, removed: np.ndarray, kept: list[bytes]) -> pa.RecordBatch:
-        digests = pa.array([hashlib.sha256(x).hexdigest() for x in kept])
-        return pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(removed.astype(np.int64)), digests], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-    return _apply(docs, repeated_spans(docs), ["doc_id"], "doc_id long, n_words long, n_removed long, kept_sha256 string", out)
+    done = _apply(docs, repeated_spans(docs), "doc_id", "long", lambda kept: [hashlib.sha256(x).hexdigest() for x in kept])
+    return done.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from acreage.llm import chat, decontaminate, jaccard, mixing, perplexity, quality_rules, secrets, sharding, substring, warc
-from acreage.llm.fm_index import FmIndex, repeated_windows
+from acreage.llm.fm_index import FmIndex, matching_intervals
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -188,22 +188,43 @@ def brute_repeats(rows, size=35):
             if times[tuple(w[i : i + size])] > 1:
                 gone[i : i + size] = [True] * size
         out.append((d, b" ".join(x for x, g in zip(w, gone, strict=True) if not g).decode(), len(w), sum(gone)))
-    return sorted(out)
+    return out
 
 
-def test_substring(docs, nothing, rows):
+def test_substring(spark, docs, nothing, rows):
     for words in (substring.SHARD_WORDS, 150):
         got = substring.remove_repeats(docs, shard_words=words)
-        assert sorted((r.doc_id, r.text, r.n_words, r.n_removed) for r in got.collect()) == brute_repeats(rows)
+        assert sorted(((r.doc_id, r.text, r.n_words, r.n_removed) for r in got.collect()), key=str) == sorted(brute_repeats(rows), key=str)
+        assert sorted(got.columns) == sorted([*docs.columns, "n_words", "n_removed"])
     assert substring.remove_repeats(nothing).count() == 0
 
 
+def test_substring_edge_cases(spark, rows):
+    """Null and string ids, clashing names, repeated rows, ties, and a text of 300,000 words."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = {None: passage + " x", "a": "y " + passage, "b": None, "c": "", "d": "z " * 34, "e": "z " * 36, "f": " ".join(f"u{i}" for i in range(300_000)) + "\n" + passage, "g": "k " * 35}
+    items = [(d, t, 5, "s", -1) for d, t in texts.items()] + [("h", "once " * 35, 6, "r", -2)] * 2
+    df = spark.createDataFrame(items, "doc_id string, text string, _t int, _spans string, n_words int")
+    got = substring.remove_repeats(df).collect()
+    brute = brute_repeats([(d, t) for d, t, *_ in items])
+    assert sorted(((r.doc_id, r.text, r.n_words, r.n_removed) for r in got), key=str) == sorted(brute, key=str)
+    assert all((r._t, r._spans) == ((6, "r") if r.doc_id == "h" else (5, "s")) for r in got)
+    by = {r.doc_id: r for r in got}
+    assert by[None].text == "x" and by["f"].n_removed == 40 and by["e"].n_removed == 36 and by["g"].n_removed == 0 and by["h"].n_removed == 35
+
+
 def test_fm_index():
+    """Maximal runs by backward search equal those found by trying all runs."""
     random.seed(1)
     texts = [np.array([random.randrange(3) for _ in range(random.randrange(5, 60))]) for _ in range(30)]
-    times = collections.Counter(tuple(t[i : i + 6]) for t in texts for i in range(len(t) - 5))
-    found = repeated_windows(FmIndex(texts, 12), texts, 6)
-    assert [list(f) for f in found] == [[i for i in range(len(t) - 5) if times[tuple(t[i : i + 6])] > 1] for t in texts]
+    for size, least in ((6, 2), (8, 3), (4, 2)):
+        times = collections.Counter(tuple(t[i : i + n]) for t in texts for n in range(1, 61) for i in range(len(t) - n + 1))
+        brute = []
+        for k, t in enumerate(texts):
+            runs = [(i, j) for i in range(len(t)) for j in range(i + size, len(t) + 1) if times[tuple(t[i:j])] >= least]
+            brute += [(k, i, j) for i, j in runs if not any((a, b) != (i, j) and a <= i and j <= b for a, b in runs)]
+        found = matching_intervals(FmIndex(texts, 64), texts, size, np.full(len(texts), least))
+        assert list(zip(*(x.tolist() for x in found), strict=True)) == sorted(brute)
 
 
 def brute_classes(rows):
