@@ -12,7 +12,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     session = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.local.dir", tempfile.mkdtemp(prefix="spark-")).config("spark.driver.memory", "4g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.local.dir", tempfile.mkdtemp(prefix="spark-")).config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='spark-')}").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
