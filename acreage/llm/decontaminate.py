@@ -13,7 +13,9 @@ broadcast and compared with all documents, so any size works.
 
 Defined results: null or empty texts, and items of fewer than ``n`` words,
 match nothing; items with equal texts all match; repeated rows are rows of
-their own; other columns are carried through.
+their own; texts of any length are aligned whole; doc_ids of any type, item_ids of
+strings or whole numbers, nulls included; an empty table of either kind contaminates
+nothing; other columns, of any name, are carried through by ``decontaminate``.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ _MATCH, _MISS, _GAP = 2, -1, -1
 class Items:
     """A block of items: their words, and the n-grams that occur in them, as sorted hashes."""
 
-    def __init__(self, ids: list[int], texts: list[str], n: int) -> None:
+    def __init__(self, ids: list, texts: list[str], n: int) -> None:
         w = Words.of(pa.array(texts, pa.string()), lower=True, plain=True)
         hashes = w.hashes()
         self.ids, self.n = ids, n
@@ -55,8 +57,8 @@ class Items:
     def choose(self, counts: np.ndarray, rare: int) -> None:
         """Keep as seeds each item's rarer half and what is rare in itself."""
         self.seed = counts <= rare
-        for item in range(len(self.ids)):
-            own = np.unique(self.places[self.places[:, 1] == item, 0])
+        pairs = np.unique(self.places[:, 1::-1], axis=0)  # (item, n-gram)
+        for own in np.split(pairs[:, 1], np.flatnonzero(np.diff(pairs[:, 0])) + 1):
             if len(own):
                 self.seed[own[counts[own] <= np.median(counts[own])]] = True
 
@@ -176,12 +178,14 @@ def _scan(docs: DataFrame, items: Items, threshold: float, schema: T.StructType
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = N, rare: int = RARE, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, item_id, score, begin, end): one row per document and item that it contains; begin and end count words."""
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, item_id long, score double, begin long, end long"
+    item = benchmark.schema["item_id"].dataType
+    schema = f"doc_id {kind}, item_id {item.simpleString()}, score double, begin long, end long"
+    item = pa.string() if isinstance(item, T.StringType) else pa.int64() if isinstance(item, T.LongType) else pa.int32()
 
     def out(piece: pa.RecordBatch, items: Items, found: list[tuple]) -> pa.RecordBatch:
         rows = [f[0] for f in found]
         new = [[items.ids[f[1]] for f in found], *([f[k] for f in found] for k in (2, 3, 4))]
-        kinds = [pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+        kinds = [item, pa.float64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([piece.column("doc_id").take(pa.array(rows, pa.int64())), *(pa.array(c, k) for c, k in zip(new, kinds, strict=True))], names=["doc_id", "item_id", "score", "begin", "end"])
 
     result = docs.sparkSession.createDataFrame([], schema)

@@ -8,7 +8,8 @@ reached. All arithmetic is native and reruns agree.
 
 Defined results: a null text has no words and is never taken; a null source
 is a source of its own, last in order; an empty table gives an empty mix;
-repeated rows are documents of their own; other columns are carried through.
+repeated rows are documents of their own; other columns, of any name, are carried
+through; doc_ids of any type; texts of any length are counted whole.
 Whole documents are taken, rounded to the nearest: a source's words differ from
 its target by about half of the document at the cut at most.
 """
@@ -86,12 +87,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     number = Window.partitionBy(*same)
     row = row.withColumn("_k", F.row_number().over(number.orderBy(F.desc("_times"), "_row"))).drop("_bucket", "_row")
     row = row.withColumnsRenamed({c: f"_r_{c}" for c in same})
-    keyed = docs.withColumns({"_size": word_count(F.col("text")), "_text": F.xxhash64("text")})
-    keyed = keyed.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "source", "_size", "_text").orderBy(F.lit(1))))
+    packed = docs.select("doc_id", "source", word_count(F.col("text")).alias("_size"), F.xxhash64("text").alias("_text"), F.struct("*").alias("_doc"))
+    keyed = packed.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "source", "_size", "_text").orderBy(F.lit(1))))
     met = keyed["_n"] == row["_k"]
     for left, right in zip(("doc_id", "source", "_size", "_text"), same, strict=True):
         met &= keyed[left].eqNullSafe(row[f"_r_{right}"])
-    return keyed.join(row, met).select(*(keyed[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy")
+    return keyed.join(row, met).select("_doc", F.explode(F.sequence(F.lit(1), "_times"))).select("_doc.*")
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

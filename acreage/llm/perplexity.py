@@ -41,7 +41,7 @@ from acreage.llm.scratch import written
 from acreage.llm.words import Words, mix64, multipliers, slices, text_bytes
 
 ORDER = 5
-QUANTILE = 0.99
+QUANTILE = 0.97
 FOLDS = 5
 HEAD = 1 << 20
 #: Ids of trusted documents are broadcast up to this many bytes, and joined by shuffle beyond.

@@ -2,7 +2,7 @@
 
 The classifier is a logistic regression over hashed word 1- and 2-grams and
 character 4-grams. It is fitted on at most ``sample`` labelled rows (a
-documented bound, taken in hash order of doc_id), probability-calibrated on
+documented bound, taken in hash order of doc_id by kind of row), probability-calibrated on
 the part held out of the fit, and scored in Arrow batches.
 
 Toxic documents are rejected here, and so in the pipeline by its first stage:
@@ -17,8 +17,9 @@ rejected as toxic.
 Defined results: a null or empty text has zero figures and fails the base
 rules (fewer than 50 words); without labels of both kinds the classifier
 keeps everything that passes the base rules; repeated rows get one row each;
-further columns of the input are carried through, and those that clash with
-an output name are replaced.
+texts of any length are taken whole; doc_ids of any type; an empty table gives no
+rows; further columns of the input are carried through, and those that clash
+with an output name are replaced (a ``prefix`` to those names avoids it).
 """
 
 from __future__ import annotations
@@ -165,7 +166,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _descend(cells: np.ndarray, values: np.ndarray, ends: np.ndarray, y: np.ndarray, epochs: int) -> tuple[np.ndarray, float]:
+def _descend(cells: np.ndarray, values: np.ndarray, ends: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int) -> tuple[np.ndarray, float]:
     """Adam on the regularised logistic loss of all rows."""
     dims = 3 << _BITS
     row = np.repeat(np.arange(len(y)), np.diff(ends))
@@ -174,7 +175,7 @@ def _descend(cells: np.ndarray, values: np.ndarray, ends: np.ndarray, y: np.ndar
     b = mb = vb = 0.0
     for step in range(1, epochs + 1):
         p = 1 / (1 + np.exp(-(np.bincount(row, values * w[at], len(y)) + b)))
-        error = (p - y) / len(y)
+        error = (p - y) * weight / weight.sum()
         g, gb = np.bincount(at, values * error[row], len(used)) + 1e-5 * w, error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
@@ -186,7 +187,7 @@ def _descend(cells: np.ndarray, values: np.ndarray, ends: np.ndarray, y: np.ndar
     return full, b
 
 
-def _calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def _calibrate(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Platt's sigmoid by Newton steps with smoothed targets."""
     good, bad = y.sum(), len(y) - y.sum()
     target = np.where(y > 0, (good + 1) / (good + 2), 1 / (bad + 2))
@@ -194,12 +195,12 @@ def _calibrate(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     a = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ x, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))) @ x.T + 1e-6 * np.eye(2), x @ (p - target))
+        step = np.linalg.solve((x * (weight * p * (1 - p))) @ x.T + 1e-6 * np.eye(2), x @ (weight * (p - target)))
         a = a - np.clip(step, -2, 2)
     return float(a[0]), float(a[1])
 
 
-def _fit_presence(cells: np.ndarray, row: np.ndarray, toxic: np.ndarray, cut: int, epochs: int) -> Classifier | None:
+def _fit_presence(cells: np.ndarray, row: np.ndarray, toxic: np.ndarray, weight: np.ndarray, cut: int, epochs: int) -> Classifier | None:
     """The classifier of texts that aren't toxic, fitted on the rows before ``cut`` and calibrated on the others."""
     parts = toxic[:cut], toxic[cut:]
     if min(n for y in parts for n in (y.sum(), len(y) - y.sum())) < 2:
@@ -216,29 +217,43 @@ def _fit_presence(cells: np.ndarray, row: np.ndarray, toxic: np.ndarray, cut: in
         return None
     cells, row = cells[own], row[own]
     ends = np.searchsorted(row, np.arange(len(toxic) + 1))
-    weights, bias = _descend(cells[: ends[cut]], np.ones(ends[cut]), ends[: cut + 1], 1 - parts[0], epochs)
+    weights, bias = _descend(cells[: ends[cut]], np.ones(ends[cut]), ends[: cut + 1], 1 - parts[0], weight[:cut], epochs)
     score = np.bincount(row, weights[cells].astype(float), len(toxic)) + bias
-    slope, offset = _calibrate(score[cut:], 1 - parts[1])
+    slope, offset = _calibrate(score[cut:], 1 - parts[1], weight[cut:])
     return Classifier(weights, bias, slope, offset)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = 60) -> Classifier | None:
     """Fit on at most ``sample`` labelled rows; the driver gets hashed features of these rows, no texts.
 
-    None if the sample hasn't both kinds of rows.
+    A quarter of the sample is kept for each kind of row (of good or bad quality,
+    toxic or not) that has so many, and rows are weighted by their kind's share of all
+    labels. None if the sample hasn't 30 rows, or fewer than 2 of good or of bad
+    quality in the two thirds that are fitted on or in the rest.
     """
     toxic = F.coalesce(F.max("toxic").cast("int"), F.lit(0)) if "toxic" in labels.columns else F.lit(0)
-    chosen = (
-        labels.where("doc_id is not null and quality is not null")
-        .groupBy("doc_id").agg((F.min("quality").cast("int") + 2 * toxic).alias("label"))
-        .orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id").limit(sample)
-    )
+    marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality").cast("int") + 2 * toxic).alias("label"))
+    order = F.xxhash64("doc_id", F.lit("quality")), F.col("doc_id")
+    several = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}  # four kinds
+    share = sample // 4
+    spare = sample - sum(min(n, share) for n in several.values())
+    chosen = None
+    for label in sorted(several, key=several.get):  # rare kinds first; the commonest takes what they leave
+        most = share + (spare if label == max(several, key=several.get) else 0)
+        part = marked.where(F.col("label") == label).orderBy(*order).limit(most)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    if chosen is None:
+        return None
+    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `sample` ids
-        .mapInArrow(_sparse, "doc_id long, label int, cells array<int>, weights array<float>")
-        .orderBy(F.xxhash64("doc_id", F.lit("order")), "doc_id").toArrow()
+        .mapInArrow(_sparse, f"doc_id {kind}, label int, cells array<int>, weights array<float>")
+        .orderBy(F.xxhash64("doc_id", F.lit("order")), "doc_id").limit(sample).toArrow()
     )
-    y, toxic = ((rows.column("label").to_numpy() >> k & 1).astype(float) for k in (0, 1))
+    labelled = rows.column("label").to_numpy()
+    y, toxic = ((labelled >> k & 1).astype(float) for k in (0, 1))
+    weight = np.array([several[k] for k in labelled.tolist()], float) / np.maximum(np.bincount(labelled, minlength=4)[labelled], 1)
+    weight /= max(weight.mean(), 1e-9) if len(weight) else 1
     cut = len(y) * 2 // 3
     if len(y) < 30 or min(y[:cut].sum(), cut - y[:cut].sum(), y[cut:].sum(), len(y) - cut - y[cut:].sum()) < 2:
         return None
@@ -246,17 +261,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     ends = np.concatenate([[0], np.cumsum(n)])
     cells = rows.column("cells").combine_chunks().flatten().to_numpy()
     values = rows.column("weights").combine_chunks().flatten().to_numpy().astype(float)
-    weights, bias = _descend(cells[: ends[cut]], values[: ends[cut]], ends[: cut + 1], y[:cut], epochs)
+    weights, bias = _descend(cells[: ends[cut]], values[: ends[cut]], ends[: cut + 1], y[:cut], weight[:cut], epochs)
     row = np.repeat(np.arange(len(y)), n)
     score = np.bincount(row, values * weights[cells], len(y)) + bias
-    slope, offset = _calibrate(score[cut:], y[cut:])
-    return Classifier(weights, bias, slope, offset, _fit_presence(cells, row, toxic, cut, epochs))
+    slope, offset = _calibrate(score[cut:], y[cut:], weight[cut:])
+    return Classifier(weights, bias, slope, offset, _fit_presence(cells, row, toxic, weight, cut, epochs))
 
 
-def apply_rules(docs: DataFrame, model: Classifier | None, keep_from: float = KEEP_FROM) -> DataFrame:
-    """Each row with its figures, ``base_failed``, ``probability`` and ``kept``."""
+def apply_rules(docs: DataFrame, model: Classifier | None, keep_from: float = KEEP_FROM, prefix: str = "") -> DataFrame:
+    """Each row with its figures, ``base_failed``, ``probability`` and ``kept``; ``prefix`` goes before these names."""
     sent = docs.sparkSession.sparkContext.broadcast(model)  # 3 * 2**17 floats
-    names = [*FIGURES, "base_failed", "probability", "kept"]
+    names = [prefix + name for name in (*FIGURES, "base_failed", "probability", "kept")]
     rest = [c for c in docs.columns if c.lower() not in names]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

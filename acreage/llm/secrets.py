@@ -10,7 +10,9 @@ over every document.
 Defined results: a null text is empty; spans are code point offsets, end
 exclusive; matches of a rule are leftmost and don't overlap, and those whose
 value is too short are dropped afterwards; rows that share a doc_id share
-postings, and each is scanned on its own; an empty table gives no rows.
+postings, and each is scanned on its own; texts of any length are scanned whole; an
+empty table gives no rows; other columns, of any name, are carried by ``scan``, but for
+``found``, which it replaces; doc_ids of any type.
 """
 
 from __future__ import annotations
@@ -48,6 +50,7 @@ MORE = (
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
 )
 RULES = BASE + MORE
+_BLOCK = 256
 _MOST = 64  # strings of an exact set; a larger one ends there
 
 
@@ -141,9 +144,20 @@ def _spans(text: Column, rule: Rule, place: int) -> Column:
         found = F.when(F.length(part["value"]) >= rule.least, F.concat(state["found"], F.array(span))).otherwise(state["found"])
         return F.struct(F.coalesce(end, start).alias("at"), found.alias("found"))
 
-    walked = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("found")), step, lambda s: s["found"])
-    return F.when(F.regexp_like(text, pattern), walked).otherwise(empty)
+    def join(state: Column, block: Column) -> Column:
+        def moved(x: Column) -> Column:
+            return F.struct((x["start"] + state["at"]).alias("start"), x["place"].alias("place"), x["kind"].alias("kind"), (x["end"] + state["at"]).alias("end"))
 
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["found"], F.transform(block["found"], moved)).alias("found"))
+
+    nothing = F.struct(F.lit(0).alias("at"), empty.alias("found"))
+
+    def walked(p: Column) -> Column:
+        """Blocks of parts are walked on their own: an array that grows by one part after another is copied each time."""
+        blocks = F.transform(F.sequence(F.lit(1), F.size(p), F.lit(_BLOCK)), lambda first: F.aggregate(F.slice(p, first, _BLOCK), nothing, step))
+        return F.aggregate(blocks, nothing, join, lambda s: s["found"])
+
+    return F.when(F.regexp_like(text, pattern), F.transform(F.array(parts), walked)[0]).otherwise(empty)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, index: DataFrame | None = None) -> DataFrame:
@@ -152,7 +166,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, index: DataFrame | No
     An ``index`` of these documents from an earlier run can be given.
     """
     index = written(postings(docs, rules), "secret-postings") if index is None else index
-    hits = candidates(index, rules).withColumnRenamed("doc_id", "_doc")
+    hits = candidates(index, rules).withColumnRenamed("doc_id", "_id")
     text = F.coalesce("text", F.lit(""))
     spans = []
     for place, rule in enumerate(rules):
@@ -160,8 +174,9 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, index: DataFrame | No
         if trigram_query(rule.pattern):
             found = F.when(F.array_contains(F.coalesce("kinds", F.array().cast("array<string>")), rule.kind), found).otherwise(F.array().cast("array<struct<start: int, place: int, kind: string, end: int>>"))
         spans.append(found)
-    joined = docs.join(hits, docs["doc_id"].eqNullSafe(hits["_doc"]), "left")
-    return joined.select(*(docs[c] for c in docs.columns if c.lower() != "found"), F.array_sort(F.concat(*spans)).alias("found"))
+    packed = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c.lower() != "found")).alias("_doc"))
+    joined = packed.join(hits, packed["doc_id"].eqNullSafe(hits["_id"]), "left")
+    return joined.select("_doc", F.array_sort(F.concat(*spans)).alias("found")).select("_doc.*", "found")
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

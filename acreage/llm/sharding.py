@@ -12,11 +12,14 @@ the hash of doc_id.
 
 Defined results: a null text has 0 bytes, size 1 and the CRC of no bytes, and
 all null texts are equal; null metadata are the least value; repeated rows
-are rows of their own; an empty table gives no rows; other columns are carried.
+are rows of their own; texts of any length have their own size; an empty table gives
+no rows; doc_ids of any type; other columns, of any name, are carried by ``shard``,
+which replaces those with the names it adds.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -58,8 +61,13 @@ def _units(rows: DataFrame, n_dims: int, n_shards: int) -> tuple[DataFrame, int]
     return cut.select("_unit", "_piece", (F.col("_w") / F.col("_pieces")).alias("_w"), *keys), total
 
 
-def _pick(values: list, at: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(v) for v in values)), at.cast("int") + 1)
+def _table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A table of one row per tree node, to be broadcast; it enters the plan as one JSON text."""
+    return F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>"))))
+
+
+def _key(n_dims: int) -> Column:
+    return F.element_at(F.array(*(F.col(f"_k{d}") for d in range(n_dims))), F.col("dim") + 1)
 
 
 def _medians(nodes: DataFrame, n_dims: int, shares: dict[int, float]) -> dict[int, tuple[int, int]]:
@@ -72,67 +80,88 @@ def _medians(nodes: DataFrame, n_dims: int, shares: dict[int, float]) -> dict[in
         d = max(range(n_dims), key=lambda d: (r[f"s{d}"], -d))
         state[node] = {"dim": d, "low": r[f"min{d}"], "high": r[f"max{d}"] + 1, "before": 0.0, "goal": r["w"] * shares[node], "close": r["w"] * _CLOSE, "cut": None}
     while open_ := {n: s for n, s in state.items() if s["cut"] is None}:
-        last = max(open_) + 1
-        given = lambda k, other: [open_[n][k] if n in open_ else other for n in range(last)]
-        step = [max(1, -(-(open_[n]["high"] - open_[n]["low"]) // _RANGES)) if n in open_ else 1 for n in range(last)]
-        key = F.element_at(F.array(*(F.col(f"_k{d}") for d in range(n_dims))), _pick(given("dim", 0), F.col("_node")) + 1)
-        inside = nodes.where(F.col("_node").isin(list(open_))).withColumn("_key", key)
-        inside = inside.where((F.col("_key") >= _pick(given("low", 0), F.col("_node"))) & (F.col("_key") < _pick(given("high", 0), F.col("_node"))))
-        bins = inside.groupBy("_node", F.floor((F.col("_key") - _pick(given("low", 0), F.col("_node"))) / _pick(step, F.col("_node"))).alias("_bin")).agg(F.sum("_w").alias("_w"))
-        upto = F.sum("_w").over(Window.partitionBy("_node").orderBy("_bin")) + _pick(given("before", 0.0), F.col("_node"))
-        goal = _pick(given("goal", 0.0), F.col("_node"))
-        reached = bins.withColumn("_upto", upto).where(F.col("_upto") >= goal - 1e-6).groupBy("_node").agg(F.min_by(F.struct("_bin", "_w", "_upto"), "_bin").alias("b"))
+        for s in open_.values():
+            s["step"] = max(1, -(-(s["high"] - s["low"]) // _RANGES))
+        rows = [{"_node": n} | {k: s[k] for k in ("dim", "low", "high", "before", "goal", "step")} for n, s in open_.items()]
+        wanted = _table(nodes.sparkSession, rows, "_node: int, dim: int, low: bigint, high: bigint, before: double, goal: double, step: bigint")
+        inside = nodes.join(wanted, "_node").withColumn("_key", _key(n_dims)).where("_key >= low and _key < high")
+        bins = inside.groupBy("_node", "before", "goal", F.floor((F.col("_key") - F.col("low")) / F.col("step")).alias("_bin")).agg(F.sum("_w").alias("_w"))
+        upto = F.sum("_w").over(Window.partitionBy("_node").orderBy("_bin")) + F.col("before")
+        reached = bins.withColumn("_upto", upto).where(F.col("_upto") >= F.col("goal") - 1e-6).groupBy("_node").agg(F.min_by(F.struct("_bin", "_w", "_upto"), "_bin").alias("b"))
         for r in reached.collect():  # one row per node
             s, b = open_[r["_node"]], r["b"]
-            low = s["low"] + b["_bin"] * step[r["_node"]]
-            high, before = low + step[r["_node"]], b["_upto"] - b["_w"]
+            low = s["low"] + b["_bin"] * s["step"]
+            high, before = low + s["step"], b["_upto"] - b["_w"]
             if b["_w"] <= s["close"] or high - low == 1:
                 s["cut"] = high if abs(b["_upto"] - s["goal"]) < abs(before - s["goal"]) else low
             s |= {"low": low, "high": high, "before": before}
     return {n: (s["dim"], s["cut"]) for n, s in state.items()}
 
 
-def shard(docs: DataFrame, n_shards: int = SHARDS, target_bytes: int | None = None, dimensions: tuple[str, ...] = DIMENSIONS) -> DataFrame:
-    """The rows with ``size``, ``text_crc32``, ``law``, ``shard``, ``slot`` and ``grown_shard``; texts aren't moved."""
-    new = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
-    rest = [c for c in docs.columns if c.lower() not in (*new, "text")]
-    used = [d for d in dimensions if d in docs.columns]
-    coordinates = [_coordinate(docs, d) for d in used] or [F.lit(0.0)]
+def _measured(docs: DataFrame, dimensions: tuple[str, ...], *more: Column) -> tuple[DataFrame, int]:
+    """(doc_id, size, text_crc32, _unit, _c0..., more) of each row, and the number of coordinates."""
+    coordinates = [_coordinate(docs, d) for d in dimensions if d in docs.columns] or [F.lit(0.0)]
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        *rest,
+    return docs.select(
+        "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64("text").alias("_unit"),
         *(c.alias(f"_c{d}") for d, c in enumerate(coordinates)),
-    )
-    rows = written(rows, "shard-rows")
+        *more,
+    ), len(coordinates)
+
+
+def _placed(rows: DataFrame, n_dims: int, n_shards: int, target_bytes: int | None) -> DataFrame:
+    """Written rows with ``law``, ``shard``, ``slot`` and ``grown_shard``."""
+    rest = [c for c in rows.columns if c not in {f"_c{d}" for d in range(n_dims)}]
     if target_bytes:
         n_shards = max(1, math.ceil((rows.agg(F.sum("size")).first()[0] or 0) / target_bytes))
-    units, total = _units(rows, len(coordinates), n_shards)
+    units, total = _units(rows, n_dims, n_shards)
     nodes = written(units.withColumn("_node", F.lit(0)), "shard-units")
     tree = [(0, n_shards)]
     while total and any(n > 1 for _, n in tree):
-        cuts = _medians(nodes, len(coordinates), {i: (n // 2) / n for i, (_, n) in enumerate(tree) if n > 1})
+        cuts = _medians(nodes, n_dims, {i: (n // 2) / n for i, (_, n) in enumerate(tree) if n > 1})
         children, base = [], []
         for i, (first, n) in enumerate(tree):
             base.append(len(children))
             children += [(first, n // 2), (first + n // 2, n - n // 2)] if i in cuts else [(first, n)] if n == 1 else [(first, 1)]
-        key = F.element_at(F.array(*(F.col(f"_k{d}") for d in range(len(coordinates)))), _pick([cuts.get(i, (0, 0))[0] for i in range(len(tree))], F.col("_node")) + 1)
-        above = (key >= _pick([cuts.get(i, (0, 1 << 62))[1] for i in range(len(tree))], F.col("_node"))).cast("int")
-        nodes = nodes.withColumn("_node", _pick(base, F.col("_node")) + above)
+        rows = [{"_node": i, "dim": cuts.get(i, (0, 0))[0], "cut": cuts.get(i, (0, 1 << 62))[1], "base": base[i]} for i in range(len(tree))]
+        steps = _table(nodes.sparkSession, rows, "_node: int, dim: int, cut: bigint, base: int")
+        pieces = [c for c in nodes.columns if c != "_node"]
+        nodes = nodes.join(steps, "_node").select(*pieces, (F.col("base") + (_key(n_dims) >= F.col("cut")).cast("int")).alias("_node"))
         tree = children
-    homes = nodes.groupBy("_unit").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_piece", _pick([first for first, _ in tree], F.col("_node")).cast("int").alias("_s")))), lambda x: x["_s"]).alias("_homes")
-    )  # at most 8 pieces a shard
+    leaves = _table(nodes.sparkSession, [{"_node": i, "_s": first} for i, (first, _) in enumerate(tree)], "_node: int, _s: int")
+    homes = nodes.join(leaves, "_node").groupBy("_unit").agg(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_s"))), lambda x: x["_s"]).alias("_homes"))  # at most 8 pieces a shard
+    homes = written(homes, "shard-homes")  # so that a hot text's rows can be split in the join
     placed = rows.join(homes, "_unit").withColumn(
         "shard", F.element_at("_homes", (F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.size("_homes").cast("long")) + 1).cast("int"))
     )
-    placed = placed.withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(_SLOT_BUCKETS))).drop("_homes", *(f"_c{d}" for d in range(len(coordinates))))
+    placed = placed.withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(_SLOT_BUCKETS))).select(*rest, "shard", "_bucket")
+    placed = written(placed, "shard-placed")
     slots = running_total(placed, ["shard"], "_bucket", ["doc_id", "size", "text_crc32", "_unit"], F.lit(1).cast("long"), "slot")
-    return slots.select(*rest, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("slot") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return slots.withColumns({"slot": F.col("slot") - 1, "law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+_NEW = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def assign(docs: DataFrame, n_shards: int = SHARDS, target_bytes: int | None = None, dimensions: tuple[str, ...] = DIMENSIONS) -> DataFrame:
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of each row; texts aren't moved."""
+    rows, n_dims = _measured(docs, dimensions)
+    placed = _placed(written(rows, "shard-rows"), n_dims, n_shards, target_bytes)
+    return placed.select("doc_id", *_NEW)
+
+
+def shard(docs: DataFrame, n_shards: int = SHARDS, target_bytes: int | None = None, dimensions: tuple[str, ...] = DIMENSIONS) -> DataFrame:
+    """The rows of ``docs``, texts included, with ``size``, ``text_crc32``, ``law``, ``shard``, ``slot`` and ``grown_shard``; texts are shuffled once."""
+    rest = [c for c in docs.columns if c.lower() not in _NEW]
+    doc = F.struct(*(F.col(f"`{c}`") for c in rest)).alias("_doc")
+    rows, n_dims = _measured(docs, dimensions, doc, F.monotonically_increasing_id().alias("_row"))
+    rows = written(rows, "shard-rows")  # a row's number holds from here on
+    placed = _placed(rows.drop("_doc"), n_dims, n_shards, target_bytes).select("_row", *_NEW)
+    return rows.select("_row", "_doc").join(written(placed, "shard-slots"), "_row").select("_doc.*", *_NEW)
 
 
 def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return shard(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    return assign(spark.read.parquet(f"{sf_dir}/documents.parquet"))

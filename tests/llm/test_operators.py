@@ -324,3 +324,47 @@ def test_quality_rejects_toxic(spark):
     assert not {d for d in kept if d % 5 < 2} and len(kept) >= 55
     without = {r.doc_id for r in quality_rules.apply_rules(docs, quality_rules.fit(docs, labels.drop("toxic"))).where("kept and doc_id >= 400").collect()}
     assert len({d for d in without if d % 5 == 1}) > 15
+
+
+def test_clashing_names(spark, rows):
+    """Operators carry columns of any name, ids are strings, and nothing of their own shows."""
+    odd = ["_times", "_size", "_text", "_n", "_row", "_h", "kinds", "_id", "_doc", "_unit", "_bucket", "_node", "_c0", "_t", "_spans", "turn", "target", "node", "t"]
+    items = [(str(d) if d is not None else None, text, lang, source, *([7] * len(odd))) for d, text, lang, source, *_ in rows] + [(None, rows[0][1], None, None, *([7] * len(odd)))]
+    df = spark.createDataFrame(items, "doc_id string, text string, lang string, source string, " + ", ".join(f"{c} int" for c in odd)).repartition(3)
+    bench = spark.createDataFrame([("a", " ".join(rows[1][1].split()[:20])), (None, None)], "item_id string, text string")
+    for got in (mixing.mix(df), secrets.scan(df), sharding.shard(df, 3), substring.remove_repeats(df), jaccard.keep_one(df), decontaminate.decontaminate(df, bench), quality_rules.apply_rules(df, None)):
+        assert set(df.columns) <= set(got.columns)
+        assert got.count() and all(r[c] == 7 for r in got.collect() for c in odd)
+    assert {r.item_id for r in decontaminate.contaminated(df, bench).collect()} == {"a"}
+    assert sharding.shard(df, target_bytes=1500).select("shard").distinct().count() > 8
+    assert quality_rules.fit(df, spark.createDataFrame([(str(d), int(d % 4 > 0)) for d in range(60)], "doc_id string, quality int")) is not None
+
+
+def test_secrets_in_a_long_text(spark):
+    """Thousands of matches in one text: offsets hold across blocks."""
+    random.seed(2)
+    text = "".join(random.choice(["é ", "token=abcdefgh" + str(k), " password: short ", "secret='" + "x" * random.randrange(4, 20) + "' "]) for k in range(9000))
+    rule = secrets.BASE[0]
+    said = [m.span() for m in re.finditer(rule.pattern, text) if len(m.group(2)) >= 8]
+    got = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().found
+    assert [(x.start, x.end) for x in got if x.kind == "assign"] == said and len(said) > 2000
+
+
+def test_hot_text_is_cut(spark):
+    """A text that holds more than half a shard is cut by doc_id; the shards stay near equal."""
+    df = spark.createDataFrame([(d, "same text" if d % 3 else f"own text {d}") for d in range(900)], "doc_id long, text string")
+    got = sharding.shard(df, 4).collect()
+    sizes = collections.Counter()
+    for r in got:
+        sizes[r.shard] += r["size"]
+    assert len(got) == 900 and max(sizes.values()) - min(sizes.values()) < 0.2 * max(sizes.values())
+
+
+def test_rare_bad_rows(spark):
+    """Bad rows that are one in 500 are in the sample all the same."""
+    df = spark.createDataFrame([(d, ("### $$ && " if d % 500 == 0 else f"good plain words number {d} ") * 20) for d in range(20_000)], "doc_id long, text string")
+    labels = df.select("doc_id", (F.col("doc_id") % 500 != 0).cast("int").alias("quality"))
+    model = quality_rules.fit(df, labels, sample=400)
+    assert model is not None
+    by = {r.doc_id: r.probability for r in quality_rules.apply_rules(df.where("doc_id < 1001"), model).collect()}
+    assert by[500] < 0.5 < by[501]
