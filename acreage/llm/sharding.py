@@ -126,8 +126,8 @@ def _placed(rows: DataFrame, n_dims: int, n_shards: int, target_bytes: int | Non
         for i, (first, n) in enumerate(tree):
             base.append(len(children))
             children += [(first, n // 2), (first + n // 2, n - n // 2)] if i in cuts else [(first, n)] if n == 1 else [(first, 1)]
-        rows = [{"_node": i, "dim": cuts.get(i, (0, 0))[0], "cut": cuts.get(i, (0, 1 << 62))[1], "base": base[i]} for i in range(len(tree))]
-        steps = _table(nodes.sparkSession, rows, "_node: int, dim: int, cut: bigint, base: int")
+        each = [{"_node": i, "dim": cuts.get(i, (0, 0))[0], "cut": cuts.get(i, (0, 1 << 62))[1], "base": base[i]} for i in range(len(tree))]
+        steps = _table(nodes.sparkSession, each, "_node: int, dim: int, cut: bigint, base: int")
         pieces = [c for c in nodes.columns if c != "_node"]
         nodes = nodes.join(steps, "_node").select(*pieces, (F.col("base") + (_key(n_dims) >= F.col("cut")).cast("int")).alias("_node"))
         tree = children
