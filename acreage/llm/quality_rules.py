@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +44,7 @@ _BITS = 17
 _CHARS = 4
 _SCALE = 8.0
 _TELLING = 5.0
+_ROWS = 128
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -166,23 +168,48 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _blocks(ends: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray]]:
+    """Blocks of rows, their cells, and how many each row has: what is worked out at once stays small."""
+    for a in range(0, len(ends) - 1, _ROWS):
+        b = min(a + _ROWS, len(ends) - 1)
+        yield slice(a, b), slice(int(ends[a]), int(ends[b])), np.diff(ends[a : b + 1])
+
+
+def _scores(cells: np.ndarray, values: np.ndarray, ends: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The sum of each row's values times their cells' weights."""
+    out = np.zeros(len(ends) - 1)
+    for rows, own, n in _blocks(ends):
+        total = np.concatenate([[0.0], np.cumsum(values[own] * w[cells[own]], dtype=float)])
+        out[rows] = np.diff(total[np.concatenate([[0], np.cumsum(n)])])
+    return out
+
+
+def _totals(cells: np.ndarray, values: np.ndarray, ends: np.ndarray, by_row: np.ndarray, size: int) -> np.ndarray:
+    """The sum over each cell of its values times what their rows have."""
+    out = np.zeros(size)
+    for rows, own, n in _blocks(ends):
+        out += np.bincount(cells[own], values[own] * np.repeat(by_row[rows], n), size)
+    return out
+
+
 def _descend(cells: np.ndarray, values: np.ndarray, ends: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int) -> tuple[np.ndarray, float]:
     """Adam on the regularised logistic loss of all rows."""
-    dims = 3 << _BITS
-    row = np.repeat(np.arange(len(y)), np.diff(ends))
-    used, at = np.unique(cells, return_inverse=True)
+    seen = np.zeros(3 << _BITS, bool)
+    seen[cells] = True
+    used, number = np.flatnonzero(seen), np.cumsum(seen, dtype=np.int32) - 1
+    at = number[cells]
     w, m, v = np.zeros(len(used)), np.zeros(len(used)), np.zeros(len(used))
     b = mb = vb = 0.0
     for step in range(1, epochs + 1):
-        p = 1 / (1 + np.exp(-(np.bincount(row, values * w[at], len(y)) + b)))
+        p = 1 / (1 + np.exp(-(_scores(at, values, ends, w) + b)))
         error = (p - y) * weight / weight.sum()
-        g, gb = np.bincount(at, values * error[row], len(used)) + 1e-5 * w, error.sum()
+        g, gb = _totals(at, values, ends, error, len(used)) + 1e-5 * w, error.sum()
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         rate = 0.1 / (1 - 0.9**step)
         w -= rate * m / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         b -= rate * mb / (np.sqrt(vb / (1 - 0.999**step)) + 1e-8)
-    full = np.zeros(dims, np.float32)
+    full = np.zeros(3 << _BITS, np.float32)
     full[used] = w
     return full, b
 
@@ -200,25 +227,26 @@ def _calibrate(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[fl
     return float(a[0]), float(a[1])
 
 
-def _fit_presence(cells: np.ndarray, row: np.ndarray, toxic: np.ndarray, weight: np.ndarray, cut: int, epochs: int) -> Classifier | None:
+def _fit_presence(cells: np.ndarray, ends: np.ndarray, toxic: np.ndarray, weight: np.ndarray, cut: int, epochs: int) -> Classifier | None:
     """The classifier of texts that aren't toxic, fitted on the rows before ``cut`` and calibrated on the others."""
     parts = toxic[:cut], toxic[cut:]
     if min(n for y in parts for n in (y.sum(), len(y) - y.sum())) < 2:
         return None
-    seen = row < cut
-    bad = np.bincount(cells[seen], toxic[row[seen]], 3 << _BITS) / parts[0].sum()
-    good = np.bincount(cells[seen], 1 - toxic[row[seen]], 3 << _BITS) / (cut - parts[0].sum())
+    ones = np.ones(len(cells), np.float32)
+    bad = _totals(cells, ones, ends[: cut + 1], parts[0], 3 << _BITS) / parts[0].sum()
+    good = _totals(cells, ones, ends[: cut + 1], 1 - parts[0], 3 << _BITS) / (cut - parts[0].sum())
     share = (bad * parts[0].sum() + good * (cut - parts[0].sum())) / cut
     error = np.sqrt(share * (1 - share) * (1 / parts[0].sum() + 1 / (cut - parts[0].sum())))
     telling = np.abs(bad - good) > _TELLING * error
     telling[1 << _BITS : 2 << _BITS] = False  # pairs of words are too rare
     own = telling[cells]
-    if not (own & seen).any():
+    if not own[: ends[cut]].any():
         return None
-    cells, row = cells[own], row[own]
-    ends = np.searchsorted(row, np.arange(len(toxic) + 1))
-    weights, bias = _descend(cells[: ends[cut]], np.ones(ends[cut]), ends[: cut + 1], 1 - parts[0], weight[:cut], epochs)
-    score = np.bincount(row, weights[cells].astype(float), len(toxic)) + bias
+    ends = np.concatenate([[0], np.cumsum(own, dtype=np.int64)])[ends]
+    cells = cells[own]
+    ones = np.ones(len(cells), np.float32)
+    weights, bias = _descend(cells[: ends[cut]], ones[: ends[cut]], ends[: cut + 1], 1 - parts[0], weight[:cut], epochs)
+    score = _scores(cells, ones, ends, weights) + bias
     slope, offset = _calibrate(score[cut:], 1 - parts[1], weight[cut:])
     return Classifier(weights, bias, slope, offset)
 
@@ -257,15 +285,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     cut = len(y) * 2 // 3
     if len(y) < 30 or min(y[:cut].sum(), cut - y[:cut].sum(), y[cut:].sum(), len(y) - cut - y[cut:].sum()) < 2:
         return None
-    n = np.array([len(x) for x in rows.column("cells")])
-    ends = np.concatenate([[0], np.cumsum(n)])
-    cells = rows.column("cells").combine_chunks().flatten().to_numpy()
-    values = rows.column("weights").combine_chunks().flatten().to_numpy().astype(float)
+    ends = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(rows.column("cells")).to_numpy())]).astype(np.int64)
+    cells, values = (np.concatenate([x.flatten().to_numpy() for x in rows.column(c).chunks]) for c in ("cells", "weights"))
+    del rows
+    pa.default_memory_pool().release_unused()  # the driver keeps little
     weights, bias = _descend(cells[: ends[cut]], values[: ends[cut]], ends[: cut + 1], y[:cut], weight[:cut], epochs)
-    row = np.repeat(np.arange(len(y)), n)
-    score = np.bincount(row, values * weights[cells], len(y)) + bias
+    score = _scores(cells, values, ends, weights) + bias
     slope, offset = _calibrate(score[cut:], y[cut:], weight[cut:])
-    return Classifier(weights, bias, slope, offset, _fit_presence(cells, row, toxic, weight, cut, epochs))
+    return Classifier(weights, bias, slope, offset, _fit_presence(cells, ends, toxic, weight, cut, epochs))
 
 
 def apply_rules(docs: DataFrame, model: Classifier | None, keep_from: float = KEEP_FROM, prefix: str = "") -> DataFrame:

@@ -61,9 +61,9 @@ def _units(rows: DataFrame, n_dims: int, n_shards: int) -> tuple[DataFrame, int]
     return cut.select("_unit", "_piece", (F.col("_w") / F.col("_pieces")).alias("_w"), *keys), total
 
 
-def _table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    """A table of one row per tree node, to be broadcast; it enters the plan as one JSON text."""
-    return F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>"))))
+def _of_node(rows: list[dict | None], schema: str) -> Column:
+    """What the list has for a row's ``_node``. It enters the plan as one JSON text, which is parsed once, so that trees of many nodes are no burden."""
+    return F.get(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>"), F.col("_node"))
 
 
 def _key(n_dims: int) -> Column:
@@ -82,9 +82,9 @@ def _medians(nodes: DataFrame, n_dims: int, shares: dict[int, float]) -> dict[in
     while open_ := {n: s for n, s in state.items() if s["cut"] is None}:
         for s in open_.values():
             s["step"] = max(1, -(-(s["high"] - s["low"]) // _RANGES))
-        rows = [{"_node": n} | {k: s[k] for k in ("dim", "low", "high", "before", "goal", "step")} for n, s in open_.items()]
-        wanted = _table(nodes.sparkSession, rows, "_node: int, dim: int, low: bigint, high: bigint, before: double, goal: double, step: bigint")
-        inside = nodes.join(wanted, "_node").withColumn("_key", _key(n_dims)).where("_key >= low and _key < high")
+        rows = [{k: open_[n][k] for k in ("dim", "low", "high", "before", "goal", "step")} if n in open_ else None for n in range(max(open_) + 1)]
+        wanted = _of_node(rows, "dim: int, low: bigint, high: bigint, before: double, goal: double, step: bigint")
+        inside = nodes.withColumn("_at", wanted).where("_at is not null").select("*", "_at.*").withColumn("_key", _key(n_dims)).where("_key >= low and _key < high")
         bins = inside.groupBy("_node", "before", "goal", F.floor((F.col("_key") - F.col("low")) / F.col("step")).alias("_bin")).agg(F.sum("_w").alias("_w"))
         upto = F.sum("_w").over(Window.partitionBy("_node").orderBy("_bin")) + F.col("before")
         reached = bins.withColumn("_upto", upto).where(F.col("_upto") >= F.col("goal") - 1e-6).groupBy("_node").agg(F.min_by(F.struct("_bin", "_w", "_upto"), "_bin").alias("b"))
@@ -126,13 +126,13 @@ def _placed(rows: DataFrame, n_dims: int, n_shards: int, target_bytes: int | Non
         for i, (first, n) in enumerate(tree):
             base.append(len(children))
             children += [(first, n // 2), (first + n // 2, n - n // 2)] if i in cuts else [(first, n)] if n == 1 else [(first, 1)]
-        each = [{"_node": i, "dim": cuts.get(i, (0, 0))[0], "cut": cuts.get(i, (0, 1 << 62))[1], "base": base[i]} for i in range(len(tree))]
-        steps = _table(nodes.sparkSession, each, "_node: int, dim: int, cut: bigint, base: int")
+        each = [{"dim": cuts.get(i, (0, 0))[0], "cut": cuts.get(i, (0, 1 << 62))[1], "base": base[i]} for i in range(len(tree))]
         pieces = [c for c in nodes.columns if c != "_node"]
-        nodes = nodes.join(steps, "_node").select(*pieces, (F.col("base") + (_key(n_dims) >= F.col("cut")).cast("int")).alias("_node"))
+        steps = nodes.withColumn("_at", _of_node(each, "dim: int, cut: bigint, base: int")).select("*", "_at.*")
+        nodes = steps.select(*pieces, (F.col("base") + (_key(n_dims) >= F.col("cut")).cast("int")).alias("_node"))
         tree = children
-    leaves = _table(nodes.sparkSession, [{"_node": i, "_s": first} for i, (first, _) in enumerate(tree)], "_node: int, _s: int")
-    homes = nodes.join(leaves, "_node").groupBy("_unit").agg(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_s"))), lambda x: x["_s"]).alias("_homes"))  # at most 8 pieces a shard
+    leaf = _of_node([{"shard": first} for first, _ in tree], "shard: int")["shard"]
+    homes = nodes.withColumn("_s", leaf).groupBy("_unit").agg(F.transform(F.array_sort(F.collect_list(F.struct("_piece", "_s"))), lambda x: x["_s"]).alias("_homes"))  # at most 8 pieces a shard
     homes = written(homes, "shard-homes")  # so that a hot text's rows can be split in the join
     placed = rows.join(homes, "_unit").withColumn(
         "shard", F.element_at("_homes", (F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.size("_homes").cast("long")) + 1).cast("int"))
