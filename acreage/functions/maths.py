@@ -100,3 +100,9 @@ def t_column(p: float, dof: Column, most: int = 200) -> Column:
         far = far + F.lit(term) / F.pow(dof.cast("double"), F.lit(float(power)))
     table = F.array(*(F.lit(x) for x in t_table(p, most)))
     return F.when(dof <= most, F.element_at(table, F.least(dof, F.lit(most)).cast("int"))).otherwise(far)
+
+
+def rounded(c: Column, places: int) -> Column:
+    """Halves up, also where a sum's last bits put a half just below itself."""
+    scale = 10.0**places
+    return F.floor(c * scale + (0.5 + 1e-6)) / scale

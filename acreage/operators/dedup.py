@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from acreage.sources.scratch import settled
+
 
 def latest_by(df: DataFrame, keys: list[str], order: list[Column], null_keys: str = "collapse") -> DataFrame:
     """One row per key, the first in ``order`` (which should be total). Null keys are one key, or all kept (``keep_all``)."""
@@ -16,16 +18,16 @@ def latest_by(df: DataFrame, keys: list[str], order: list[Column], null_keys: st
     return numbered.where(first).drop("_row")
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    return latest_by(df, keys, order) if order else df.dropDuplicates(keys)
+def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    return latest_by(df, keys, order)
 
 
 def numbered(df: DataFrame, name: str, order: list[Column]) -> DataFrame:
     """Row numbers from 1 in a global order, without moving all rows to one task.
 
-    The sorted frame is kept, so that rows and partition sizes come from the same ranges.
+    The sorted frame is written, so that rows and partition sizes come from the same ranges even if executors are lost.
     """
-    part = df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftrightunsigned("_id", 33)).persist()
+    part = settled(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_part", F.shiftrightunsigned("_id", 33)), "numbered")
     sizes = part.groupBy("_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("_part", before.alias("_before"))  # one row per partition

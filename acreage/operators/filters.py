@@ -38,3 +38,13 @@ def finite_positive(c: Column) -> Column:
 def bounds(df: DataFrame, value: str) -> DataFrame:
     """Extent of the rows that can be drawn on a map."""
     return df.dropna(subset=["lat", "lon", value]).agg(*(f(c).alias(f"{f.__name__}_{c}") for c in ("lat", "lon", value) for f in (F.min, F.max)))
+
+
+def coalesced(df: DataFrame, name: str, *others: str) -> DataFrame:
+    """The column, or else the first of the others that has a value; rows without any are left out."""
+    return df.withColumn(name, F.coalesce(name, *others)).where(F.col(name).isNotNull())
+
+
+def recently_seen(df: DataFrame, latest: str, as_of: str, days: int = 210) -> DataFrame:
+    """Groups whose latest date is at most so many days old."""
+    return df.where(F.col(latest) >= F.date_sub(F.lit(as_of).cast("date"), days))

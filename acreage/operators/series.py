@@ -22,11 +22,48 @@ def expand_intervals(df: DataFrame, first: str, last: str, start: Column, days:
     return df.withColumn("date", F.explode(dates))
 
 
+def interval_means(df: DataFrame, keys: list[str], first: str, last: str, start: Column, amount: str, count: str, days: int = 7) -> DataFrame:
+    """The mean of ``amount`` and the rows in ``count`` for each group and grid date that an interval holds, as ``expand_intervals`` and a roll-up would give.
+
+    Each interval adds its amount at its first date and takes it back after its last, so that
+    rows are two per interval, then one per group and date: no interval is spread over its dates.
+    Amounts are summed as decimals, exactly.
+    """
+    begin = F.ceil(F.greatest(F.datediff(F.col(first), start), F.lit(0)) / days).cast("int")
+    end = F.floor(F.datediff(F.col(last), start) / days).cast("int")
+    value = F.col(amount).cast("decimal(18,2)")
+    known = F.col(amount).isNotNull().cast("int")
+    change = lambda at, sign: F.struct(at.alias("at"), (sign * F.coalesce(value, F.lit(0))).cast("decimal(18,2)").alias("value"), (sign * known).alias("known"), F.lit(sign).alias("rows"))
+    changes = df.withColumns({"_start": start, "_begin": begin, "_end": end}).where("_begin <= _end")
+    changes = changes.select(*keys, "_start", F.explode(F.array(change(F.col("_begin"), 1), change(F.col("_end") + 1, -1))).alias("_c"))
+    sums = changes.groupBy(*keys, "_start", "_c.at").agg(*(F.sum(f"_c.{c}").alias(c) for c in ("value", "known", "rows")))
+    order = Window.partitionBy(*keys).orderBy("at")  # a row per date of the grid at most
+    upto = {c: F.sum(c).over(order) for c in ("value", "known", "rows")}
+    held = sums.withColumns(upto | {"_next": F.lead("at").over(order)}).where("rows > 0")
+    dates = held.withColumn("_at", F.explode(F.sequence("at", F.col("_next") - 1)))
+    mean = F.when(F.col("known") > 0, F.col("value").cast("double") / F.col("known"))
+    return dates.select(*keys, F.date_add("_start", F.col("_at") * days).alias("date"), mean.alias(amount), F.col("rows").alias(count))
+
+
+def by_level(df: DataFrame, levels: dict[str, str]) -> DataFrame:
+    """The rows once per level, with geography_type and geography_value; null values are left out."""
+    pairs = F.array(*(F.struct(F.lit(name).alias("geography_type"), F.col(c).cast("string").alias("geography_value")) for name, c in levels.items()))
+    return df.select("*", F.inline(pairs)).where("geography_value is not null")
+
+
 def geo_rollup(df: DataFrame, levels: dict[str, str], by: list[str], aggregates: list[Column]) -> DataFrame:
     """One aggregate per level and value, stacked as (geography_type, geography_value); null values are left out."""
-    pairs = F.array(*(F.struct(F.lit(name).alias("t"), F.col(c).cast("string").alias("v")) for name, c in levels.items()))
-    stacked = df.withColumn("_level", F.explode(pairs)).where("_level.v is not null")
-    return stacked.groupBy(F.col("_level.t").alias("geography_type"), F.col("_level.v").alias("geography_value"), *by).agg(*aggregates)
+    return by_level(df, levels).groupBy("geography_type", "geography_value", *by).agg(*aggregates)
+
+
+def distinct_by_place(df: DataFrame, levels: dict[str, str], counts: dict[str, str], largest: tuple[str, ...] = ()) -> DataFrame:
+    """Distinct values counted per combination of all levels, then summed per level and value, so that one found in two places counts twice.
+
+    ``largest``: levels that take the greatest place's counts instead of the sum.
+    """
+    places = df.groupBy(*levels.values()).agg(*(F.countDistinct(c).alias(n) for n, c in counts.items()))
+    one = F.col("geography_type").isin(*largest)
+    return by_level(places, levels).groupBy("geography_type", "geography_value").agg(*(F.when(one, F.max(n)).otherwise(F.sum(n)).alias(n) for n in counts))
 
 
 def iqr_filter(df: DataFrame, keys: list[str], columns: list[str], k: float = 1.5, nulls_pass: tuple[str, ...] = ()) -> DataFrame:

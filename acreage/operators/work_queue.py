@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acreage.operators.dedup import latest_by
+
 
 def claimable(urls: DataFrame, as_of: Column, states: list[str] | None = None, lease_hours: int = 5) -> DataFrame:
     """(url, state): urls none of whose rows is scraped or leased within the lease."""
@@ -25,7 +27,7 @@ def claim_batch(urls: DataFrame, as_of: Column, n: int, worker: str, states: lis
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
     """n rows in an order that looks random and can be repeated."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
 
 
 def mark_scraped(urls: DataFrame, done: DataFrame, date: Column) -> DataFrame:
@@ -48,8 +50,9 @@ def backfill_scraped(urls: DataFrame, listings: DataFrame) -> DataFrame:
 
 
 def insert_absent(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """The old rows, and new ones whose key isn't there; one row per new key."""
-    return old.unionByName(new.dropDuplicates([key]).join(old.select(key), key, "left_anti").select(*old.columns))
+    """The old rows, and new ones whose key isn't there; one row per new key, the first by all other columns."""
+    first = latest_by(new, [key], [F.asc(c) for c in new.columns if c != key] or [F.asc(key)])
+    return old.unionByName(first.join(old.select(key), key, "left_anti").select(*old.columns))
 
 
 def register_urls(urls: DataFrame, new: DataFrame, skip_existing: bool = True) -> DataFrame:

@@ -35,7 +35,7 @@ def _buildings(spark, d):
 
 def _units(spark, d):
     price = F.col("l_extendedprice")
-    return _read(spark, d, "lineitem").select(F.col("l_suppkey").alias("building_id"), F.to_date("l_shipdate").alias("date"), F.col("l_linenumber").alias("bed"), (F.col("l_linenumber") % 3).alias("bath"), (F.col("l_quantity") * 20).alias("sqft"), price.alias("price"), (price * (1 - F.col("l_discount"))).alias("effective_price"))
+    return _read(spark, d, "lineitem").select(F.col("l_suppkey").alias("building_id"), F.to_date("l_shipdate").alias("date"), F.col("l_partkey").alias("unit_id"), F.col("l_linenumber").alias("bed"), (F.col("l_linenumber") % 3).alias("bath"), (F.col("l_quantity") * 20).alias("sqft"), price.alias("price"), (price * (1 - F.col("l_discount"))).alias("effective_price"))
 
 
 def _homes(spark, d):
@@ -122,7 +122,7 @@ def mart_buildings(spark, d):
 @query
 def mart_developed(spark, d):
     homes, land = _staged(spark, d)
-    return marts.developed(homes, land).select("source", "source_id", "property_type", "year_built", F.round("price_per_sqft", 2).alias("price_per_sqft"), F.round("price_per_lot_sqft", 3).alias("price_per_lot_sqft"))
+    return marts.developed(homes, land).select("source", "source_id", "property_type", "year_built", M.rounded(F.col("price_per_sqft"), 2).alias("price_per_sqft"), M.rounded(F.col("price_per_lot_sqft"), 3).alias("price_per_lot_sqft"))
 
 
 @query
@@ -152,6 +152,117 @@ def mart_flips(spark, d):
     return marts.flips(_main(spark, d)[0], rejected).select("source", "source_id", *(F.round(c, 3).alias(c) for c in ("hoped_income", "invest_to_monthly_return", "share_of_average_price")))
 
 
+def _raw_buildings(spark, d):
+    """Suppliers as they come: some of another state, those of a nation under the same urls."""
+    s = _read(spark, d, "supplier")
+    return s.select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("street_address"), F.lit("provo").alias("city"), F.when(F.col("s_acctbal") > 0, "UT").otherwise("NV").alias("state"), F.lit("84000").alias("zip_code"),
+        *_point("s_suppkey", 9973, 9967), F.lit("msa").alias("msa"), F.array(F.concat(F.lit("u"), F.col("s_nationkey").cast("string"))).alias("listing_urls"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("s_suppkey") % 50).cast("int")).alias("created_on"),
+    )
+
+
+def _raw_units(spark, d):
+    li = _read(spark, d, "lineitem")
+    price, area = F.col("l_extendedprice"), F.col("l_quantity")
+    return li.select(
+        F.concat_ws("-", "l_orderkey", "l_partkey").alias("id"), F.col("l_suppkey").alias("building_id"), F.when(area >= 10, price).alias("price"), F.when(area >= 5, price * 2).alias("min_price"), (price * 3).alias("max_price"),
+        F.when(F.col("l_tax") > 0.02, area * 20).alias("sqft"), F.when(F.col("l_tax") > 0.01, area * 10).alias("min_sqft"), F.when(F.col("l_tax") > 0, area * 30).alias("max_sqft"), (F.col("l_returnflag") == "A").alias("is_floorplan"),
+        F.when(F.col("l_linenumber") > 1, F.to_date("l_shipdate")).alias("exit_market"), F.to_date("l_shipdate").alias("created_on"),
+    )
+
+
+def _manual(spark, d):
+    k = F.col("n_nationkey")
+    return _read(spark, d, "nation").select(
+        F.concat(F.lit("m"), k.cast("string")).alias("id"), F.col("n_name").alias("street_address"), F.lit("Provo").alias("city"), F.lit("UT").alias("state"), F.lit("84001").alias("zip_code"), *_point("n_nationkey"),
+        (k * 1000.0 + 200000).alias("price"), (k % 4).cast("int").alias("bedrooms"), (k % 3).cast("double").alias("bathrooms"), (k * 50.0).alias("living_area"),
+    )
+
+
+def _history(spark, d):
+    return tables.settled(marts.home_history(_staged(spark, d)[0], ["url", "msa", "zip_code"]), "mart-history")
+
+
+def _found_homes(spark, d):
+    return tables.settled(marts.home_analysis(_history(spark, d), AS_OF), "mart-home-analysis")
+
+
+@query
+def mart_rental_buildings(spark, d):
+    return marts.rental_buildings(_raw_buildings(spark, d)).select("id", "street_address", "created_on")
+
+
+@query
+def mart_rental_units(spark, d):
+    kept = marts.rental_units(_raw_units(spark, d), marts.rental_buildings(_raw_buildings(spark, d)), AS_OF)
+    return kept.groupBy("building_id").agg(F.count("*").alias("units"), F.sum("sqft").alias("sqft"), F.max("created_on").alias("newest"))
+
+
+@query
+def mart_rental_history(spark, d):
+    kept = marts.rental_history(_raw_units(spark, d), marts.rental_buildings(_raw_buildings(spark, d)))
+    return kept.groupBy("building_id").agg(F.count("*").alias("leases"), F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("price"))
+
+
+@query
+def mart_manual(spark, d):
+    manual = _manual(spark, d)
+    lookup = marts.building_lookup(_buildings(spark, d), {"manual": manual})
+    return marts.manual_staging(manual, lookup, NEAR).select("id", "closest_building_id", "msa", "interior_sqft", "price")
+
+
+@query
+def mart_developed_manual(spark, d):
+    homes, land = _staged(spark, d)
+    manual = _manual(spark, d)
+    kept = marts.manual_staging(manual, marts.building_lookup(_buildings(spark, d), {"manual": manual}), NEAR)
+    return marts.developed(homes, land, kept).where("source = 'manual'").select("source_id", "beds", "baths", M.rounded(F.col("price_per_sqft"), 2).alias("price_per_sqft"))
+
+
+@query
+def mart_home_analysis(spark, d):
+    found = _found_homes(spark, d)
+    return found.select("id", "url", "max_date", "data_span_days", *(M.rounded(F.col(c), 1).alias(c) for c in ("latest_price", "predicted_current_price", "predicted_future_price", "average_percent_gain_per_year")))
+
+
+@query
+def mart_home_summary(spark, d):
+    rows = marts.home_summary(_staged(spark, d)[0], _found_homes(spark, d).drop("url"))
+    columns = ["price_per_bedroom", "price_per_sqft", "predicted_current_price_per_bedroom", "predicted_future_price_per_sqft"]
+    return rows.select("id", *(M.rounded(F.col(c), 1).alias(c) for c in columns))
+
+
+@query
+def mart_rental_areas(spark, d):
+    levels = {"zip": "zip_code", "msa": "msa"}
+    rows = _units(spark, d).join(_buildings(spark, d).select(F.col("id").alias("building_id"), *levels.values()), "building_id").withColumn("month", F.trunc("date", "month"))
+    points = series.geo_rollup(rows, levels, ["month"], [F.avg("price").alias("price"), F.avg("effective_price").alias("effective_price")]).withColumnRenamed("month", "date")
+    about = series.distinct_by_place(rows, levels, {"total_units": "unit_id", "total_buildings": "building_id"}, largest=("zip",))
+    found = marts.area_analysis(points, {"price": "price", "effective_price": "effective_price"}, about, {"total_units": 0, "total_buildings": 0}, AS_OF)
+    columns = ["predicted_current_price", "predicted_future_effective_price", "average_percent_gain_per_year", "average_percent_gain_per_year_effective"]
+    return found.select("geography_type", "geography_value", "total_units", "total_buildings", *(M.rounded(F.col(c), 1).alias(c) for c in columns))
+
+
+@query
+def mart_home_areas(spark, d):
+    rows = _history(spark, d).withColumn("month", F.trunc("date", "month"))
+    months = series.geo_rollup(rows, {"msa": "msa", "zip": "zip_code"}, ["month"], [F.avg("price").alias("price"), F.count_distinct("id").cast("double").alias("property_count")])
+    points = series.rolling_months(months, "months", ["geography_type", "geography_value"], "month", ["price", "property_count"]).withColumnRenamed("month", "date")
+    points = tables.settled(points, "mart-home-areas")
+    known = {"total_properties_in_geography": 0, "avg_property_value": 0.0, "median_property_value": 0.0, "property_value_std_dev": 0.0}
+    found = marts.area_analysis(points, {"price": "price"}, marts.home_areas(points), known, AS_OF, recent=True)
+    columns = ["avg_property_value", "median_property_value", "property_value_std_dev", "predicted_current_price", "average_percent_gain_per_year"]
+    return found.select("geography_type", "geography_value", "total_properties_in_geography", *(M.rounded(F.col(c), 1).alias(c) for c in columns))
+
+
+@query
+def mart_lot_profitability(spark, d):
+    lots = _land(spark, d).select("id", "lat", "lon", (F.col("price") / F.nullif(F.col("lot_size"), F.lit(0.0))).alias("cost_per_acre"))
+    units = _read(spark, d, "supplier").select(*_point("s_suppkey", 9973, 9967), F.col("s_acctbal").alias("rent_per_bed"))
+    rows = marts.lot_profitability(lots, units, NEAR, 8.0)
+    return rows.select("id", *(M.rounded(F.col(c), 1).alias(c) for c in ("potential_rent_per_bed", "acre_cost_per_bed")), M.rounded(F.col("estimate_profit"), 4).alias("estimate_profit"))
+
+
 _LAND_POINT = _A.replace("10000)", "9941)", 1).replace("104729 % 10000)", "104729 % 9931)").format("p_partkey")
 _POINT_SIN = "2 * 6371008.8::double * asin(sqrt(least(pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2), 1)))"
 _STAGED = f"""build as (select s_suppkey as building_id, 'msa' || s_nationkey as msa, case when s_suppkey % 3 > 0 then s_nationkey::varchar end as bzip, s_suppkey % 10 / 10.0::double as leased, {_B.format('s_suppkey')} from supplier),
@@ -216,6 +327,36 @@ lot_prices as (select lat, lon, case when lot_sqft > 0 then price / lot_sqft end
 _PAY, _LOT_PAY = (f"({1000000 * r * (1 + r) ** 360 / ((1 + r) ** 360 - 1)!r}::double / 1000000)" for r in (8.2 / 1200, 6.25 / 1200))
 
 
+def _up(value: str, places: int = 1) -> str:
+    return f"floor({value} * {10 ** places} + 0.500001::double) / {10 ** places}"
+
+
+def _trend_sql(source: str, keys: str, values: tuple[str, ...], date: str = "date") -> str:
+    """Sums of a trend for groups with two dates or more."""
+    x = f"date_diff('day', date '1970-01-01', {date}::date)::double"
+    parts = ", ".join(
+        f"avg({v}) as m_{v}, case when regr_sxx({v}, {x}) > 0 then regr_sxy({v}, {x}) / regr_sxx({v}, {x}) else 0 end as s_{v}, arg_min({v}, {date}) as a_{v}, arg_max({v}, {date}) as z_{v}" for v in values
+    )
+    return f"select {keys}, avg({x}) as mx, min({date})::date as min_date, max({date})::date as max_date, {parts} from {source} group by {keys} having count(*) >= 2"
+
+
+def _at(v: str, ahead: int = 0) -> str:
+    return f"(m_{v} + s_{v} * ({_X0} + {ahead} - mx))"
+
+
+def _gain(v: str) -> str:
+    return f"case when max_date > min_date and a_{v} > 0 then (pow(z_{v} / a_{v}, 365.25::double / (max_date - min_date)) - 1) * 100 else 0 end"
+
+
+_RAW = """rb as (select *, date '2024-01-01' + (s_suppkey % 50)::int as created from supplier where s_acctbal > 0 qualify row_number() over (partition by s_nationkey order by date '2024-01-01' + (s_suppkey % 50)::int desc, s_suppkey) = 1)"""
+_KEPT = f"""{_STAGED}, pts as (select id, url, msa, zip_code, o_orderdate::date as date, o_totalprice as price from homes join orders on o_custkey = k where o_totalprice > 0),
+  q as (select id, quantile_cont(price, [0.25, 0.75]) as q from pts group by 1), kept as (select pts.* from pts join q using (id) where price between q[1] - 1.5 * (q[2] - q[1]) and q[2] + 1.5 * (q[2] - q[1]))"""
+_FOUND = f"{_KEPT}, byday as (select id, url, date, avg(price) as price from kept group by 1, 2, 3), g as ({_trend_sql('byday', 'id, url', ('price',))}), found as (select * from g where max_date >= date '{AS_OF}' - 210)"
+_MANUAL = f"""{_STAGED}, man as (select 'm' || n_nationkey as id, n_nationkey * 1000.0::double + 200000 as price, n_nationkey % 4 as beds, (n_nationkey % 3)::double as baths, n_nationkey * 50.0::double as interior_sqft, {_A.format('n_nationkey')} from nation),
+  mannear as (select m.*, b.building_id, b.msa, sqrt(pow(m.lat - b.lat, 2) + pow(m.lon - b.lon, 2)) * 111000 as distance from man m, build b qualify row_number() over (partition by id order by sqrt(pow(m.lat - b.lat, 2) + pow(m.lon - b.lon, 2)), building_id) = 1),
+  manual as (select * from mannear where distance <= {NEAR})"""
+
+
 ORACLE_SQL = {
     "mart_surroundings": f"""with {_MAIN}, near as (select source, source_id, string_agg(building_id::varchar, ',' order by rk) as ids from (select *, row_number() over (partition by source, source_id order by gap, building_id) as rk from
       (select p.source, p.source_id, o.building_id, {_POINT_SIN.format(a="p", b="o")} as gap from developed p, summary o) where gap <= {AROUND}) where rk <= 10 group by 1, 2)
@@ -238,5 +379,37 @@ ORACLE_SQL = {
       select geography_type, geography_value, date_trunc('month', date)::date as month, round(avg(price), 1) as price, count(distinct id) as homes from s where geography_value is not null group by 1, 2, 3""",
     "mart_buildings": f"""with {_STAGED}, {_SUMMARY} select building_id, num_units, round(rent_sqft, 3) as avg_rent_price_per_sqft, round(effective_bed, 3) as avg_effective_rent_price_per_bed, round(now_sqft, 3) as predicted_current_price_per_sqft,
       round(next_effective_bed, 3) as predicted_future_effective_price_per_bed, round(concession, 3) as concession_percentage from summary""",
-    "mart_developed": f"with {_DEVELOPED} select source, source_id, property_type, year_built, round(price / interior_sqft, 2) as price_per_sqft, round(case when lot_sqft > 0 then price / lot_sqft end, 3) as price_per_lot_sqft from developed",
+    "mart_developed": f"with {_DEVELOPED} select source, source_id, property_type, year_built, floor(price / interior_sqft * 100 + 0.500001::double) / 100 as price_per_sqft, floor(case when lot_sqft > 0 then price / lot_sqft end * 1000 + 0.500001::double) / 1000 as price_per_lot_sqft from developed",
+    "mart_rental_buildings": f"with {_RAW} select s_suppkey as id, s_name as street_address, created as created_on from rb",
+    "mart_rental_units": f"""with {_RAW}, u as (select l_orderkey || '-' || l_partkey as id, l_suppkey as building_id, l_shipdate::date as created, l_extendedprice as price,
+        coalesce(case when l_tax > 0.02 then l_quantity * 20 end, case when l_tax > 0.01 then l_quantity * 10 end, case when l_tax > 0 then l_quantity * 30 end) as sqft from lineitem
+        where l_quantity >= 10 and l_returnflag <> 'A' and (l_linenumber = 1 or l_shipdate::date >= date '{AS_OF}' - interval 24 month) and l_suppkey in (select s_suppkey from rb)),
+      n as (select * from u where sqft is not null qualify row_number() over (partition by id order by created desc, price) = 1)
+      select building_id, count(*) as units, sum(sqft) as sqft, max(created) as newest from n group by 1""",
+    "mart_rental_history": f"""with {_RAW} select l_suppkey as building_id, count(*) as leases, sum((case when l_quantity >= 10 then l_extendedprice when l_quantity >= 5 then l_extendedprice * 2 else l_extendedprice * 3 end)::decimal(18,2))::double as price
+      from lineitem where l_suppkey in (select s_suppkey from rb) group by 1""",
+    "mart_manual": f"with {_MANUAL} select id, building_id as closest_building_id, msa, interior_sqft, price from manual",
+    "mart_developed_manual": f"with {_MANUAL} select id as source_id, beds::int as beds, baths, {_up('price / interior_sqft', 2)} as price_per_sqft from manual where interior_sqft > 0",
+    "mart_home_analysis": f"with {_FOUND} select id, url, max_date, (max_date - min_date)::int as data_span_days, {_up('z_price')} as latest_price, {_up(_at('price'))} as predicted_current_price, {_up(_at('price', 365))} as predicted_future_price, {_up(_gain('price'))} as average_percent_gain_per_year from found",
+    "mart_home_summary": f"""with {_FOUND} select h.id, {_up('case when bedrooms > 0 then price / bedrooms end')} as price_per_bedroom, {_up('case when interior_sqft > 0 then price / interior_sqft end')} as price_per_sqft,
+      {_up(f"case when bedrooms > 0 then {_at('price')} / bedrooms end")} as predicted_current_price_per_bedroom, {_up(f"case when interior_sqft > 0 then {_at('price', 365)} / interior_sqft end")} as predicted_future_price_per_sqft from homes h left join found f on f.id = h.id""",
+    "mart_rental_areas": f"""with {_STAGED}, u as (select building_id, msa, bzip, l_partkey as unit, date_trunc('month', l_shipdate::date)::date as date, l_extendedprice as price, l_extendedprice * (1 - l_discount) as effective from lineitem join build on building_id = l_suppkey),
+      places as (select bzip, msa, count(distinct unit) as u, count(distinct building_id) as b from u group by 1, 2),
+      meta as (select 'zip' as t, bzip as v, max(u)::bigint as u, max(b)::bigint as b from places where bzip is not null group by 2 union all select 'msa', msa, sum(u)::bigint, sum(b)::bigint from places group by 2),
+      points as (select 'zip' as t, bzip as v, date, avg(price) as price, avg(effective) as effective from u where bzip is not null group by 2, 3 union all select 'msa', msa, date, avg(price), avg(effective) from u group by 2, 3),
+      g as ({_trend_sql('points', 't, v', ('price', 'effective'))})
+      select g.t as geography_type, g.v as geography_value, coalesce(u, 0) as total_units, coalesce(b, 0) as total_buildings, {_up(_at('price'))} as predicted_current_price, {_up(_at('effective', 365))} as predicted_future_effective_price,
+      {_up(_gain('price'))} as average_percent_gain_per_year, {_up(_gain('effective'))} as average_percent_gain_per_year_effective from g left join meta on meta.t = g.t and meta.v = g.v""",
+    "mart_home_areas": f"""with {_KEPT}, s as (select 'msa' as t, msa as v, * from kept union all select 'zip', zip_code, * from kept),
+      months as (select t, v, date_trunc('month', date)::date as date, avg(price) as price, count(distinct id)::double as n from s where v is not null group by 1, 2, 3),
+      r as (select t, v, date, avg(price) over w as price, avg(n) over w as n, count(*) over w as k, date_diff('day', min(date) over w, date) as span from months window w as (partition by t, v order by date range between interval 2 month preceding and current row)),
+      points as (select * from r where k >= 2 and span >= 30), g as ({_trend_sql('points', 't, v', ('price',))}),
+      about as (select t, v, floor(avg(n) + 0.5)::bigint as homes, avg(price) as mean, quantile_cont(price, 0.5) as median, stddev_samp(price) as deviation from points group by 1, 2)
+      select g.t as geography_type, g.v as geography_value, homes as total_properties_in_geography, {_up('mean')} as avg_property_value, {_up('median')} as median_property_value, {_up('coalesce(deviation, 0)')} as property_value_std_dev,
+      {_up(_at('price'))} as predicted_current_price, {_up(_gain('price'))} as average_percent_gain_per_year from g join about a on a.t = g.t and a.v = g.v where max_date >= date '{AS_OF}' - 210""",
+    "mart_lot_profitability": f"""with {_STAGED}, lot as (select id, lat, lon, price / nullif(p_size * 0.1::double, 0) as cost from land0 join part on 'l' || p_partkey = id),
+      pair as (select l.id, l.cost, s_acctbal as rent, {_POINT_SIN.format(a='l', b='b')} as m from lot l, build b join supplier on s_suppkey = building_id),
+      e as (select id, cost / 12 as acre, sum(exp(-0.5::double * pow(m * (3963 / 6371008.8::double) / 5, 2)) * rent) / sum(exp(-0.5::double * pow(m * (3963 / 6371008.8::double) / 5, 2))) as bed from pair
+        where m * (3963 / 6371008.8::double) <= 8 and id in (select id from pair where m <= {NEAR}) group by id, cost)
+      select id, {_up('bed')} as potential_rent_per_bed, {_up('acre')} as acre_cost_per_bed, {_up('case when acre > 0 then bed / acre end', 4)} as estimate_profit from e""",
 }

@@ -64,6 +64,24 @@ def _near_building(df: DataFrame, lookup: DataFrame, source: str, meters: float)
     return df.join(near, F.col("id") == F.col("property_id")).drop("property_id")
 
 
+def rental_buildings(buildings: DataFrame, state: str = "UT") -> DataFrame:
+    """Complete buildings of the state, the newest of those with the same listing urls; all without urls count as one."""
+    whole = filters.complete(buildings.where(F.col("state") == state), ["city", "street_address", "lat", "lon", "zip_code", "msa"])
+    return dedup.latest_by(whole, ["listing_urls"], [F.desc("created_on"), F.asc("id")])
+
+
+def rental_units(units: DataFrame, buildings: DataFrame, as_of: str) -> DataFrame:
+    """Units of the buildings with a price and an area, on the market in the last two years; no floor plans; the newest row per unit."""
+    rows = filters.coalesced(units.where("price is not null and is_floorplan = false"), "sqft", "min_sqft", "max_sqft")
+    rows = rows.where(filters.recent(F.col("exit_market"), F.lit(as_of).cast("date"))).join(buildings.select(F.col("id").alias("building_id")), "building_id", "left_semi")
+    return dedup.latest_by(rows, ["id"], [F.desc("created_on"), F.asc("price")])
+
+
+def rental_history(history: DataFrame, buildings: DataFrame) -> DataFrame:
+    """Leases of the buildings with a price: their own, or else the least or the greatest asked."""
+    return filters.coalesced(history, "price", "min_price", "max_price").join(buildings.select(F.col("id").alias("building_id")), "building_id", "left_semi")
+
+
 def home_staging(homes: DataFrame, lookup: DataFrame, meters: float = NEAR_METERS, most_lot: float = MOST_LOT_SQFT) -> DataFrame:
     """Home listings (home_type, bedrooms, bathrooms, living_area and its unit, lot_area_value and its unit) near a rental building, on small lots.
 
@@ -114,6 +132,41 @@ def analysis(points: DataFrame, keys: list[str], values: dict[str, str], as_of:
     return out
 
 
+def home_analysis(history: DataFrame, as_of: str) -> DataFrame:
+    """Trends of homes (id, url, date, price) with two dates or more, the last of them recent. Prices of a date are averaged."""
+    points = history.groupBy("id", "url", "date").agg(F.avg("price").alias("price"))
+    found = analysis(points, ["id", "url"], {"price": "price"}, as_of, least=2)
+    return filters.recently_seen(found, "max_date", as_of)
+
+
+def area_analysis(points: DataFrame, values: dict[str, str], about: DataFrame, defaults: dict[str, float], as_of: str, recent: bool = False) -> DataFrame:
+    """Trends of areas (geography_type, geography_value) with two dates or more, with what is known about each, or else the defaults."""
+    keys = ["geography_type", "geography_value"]
+    found = analysis(points, keys, values, as_of, least=2)
+    found = filters.recently_seen(found, "max_date", as_of) if recent else found
+    joined = found.join(about.select(*keys, *defaults), keys, "left")
+    return joined.withColumns({c: F.coalesce(c, F.lit(x)) for c, x in defaults.items()})
+
+
+def home_areas(points: DataFrame) -> DataFrame:
+    """What is known about each area from its dates (price, property_count): homes per date, mean, median and deviation of prices."""
+    return points.groupBy("geography_type", "geography_value").agg(
+        F.floor(F.avg("property_count") + 0.5).cast("long").alias("total_properties_in_geography"), F.avg("price").alias("avg_property_value"), F.percentile("price", 0.5).alias("median_property_value"),
+        F.stddev_samp("price").alias("property_value_std_dev"),
+    )
+
+
+def lot_profitability(lots: DataFrame, units: DataFrame, near_meters: float = 16093.44, radius_miles: float = 1.0, beds_per_acre: int = 12) -> DataFrame:
+    """Lots (id, lat, lon, cost_per_acre) near rented units (lat, lon, rent_per_bed), by the rent of a bed over its share of an acre's cost."""
+    per_meter = 3963 / 6371008.8  # miles, on the sphere of this estimate
+    close = spatial.within(lots, units, "id", near_meters)
+    pairs = spatial.radius_join(close, units, radius_miles / per_meter)
+    w = M.gaussian_weight(F.col("distance") * per_meter, 5.0)
+    rents = pairs.groupBy("id").agg((F.sum(w * F.col("r_rent_per_bed")) / F.sum(w)).alias("potential_rent_per_bed"))
+    rows = close.join(rents, "id").withColumn("acre_cost_per_bed", F.col("cost_per_acre") / beds_per_acre)
+    return rows.withColumn("estimate_profit", M.ratio(F.col("potential_rent_per_bed"), F.col("acre_cost_per_bed"))).orderBy(F.desc_nulls_last("estimate_profit"), "id")
+
+
 def building_summary(buildings: DataFrame, units: DataFrame, found: DataFrame) -> DataFrame:
     """Buildings with means of their units (bed, bath, sqft, price, effective_price) and all prices per square foot and per bed."""
     means = units.groupBy("building_id").agg(

@@ -7,7 +7,7 @@ _SUPPLIERS = f"supp as (select s_suppkey, s_name, s_acctbal, {_B.format('s_suppk
 _DISTANCE = "2 * 6371008.8::double * asin(sqrt(least(pow(sin(radians({1}.lat - {0}.lat) / 2), 2) + cos(radians({0}.lat)) * cos(radians({1}.lat)) * pow(sin(radians({1}.lon - {0}.lon) / 2), 2), 1)))"
 _PAIRS = f"{_CUSTOMERS}, {_SUPPLIERS}, pairs as (select * from (select c.c_custkey, c.c_acctbal, c.lat, c.lon, s.s_suppkey, s.s_name, s.s_acctbal, s.lat as slat, s.lon as slon, {_DISTANCE.format('c', 's')} as distance from cust c, supp s) where distance <= 8046.7)"
 _URLS = "urls as (select (event_id % 4000)::varchar as url, event_type as state, case when value > 20 then ts::date end as scraped_at, ts as created_at, case when event_id % 3 = 0 then ts end as last_pulled, event_id from events)"
-_LISTINGS = "listings as (select (o_custkey % 400)::varchar as url, o_orderdate as created_at, o_orderkey as id from orders)"
+_LISTINGS = "listings as (select (o_custkey % 400)::varchar as url, o_orderdate as created_at, o_orderkey as id, o_orderstatus as status, o_orderpriority as priority from orders)"
 _LEASES = "leases as (select o_orderkey, o_custkey as building_id, o_orderdate::date as from_date, o_totalprice as price, o_orderpriority, to_date from orders join (select l_orderkey, max(l_shipdate::date) as to_date from lineitem group by 1) on l_orderkey = o_orderkey)"
 _WEEKLY = f"""{_LEASES},
 grid as (select unnest(generate_series((select min(from_date) from leases), (select max(to_date) from leases), interval 7 day))::date as date),
@@ -19,7 +19,7 @@ stacked as (select 'segment' as geography_type, segment as geography_value, date
   union all select 'region', r_name, date, price from located union all select 'priority', o_orderpriority, date, price from located),
 rolled as (select geography_type, geography_value, date, sum(price::decimal(18,2))::double / count(price) as price, count(*) as unit_count from stacked where geography_value is not null group by 1, 2, 3)"""
 _MONTHLY = "monthly as (select c_nationkey, date_trunc('month', o_orderdate)::date as date, avg(o_totalprice) as price from orders join customer on c_custkey = o_custkey group by 1, 2)"
-_DAYS = "days as (select user_id, ts::date as day, round(sum(value), 6) as v from events group by 1, 2)"
+_DAYS = "days as (select user_id, ts::date as day, sum(value::decimal(20,6))::double as v from events group by 1, 2)"
 _SMOOTH = f"""{_PAIRS}, weighted as (select *, exp(-4.4::double * distance / 8046.7) as w, case when s_acctbal > 0 then s_acctbal end as v from pairs),
 means as (select c_custkey, sum(w * v) / nullif(sum(case when v is not null then w end), 0) as average, round_even(sum(w * s_suppkey) / sum(w), 0)::int as average_key, count(*) as neighbours from weighted group by 1),
 smooth as (select c.c_custkey, round(average, 3) as average, average_key, coalesce(neighbours, 0)::bigint as neighbours from cust c left join means m on m.c_custkey = c.c_custkey)"""
@@ -103,7 +103,7 @@ ORACLE_SQL = {
       with d as (select o_orderpriority, o_orderdate::date as date, avg(o_totalprice) as price, count(*)::double as n from orders group by 1, 2),
       r as (select o_orderpriority, date, avg(price) over w as price, avg(n) over w as property_count, count(*) over w as window_rows, date_diff('day', min(date) over w, date) as window_days
         from d window w as (partition by o_orderpriority order by date range between interval 2 month preceding and current row))
-      select o_orderpriority, date, round(price, 1) as price, round(property_count, 3) as property_count, window_rows, window_days from r where window_rows >= 2 and window_days >= 30""",
+      select o_orderpriority, date, floor(price * 10 + 0.500001::double) / 10 as price, floor(property_count * 1000 + 0.500001::double) / 1000 as property_count, window_rows, window_days from r where window_rows >= 2 and window_days >= 30""",
     "json_history": "select user_id, ts::date as date, count(*) as n, round(sum(round(value, 2)), 2) as price from events group by 1, 2",
     "json_roundtrip": "select event_id, case when event_id % 5 <> 0 then replace(props, ' ', '') end as props from events",
     "trend_by_nation": f"""
@@ -149,7 +149,7 @@ ORACLE_SQL = {
       with {_DAYS}, h as (select user_id, day, case when extract(day from day) % 4 = 1 then v end as v, row_number() over (partition by user_id order by day) as i from days), k as (select *, case when v is not null then i end as pos from h),
       f as (select *, arg_max(v, pos) over b as a, max(pos) over b as ai, arg_min(v, pos) over n as z, min(pos) over n as zi from k
         window b as (partition by user_id order by day rows between unbounded preceding and current row), n as (partition by user_id order by day rows between current row and unbounded following))
-      select user_id, day, round(case when v is not null then v when i - ai <= 2 then case when zi is null then a else a + (z - a) * (i - ai) / (zi - ai) end end, 3) as v from f""",
+      select user_id, day, floor(case when v is not null then v when i - ai <= 2 then case when zi is null then a else a + (z - a) * (i - ai) / (zi - ai) end end * 1000 + 0.500001::double) / 1000 as v from f""",
     "weeks_ahead": f"""
       with {_DAYS}, l as (select user_id, max(day) as day, arg_max(v, day) as v from days group by 1), w as (select user_id, week, (day + week::int * 7) as day, v from l, generate_series(1, 4) s(week))
       select user_id, week, day, extract(year from day) as year, extract(month from day) as month, extract(quarter from day) as quarter, round(v, 3) as v from w""",
@@ -158,18 +158,18 @@ ORACLE_SQL = {
       select c_nationkey, date, extract(year from date) as year, month, extract(quarter from date) as quarter, (month in (12, 1, 2))::bigint as season_winter, (month in (3, 4, 5))::bigint as season_spring, (month in (6, 7, 8))::bigint as season_summer, (month in (9, 10, 11))::bigint as season_fall from m""",
     "claimable_urls": f"with {_URLS} select url, min(state) as state from urls group by 1 having count(scraped_at) = 0 and count(*) filter (last_pulled > timestamp '2024-01-30' - interval 48 hour) = 0",
     "marked_scraped": f"""
-      with {_URLS}, {_LISTINGS}, m as (select u.*, url in (select url from listings where id % 3 = 0) as hit from urls u)
+      with {_URLS}, {_LISTINGS}, m as (select u.*, url in (select url from listings where status = 'F') as hit from urls u)
       select case when hit then date '2001-09-01' else scraped_at end as scraped_at, count(*) as n, count(case when not hit then last_pulled end) as leased from m group by 1""",
-    "reset_never_scraped": f"with {_URLS}, {_LISTINGS} select url, count(case when url in (select url from listings where id % 50 = 0) then scraped_at end) as scraped from urls group by 1",
+    "reset_never_scraped": f"with {_URLS}, {_LISTINGS} select url, count(case when url in (select url from listings where status = 'F' and priority = '1-URGENT') then scraped_at end) as scraped from urls group by 1",
     "backfill_scraped": f"with {_URLS}, {_LISTINGS} select u.url, event_id, coalesce(scraped_at, d) as scraped_at from urls u left join (select url, max(created_at)::date as d from listings group by 1) n on n.url = u.url",
     "upsert_absent": "select c_custkey as id, c_name as name from customer union all select p_partkey, 'new' from part where p_partkey not in (select c_custkey from customer)",
     "page_progress": "select o_custkey, count(distinct o_orderkey) as pages_done, min(o_orderkey) as first_page, max(o_orderkey) as last_page, max(o_orderkey) + 1 as next_page from orders group by 1",
     "page_gaps": """
-      with p as (select distinct o_orderpriority, o_custkey * 3 % 997 as page from orders where o_custkey * 3 % 997 % 2 = 0), s as (select o_orderpriority, unnest(generate_series(min(page), max(page))) as page from p group by 1)
+      with p as (select distinct o_orderpriority, o_custkey * 3 % 997 as page from orders where o_orderstatus = 'F'), s as (select o_orderpriority, unnest(generate_series(min(page), max(page))) as page from p group by 1)
       select * from s except select * from p""",
     "snapshot_diff": """
-      with e as (select user_id as url, ts::date as lastmod, event_id from events), n as (select url, max(lastmod) as lastmod from e group by 1)
-      select url, lastmod, case when (url, lastmod) in (select (url, lastmod) from e where event_id % 2 = 0) then 'unchanged' else 'new_or_changed' end as change from n""",
+      with e as (select user_id as url, ts::date as lastmod, event_type from events), n as (select url, max(lastmod) as lastmod from e group by 1)
+      select url, lastmod, case when (url, lastmod) in (select (url, lastmod) from e where event_type in ('view', 'error')) then 'unchanged' else 'new_or_changed' end as change from n""",
     "reconcile_report": f"""
       with {_URLS}, {_LISTINGS}
       select 'events' as source, measure, value::bigint as value from (
@@ -195,5 +195,16 @@ ORACLE_SQL = {
     "lot_sizes": "select p_partkey, round(p_retailprice, 1) as value, case when p_partkey % 2 = 0 then 'acres' else 'sqft' end as unit from part",
     "list_items": "select p_partkey, p_brand || '|' || p_type || '|x' || p_size as items from part",
     "synced_rows": "select event_id, replace(props, ' ', '') as props, event_type from events",
+    "seeded_sample": "select c_custkey, c_name from customer order by md5('7:' || c_custkey), c_custkey limit 20",
     "slice_counts": "select c_mktsegment, count(*) as rows from customer group by 1",
+    "first_by_id": "select o_orderkey, o_custkey from orders order by o_orderkey limit 10",
+    "newest_events": "select event_id, ts from events order by ts desc, event_id desc limit 5",
+    "distinct_listing": "select distinct o_orderpriority, o_orderstatus from orders order by 1, 2 limit 12",
+    "newest_per_url": f"with {_LISTINGS} select url, id from listings qualify row_number() over (partition by url order by created_at desc, id) = 1",
+    "listed_in_queue": f"with {_URLS}, {_LISTINGS} select url, id from listings where url in (select url from urls where scraped_at is null) qualify row_number() over (partition by url order by created_at desc, id) = 1",
+    "latest_for_display": f"with {_DAYS} select user_id, day, v from days qualify row_number() over (partition by user_id order by day desc) = 1",
+    "declared_columns": "select c_custkey::varchar as c_custkey, trunc(c_acctbal)::bigint as c_acctbal, null::varchar as c_phone from customer",
+    "replaced_table": "select c_custkey, c_acctbal, c_mktsegment from customer where c_acctbal > 0",
+    "appended_rows": """select s_suppkey, '{"s_name":"' || s_name || '","s_nationkey":' || s_nationkey || '}' as about, 2::bigint as times from supplier""",
+    "seed_file": """select n_name || ', "x"' as name, n_nationkey as key from nation""",
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acreage.functions import maths as M
 from acreage.functions import text as X
@@ -56,7 +57,7 @@ def _urls(spark, d):
 
 def _listings(spark, d):
     o = _read(spark, d, "orders")
-    return o.select((F.col("o_custkey") % 400).cast("string").alias("url"), F.col("o_orderdate").alias("created_at"), F.col("o_orderkey").alias("id"))
+    return o.select((F.col("o_custkey") % 400).cast("string").alias("url"), F.col("o_orderdate").alias("created_at"), F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
 
 
 @query
@@ -145,17 +146,17 @@ def _leases(spark, d):
     return o.join(shipped, "o_orderkey")
 
 
-def _weekly(spark, d):
-    leases = _leases(spark, d)
+def _current_leases(spark, d):
+    """Leases of buildings with a lease in the last months, and where the grid of weeks begins."""
+    leases = tables.settled(_leases(spark, d), "leases")
     latest = leases.groupBy("building_id").agg(F.max("to_date").alias("last")).where(F.col("last") >= F.add_months(F.lit(AS_OF).cast("date"), -7)).select("building_id")
     start = leases.agg(F.min("from_date").alias("grid_start"))
-    rows = leases.join(latest, "building_id", "left_semi").crossJoin(F.broadcast(start))  # one row
-    return series.expand_intervals(rows, "from_date", "to_date", F.col("grid_start"))
+    return leases.join(latest, "building_id", "left_semi").crossJoin(F.broadcast(start))  # one row
 
 
 @query
 def weekly_history(spark, d):
-    return _weekly(spark, d).groupBy("building_id", "date").agg(_exact_avg("price").alias("price"), F.count("*").alias("units"))
+    return series.interval_means(_current_leases(spark, d), ["building_id"], "from_date", "to_date", F.col("grid_start"), "price", "units")
 
 
 @query
@@ -167,9 +168,9 @@ def date_grid(spark, d):
 def geo_rollup(spark, d):
     nation = _read(spark, d, "nation").join(_read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     where = _read(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("c_custkey").alias("building_id"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"), "n_name", "r_name")
-    rows = _weekly(spark, d).join(where, "building_id")
     levels = {"segment": "segment", "nation": "n_name", "region": "r_name", "priority": "o_orderpriority"}
-    return series.geo_rollup(rows, levels, ["date"], [_exact_avg("price").alias("price"), F.count("*").alias("unit_count")])
+    rows = series.by_level(_current_leases(spark, d).join(where, "building_id"), levels)
+    return series.interval_means(rows, ["geography_type", "geography_value"], "from_date", "to_date", F.col("grid_start"), "price", "unit_count")
 
 
 @query
@@ -212,7 +213,7 @@ def _daily(spark, d):
 @query
 def rolling_quarter(spark, d):
     r = series.rolling_months(_daily(spark, d), "daily", ["o_orderpriority"], "date", ["price", "property_count"])
-    return r.select("o_orderpriority", "date", F.round("price", 1).alias("price"), F.round("property_count", 3).alias("property_count"), "window_rows", F.col("window_days").cast("long").alias("window_days"))
+    return r.select("o_orderpriority", "date", M.rounded(F.col("price"), 1).alias("price"), M.rounded(F.col("property_count"), 3).alias("property_count"), "window_rows", F.col("window_days").cast("long").alias("window_days"))
 
 
 @query
@@ -370,7 +371,7 @@ def flip_rank_accepted(spark, d):
 
 
 def _days(spark, d):
-    return _read(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.round(F.sum("value"), 6).alias("v"))
+    return _read(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.sum(F.col("value").cast("decimal(20,6)")).cast("double").alias("v"))
 
 
 @query
@@ -387,7 +388,7 @@ def rolling_rows(spark, d):
 @query
 def interpolated(spark, d):
     holes = _days(spark, d).withColumn("v", F.when(F.dayofmonth("day") % 4 == 1, F.col("v")))
-    return series.interpolated(holes, ["user_id"], "day", "v").select("user_id", "day", F.round("v", 3).alias("v"))
+    return series.interpolated(holes, ["user_id"], "day", "v").select("user_id", "day", M.rounded(F.col("v"), 3).alias("v"))
 
 
 @query
@@ -409,13 +410,13 @@ def claimable_urls(spark, d):
 
 @query
 def marked_scraped(spark, d):
-    done = _listings(spark, d).where("id % 3 = 0")
+    done = _listings(spark, d).where("status = 'F'")
     return work_queue.mark_scraped(_urls(spark, d), done, F.lit(AS_OF).cast("date")).groupBy("scraped_at").agg(F.count("*").alias("n"), F.count("last_pulled").alias("leased"))
 
 
 @query
 def reset_never_scraped(spark, d):
-    return work_queue.reset_never_scraped(_urls(spark, d), _listings(spark, d).where("id % 50 = 0")).groupBy("url").agg(F.count("scraped_at").alias("scraped"))
+    return work_queue.reset_never_scraped(_urls(spark, d), _listings(spark, d).where("status = 'F' and priority = '1-URGENT'")).groupBy("url").agg(F.count("scraped_at").alias("scraped"))
 
 
 @query
@@ -437,14 +438,14 @@ def page_progress(spark, d):
 
 @query
 def page_gaps(spark, d):
-    o = _read(spark, d, "orders").select("o_orderpriority", (F.col("o_custkey") * 3 % 997).alias("page"))
-    return work_queue.page_gaps(o.where("page % 2 = 0"), "o_orderpriority", "page")
+    o = _read(spark, d, "orders").where("o_orderstatus = 'F'").select("o_orderpriority", (F.col("o_custkey") * 3 % 997).alias("page"))
+    return work_queue.page_gaps(o, "o_orderpriority", "page")
 
 
 @query
 def snapshot_diff(spark, d):
-    e = _read(spark, d, "events").select(F.col("user_id").alias("url"), F.to_date("ts").alias("lastmod"), "event_id")
-    return work_queue.snapshot_diff(e, e.where("event_id % 2 = 0"))
+    e = _read(spark, d, "events").select(F.col("user_id").alias("url"), F.to_date("ts").alias("lastmod"), "event_type")
+    return work_queue.snapshot_diff(e, e.where("event_type in ('view', 'error')"))
 
 
 @query
@@ -526,4 +527,73 @@ def synced_rows(spark, d):
 
 @query
 def slice_counts(spark, d):
-    return _read(spark, d, "customer").groupBy("c_mktsegment").agg(F.count("*").alias("rows"))
+    c = _read(spark, d, "customer")
+    segments = [r[0] for r in c.where("c_mktsegment is not null").select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]  # the slices to copy, a few
+    return tables.copy_slices(c, tables.scratch(spark, "slices"), "c_mktsegment", segments)
+
+
+@query
+def first_by_id(spark, d):
+    return _read(spark, d, "orders").orderBy("o_orderkey").limit(10).select("o_orderkey", "o_custkey")
+
+
+@query
+def newest_events(spark, d):
+    return _read(spark, d, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(5).select("event_id", "ts")
+
+
+@query
+def distinct_listing(spark, d):
+    return _read(spark, d, "orders").select("o_orderpriority", "o_orderstatus").distinct().orderBy("o_orderpriority", "o_orderstatus").limit(12)
+
+
+@query
+def newest_per_url(spark, d):
+    return dedup.latest_by(_listings(spark, d), ["url"], [F.desc("created_at"), F.asc("id")]).select("url", "id")
+
+
+@query
+def listed_in_queue(spark, d):
+    open_ = _urls(spark, d).where("scraped_at is null").select("url")
+    return dedup.latest_by(_listings(spark, d).join(open_, "url", "left_semi"), ["url"], [F.desc("created_at"), F.asc("id")]).select("url", "id")
+
+
+@query
+def latest_for_display(spark, d):
+    return dedup.latest_by(_days(spark, d), ["user_id"], [F.desc("day")]).select("user_id", "day", "v")
+
+
+@query
+def declared_columns(spark, d):
+    """A raw table read by its schema, with the columns that a sink declares: one is missing, one has another type."""
+    raw = tables.read_raw(spark, f"{d}/customer.parquet", "c_custkey long, c_name string, c_acctbal double")
+    return tables.as_declared(raw, T.StructType().add("c_custkey", "string").add("c_acctbal", "long").add("c_phone", "string"))
+
+
+@query
+def replaced_table(spark, d):
+    """A table that is written, replaced by other rows, partitioned, and read back."""
+    path = tables.scratch(spark, "replaced")
+    c = _read(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    tables.replace_table(c, path, ["c_mktsegment"], stamp=None)
+    tables.replace_table(c.where("c_acctbal > 0"), path, ["c_mktsegment"], stamp=None)
+    return spark.read.parquet(path)
+
+
+@query
+def appended_rows(spark, d):
+    """Two appends of rows with nested values as JSON text, read back."""
+    path = tables.scratch(spark, "appended")
+    s = _read(spark, d, "supplier").select("s_suppkey", F.struct("s_name", "s_nationkey").alias("about"))
+    for _ in range(2):
+        tables.append_rows(s, path)
+    return spark.read.schema("s_suppkey long, about string").json(path).groupBy("s_suppkey", "about").agg(F.count("*").alias("times"))
+
+
+@query
+def seed_file(spark, d):
+    """A CSV file with quoted commas, written and read as a seed."""
+    path = tables.scratch(spark, "seed")
+    n = _read(spark, d, "nation").select(F.concat(F.col("n_name"), F.lit(', "x"')).alias("name"), F.col("n_nationkey").cast("int").alias("key"))
+    n.write.option("header", True).option("escape", '"').csv(path)
+    return tables.read_seed(spark, path, "name string, key int")
