@@ -276,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `sample` ids
         .mapInArrow(_sparse, f"doc_id {kind}, label int, cells array<int>, weights array<float>")
-        .orderBy(F.xxhash64("doc_id", F.lit("order")), "doc_id").limit(sample).toArrow()
+        .orderBy(F.xxhash64("doc_id", F.lit("order")), "doc_id").limit(sample).select("label", "cells", "weights").toArrow()
     )
     labelled = rows.column("label").to_numpy()
     y, toxic = ((labelled >> k & 1).astype(float) for k in (0, 1))
@@ -286,7 +286,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     if len(y) < 30 or min(y[:cut].sum(), cut - y[:cut].sum(), y[cut:].sum(), len(y) - cut - y[cut:].sum()) < 2:
         return None
     ends = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(rows.column("cells")).to_numpy())]).astype(np.int64)
-    cells, values = (np.concatenate([x.flatten().to_numpy() for x in rows.column(c).chunks]) for c in ("cells", "weights"))
+    cells = np.concatenate([x.flatten().to_numpy() for x in rows.column("cells").chunks])
+    rows = rows.select(["weights"])
+    values = np.concatenate([x.flatten().to_numpy() for x in rows.column("weights").chunks])
     del rows
     pa.default_memory_pool().release_unused()  # the driver keeps little
     weights, bias = _descend(cells[: ends[cut]], values[: ends[cut]], ends[: cut + 1], y[:cut], weight[:cut], epochs)
