@@ -251,8 +251,26 @@ def _fit_presence(cells: np.ndarray, ends: np.ndarray, toxic: np.ndarray, weight
     return Classifier(weights, bias, slope, offset)
 
 
+def _fitted(rows: pa.Table, several: dict[int, int], epochs: int) -> Classifier | None:
+    """The classifier of labelled sparse rows in the order of ``at``, weighted by their kind's share of ``several``."""
+    rows = rows.take(np.argsort(rows.column("at").to_numpy(), kind="stable"))
+    labelled = rows.column("label").to_numpy()
+    y, toxic = ((labelled >> k & 1).astype(float) for k in (0, 1))
+    weight = np.array([several[k] for k in labelled.tolist()], float) / np.maximum(np.bincount(labelled, minlength=4)[labelled], 1)
+    weight /= max(weight.mean(), 1e-9) if len(weight) else 1
+    cut = len(y) * 2 // 3
+    if len(y) < 30 or min(y[:cut].sum(), cut - y[:cut].sum(), y[cut:].sum(), len(y) - cut - y[cut:].sum()) < 2:
+        return None
+    ends = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(rows.column("cells")).to_numpy())]).astype(np.int64)
+    cells, values = (np.concatenate([x.flatten().to_numpy() for x in rows.column(c).chunks]) for c in ("cells", "weights"))
+    weights, bias = _descend(cells[: ends[cut]], values[: ends[cut]], ends[: cut + 1], y[:cut], weight[:cut], epochs)
+    score = _scores(cells, values, ends, weights) + bias
+    slope, offset = _calibrate(score[cut:], y[cut:], weight[cut:])
+    return Classifier(weights, bias, slope, offset, _fit_presence(cells, ends, toxic, weight, cut, epochs))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = 60) -> Classifier | None:
-    """Fit on at most ``sample`` labelled rows; the driver gets hashed features of these rows, no texts.
+    """Fit on at most ``sample`` labelled rows, in one task; the driver gets the weights alone.
 
     A quarter of the sample is kept for each kind of row (of good or bad quality,
     toxic or not) that has so many, and rows are weighted by their kind's share of all
@@ -273,28 +291,31 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     if chosen is None:
         return None
     kind = docs.schema["doc_id"].dataType.simpleString()
+    at = F.xxhash64("doc_id", F.lit("order"))
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `sample` ids
         .mapInArrow(_sparse, f"doc_id {kind}, label int, cells array<int>, weights array<float>")
-        .orderBy(F.xxhash64("doc_id", F.lit("order")), "doc_id").limit(sample).select("label", "cells", "weights").toArrow()
+        .orderBy(at, "doc_id").limit(sample).select(at.alias("at"), "label", "cells", "weights")
     )
-    labelled = rows.column("label").to_numpy()
-    y, toxic = ((labelled >> k & 1).astype(float) for k in (0, 1))
-    weight = np.array([several[k] for k in labelled.tolist()], float) / np.maximum(np.bincount(labelled, minlength=4)[labelled], 1)
-    weight /= max(weight.mean(), 1e-9) if len(weight) else 1
-    cut = len(y) * 2 // 3
-    if len(y) < 30 or min(y[:cut].sum(), cut - y[:cut].sum(), y[cut:].sum(), len(y) - cut - y[cut:].sum()) < 2:
-        return None
-    ends = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(rows.column("cells")).to_numpy())]).astype(np.int64)
-    cells = np.concatenate([x.flatten().to_numpy() for x in rows.column("cells").chunks])
-    rows = rows.select(["weights"])
-    values = np.concatenate([x.flatten().to_numpy() for x in rows.column("weights").chunks])
-    del rows
-    pa.default_memory_pool().release_unused()  # the driver keeps little
-    weights, bias = _descend(cells[: ends[cut]], values[: ends[cut]], ends[: cut + 1], y[:cut], weight[:cut], epochs)
-    score = _scores(cells, values, ends, weights) + bias
-    slope, offset = _calibrate(score[cut:], y[cut:], weight[cut:])
-    return Classifier(weights, bias, slope, offset, _fit_presence(cells, ends, toxic, weight, cut, epochs))
+
+    def go(table: pa.Table) -> pa.Table:
+        model = _fitted(table, several, epochs)
+        parts = [m for m in (model, model and model.presence) if m]
+        return pa.table(
+            {
+                "part": pa.array(range(len(parts)), pa.int32()),
+                "weights": pa.array([m.weights for m in parts], pa.list_(pa.float32())),
+                **{c: pa.array([getattr(m, c) for m in parts], pa.float64()) for c in ("bias", "slope", "offset")},
+            }
+        )
+
+    # a group of at most `sample` rows
+    found = rows.groupBy().applyInArrow(go, "part int, weights array<float>, bias double, slope double, offset double").toArrow().sort_by("part")
+    model = None
+    for k in reversed(range(found.num_rows)):
+        weights = found.column("weights")[k].values.to_numpy()
+        model = Classifier(weights, *(found.column(c)[k].as_py() for c in ("bias", "slope", "offset")), model)
+    return model
 
 
 def apply_rules(docs: DataFrame, model: Classifier | None, keep_from: float = KEEP_FROM, prefix: str = "") -> DataFrame:
