@@ -32,7 +32,7 @@ def mortgage_payment(principal: Column, yearly_percent: float, years: int = 30)
 
 def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius: float = EARTH_METERS) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), F.lit(2.0))
-    return F.lit(2 * radius) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
+    return F.lit(2 * radius) * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))  # null without a coordinate
 
 
 def miles(meters: Column) -> Column:

@@ -8,13 +8,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreage.functions.maths import DEGREE_METERS, haversine
+from acreage.sources.scratch import settled
 
 
-def _cells(df: DataFrame, lat: str, lon: str, step: tuple[float, float], spread: bool) -> DataFrame:
+def _cells(df: DataFrame, lat: str, lon: str, step: tuple[float, float], spread: bool, columns: int | None = None) -> DataFrame:
+    """Rows with their cell, or with all nine around it. ``columns``: so many make a full circle, and the last meets the first."""
     row, column = F.floor(F.col(lat) / step[0]), F.floor(F.col(lon) / step[1])
+    wrapped = lambda c: F.pmod(c, F.lit(columns)) if columns else c
     if not spread:
-        return df.withColumns({"_row": row, "_column": column})
-    around = [F.struct((row + a).alias("r"), (column + b).alias("c")) for a in (-1, 0, 1) for b in (-1, 0, 1)]
+        return df.withColumns({"_row": row, "_column": wrapped(column)})
+    beside = sorted({b % columns for b in (-1, 0, 1)}) if columns else (-1, 0, 1)
+    around = [F.struct((row + a).alias("r"), wrapped(column + b).alias("c")) for a in (-1, 0, 1) for b in beside]
     return df.withColumn("_cell", F.explode(F.array(*around))).withColumns({"_row": F.col("_cell.r"), "_column": F.col("_cell.c")}).drop("_cell")
 
 
@@ -23,18 +27,19 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def radius_join(left: DataFrame, right: DataFrame, meters: float, prefix: str = "r_", degree_circle: float | None = None, max_abs_lat: float | None = None) -> DataFrame:
-    """All pairs within ``meters``, with ``distance``. Both sides have lat and lon; the right side's columns get the prefix.
+    """All pairs within ``meters``, with ``distance``, also across longitude 180. Both sides have lat and lon; the right side's columns get the prefix.
 
     Cells are at least as large as the radius, so 3 x 3 of them cover it; the
     smaller side should be the right one. ``degree_circle`` also asks that the
     pair lies in a circle of so many degrees, as a planar index would.
     """
     if max_abs_lat is None:
-        max_abs_lat = max((d.agg(F.max(F.abs("lat"))).first()[0] or 0.0) for d in (left, right))
+        max_abs_lat = left.select("lat").unionByName(right.select("lat")).agg(F.max(F.abs("lat"))).first()[0] or 0.0
     step = meters / DEGREE_METERS * 1.01
-    steps = (step, step / max(math.cos(math.radians(min(max_abs_lat + step, 89.0))), 1e-3))
-    a = _cells(left.dropna(subset=["lat", "lon"]), "lat", "lon", steps, spread=False)
-    b = _cells(_prefixed(right.dropna(subset=["lat", "lon"]), prefix), f"{prefix}lat", f"{prefix}lon", steps, spread=True)
+    columns = max(1, int(360 * max(math.cos(math.radians(min(max_abs_lat + step, 89.0))), 1e-3) / step))
+    steps = (step, 360 / columns)
+    a = _cells(left.dropna(subset=["lat", "lon"]), "lat", "lon", steps, False, columns)
+    b = _cells(_prefixed(right.dropna(subset=["lat", "lon"]), prefix), f"{prefix}lat", f"{prefix}lon", steps, True, columns)
     pairs = a.join(b, ["_row", "_column"]).drop("_row", "_column")
     pairs = pairs.withColumn("distance", haversine(F.col("lat"), F.col("lon"), F.col(f"{prefix}lat"), F.col(f"{prefix}lon"))).where(F.col("distance") <= meters)
     if degree_circle is not None:
@@ -47,24 +52,40 @@ def planar_degrees(prefix: str) -> Column:
     return F.sqrt(F.pow(F.col("lat") - F.col(f"{prefix}lat"), F.lit(2.0)) + F.pow(F.col("lon") - F.col(f"{prefix}lon"), F.lit(2.0)))
 
 
+def _start_cell(points: DataFrame, lat: str, lon: str, cell: float, most: int = 64, least: float = 5e-5) -> float:
+    """The widest of ``cell``, ``cell`` / 4 and so on with ``most`` points or fewer in its busiest cell."""
+    while cell / 4 >= least:
+        busiest = _cells(points, lat, lon, (cell, cell), spread=False).groupBy("_row", "_column").count().agg(F.max("count")).first()[0] or 0
+        if busiest <= most:
+            break
+        cell /= 4
+    return cell
+
+
 def nearest(left: DataFrame, right: DataFrame, key: str, tie: str, prefix: str = "r_", cell: float = 0.05) -> DataFrame:
     """Each left row with its nearest right row in planar degrees, ``distance`` = degrees * 111000; ties go to the least ``tie``.
 
-    Square cells, of which 3 x 3 are looked at. A hit within one cell's width
-    is the nearest; rows without one go on with cells four times as wide.
+    Square cells, of which 3 x 3 are looked at; the first are so narrow that
+    few right rows share one, and right rows at one place count once. A hit
+    within one cell's width is the nearest; rows without one go on with cells
+    four times as wide. Each round is written, so later ones don't repeat it.
     """
     points = left.dropna(subset=["lat", "lon"])
-    other = _prefixed(right.dropna(subset=["lat", "lon"]), prefix)
+    places = right.dropna(subset=["lat", "lon"])
+    places = places.groupBy("lat", "lon").agg(F.min_by(F.struct(*places.columns), F.struct(tie)).alias("_first")).select("_first.*")
+    other = settled(_prefixed(places, prefix), "nearest-places")
+    cell = _start_cell(other, f"{prefix}lat", f"{prefix}lon", cell)
     best = F.min_by(F.struct(*other.columns, "_degrees"), F.struct("_degrees", f"{prefix}{tie}"))
     done = None
     while True:
         steps = (cell, cell)
         pairs = _cells(points, "lat", "lon", steps, spread=False).join(_cells(other, f"{prefix}lat", f"{prefix}lon", steps, spread=True), ["_row", "_column"])
-        hit = pairs.withColumn("_degrees", planar_degrees(prefix)).groupBy(key).agg(best.alias("_best")).where(F.col("_best._degrees") <= cell).persist()
+        hit = pairs.withColumn("_degrees", planar_degrees(prefix)).groupBy(key).agg(best.alias("_best")).where(F.col("_best._degrees") <= cell)
+        hit = settled(hit, "nearest-hits")
         found = points.join(hit, key).select(*points.columns, *(F.col(f"_best.{c}").alias(c) for c in other.columns), (F.col("_best._degrees") * DEGREE_METERS).alias("distance"))
         done = found if done is None else done.unionByName(found)
-        points = points.join(hit.select(key), key, "left_anti").persist()
-        if cell > 720 or not points.limit(1).count():
+        points = settled(points.join(hit.select(key), key, "left_anti"), "nearest-left")
+        if cell > 720 or points.isEmpty():
             return done
         cell *= 4
 

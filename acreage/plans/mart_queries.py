@@ -67,7 +67,7 @@ def _staged(spark, d):
 def _summary(spark, d):
     units = _units(spark, d)
     points = units.groupBy("building_id", F.trunc("date", "month").alias("date")).agg(F.avg("price").alias("price"), F.avg("effective_price").alias("effective_price"))
-    found = marts.analysis(points, ["building_id"], {"price": "price", "effective_price": "effective_price"}, AS_OF, least=8)
+    found = marts.analysis(points, ["building_id"], {"price": "price", "effective_price": "effective_price"}, AS_OF, least=8, without_outliers=True)
     return tables.settled(marts.building_summary(_buildings(spark, d), units, found), "mart-buildings")
 
 
@@ -263,6 +263,42 @@ def mart_lot_profitability(spark, d):
     return rows.select("id", *(M.rounded(F.col(c), 1).alias(c) for c in ("potential_rent_per_bed", "acre_cost_per_bed")), M.rounded(F.col("estimate_profit"), 4).alias("estimate_profit"))
 
 
+def _all_sets(spark, d, developed, lots):
+    """The six sets in full, from the same listings."""
+    homes, found = _staged(spark, d)[0], _found_homes(spark, d)
+    summary = tables.settled(marts.home_summary(homes, found.drop("url")), "mart-home-summary")
+    return marts.surroundings(_summary(spark, d), summary, found.join(homes.select("id", "lat", "lon"), "id"), lots, developed)
+
+
+def _all_around(spark, d, rows, sets):
+    return tables.settled(marts.smoothed(rows, ["source", "source_id"], sets, AROUND, {"buildings": "building_id", "homes": "id"}), "mart-all-around")
+
+
+@query
+def mart_all_surroundings(spark, d):
+    developed, lots = _unified(spark, d)
+    around = _all_around(spark, d, developed, _all_sets(spark, d, developed, lots))
+    means = ["avg_beds", "avg_concession_percentage", "avg_home_price_per_bedroom", "avg_home_average_percent_gain_per_year", "avg_home_predicted_current_price_per_sqft", "avg_interior_sqft_cost", "avg_developed_lot_cost_per_sqft"]
+    counts = [f"{n}_within_radius" for n in ("buildings", "homes", "lots", "developed")]
+    return around.select("source", "source_id", "num_units", "avg_home_data_span_days", *(F.round(c, 3).alias(c) for c in means), *counts, F.array_join("closest_homes", ",").alias("closest_homes"))
+
+
+@query
+def mart_lots_main(spark, d):
+    developed, lots = _unified(spark, d)
+    rows = marts.lots_main(lots, _around(spark, d, lots, _sets(spark, d, developed, lots)))
+    return rows.select("unified_id", "source", "source_id", F.round("avg_empty_lot_cost_per_sqft", 3).alias("avg_empty_lot_cost_per_sqft"), F.round("avg_home_price_per_sqft", 3).alias("avg_home_price_per_sqft"), "lots_within_radius")
+
+
+@query
+def mart_accepted_flips(spark, d):
+    developed, lots = _unified(spark, d)
+    main = developed.join(_all_around(spark, d, developed, _all_sets(spark, d, developed, lots)), ["source", "source_id"], "left")
+    accepted = _read(spark, d, "customer").where("c_acctbal > 0").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"))
+    rows = marts.accepted_flips(main, accepted, most=900000)
+    return rows.select("source", "source_id", *(F.round(c, 2).alias(c) for c in ("estimate_potential_home_value", "estimated_home_value_increase", "estimated_income_sqft")))
+
+
 _LAND_POINT = _A.replace("10000)", "9941)", 1).replace("104729 % 10000)", "104729 % 9931)").format("p_partkey")
 _POINT_SIN = "2 * 6371008.8::double * asin(sqrt(least(pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2), 1)))"
 _STAGED = f"""build as (select s_suppkey as building_id, 'msa' || s_nationkey as msa, case when s_suppkey % 3 > 0 then s_nationkey::varchar end as bzip, s_suppkey % 10 / 10.0::double as leased, {_B.format('s_suppkey')} from supplier),
@@ -292,15 +328,19 @@ lots as (select 'home' as source, id as source_id, price, lot_sqft, lat, lon fro
 
 
 def _slopes(value: str) -> str:
-    return f"select building_id, avg({value}) as my, avg(x) as mx, case when regr_sxx({value}, x) > 0 then regr_sxy({value}, x) / regr_sxx({value}, x) else 0 end as slope from months group by 1 having count(*) >= 8"
+    return f"select building_id, avg({value}) as my, avg(x) as mx, case when regr_sxx({value}, x) > 0 then regr_sxy({value}, x) / regr_sxx({value}, x) else 0 end as slope from months group by 1"
 
 
 _X0 = f"date_diff('day', date '1970-01-01', date '{AS_OF}')"
 _SUMMARY = f"""units as (select l_suppkey as building_id, date_trunc('month', l_shipdate::date) as date, l_linenumber as bed, l_quantity * 20 as sqft, l_extendedprice as price, l_extendedprice * (1 - l_discount) as effective from lineitem),
-months as (select building_id, date_diff('day', date '1970-01-01', date::date)::double as x, avg(price) as price, avg(effective) as effective from units group by building_id, date),
+months0 as (select building_id, date_diff('day', date '1970-01-01', date::date)::double as x, avg(price) as price, avg(effective) as effective from units group by building_id, date qualify count(*) over (partition by building_id) >= 8),
+fence_p as (select building_id, quantile_cont(price, [0.25, 0.75]) as q from months0 group by 1),
+months1 as (select m.* from months0 m join fence_p using (building_id) where price between q[1] - 1.5 * (q[2] - q[1]) and q[2] + 1.5 * (q[2] - q[1])),
+fence_e as (select building_id, quantile_cont(effective, [0.25, 0.75]) as q from months1 group by 1),
+months as (select m.* from months1 m join fence_e using (building_id) where effective between q[1] - 1.5 * (q[2] - q[1]) and q[2] + 1.5 * (q[2] - q[1])),
 tp as ({_slopes('price')}), te as ({_slopes('effective')}),
 means as (select building_id, avg(bed) as beds, avg(sqft) as sqft, avg(price) as price, avg(effective) as effective, count(*) as num_units from units group by 1),
-summary as (select b.*, num_units, m.price / m.sqft as rent_sqft, m.price / m.beds as rent_bed, m.effective / m.sqft as effective_sqft, m.effective / m.beds as effective_bed, (m.price - m.effective) / m.price as concession,
+summary as (select b.*, num_units, m.beds as m_beds, m.price / m.sqft as rent_sqft, m.price / m.beds as rent_bed, m.effective / m.sqft as effective_sqft, m.effective / m.beds as effective_bed, (m.price - m.effective) / m.price as concession,
   (tp.my + tp.slope * ({_X0} - tp.mx)) / m.sqft as now_sqft, (te.my + te.slope * ({_X0} - te.mx)) / m.sqft as now_effective_sqft, (te.my + te.slope * ({_X0} - te.mx)) / m.beds as now_effective_bed, (te.my + te.slope * ({_X0} + 365 - te.mx)) / m.beds as next_effective_bed
   from build b left join means m on m.building_id = b.building_id left join tp on tp.building_id = b.building_id left join te on te.building_id = b.building_id)"""
 
@@ -314,7 +354,7 @@ def _means_sql(name: str, at: str, other: str, values: dict[str, str]) -> str:
 
 def _main_sql(at: str) -> str:
     """The properties of a table with the means around them."""
-    rents = {"a_rent_sqft": "rent_sqft", "a_rent_bed": "rent_bed", "a_effective_sqft": "effective_sqft", "a_now_sqft": "now_effective_sqft", "a_now_bed": "now_effective_bed", "a_leased": "leased"}
+    rents = {"a_units": "num_units", "a_beds": "m_beds", "a_concession": "concession", "a_rent_sqft": "rent_sqft", "a_rent_bed": "rent_bed", "a_effective_sqft": "effective_sqft", "a_now_sqft": "now_effective_sqft", "a_now_bed": "now_effective_bed", "a_leased": "leased"}
     parts = [_means_sql(f"{at}_b", at, "summary", rents), _means_sql(f"{at}_h", at, "home_prices", {"a_home": "home_sqft"}), _means_sql(f"{at}_l", at, "lot_prices", {"a_lot": "lot_cost"})]
     joins = " ".join(f"left join {at}_{x} {x} on {x}.source = p.source and {x}.source_id = p.source_id" for x in "bhl")
     counts = ", ".join(f"coalesce({x}.n, 0) as {x}_n" for x in "bhl")
@@ -356,6 +396,11 @@ _MANUAL = f"""{_STAGED}, man as (select 'm' || n_nationkey as id, n_nationkey *
   mannear as (select m.*, b.building_id, b.msa, sqrt(pow(m.lat - b.lat, 2) + pow(m.lon - b.lon, 2)) * 111000 as distance from man m, build b qualify row_number() over (partition by id order by sqrt(pow(m.lat - b.lat, 2) + pow(m.lon - b.lon, 2)), building_id) = 1),
   manual as (select * from mannear where distance <= {NEAR})"""
 
+_HOMES_FOUND = f"""{_FOUND.removeprefix(_STAGED + ', ')},
+  home_sums as (select h.id, h.lat, h.lon, case when bedrooms > 0 then price / bedrooms end as per_bedroom, case when interior_sqft > 0 then price / interior_sqft end as per_sqft, case when interior_sqft > 0 then {_at('price')} / interior_sqft end as now_sqft from homes h left join found f on f.id = h.id),
+  home_trends as (select h.lat, h.lon, {_gain('price')} as gain, (max_date - min_date) as span from found f join homes h on h.id = f.id),
+  developed_prices as (select lat, lon, price / interior_sqft as per_interior, case when lot_sqft > 0 then price / lot_sqft end as per_lot from developed)"""
+
 
 ORACLE_SQL = {
     "mart_surroundings": f"""with {_MAIN}, near as (select source, source_id, string_agg(building_id::varchar, ',' order by rk) as ids from (select *, row_number() over (partition by source, source_id order by gap, building_id) as rk from
@@ -412,4 +457,16 @@ ORACLE_SQL = {
       e as (select id, cost / 12 as acre, sum(exp(-0.5::double * pow(m * (3963 / 6371008.8::double) / 5, 2)) * rent) / sum(exp(-0.5::double * pow(m * (3963 / 6371008.8::double) / 5, 2))) as bed from pair
         where m * (3963 / 6371008.8::double) <= 8 and id in (select id from pair where m <= {NEAR}) group by id, cost)
       select id, {_up('bed')} as potential_rent_per_bed, {_up('acre')} as acre_cost_per_bed, {_up('case when acre > 0 then bed / acre end', 4)} as estimate_profit from e""",
+    "mart_lots_main": f"""with {_MAIN}, {_main_sql('lots')} select row_number() over (order by source, source_id) as unified_id, source, source_id, round(a_lot, 3) as avg_empty_lot_cost_per_sqft, round(a_home, 3) as avg_home_price_per_sqft, l_n as lots_within_radius from lots_main""",
+    "mart_all_surroundings": f"""with {_MAIN}, {_HOMES_FOUND},
+      {_means_sql('ah', 'developed', 'home_sums', {'h_bedroom': 'per_bedroom', 'h_now': 'now_sqft'})}, {_means_sql('ag', 'developed', 'home_trends', {'t_gain': 'gain', 't_span': 'span'})}, {_means_sql('ad', 'developed', 'developed_prices', {'d_in': 'per_interior', 'd_lot': 'per_lot'})},
+      near as (select source, source_id, string_agg(id, ',' order by rk) as ids from (select *, row_number() over (partition by source, source_id order by gap, id) as rk from
+        (select p.source, p.source_id, o.id, {_POINT_SIN.format(a="p", b="o")} as gap from developed p, home_sums o) where gap <= {AROUND}) where rk <= 10 group by 1, 2)
+      select m.source, m.source_id, round_even(a_units, 0)::int as num_units, round_even(t_span, 0)::int as avg_home_data_span_days, round(a_beds, 3) as avg_beds, round(a_concession, 3) as avg_concession_percentage, round(h_bedroom, 3) as avg_home_price_per_bedroom,
+      round(t_gain, 3) as avg_home_average_percent_gain_per_year, round(h_now, 3) as avg_home_predicted_current_price_per_sqft, round(d_in, 3) as avg_interior_sqft_cost, round(d_lot, 3) as avg_developed_lot_cost_per_sqft,
+      b_n as buildings_within_radius, coalesce(ah.n, 0) as homes_within_radius, l_n as lots_within_radius, coalesce(ad.n, 0) as developed_within_radius, near.ids as closest_homes from developed_main m
+      left join ah on ah.source = m.source and ah.source_id = m.source_id left join ag on ag.source = m.source and ag.source_id = m.source_id left join ad on ad.source = m.source and ad.source_id = m.source_id left join near on near.source = m.source and near.source_id = m.source_id""",
+    "mart_accepted_flips": f"""with {_MAIN}, {_HOMES_FOUND}, {_means_sql('ah', 'developed', 'home_sums', {'h_price': 'per_sqft'})}
+      select m.source, m.source_id, round(h_price * interior_sqft, 2) as estimate_potential_home_value, round(h_price * interior_sqft - price, 2) as estimated_home_value_increase, round(interior_sqft * a_now_sqft * a_leased, 2) as estimated_income_sqft
+      from developed_main m left join ah on ah.source = m.source and ah.source_id = m.source_id where price <= 900000 and price > 45000 and url in (select 'u' || c_custkey from customer where c_acctbal > 0)""",
 }

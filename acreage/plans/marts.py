@@ -120,9 +120,14 @@ def home_history(homes: DataFrame, keep: list[str]) -> DataFrame:
     return series.iqr_filter(rows.where("price > 0 and date is not null"), ["id"], ["price", "price_change_rate"], nulls_pass=("price_change_rate",))
 
 
-def analysis(points: DataFrame, keys: list[str], values: dict[str, str], as_of: str, least: int = 1) -> DataFrame:
-    """Trend, forecast, growth and strength for each of ``values`` (column: what stands for ``price`` in the new names)."""
+def analysis(points: DataFrame, keys: list[str], values: dict[str, str], as_of: str, least: int = 1, without_outliers: bool = False) -> DataFrame:
+    """Trend, forecast, growth and strength for each of ``values`` (column: what stands for ``price`` in the new names).
+
+    Groups have ``least`` points or more; after that, points outside the fences
+    of one value and then of the next can be left out.
+    """
     big, out = series.at_least(points, keys, least) if least > 1 else points, None
+    big = series.iqr_filter_in_turn(big, keys, list(values)) if without_outliers else big
     for column, name in values.items():
         usable = big.where(filters.finite_positive(F.col(column)))
         t = series.trend(usable, keys, "date", column, as_of).join(series.trend_strength(usable, keys, "date", column), keys)
@@ -232,6 +237,34 @@ def smoothed(properties: DataFrame, keys: list[str], sets: dict[str, tuple[DataF
     return out
 
 
+def surroundings(buildings: DataFrame, homes: DataFrame, found_homes: DataFrame, lots: DataFrame, properties: DataFrame) -> dict[str, tuple[DataFrame, dict[str, str], dict[str, str]]]:
+    """The six sets that ``smoothed`` takes: every mean of summarised buildings and their trends, homes and theirs, empty lots, developed properties.
+
+    ``buildings`` as of ``building_summary``, ``homes`` of ``home_summary``,
+    ``found_homes`` of ``home_analysis`` with lat and lon.
+    """
+    predicted = [f"predicted_{time}{kind}_price{side}" for time in ("current", "future") for kind in ("", "_effective") for side in ("", "_lower", "_upper")]
+    rents = [f"avg_{kind}rent_price_per_{u}" for kind in ("", "effective_") for u in ("sqft", "bed")] + ["avg_beds", "avg_baths", "avg_sqft", "avg_price", "avg_effective_price"]
+    shares = [c for c in ("leased_percentage", "exposure_percentage", "concession_percentage") if c in buildings.columns]
+    of_buildings = {n: n for n in rents} | {f"avg_{c}_per_{u}": f"{c}_per_{u}" for c in predicted for u in ("sqft", "bed")} | {f"avg_{c}": c for c in shares}
+    of_homes = {f"avg_home_{c}_per_{u}": f"{c}_per_{u}" for c in ("price", *(c for c in predicted if "effective" not in c)) for u in ("bedroom", "sqft")}
+    of_homes |= {"avg_home_current_price": "price", "avg_home_bedrooms": "bedrooms", "avg_home_living_area_sqft": "interior_sqft"}
+    gains = {f"avg_building_{c}": c for c in ("average_percent_gain_per_year", "average_percent_gain_per_year_effective")}
+    return {
+        "buildings": (buildings, of_buildings, {"num_units": "num_units"}),
+        "building_trends": (buildings.where("average_percent_gain_per_year is not null"), gains, {}),
+        "homes": (homes, of_homes, {}),
+        "home_trends": (found_homes, {f"avg_home_{c}": c for c in ("average_percent_gain_per_year", "trend_strength_pct", "trend_variance_pct")}, {"avg_home_data_span_days": "data_span_days"}),
+        "lots": (lots, {"avg_empty_lot_cost_per_sqft": "price_per_lot_sqft"}, {}),
+        "developed": (properties, {"avg_interior_sqft_cost": "price_per_sqft", "avg_developed_lot_cost_per_sqft": "price_per_lot_sqft"}, {}),
+    }
+
+
+def lots_main(rows: DataFrame, around: DataFrame) -> DataFrame:
+    """Empty lots under one id, with their surroundings."""
+    return dedup.numbered(rows, "unified_id", [F.asc("source"), F.asc("source_id")]).join(around, ["source", "source_id"], "left")
+
+
 def developed_main(rows: DataFrame, around: DataFrame) -> DataFrame:
     """Developed properties under one id, with their surroundings and the income they may give."""
     numbered = dedup.numbered(rows, "unified_id", [F.asc("source"), F.asc("source_id")])
@@ -270,3 +303,21 @@ def flips(main: DataFrame, rejected: DataFrame, least_near: int = 2, least_price
     return ranked.withColumns({"hoped_income": income, "invest_to_monthly_return": F.col("price") / F.nullif(income, F.lit(0.0)), "share_of_average_price": F.col("price_per_sqft") / F.nullif(F.col("avg_home_price_per_sqft"), F.lit(0.0))}).orderBy(
         F.asc_nulls_last("invest_to_monthly_return"), "source_id"
     )
+
+
+def accepted_flips(main: DataFrame, accepted: DataFrame, most: float = 210000, most_included: bool = True, least: float = 45000, states: tuple[str, ...] = ("UT", "ID", "AZ"), months: int = 1) -> DataFrame:
+    """Developed properties of the accepted urls within the prices and states, and all manual ones, by what the homes around say they gain.
+
+    ``months`` of income are given. Growth is (future - current) / current, of rents and of home prices per bedroom.
+    """
+    cheap = F.col("price") <= most if most_included else F.col("price") < most
+    urls = accepted.select(F.col("url").alias("source_url")).where("source_url is not null").distinct().withColumn("_accepted", F.lit(True))
+    rows = main.join(urls, "source_url", "left")
+    rows = rows.where((cheap & (F.col("price") > least) & F.col("state").isin(*states) & F.col("_accepted")) | (F.col("source") == "manual")).drop("_accepted")
+    worth = F.col("avg_home_price_per_sqft") * F.col("interior_sqft")
+    growth = lambda c: M.ratio(F.col(f"avg_{c.format('future')}") - F.col(f"avg_{c.format('current')}"), F.col(f"avg_{c.format('current')}"))
+    return rows.withColumns({
+        "estimate_potential_home_value": worth, "estimated_home_value_increase": worth - F.col("price"),
+        "estimated_income_sqft": F.col("interior_sqft") * F.col("avg_predicted_current_effective_price_per_sqft") * F.col("avg_leased_percentage") * months,
+        "predicted_effective_rent_price_growth_percentage": growth("predicted_{}_effective_price_per_sqft"), "predicted_price_growth_percentage": growth("home_predicted_{}_price_per_bedroom"),
+    }).orderBy(F.desc_nulls_last("estimated_home_value_increase"), "source", "source_id")

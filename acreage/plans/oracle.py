@@ -1,5 +1,7 @@
 """The same queries in SQL, for comparison on the same tables."""
 
+from acreage.sources.pages import STATES
+
 _A = "40 + ({0} * 7919 % 10000) / 10000.0::double as lat, -112 + ({0} * 104729 % 10000) / 10000.0::double as lon"
 _B = "40 + ({0} * 7919 % 9973) / 10000.0::double as lat, -112 + ({0} * 104729 % 9967) / 10000.0::double as lon"
 _CUSTOMERS = f"cust as (select c_custkey, c_acctbal, c_mktsegment, {_A.format('c_custkey')} from customer)"
@@ -27,6 +29,8 @@ _FLIPS = f"""{_SMOOTH}, flips as (select s.c_custkey, c.c_acctbal, c.c_mktsegmen
   from smooth s join customer c on c.c_custkey = s.c_custkey where neighbours > 2)"""
 _NEAR = f"{_PAIRS}, near as (select * from (select *, row_number() over (partition by c_custkey order by distance, s_suppkey) as rk from pairs) where rk <= 10)"
 
+_CODES = str(tuple(sorted(STATES.values())))
+
 
 def _t_values() -> str:
     from acreage.functions.maths import t_table
@@ -207,4 +211,17 @@ ORACLE_SQL = {
     "replaced_table": "select c_custkey, c_acctbal, c_mktsegment from customer where c_acctbal > 0",
     "appended_rows": """select s_suppkey, '{"s_name":"' || s_name || '","s_nationkey":' || s_nationkey || '}' as about, 2::bigint as times from supplier""",
     "seed_file": """select n_name || ', "x"' as name, n_nationkey as key from nation""",
+    "copied_children": "select o_orderkey, o_custkey, case when o_totalprice > 1000 then o_orderstatus end as o_orderstatus from orders where o_custkey in (select c_custkey from customer where c_acctbal > 0)",
+    "home_records": """select page_id, 'FOR_SALE' as status, (page_id * 1000)::double as price, (page_id % 5)::int as bedrooms, (84000 + page_id % 100)::varchar as zipcode, (page_id % 7 * 100)::double as living_area, 'O''Neil "' || page_id % 9 || '"' as city,
+      '{"city":"x"}' as address, page_id % 2 = 0 as is_eligible_property, case when page_id % 3 = 0 then 0 else 2 end::int as num_schools_close_to, case when page_id % 3 > 0 then (1.5::double + page_id % 4) / 2 end as avg_school_distance,
+      (page_id * 900)::double as most_recent_price, '2020-01-0' || page_id % 9 + 1 as most_recent_price_date, 2 as prices, 'a,b,c' || page_id % 3 as insights, case when page_id % 2 = 1 then 'foreclosureAmount,foreclosureDate' else 'foreclosureDate' end as foreclosure,
+      '0.' || page_id % 10 as fire, 1 as risks, (page_id % 6)::int as fire_value from pages""",
+    "land_records": f"""select page_id, 'UT' as state, 'provo' as city, (84000 + page_id % 100)::varchar as zip, page_id || ' "main" rd' as address1, (page_id % 10)::double as acres, (page_id % 5)::int as beds, (page_id % 4 * 500)::double as homesqft, '["a","b"]' as property_types,
+      page_id % 2 = 0 as is_gold, null::boolean as is_diamond, (page_id * 100)::double as price, floor(case when page_id % 10 > 0 then page_id * 100 / (page_id % 10) end * 100 + 0.500001::double) / 100 as cost_per_acre,
+      floor(case when page_id % 4 > 0 then page_id * 100 / (page_id % 4 * 500) end * 1000 + 0.500001::double) / 1000 as cost_per_homesqft,
+      floor(case when page_id % 3 > 0 then {_DISTANCE.format('a', 'b')} / 1609.34::double end * 1000 + 0.500001::double) / 1000 as miles, concat_ws(',', case when contains(html, 'Desert') then 'Desert' end, case when contains(html, 'Mountain') then 'Mountain' end, case when contains(html, 'Rural') then 'Rural' end) as geography
+      from (select *, {{'lat': 40::double, 'lon': -112::double}} as a, {{'lat': 40.5::double, 'lon': -112 + page_id % 50 / 100.0::double}} as b from pages)""",
+    "linked_data": "select page_id, ['l', 'o', 's'][page_id % 3 + 1] || page_id as name from pages",
+    "url_states": f"""with u as (select page_id, list_filter(string_split_regex(upper('https://e.org/' || page_id || case page_id % 3 when 0 then '-Main-St-Ogden-UT-84403/' when 1 then '-ne-main-st-ogden-ut/x' else '-nowhere/' end || url), '[/-]'),
+      lambda x: x in {_CODES}) as t from pages) select page_id, t[1] as "first", t[-1] as "last" from u""",
 }

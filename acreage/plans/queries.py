@@ -597,3 +597,79 @@ def seed_file(spark, d):
     n = _read(spark, d, "nation").select(F.concat(F.col("n_name"), F.lit(', "x"')).alias("name"), F.col("n_nationkey").cast("int").alias("key"))
     n.write.option("header", True).option("escape", '"').csv(path)
     return tables.read_seed(spark, path, "name string, key int")
+
+
+@query
+def copied_children(spark, d):
+    """Orders of some customers as tab-separated text, read back."""
+    path = tables.scratch(spark, "children")
+    o = _read(spark, d, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_totalprice") > 1000, F.col("o_orderstatus")).alias("o_orderstatus"))
+    tables.copy_children(o, _read(spark, d, "customer").where("c_acctbal > 0"), "o_custkey", "c_custkey", path)
+    return spark.read.schema(o.schema).csv(path, sep="\t", nullValue="\\N")
+
+
+def _json(*parts) -> Column:
+    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+
+
+def _home_pages(spark, d):
+    """Pages that carry a home's JSON as text inside the JSON of a script."""
+    p = _read(spark, d, "pages")
+    k = F.col("page_id")
+    schools = F.when(k % 3 == 0, "[]").otherwise(_json('[{"distance": 1.5}, {"distance": ', k % 4, "}]"))
+    home = _json(
+        '{"homeStatus": "FOR_SALE", "price": ', k * 1000, ', "bedrooms": ', k % 5, ', "zipCode": "', 84000 + k % 100, '", "livingAreaValue": ', k % 7 * 100, ', "city": "O\'Neil \\"', k % 9, '\\"", "schools": ', schools,
+        ', "buyAbilityData": {"isEligibleProperty": ', F.when(k % 2 == 0, "true").otherwise("false"), '}, "address": {"city": "x"}, "priceHistory": [{"date": "2020-01-0', k % 9 + 1, '", "price": ', k * 900, ', "source": "s"}, {"date": "2021-01-01", "price": 1}],',
+        ' "homeInsights": [{"insights": [{"phrases": ["b", "a"]}, {"phrases": ["a", "c', k % 3, '"]}]}], "foreclosingBank": "", "foreclosureAmount": ', k % 2, ', "foreclosureDate": "2020"}',
+    )
+    climate = _json('{"fire": {"primary": {"probability": "0.', k % 10, '", "riskScore": {"label": "Minor", "value": ', k % 6, ', "max": 10}}}, "flood": {"primary": null}}')
+    cache = _json('{"k": {"property": ', home, ', "zgProperty": {"odpPropertyModels": {"climate": ', climate, "}}}}")
+    script = F.to_json(F.struct(F.struct(F.struct(F.struct(cache.alias("gdpClientCache")).alias("componentProps")).alias("pageProps")).alias("props")))
+    return p.select("page_id", F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), script, F.lit("</script>"), "html").alias("html"))
+
+
+@query
+def home_records(spark, d):
+    found = P.embedded_json(F.col("html"), [r'(?s)<script id="__NEXT_DATA__" type="application/json">(.*?)</script>', r'(?s)<script id=hdpApolloPreloadedData type="application/json">(.*?)</script>'])
+    pages = _home_pages(spark, d).select("page_id", P.first_value(found, "$.props.pageProps.componentProps.gdpClientCache").alias("page"))
+    r = pages.select("page_id", *(c.alias(n) for n, c in P.home_record(F.col("page")).items()))
+    return r.select(
+        "page_id", "status", "price", "bedrooms", "zipcode", "living_area", "city", "address", "is_eligible_property", "num_schools_close_to", "avg_school_distance", "most_recent_price", "most_recent_price_date", F.size("price_history").alias("prices"),
+        F.array_join("home_insights", ",").alias("insights"), F.array_join(F.array_sort(F.map_keys("foreclosure")), ",").alias("foreclosure"), F.col("risks.fire.probability").alias("fire"), F.size("risks").alias("risks"), F.col("risks.fire.risk_value").alias("fire_value"),
+    )
+
+
+@query
+def land_records(spark, d):
+    """Pages whose script assigns a land listing as quoted JSON; every third has no city."""
+    k = F.col("page_id")
+    city = F.when(k % 3 == 0, "null").otherwise(_json('{"latitude": 40.5, "longitude": ', -112 + k % 50 / 100.0, "}"))
+    state = _json(
+        '{"propertyDetailPage": {"propertyData": {"latitude": 40, "longitude": -112, "city": ', city, ', "address": {"city": "PROVO", "stateAbbreviation": "UT", "zip": "', 84000 + k % 100, '", "address1": "', k, ' \\"Main\\" RD"}, "acres": ', k % 10,
+        ', "price": ', k * 100, ', "homesqft": ', k % 4 * 500, ', "beds": ', k % 5, ', "types": ["a", "b"], "isGold": ', F.when(k % 2 == 0, "true").otherwise("false"), "}}}",
+    )
+    quoted = F.regexp_extract(F.to_json(F.struct(state.alias("s"))), r"(?s)^.{5}(.*).$", 1)
+    html = F.concat(F.lit("<script>window.serverState = "), quoted, F.lit(";</script>"), "html")
+    p = _read(spark, d, "pages").select("page_id", html.alias("html"))
+    r = p.select("page_id", *(c.alias(n) for n, c in P.land_record(P.server_state(F.col("html"), r"window\.serverState"), F.col("html")).items()))
+    return r.select(
+        "page_id", "state", "city", "zip", "address1", "acres", "beds", "homesqft", "property_types", "is_gold", "is_diamond", "price", M.rounded(F.col("cost_per_acre"), 2).alias("cost_per_acre"),
+        M.rounded(F.col("cost_per_homesqft"), 3).alias("cost_per_homesqft"), M.rounded(F.col("distance_to_city_miles"), 3).alias("miles"), F.array_join("geography", ",").alias("geography"),
+    )
+
+
+@query
+def linked_data(spark, d):
+    """The first JSON-LD object of pages that carry a list, an object, or a text before an object."""
+    k = F.col("page_id")
+    script = lambda *parts: F.concat(F.lit('<script type="application/ld+json">'), _json(*parts), F.lit("</script>"))
+    own = F.when(k % 3 == 0, script('[{"name": "l', k, '"}, {"name": "no"}]')).when(k % 3 == 1, script('{"name": "o', k, '"}')).otherwise(F.concat(script('"text"'), script('{"name": "s', k, '"}')))
+    p = _read(spark, d, "pages").select("page_id", F.concat(own, F.coalesce("html", F.lit(""))).alias("html"))
+    return p.select("page_id", F.try_variant_get(P.json_ld(F.col("html")), "$.name", "string").alias("name"))
+
+
+@query
+def url_states(spark, d):
+    k = F.col("page_id")
+    url = F.concat(F.lit("https://e.org/"), k.cast("string"), F.when(k % 3 == 0, "-Main-St-Ogden-UT-84403/").when(k % 3 == 1, "-ne-main-st-ogden-ut/x").otherwise("-nowhere/"), F.col("url"))
+    return _read(spark, d, "pages").select("page_id", P.state_code(url).alias("first"), P.state_code(url, "last").alias("last"))

@@ -36,7 +36,7 @@ def json_ld(html: Column) -> Column:
 
 def server_state(html: Column, name: str) -> Column:
     """A quoted, escaped JSON blob assigned to a script variable, as a variant."""
-    text = F.regexp_extract(html, rf'(?s){name}\s*=\s*("(?:[^"\\]|\\.)*")', 1)
+    text = F.regexp_extract(html, rf'(?s){name}\s*=\s*("(?:[^"\\]|\\.)*+")', 1)
     return F.try_parse_json(F.try_variant_get(F.try_parse_json(F.nullif(text, F.lit(""))), "$", "string"))
 
 
@@ -58,9 +58,9 @@ def url_parts(url: Column) -> tuple[Column, Column, Column]:
 
 
 def state_code(url: Column, pick: str = "first") -> Column:
-    """The first (or last) token of the url that is a state's code."""
+    """The first (or last) token of the url that is a state's code, in any case."""
     codes = F.array(*(F.lit(c) for c in sorted(STATES.values())))
-    found = F.filter(F.split(url, r"[/\-]"), lambda t: F.array_contains(codes, t))
+    found = F.filter(F.split(F.upper(url), r"[/\-]"), lambda t: F.array_contains(codes, t))
     return F.try_element_at(found, F.lit(1 if pick == "first" else -1))
 
 
@@ -83,39 +83,71 @@ def robot_page(html: Column, phrases: list[str]) -> Column:
     return out
 
 
-def home_record(v: Column) -> dict[str, Column]:
-    """Columns of a home listing from its variant."""
-    get = lambda path, kind: F.try_variant_get(v, path, kind)
-    text = {n: f"$.{p}" for n, p in {"street_address": "streetAddress", "city": "city", "state": "state", "zipcode": "zipcode", "home_type": "homeType", "currency": "currency", "country": "country", "description": "description", "status": "homeStatus", "lot_area_units": "lotAreaUnits", "time_on_market": "timeOnZillow"}.items()}
-    number = {n: f"$.{p}" for n, p in {"price": "price", "bathrooms": "bathrooms", "living_area": "livingArea", "lot_area_value": "lotAreaValue", "lot_size": "lotSize", "latitude": "latitude", "longitude": "longitude", "monthly_hoa_fee": "monthlyHoaFee", "last_sold_price": "lastSoldPrice"}.items()}
-    whole = {n: f"$.{p}" for n, p in {"bedrooms": "bedrooms", "year_built": "yearBuilt", "page_view_count": "pageViewCount", "favorite_count": "favoriteCount", "days_on_market": "daysOnZillow"}.items()}
-    schools = F.from_json(F.to_json(F.try_variant_get(v, "$.schools", "variant")), "array<struct<distance: double>>")
-    distances = F.filter(F.transform(schools, lambda s: s["distance"]), lambda d: d.isNotNull())
-    history = F.from_json(F.to_json(F.try_variant_get(v, "$.priceHistory", "variant")), "array<struct<date: string, price: double, priceChangeRate: double>>")
-    insights = F.from_json(F.to_json(F.try_variant_get(v, "$.homeInsights", "variant")), "array<struct<insights: array<struct<phrases: array<string>>>>>")
+# The columns of a home listing that are copied, and what they are called in its JSON
+HOME_TEXTS = {
+    "status": "homeStatus", "posting_url": "postingUrl", "date_posted_string": "datePostedString", "marketing_name": "marketingName", "posting_product_type": "postingProductType",
+    "lot_area_units": "lotAreaUnits", "living_area_units": "livingAreaUnits", "street_address": "streetAddress", "city": "city", "state": "state", "zipcode": "zipCode", "currency": "currency",
+    "home_type": "homeType", "living_area_units_short": "livingAreaUnitsShort", "country": "country", "new_construction_type": "newConstructionType", "time_on_market": "timeOnZillow",
+    "rental_application_accepted_type": "rentalApplicationsAcceptedType", "description": "description", "county": "county",
+}
+HOME_NUMBERS = {
+    "last_sold_price": "lastSoldPrice", "lot_area_value": "lotAreaValue", "lot_size": "lotSize", "living_area": "livingAreaValue", "price": "price", "bathrooms": "bathrooms", "monthly_hoa_fee": "monthlyHoaFee",
+    "estimate": "zestimate", "estimate_low_percent": "zestimateLowPercent", "estimate_high_percent": "zestimateHighPercent", "latitude": "latitude", "longitude": "longitude", "list_price_low": "listPriceLow",
+}
+HOME_WHOLE = {"bedrooms": "bedrooms", "year_built": "yearBuilt", "page_view_count": "pageViewCount", "favorite_count": "favoriteCount", "days_on_market": "daysOnZillow"}
+HOME_FLAGS = {"is_eligible_property": "buyAbilityData.isEligibleProperty", "is_preforeclosure_auction": "isPreforeclosureAuction", "is_income_restricted": "isIncomeRestricted", "has_bad_geocode": "hasBadGeocode"}
+HOME_NESTED = {"selling_soon": "sellingSoon", "address": "address"}
+FORECLOSURE = [
+    "foreclosureDefaultFilingDate", "foreclosureAuctionFilingDate", "foreclosureLoanDate", "foreclosureLoanOriginator", "foreclosureLoanAmount", "foreclosurePriorSaleDate", "foreclosurePriorSaleAmount",
+    "foreclosureBalanceReportingDate", "foreclosureDefaultDescription", "foreclosurePastDueBalance", "foreclosureUnpaidBalance", "foreclosureAuctionTime", "foreclosureAuctionDescription",
+    "foreclosureAuctionCity", "foreclosureAuctionLocation", "foreclosureDate", "foreclosureAmount", "foreclosingBank", "foreclosureJudicialType",
+]
+
+
+def first_value(value: Column, path: str) -> Column:
+    """The first value, as a variant, of the object that is JSON text inside a variant."""
+    return F.try_parse_json(F.get(F.map_values(F.from_json(F.try_variant_get(value, path, "string"), "map<string, string>")), F.lit(0)))
+
+
+def _nested(v: Column, path: str, kind: str) -> Column:
+    return F.from_json(F.to_json(F.try_variant_get(v, path, "variant")), kind)
+
+
+def home_record(page: Column) -> dict[str, Column]:
+    """Columns of a home listing from its page's variant (``property`` and the climate beside it). The most recent price is the history's first entry."""
+    kinds = [(HOME_TEXTS, "string"), (HOME_NUMBERS, "double"), (HOME_WHOLE, "int"), (HOME_FLAGS, "boolean")]
+    copied = {n: F.try_variant_get(page, f"$.property.{p}", kind) for names, kind in kinds for n, p in names.items()}
+    nested = {n: F.to_json(F.try_variant_get(page, f"$.property.{p}", "variant")) for n, p in HOME_NESTED.items()}
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    schools = F.coalesce(F.transform(_nested(page, "$.property.schools", "array<struct<distance: double>>"), lambda s: s["distance"]), none("double"))
+    distances = F.filter(schools, lambda d: d.isNotNull())
+    history = _nested(page, "$.property.priceHistory", "array<struct<date: string, price: double, priceChangeRate: double>>")
+    insights = _nested(page, "$.property.homeInsights", "array<struct<insights: array<struct<phrases: array<string>>>>>")
     phrases = F.flatten(F.transform(insights, lambda i: F.flatten(F.transform(i["insights"], lambda x: x["phrases"]))))
-    foreclosure = F.from_json(F.to_json(F.try_variant_get(v, "$.foreclosureTypes", "variant")), "map<string, string>")
-    risks = F.from_json(F.to_json(F.try_variant_get(v, "$.climate", "variant")), "map<string, struct<probability: string, risk_label: string, risk_value: int, risk_value_out_of: int>>")
-    newest = F.get(F.array_sort(F.filter(history, lambda h: h["price"].isNotNull()), lambda a, b: F.when(a["date"] > b["date"], -1).when(a["date"] < b["date"], 1).otherwise(0)), F.lit(0))
+    facts = _nested(page, "$.property", "map<string, string>")
+    risk = "struct<probability: string, riskScore: struct<label: string, value: int, max: int>>"
+    climate = F.map_filter(_nested(page, "$.zgProperty.odpPropertyModels.climate", f"map<string, struct<primary: {risk}>>"), lambda _, x: x["primary"].isNotNull())
+    score = lambda p: F.struct(p["probability"].alias("probability"), *(p["riskScore"][a].alias(b) for a, b in (("label", "risk_label"), ("value", "risk_value"), ("max", "risk_value_out_of"))))
+    newest = F.get(history, F.lit(0))
     return {
-        **{n: get(p, "string") for n, p in text.items()}, **{n: get(p, "double") for n, p in number.items()}, **{n: get(p, "int") for n, p in whole.items()},
-        "school_distances": distances, "num_schools_close_to": F.size(distances), "avg_school_distance": ratio(F.aggregate(distances, F.lit(0.0), lambda a, x: a + x), F.size(distances)),
-        "price_history": F.transform(history, lambda h: F.struct(h["date"].alias("date"), h["price"].alias("price"), h["priceChangeRate"].alias("priceChangeRate"))),
-        "most_recent_price": newest["price"], "most_recent_price_date": newest["date"], "most_recent_price_change_rate": newest["priceChangeRate"],
-        "home_insights": F.array_sort(F.array_distinct(phrases)), "risks": risks, "foreclosure": F.map_filter(foreclosure, lambda _, x: ~F.coalesce(x, F.lit("")).isin("", "false", "0", "null")),
+        **copied, **nested, "price_history": F.coalesce(history, none("struct<date: string, price: double, priceChangeRate: double>")), "most_recent_price": newest["price"], "most_recent_price_date": newest["date"],
+        "most_recent_price_change_rate": newest["priceChangeRate"], "home_insights": F.coalesce(F.array_sort(F.array_distinct(phrases)), none("string")), "school_distances": distances, "num_schools_close_to": F.size(distances),
+        "avg_school_distance": ratio(F.aggregate(distances, F.lit(0.0), lambda a, x: a + x), F.size(distances)), "risks": F.transform_values(climate, lambda _, x: score(x["primary"])),
+        "foreclosure": F.map_filter(facts, lambda k, x: k.isin(*FORECLOSURE) & ~F.coalesce(x, F.lit("")).isin("", "false", "0", "0.0", "null", "[]", "{}")),
     }
 
 
-def land_record(v: Column, html: Column) -> dict[str, Column]:
-    """Columns of a land listing from its server state, with costs and the distance to its city."""
-    get = lambda path, kind: F.try_variant_get(v, path, kind)
-    acres, price, sqft = get("$.acres", "double"), get("$.price", "double"), get("$.homesqft", "double")
-    lat, lon = get("$.latitude", "double"), get("$.longitude", "double")
-    city_lat, city_lon = get("$.cityLatitude", "double"), get("$.cityLongitude", "double")
+def land_record(state: Column, html: Column) -> dict[str, Column]:
+    """Columns of a land listing from its server state, with costs and the distance to its city. A coordinate of 0 is none."""
+    get = lambda path, kind: F.try_variant_get(state, f"$.propertyDetailPage.propertyData.{path}", kind)
+    acres, price, sqft = get("acres", "double"), get("price", "double"), get("homesqft", "double")
+    lat, lon, city_lat, city_lon = get("latitude", "double"), get("longitude", "double"), get("city.latitude", "double"), get("city.longitude", "double")
+    known = (F.nullif(c, F.lit(0.0)) for c in (lat, lon, city_lat, city_lon))
     return {
-        **{n: get(f"$.{n}", "string") for n in ("state", "city", "zip", "address1", "address2", "county", "title", "description")},
-        **{n: get(f"$.{n}", "int") for n in ("beds", "baths")},
-        "acres": acres, "price": price, "homesqft": sqft, "latitude": lat, "longitude": lon,
-        "cost_per_acre": ratio(price, acres), "cost_per_homesqft": ratio(price, sqft), "distance_to_city_miles": haversine(lat, lon, city_lat, city_lon) / METERS_PER_MILE,
+        "state": get("address.stateAbbreviation", "string"), "zip": get("address.zip", "string"), **{n: F.lower(get(f"address.{n}", "string")) for n in ("city", "address1", "address2")},
+        "latitude": lat, "longitude": lon, "city_latitude": city_lat, "city_longitude": city_lon, "acres": acres, "beds": get("beds", "int"), "baths": get("baths", "int"), "homesqft": sqft,
+        "property_types": F.to_json(get("types", "variant")), "is_irrigated": get("isIrrigated", "boolean"), "is_residence": get("isResidence", "boolean"), "price": price, "listing_date": get("listingDate", "string"),
+        "title": get("title", "string"), "description": get("description", "string"), "executive_summary": get("executiveSummary", "string"), **{f"is_{n.lower()}": get(f"is{n}", "boolean") for n in ("Diamond", "Gold", "Platinum", "Showcase")},
+        "cost_per_acre": ratio(price, acres), "cost_per_homesqft": ratio(price, sqft), "distance_to_city_miles": haversine(*known) / METERS_PER_MILE,
         "geography": keyword_flags(html, ["Desert", "Mountain", "Rural"]), "road_frontage_desc": keyword_flags(html, ["Dirt", "Gravel", "Paved"]),
     }

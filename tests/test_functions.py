@@ -61,6 +61,23 @@ def test_radius_and_nearest(spark):
     assert got[0][0] == 3 and got[0][1] == pytest.approx(11100.0) and got[1][0] in (3, 9)
 
 
+def test_across_the_date_line(spark):
+    a = spark.createDataFrame([(0, 10.0, 179.99), (1, 10.0, 0.0)], "k int, lat double, lon double")
+    b = spark.createDataFrame([(7, 10.0, -179.99), (8, 10.0, 179.98), (9, 10.0, 0.02), (10, 10.0, 181.0)], "id int, lat double, lon double")
+    assert sorted((r.k, r.r_id) for r in spatial.radius_join(a, b, 8046.7).collect()) == [(0, 7), (0, 8), (1, 9)]
+    assert sorted((r.k, r.r_id) for r in spatial.radius_join(a, b, 9e6).collect()) == [(0, 7), (0, 8), (0, 10), (1, 9)]
+
+
+def test_nearest_where_points_are_dense(spark):
+    rows = [(k, 40.0 + k % 40 * 1e-4, -112.0 + k // 40 * 1e-4) for k in range(1600)] + [(5000 + k, 41.0, -111.0) for k in range(300)]
+    places = spark.createDataFrame(rows, "id int, lat double, lon double")
+    points = spark.createDataFrame([(k, 40.0 + k * 0.01, -112.0 + k * 0.01) for k in range(120)], "k int, lat double, lon double")
+    got = {r.k: (r.r_id, r.distance) for r in spatial.nearest(points, places, "k", "id").collect()}
+    for k, lat, lon in ((r.k, r.lat, r.lon) for r in points.collect()):
+        gap, best = min((((lat - y) ** 2 + (lon - x) ** 2) ** 0.5, i) for i, y, x in rows)
+        assert got[k][1] == pytest.approx(gap * 111000, abs=1e-6) and (got[k][0] == best or gap < 1e-9 or abs(got[k][1] - gap * 111000) < 1e-6)
+
+
 def test_resolve(spark):
     homes = spark.createDataFrame([("1 A St", 40.0, -112.0), (None, 10.0, 10.0)], "address string, lat double, lon double")
     land = spark.createDataFrame([(1, "x", 40.0002, -112.0), (2, "1 a st", 50.0, 5.0), (3, "y", 50.0, 5.0), (4, None, 60.0, 6.0)], "k int, address string, lat double, lon double")
@@ -118,12 +135,16 @@ def test_pages(spark):
     value, unit = P.lot_size(F.lit("1,200.5 acres"))
     url = F.lit("https://e.org/12-NE-Main-St-Ogden-UT-84403/x")
     assert tuple(one(spark, a=county, b=state, c=kind, d=value, e=unit, f=P.state_code(url), g=P.state_code(url, "last"))) == ("sanpete", "utah", "farms-and-ranches", 1200.5, "acres", "NE", "UT")
-    page = F.lit('<script type="application/ld+json">{"a": 1}</script><script>window.s = "{\\"acres\\": 2, \\"price\\": 10}";</script> Desert')
-    r = one(spark, a=F.try_variant_get(P.json_ld(page), "$.a", "int"), **{k: v for k, v in P.land_record(P.server_state(page, r"window\.s"), page).items() if k in ("cost_per_acre", "geography")})
-    assert (r.a, r.cost_per_acre, r.geography) == (1, 5.0, ["Desert"])
-    home = F.parse_json(F.lit('{"price": 5, "schools": [{"distance": 1}, {"distance": 3}], "priceHistory": [{"date": "2024-01-01", "price": 1}, {"date": "2024-02-01", "price": 2}], "foreclosureTypes": {"a": true, "b": false}}'))
+    page = F.lit('<script type="application/ld+json">{"a": 1}</script><script>window.s = "{\\"propertyDetailPage\\": {\\"propertyData\\": {\\"acres\\": 2, \\"price\\": 10, \\"title\\": \\"' + "x\\\\n" * 50000 + '\\"}}}";</script> Desert')
+    land = {k: v for k, v in P.land_record(P.server_state(page, r"window\.s"), page).items() if k in ("cost_per_acre", "geography", "distance_to_city_miles", "city")}
+    r = one(spark, a=F.try_variant_get(P.json_ld(page), "$.a", "int"), **land)
+    assert (r.a, r.cost_per_acre, r.geography, r.distance_to_city_miles, r.city) == (1, 5.0, ["Desert"], None, None)
+    home = F.parse_json(F.lit('{"property": {"price": 5, "schools": [{"distance": 1}, {"distance": 3}], "priceHistory": [{"date": "2024-01-01", "price": 1}, {"date": "2024-02-01", "price": 2}], "foreclosureAmount": 7, "foreclosingBank": null}}'))
     r = one(spark, **P.home_record(home))
-    assert (r.price, r.num_schools_close_to, r.avg_school_distance, r.most_recent_price, r.foreclosure) == (5.0, 2, 2.0, 2.0, {"a": "true"})
+    assert (r.price, r.num_schools_close_to, r.avg_school_distance, r.most_recent_price, r.foreclosure) == (5.0, 2, 2.0, 1.0, {"foreclosureAmount": "7"})
+    r = one(spark, **P.home_record(F.parse_json(F.lit("{}"))))
+    assert (r.price, r.num_schools_close_to, r.avg_school_distance, r.home_insights, r.price_history, r.risks) == (None, 0, None, [], [], None)
+    assert len(r) == 54
 
 
 def test_tables(spark, tmp_path):
