@@ -2,6 +2,7 @@
 
 from acreage.llm.chat import OP3_SQL, op3_chat_format
 from acreage.llm.decontaminate import op4_decontaminate
+from acreage.llm.divergence import OP13_SQL, op13_source_divergence
 from acreage.llm.jaccard import op7_jaccard_join
 from acreage.llm.mixing import OP1_SQL, op1_mix_sources
 from acreage.llm.perplexity import op5_perplexity
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_kd_shards": op8_kd_shards,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL = {
@@ -29,4 +31,5 @@ ORACLE_SQL = {
     "op2_secret_scan": OP2_SQL,
     "op3_chat_format": OP3_SQL,
     "op9_warc": OP9_SQL,
+    "op13_source_divergence": OP13_SQL,
 }

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
@@ -99,12 +100,14 @@ class Words:
     at: np.ndarray
 
     @classmethod
-    def of(cls, column: pa.Array, lower: bool = False, plain: bool = False) -> Words:
-        """``plain``: ASCII marks other than letters and digits separate words too."""
+    def of(cls, column: pa.Array, lower: bool = False, plain: bool = False, apart: np.ndarray | None = None) -> Words:
+        """``plain``: ASCII marks other than letters and digits separate words too. ``apart``: a table of the bytes that separate words instead."""
         raw, rows = text_bytes(column)
         if lower:
             raw = _LOWER[raw]
-        inside = ~(_MARK if plain else _SEPARATOR)[raw]
+        if apart is None:
+            apart = _MARK if plain else _SEPARATOR
+        inside = ~apart[raw]
         head = inside.copy()
         head[1:] &= ~inside[:-1]
         tail = inside.copy()
@@ -131,6 +134,18 @@ class Words:
         return self.raw[self.rows[row] : self.rows[row + 1]].tobytes().split()
 
 
+def texts_of(w: Words, words: np.ndarray, size: int = 1) -> pa.Array:
+    """Runs of ``size`` words from the given ones on, each joined by one space."""
+    columns = []
+    for k in range(size):
+        begin, end = w.starts[words + k], w.ends[words + k]
+        ends = np.concatenate([[0], np.cumsum(end - begin)])
+        inside = np.arange(ends[-1]) - np.repeat(ends[:-1] - begin, end - begin)
+        columns.append(pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(w.raw[inside]))))
+    joined = columns[0] if size == 1 else pc.binary_join_element_wise(*columns, pa.scalar(" ", pa.large_string()))
+    return joined.cast(pa.string())
+
+
 def window_hashes(hashes: np.ndarray, size: int, stream: int) -> np.ndarray:
     """A 64-bit hash of each run of ``size`` consecutive hashes."""
     n = len(hashes) - size + 1
