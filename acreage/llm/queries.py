@@ -6,6 +6,7 @@ from acreage.llm.divergence import OP13_SQL, op13_source_divergence
 from acreage.llm.jaccard import op7_jaccard_join
 from acreage.llm.mixing import OP1_SQL, op1_mix_sources
 from acreage.llm.perplexity import op5_perplexity
+from acreage.llm.phrases import OP12_SQL, op12_phrase_mining
 from acreage.llm.quality_rules import op10_quality_rules
 from acreage.llm.secrets import OP2_SQL, op2_secret_scan
 from acreage.llm.sharding import op8_kd_shards
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_kd_shards": op8_kd_shards,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op12_phrase_mining": op12_phrase_mining,
     "op13_source_divergence": op13_source_divergence,
 }
 
@@ -31,5 +33,6 @@ ORACLE_SQL = {
     "op2_secret_scan": OP2_SQL,
     "op3_chat_format": OP3_SQL,
     "op9_warc": OP9_SQL,
+    "op12_phrase_mining": OP12_SQL,
     "op13_source_divergence": OP13_SQL,
 }
