@@ -10,6 +10,7 @@ from acreage.llm.phrases import OP12_SQL, op12_phrase_mining
 from acreage.llm.quality_rules import op10_quality_rules
 from acreage.llm.secrets import OP2_SQL, op2_secret_scan
 from acreage.llm.sharding import op8_kd_shards
+from acreage.llm.simhash import op11_simhash
 from acreage.llm.substring import op6_substring_dedup
 from acreage.llm.warc import OP9_SQL, op9_warc
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_kd_shards": op8_kd_shards,
     "op9_warc": op9_warc,
     "op10_quality_rules": op10_quality_rules,
+    "op11_simhash": op11_simhash,
     "op12_phrase_mining": op12_phrase_mining,
     "op13_source_divergence": op13_source_divergence,
 }
