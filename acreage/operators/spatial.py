@@ -1,4 +1,4 @@
-"""Spatial joins on latitude and longitude by grid cells."""
+"""Spatial joins on latitude and longitude by grid cells and by a quadtree."""
 
 from __future__ import annotations
 
@@ -7,87 +7,167 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acreage.functions.maths import DEGREE_METERS, haversine
+from acreage.functions.maths import DEGREE_METERS, geodesic, haversine
 from acreage.sources.scratch import settled
 
-
-def _cells(df: DataFrame, lat: str, lon: str, step: tuple[float, float], spread: bool, columns: int | None = None) -> DataFrame:
-    """Rows with their cell, or with all nine around it. ``columns``: so many make a full circle, and the last meets the first."""
-    row, column = F.floor(F.col(lat) / step[0]), F.floor(F.col(lon) / step[1])
-    wrapped = lambda c: F.pmod(c, F.lit(columns)) if columns else c
-    if not spread:
-        return df.withColumns({"_row": row, "_column": wrapped(column)})
-    beside = sorted({b % columns for b in (-1, 0, 1)}) if columns else (-1, 0, 1)
-    around = [F.struct((row + a).alias("r"), wrapped(column + b).alias("c")) for a in (-1, 0, 1) for b in beside]
-    return df.withColumn("_cell", F.explode(F.array(*around))).withColumns({"_row": F.col("_cell.r"), "_column": F.col("_cell.c")}).drop("_cell")
+#: Sphere and spheroid differ by less than this share of a distance.
+_SPHEROID_SLACK = 1.01
+#: A quadtree cell with so many places isn't split; none is split deeper.
+LEAF_PLACES = 32
+_DEPTH = 24
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*(F.col(c).alias(f"{prefix}{c}") for c in df.columns))
 
 
-def radius_join(left: DataFrame, right: DataFrame, meters: float, prefix: str = "r_", degree_circle: float | None = None, max_abs_lat: float | None = None) -> DataFrame:
-    """All pairs within ``meters``, with ``distance``, also across longitude 180. Both sides have lat and lon; the right side's columns get the prefix.
+class _Bands:
+    """Bands of latitude a little higher than a radius, each cut into columns as wide as the radius is at its most poleward edge.
 
-    Cells are at least as large as the radius, so 3 x 3 of them cover it; the
-    smaller side should be the right one. ``degree_circle`` also asks that the
-    pair lies in a circle of so many degrees, as a planar index would.
+    A circle reaches one band up and down, and the columns there that its own
+    longitudes cover; around a pole that is all of them, and there are few.
+    No band's columns depend on where other rows lie.
     """
-    if max_abs_lat is None:
-        max_abs_lat = left.select("lat").unionByName(right.select("lat")).agg(F.max(F.abs("lat"))).first()[0] or 0.0
-    step = meters / DEGREE_METERS * 1.01
-    columns = max(1, int(360 * max(math.cos(math.radians(min(max_abs_lat + step, 89.0))), 1e-3) / step))
-    steps = (step, 360 / columns)
-    a = _cells(left.dropna(subset=["lat", "lon"]), "lat", "lon", steps, False, columns)
-    b = _cells(_prefixed(right.dropna(subset=["lat", "lon"]), prefix), f"{prefix}lat", f"{prefix}lon", steps, True, columns)
-    pairs = a.join(b, ["_row", "_column"]).drop("_row", "_column")
-    pairs = pairs.withColumn("distance", haversine(F.col("lat"), F.col("lon"), F.col(f"{prefix}lat"), F.col(f"{prefix}lon"))).where(F.col("distance") <= meters)
-    if degree_circle is not None:
-        planar = F.sqrt(F.pow(F.col("lat") - F.col(f"{prefix}lat"), 2) + F.pow(F.col("lon") - F.col(f"{prefix}lon"), 2))
-        pairs = pairs.where(planar <= degree_circle)
-    return pairs
 
+    def __init__(self, meters: float) -> None:
+        self.height = min(180.0, meters / DEGREE_METERS * 1.01)
+        self.reach = math.radians(self.height)
 
-def planar_degrees(prefix: str) -> Column:
-    return F.sqrt(F.pow(F.col("lat") - F.col(f"{prefix}lat"), F.lit(2.0)) + F.pow(F.col("lon") - F.col(f"{prefix}lon"), F.lit(2.0)))
+    def band(self, lat: Column) -> Column:
+        return F.floor((lat + 90) / self.height)
 
+    def width(self, lat: Column) -> Column:
+        """Degrees of longitude within the radius on each side of a place; 180 if that goes around a pole."""
+        beyond = F.abs(lat) + self.height >= 90
+        share = F.lit(math.sin(self.reach)) / F.cos(F.radians(F.when(beyond, 0.0).otherwise(lat)))
+        return F.when(beyond, 180.0).otherwise(F.degrees(F.asin(F.least(share, F.lit(1.0)))) * 1.001)
 
-def _start_cell(points: DataFrame, lat: str, lon: str, cell: float, most: int = 64, least: float = 5e-5) -> float:
-    """The widest of ``cell``, ``cell`` / 4 and so on with ``most`` points or fewer in its busiest cell."""
-    while cell / 4 >= least:
-        busiest = _cells(points, lat, lon, (cell, cell), spread=False).groupBy("_row", "_column").count().agg(F.max("count")).first()[0] or 0
-        if busiest <= most:
-            break
-        cell /= 4
-    return cell
+    def columns(self, band: Column) -> Column:
+        edge = F.greatest(F.abs(band * self.height - 90), F.abs((band + 1) * self.height - 90))
+        return F.greatest(F.floor(F.lit(360.0) / self.width(edge)), F.lit(1))
 
+    def placed(self, df: DataFrame, lat: str, lon: str) -> DataFrame:
+        """The rows with their cell."""
+        return df.withColumn("_band", self.band(F.col(lat))).withColumn("_column", self._column(F.col(lon), self.columns(F.col("_band"))))
 
-def nearest(left: DataFrame, right: DataFrame, key: str, tie: str, prefix: str = "r_", cell: float = 0.05) -> DataFrame:
-    """Each left row with its nearest right row in planar degrees, ``distance`` = degrees * 111000; ties go to the least ``tie``.
+    def spread(self, df: DataFrame, lat: str, lon: str) -> DataFrame:
+        """The rows with every cell that may hold a place within the radius."""
+        own = self.band(F.col(lat))
+        rows = df.withColumn("_width", self.width(F.col(lat))).withColumn("_band", F.explode(F.array(own - 1, own, own + 1)))
+        rows = rows.withColumn("_columns", self.columns(F.col("_band")))
+        first, last = (F.floor((F.col(lon) + sign * F.col("_width") + 180) * F.col("_columns") / 360) for sign in (-1, 1))
+        covered = F.when(last - first + 1 >= F.col("_columns"), F.sequence(F.lit(0).cast("long"), F.col("_columns") - 1)).otherwise(F.sequence(first, last))
+        return rows.withColumn("_column", F.explode(covered)).withColumn("_column", F.pmod("_column", "_columns")).drop("_width", "_columns")
 
-    Square cells, of which 3 x 3 are looked at; the first are so narrow that
-    few right rows share one, and right rows at one place count once. A hit
-    within one cell's width is the nearest; rows without one go on with cells
-    four times as wide. Each round is written, so later ones don't repeat it.
+    def _column(self, lon: Column, columns: Column) -> Column:
+        return F.pmod(F.floor((lon + 180) * columns / 360), columns)
+
+
+def candidate_pairs(left: DataFrame, right: DataFrame, meters: float, prefix: str = "r_") -> DataFrame:
+    """All pairs that share a cell: those within ``meters`` and some others."""
+    bands = _Bands(meters)
+    a = bands.placed(left.dropna(subset=["lat", "lon"]), "lat", "lon")
+    b = bands.spread(_prefixed(right.dropna(subset=["lat", "lon"]), prefix), f"{prefix}lat", f"{prefix}lon")
+    return a.join(b, ["_band", "_column"]).drop("_band", "_column")
+
+
+def radius_join(left: DataFrame, right: DataFrame, meters: float, prefix: str = "r_", degree_circle: float | None = None, spheroid: bool = False) -> DataFrame:
+    """All pairs within ``meters``, with ``distance``, also across longitude 180 and around the poles. Both sides have lat and lon; the right side's columns get the prefix.
+
+    Right rows are copied to the cells around them, so the smaller side should
+    be the right one; Spark splits a hot cell's left rows. ``degree_circle`` also asks that
+    the pair lies in a circle of so many degrees, as a planar index would.
+    ``spheroid``: distances on the spheroid instead of the sphere.
     """
-    points = left.dropna(subset=["lat", "lon"])
-    places = right.dropna(subset=["lat", "lon"])
-    places = places.groupBy("lat", "lon").agg(F.min_by(F.struct(*places.columns), F.struct(tie)).alias("_first")).select("_first.*")
+    measure = geodesic if spheroid else haversine
+    pairs = candidate_pairs(left, right, meters * (_SPHEROID_SLACK if spheroid else 1), prefix)
+    pairs = pairs.withColumn("distance", measure(F.col("lat"), F.col("lon"), F.col(f"{prefix}lat"), F.col(f"{prefix}lon"))).where(F.col("distance") <= meters)
+    if degree_circle is not None:
+        planar = F.sqrt(F.pow(F.col("lat") - F.col(f"{prefix}lat"), 2) + F.pow(F.col("lon") - F.col(f"{prefix}lon"), 2))
+        pairs = pairs.where(planar <= degree_circle)
+    return pairs
+
+
+def planar_degrees(prefix: str) -> Column:
+    """Degrees on the plane, the shorter way around."""
+    apart = F.abs(F.col("lon") - F.col(f"{prefix}lon"))
+    return F.sqrt(F.pow(F.col("lat") - F.col(f"{prefix}lat"), F.lit(2.0)) + F.pow(F.least(apart, F.abs(360 - apart)), F.lit(2.0)))
+
+
+class _Quadtree:
+    """Square cells over the places' bounding box, split into 16 while they hold more than ``leaf`` places."""
+
+    def __init__(self, places: DataFrame, lat: str, lon: str, leaf: int) -> None:
+        self.lat, self.lon = lat, lon
+        low_y, low_x, high_y, high_x = places.agg(F.min(lat), F.min(lon), F.max(lat), F.max(lon)).first()
+        self.y, self.x = low_y or 0.0, low_x or 0.0
+        self.size = max((high_y or 0.0) - self.y, (high_x or 0.0) - self.x, 1e-9)
+        rows = places.withColumns({"_y": self._place(F.col(lat), self.y), "_x": self._place(F.col(lon), self.x), "_level": F.explode(F.sequence(F.lit(0), F.lit(_DEPTH), F.lit(2)))})
+        at = rows.withColumns({"_y": self._up(F.col("_y")), "_x": self._up(F.col("_x"))})
+        # a row per cell and level: the levels are counted in one pass, whatever their number
+        counts = settled(at.groupBy("_level", "_y", "_x").agg(F.count("*").alias("_n")), "quadtree-counts")
+        whole = (F.col("_n") <= leaf) | (F.col("_level") == _DEPTH)
+        parents = counts.where(~whole).select(F.col("_level").alias("_p"), F.col("_y").alias("_py"), F.col("_x").alias("_px"))
+        cells = counts.withColumns({"_p": F.col("_level") - 2, "_py": F.shiftright("_y", 2), "_px": F.shiftright("_x", 2)})
+        kept = cells.join(parents, ["_p", "_py", "_px"], "left_semi").unionByName(cells.where("_level = 0"))
+        self.cells = settled(kept.withColumn("_whole", whole), "quadtree-cells")
+        self.places = settled(at.join(self.cells.where("_whole").select("_level", "_y", "_x"), ["_level", "_y", "_x"]), "quadtree-places")
+
+    def _place(self, value: Column, low: float) -> Column:
+        return F.least(F.floor((value - low) / self.size * (1 << _DEPTH)), F.lit((1 << _DEPTH) - 1))
+
+    def _up(self, at: Column) -> Column:
+        """The cell at the row's level."""
+        return F.floor(at / F.pow(F.lit(2.0), _DEPTH - F.col("_level")))
+
+    def gaps(self) -> tuple[Column, Column]:
+        """The least and the greatest distance of a row's lat and lon from its cell, in degrees, the shorter way around. Slack covers rounding."""
+        side = F.lit(self.size) / F.pow(F.lit(2.0), F.col("_level"))
+        bottom, left = self.y + F.col("_y") * side, self.x + F.col("_x") * side
+        beyond = lambda v, low: F.greatest(low - v, v - low - side, F.lit(0.0))
+        within = lambda v, low: F.greatest(F.abs(v - low), F.abs(v - low - side))
+        turned = [F.col("lon") + k for k in (-360, 0, 360)]
+        near = F.hypot(beyond(F.col("lat"), bottom), F.least(*(beyond(v, left) for v in turned)))
+        far = F.hypot(within(F.col("lat"), bottom), F.least(*(within(v, left) for v in turned)))
+        return near - 1e-9, far + 1e-9
+
+
+def nearest_k(left: DataFrame, right: DataFrame, key: str, tie: str, k: int = 1, prefix: str = "r_", leaf: int = LEAF_PLACES) -> DataFrame:
+    """Each left row with its ``k`` nearest right rows in planar degrees, the shorter way around: ``place`` from 1, ``distance`` = degrees * 111000. Ties go to the least ``tie``.
+
+    ``key`` is unique on the left; rows without a coordinate have no place on either
+    side. Right rows at one place count up to k times. All left rows go down a
+    quadtree in step: of the cells that each still looks at, those count that begin within the
+    distance in which the cells surely hold k rows. Each step is written. A place in an empty region or in
+    a dense one looks at about as many cells.
+    """
+    rank = F.row_number().over(Window.partitionBy("lat", "lon").orderBy(tie))  # Spark keeps k of each task's rows before the shuffle
+    places = right.dropna(subset=["lat", "lon"]).withColumn("_rank", rank).where(F.col("_rank") <= k).drop("_rank")
     other = settled(_prefixed(places, prefix), "nearest-places")
-    cell = _start_cell(other, f"{prefix}lat", f"{prefix}lon", cell)
-    best = F.min_by(F.struct(*other.columns, "_degrees"), F.struct("_degrees", f"{prefix}{tie}"))
-    done = None
+    tree = _Quadtree(other, f"{prefix}lat", f"{prefix}lon", leaf)
+    points = left.dropna(subset=["lat", "lon"])
+    open_ = points.select(F.col(key).alias("_key"), "lat", "lon").join(tree.cells.where("_level = 0").drop("_p", "_py", "_px"))  # one row on the right
+    near, far = tree.gaps()
+    by_key = Window.partitionBy("_key")
+    upto = by_key.orderBy("_far").rowsBetween(Window.unboundedPreceding, 0)
     while True:
-        steps = (cell, cell)
-        pairs = _cells(points, "lat", "lon", steps, spread=False).join(_cells(other, f"{prefix}lat", f"{prefix}lon", steps, spread=True), ["_row", "_column"])
-        hit = pairs.withColumn("_degrees", planar_degrees(prefix)).groupBy(key).agg(best.alias("_best")).where(F.col("_best._degrees") <= cell)
-        hit = settled(hit, "nearest-hits")
-        found = points.join(hit, key).select(*points.columns, *(F.col(f"_best.{c}").alias(c) for c in other.columns), (F.col("_best._degrees") * DEGREE_METERS).alias("distance"))
-        done = found if done is None else done.unionByName(found)
-        points = settled(points.join(hit.select(key), key, "left_anti"), "nearest-left")
-        if cell > 720 or points.isEmpty():
-            return done
-        cell *= 4
+        going = open_.where("not _whole").select("_key", "lat", "lon", *(F.col(c).alias(p) for c, p in (("_level", "_p"), ("_y", "_py"), ("_x", "_px"))))
+        reached = going.join(tree.cells, ["_p", "_py", "_px"]).drop("_p", "_py", "_px").unionByName(open_.where("_whole"))
+        measured = reached.withColumns({"_near": near, "_far": far}).withColumn("_held", F.sum("_n").over(upto))
+        bounded = measured.withColumn("_bound", F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(by_key))
+        kept = bounded.where(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound")))
+        open_ = settled(kept.drop("_near", "_far", "_held", "_bound"), "nearest-open")
+        if not open_.where("not _whole").limit(1).count():
+            break
+    pairs = open_.select("_key", "lat", "lon", "_level", "_y", "_x").join(tree.places, ["_level", "_y", "_x"]).withColumn("_degrees", planar_degrees(prefix))
+    place = F.row_number().over(by_key.orderBy("_degrees", f"{prefix}{tie}"))
+    found = pairs.withColumn("place", place).where(F.col("place") <= k).select("_key", *other.columns, "place", (F.col("_degrees") * DEGREE_METERS).alias("distance"))
+    return points.join(found, F.col(key) == F.col("_key")).drop("_key")
+
+
+def nearest(left: DataFrame, right: DataFrame, key: str, tie: str, prefix: str = "r_") -> DataFrame:
+    """Each left row with its nearest right row, as ``nearest_k``."""
+    return nearest_k(left, right, key, tie, 1, prefix).drop("place")
 
 
 def top_k(pairs: DataFrame, keys: list[str], item: str, k: int = 10) -> DataFrame:
@@ -103,7 +183,7 @@ def within(left: DataFrame, right: DataFrame, key: str, meters: float) -> DataFr
 
 
 def resolve_sources(first: DataFrame, second: DataFrame, key: str, texts: list[str], meters: float = 45.72) -> DataFrame:
-    """Rows of ``second`` without a twin in ``first``: none within the radius, none that agrees in all texts in any case."""
-    near = radius_join(second.select(key, "lat", "lon"), first.select("lat", "lon"), meters).select(key)
+    """Rows of ``second`` without a twin in ``first``: none within the radius on the spheroid, none that agrees in all texts in any case."""
+    near = radius_join(second.select(key, "lat", "lon"), first.select("lat", "lon"), meters, spheroid=True).select(key)
     same = second.select(key, *(F.lower(t).alias(t) for t in texts)).join(first.select(*(F.lower(t).alias(t) for t in texts)).distinct(), texts).select(key)
     return second.join(near.unionByName(same).distinct(), key, "left_anti")

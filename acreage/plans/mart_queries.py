@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from acreage.functions import maths as M
 from acreage.operators import series
 from acreage.plans import marts
-from acreage.plans.oracle import _A, _B
+from acreage.plans.oracle import _A, _B, _geodesic
 from acreage.plans.queries import AS_OF, _point, _read
 from acreage.sources import tables
 
@@ -317,7 +317,7 @@ land as (select * from landnear where distance <= {NEAR})"""
 
 def _free(area: str) -> str:
     """Land with or without a building that isn't among such homes."""
-    near = _POINT_SIN.format(a="l", b="h")
+    near = _geodesic("l", "h")
     return f"select l.* from land l where interior_sqft {area} 0 and not exists (select 1 from homes h where h.interior_sqft {area} 0 and (h.street_address = l.street_address or {near} <= 45.72))"
 
 

@@ -7,6 +7,18 @@ _B = "40 + ({0} * 7919 % 9973) / 10000.0::double as lat, -112 + ({0} * 104729 %
 _CUSTOMERS = f"cust as (select c_custkey, c_acctbal, c_mktsegment, {_A.format('c_custkey')} from customer)"
 _SUPPLIERS = f"supp as (select s_suppkey, s_name, s_acctbal, {_B.format('s_suppkey')} from supplier)"
 _DISTANCE = "2 * 6371008.8::double * asin(sqrt(least(pow(sin(radians({1}.lat - {0}.lat) / 2), 2) + cos(radians({0}.lat)) * cos(radians({1}.lat)) * pow(sin(radians({1}.lon - {0}.lon) / 2), 2), 1)))"
+_REDUCED = "atan(tan(radians({0}.lat)) * (1 - 1 / 298.257223563::double))"
+
+
+def _geodesic(a: str, b: str) -> str:
+    """Meters on the spheroid by Lambert's formula."""
+    one, two = _REDUCED.format(a), _REDUCED.format(b)
+    angle = f"(2 * asin(sqrt(least(pow(sin(({two} - {one}) / 2), 2) + cos({one}) * cos({two}) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2), 1))))"
+    x = f"({angle} - sin({angle})) * pow(sin(({one} + {two}) / 2) * cos(({two} - {one}) / 2) / cos({angle} / 2), 2)"
+    y = f"coalesce(({angle} + sin({angle})) * pow(cos(({one} + {two}) / 2) * sin(({two} - {one}) / 2) / nullif(sin({angle} / 2), 0), 2), 0)"
+    return f"6378137::double * ({angle} - 1 / 298.257223563::double / 2 * ({x} + {y}))"
+
+
 _PAIRS = f"{_CUSTOMERS}, {_SUPPLIERS}, pairs as (select * from (select c.c_custkey, c.c_acctbal, c.lat, c.lon, s.s_suppkey, s.s_name, s.s_acctbal, s.lat as slat, s.lon as slon, {_DISTANCE.format('c', 's')} as distance from cust c, supp s) where distance <= 8046.7)"
 _URLS = "urls as (select (event_id % 4000)::varchar as url, event_type as state, case when value > 20 then ts::date end as scraped_at, ts as created_at, case when event_id % 3 = 0 then ts end as last_pulled, event_id from events)"
 _LISTINGS = "listings as (select (o_custkey % 400)::varchar as url, o_orderdate as created_at, o_orderkey as id, o_orderstatus as status, o_orderpriority as priority from orders)"
@@ -124,6 +136,14 @@ ORACLE_SQL = {
     "nearest_supplier": f"""
       with {_CUSTOMERS}, {_SUPPLIERS}, p as (select c_custkey, s_suppkey, sqrt(pow(c.lat - s.lat, 2) + pow(c.lon - s.lon, 2)) as g from cust c, supp s)
       select c_custkey, s_suppkey as r_s_suppkey, round(g * 111000, 2) as distance from p qualify row_number() over (partition by c_custkey order by g, s_suppkey) = 1""",
+    "nearest_k": f"""
+      with {_CUSTOMERS}, {_SUPPLIERS}, far as (select c_custkey, (c_custkey * 7919 % 18001) / 100.0::double - 90 as lat, (c_custkey * 104729 % 36000) / 100.0::double - 180 as lon from customer),
+      p as (select points, c_custkey, s_suppkey, sqrt(pow(c.lat - s.lat, 2) + pow(least(abs(c.lon - s.lon), 360 - abs(c.lon - s.lon)), 2)) as g from (select 'near' as points, c_custkey, lat, lon from cust union all select 'far', * from far) c, supp s)
+      select points, c_custkey, row_number() over (partition by points, c_custkey order by g, s_suppkey) as place, s_suppkey as r_s_suppkey, round(g * 111000, 2) as distance from p qualify row_number() over (partition by points, c_custkey order by g, s_suppkey) <= 3""",
+    "polar_pairs": f"""
+      with c as (select c_custkey, ((c_custkey * 7919 % 9973) / 4986.5::double + 88) * case when c_custkey % 2 = 0 then 1 else -1 end as lat, (c_custkey * 104729 % 9967) * (360.0::double / 9967) - 180 as lon from customer),
+      s as (select s_suppkey, ((s_suppkey * 7919 % 9941) / 4970.5::double + 88) * case when s_suppkey % 2 = 0 then 1 else -1 end as lat, (s_suppkey * 104729 % 9931) * (360.0::double / 9931) - 180 as lon from supplier)
+      select c_custkey, s_suppkey as r_s_suppkey, round(distance, 2) as distance from (select c_custkey, s_suppkey, {_DISTANCE.format("c", "s")} as distance from c, s) where distance <= 20000""",
     "radius_pairs": f"with {_PAIRS} select c_custkey, s_suppkey as r_s_suppkey, round(distance, 2) as distance from pairs",
     "degree_circle_pairs": f"with {_PAIRS} select c_custkey, count(*) as n from pairs where sqrt(pow(lat - slat, 2) + pow(lon - slon, 2)) <= 8046.7::double / 1609.34 / 69 * 1.2 group by 1",
     "smoothed_values": f"with {_SMOOTH} select * from smooth",
@@ -133,7 +153,7 @@ ORACLE_SQL = {
       with prt as (select p_partkey, {_A.format("p_partkey")} from part), {_SUPPLIERS}, p as (select p_partkey, s_acctbal, {_DISTANCE.format("p", "s")} as distance from prt p, supp s)
       select p_partkey, round(sum(exp(-0.5 * pow(distance / 1609.34 / 5, 2)) * s_acctbal) / sum(exp(-0.5 * pow(distance / 1609.34 / 5, 2))), 3) as estimate from p where distance <= 1609.34 group by 1""",
     "resolved_sources": f"""
-      with {_CUSTOMERS}, {_SUPPLIERS} select c_custkey from cust c where not exists (select 1 from supp s where {_DISTANCE.format("c", "s")} <= 400 or lower('A' || (s_suppkey * 7)) = lower('a' || c_custkey))""",
+      with {_CUSTOMERS}, {_SUPPLIERS} select c_custkey from cust c where not exists (select 1 from supp s where {_geodesic("c", "s")} <= 400 or lower('A' || (s_suppkey * 7)) = lower('a' || c_custkey))""",
     "building_ratios": """
       with g as (select l_partkey, avg(l_extendedprice) as p, avg(l_extendedprice * (1 - l_discount)) as e, avg(l_quantity - 25) as sqft, max(l_tax) as t, count(*) as units from lineitem group by 1)
       select l_partkey, units, round(case when sqft > 0 then p / sqft end, 4) as price_per_sqft, round(case when p > 0 then (p - e) / p end, 4) as concession, round(coalesce(nullif(t, 0), -1), 3) as tax from g""",
@@ -144,7 +164,7 @@ ORACLE_SQL = {
       with r as (select avg(p_size / p_retailprice) as interior, avg(p_retailprice / p_size) as build, pow(1 + 6.25::double / 100 / 12, 360) as f from part where p_size > 0)
       select p_partkey, round(p_retailprice * interior, 3) as potential_sqft, round((p_retailprice * 100 + p_retailprice * interior * build * 100) * (6.25::double / 100 / 12 * f / (f - 1)), 2) as full_payment from part, r""",
     "comparables": f"with {_NEAR} select c.c_custkey, count(n.c_custkey) as n, coalesce(string_agg(n.s_name, ';' order by rk), '') as names from cust c left join near n on n.c_custkey = c.c_custkey group by 1",
-    "comparables_exploded": f"with {_NEAR} select c_custkey, rk - 1 as place, s_suppkey as id, s_name, round(s_acctbal, 2) as value from near",
+    "comparables_exploded": f"with {_NEAR} select c_custkey, rk - 1 as place, s_suppkey as id, s_name, round(s_acctbal, 2) as value, round({_geodesic('c', 's')} / 1609.34::double, 2) as miles from (select *, {{'lat': lat, 'lon': lon}} as c, {{'lat': slat, 'lon': slon}} as s from near)",
     "flip_rank": f"with {_FLIPS} select * from flips where c_acctbal > 200 and c_custkey not in (select o_custkey from orders where o_orderstatus = 'P')",
     "flip_rank_accepted": f"with {_FLIPS} select * from flips where ((c_acctbal between 500 and 7000 and c_mktsegment <> 'BUILDING') or c_mktsegment = 'MACHINERY') and c_custkey in (select o_custkey from orders where o_orderstatus = 'F')",
     "row_changes": f"with {_DAYS} select user_id, day, round((v + 1) / lag(v + 1) over (partition by user_id order by day) - 1, 4) as v_change from days",

@@ -259,6 +259,26 @@ def nearest_supplier(spark, d):
     return n.select("c_custkey", "r_s_suppkey", F.round("distance", 2).alias("distance"))
 
 
+@query
+def nearest_k(spark, d):
+    """The three suppliers nearest to each customer, and the uneven case: those nearest to customers that lie around the whole globe."""
+    far = _read(spark, d, "customer").select("c_custkey", (F.pmod(F.col("c_custkey") * 7919, F.lit(18001)) / 100.0 - 90).alias("lat"), (F.pmod(F.col("c_custkey") * 104729, F.lit(36000)) / 100.0 - 180).alias("lon"))
+    found = [spatial.nearest_k(points, _suppliers(spark, d), "c_custkey", "s_suppkey", 3).select(F.lit(name).alias("points"), "c_custkey", F.col("place").cast("long").alias("place"), "r_s_suppkey", F.round("distance", 2).alias("distance")) for name, points in (("near", _customers(spark, d).select("c_custkey", "lat", "lon")), ("far", far))]
+    return found[0].unionByName(found[1])
+
+
+@query
+def polar_pairs(spark, d):
+    """Customers and suppliers strewn around both poles and across longitude 180, within 20 km."""
+    def around(name, key, a, b):
+        k = F.col(key)
+        lat = (F.pmod(k * 7919, F.lit(a)) / F.lit(a / 2.0) + 88) * F.when(k % 2 == 0, 1).otherwise(-1)
+        return _read(spark, d, name).select(key, lat.alias("lat"), (F.pmod(k * 104729, F.lit(b)) * F.lit(360.0 / b) - 180).alias("lon"))
+
+    p = spatial.radius_join(around("customer", "c_custkey", 9973, 9967), around("supplier", "s_suppkey", 9941, 9931), 20000.0)
+    return p.select("c_custkey", "r_s_suppkey", F.round("distance", 2).alias("distance"))
+
+
 def _pairs(spark, d, meters=M.SMOOTHING_METERS):
     return spatial.radius_join(_customers(spark, d), _suppliers(spark, d), meters)
 
@@ -334,8 +354,9 @@ def lot_development(spark, d):
 
 def _comparables(spark, d):
     near = spatial.top_k(_pairs(spark, d), ["c_custkey"], "r_s_suppkey").select("c_custkey", F.posexplode(F.slice("nearest", 1, 10)).alias("place", "n"))
-    s = _read(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), "s_name", "s_acctbal")
-    rows = near.select("c_custkey", "place", F.col("n.r_s_suppkey").alias("id"), M.miles(F.col("n.distance")).alias("miles")).join(s, "id")
+    s = _suppliers(spark, d).join(_read(spark, d, "supplier").select("s_suppkey", "s_name"), "s_suppkey").select(F.col("s_suppkey").alias("id"), "s_name", "s_acctbal", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
+    rows = near.select("c_custkey", "place", F.col("n.r_s_suppkey").alias("id")).join(s, "id").join(_customers(spark, d).select("c_custkey", "lat", "lon"), "c_custkey")
+    rows = rows.withColumn("miles", M.miles(M.geodesic(F.col("lat"), F.col("lon"), F.col("s_lat"), F.col("s_lon"))))
     return rows.groupBy("c_custkey").agg(F.array_sort(F.collect_list(F.struct("place", "id", "miles", "s_name", F.round("s_acctbal", 2).alias("value")))).alias("comparables"))
 
 
@@ -349,7 +370,7 @@ def comparables(spark, d):
 
 @query
 def comparables_exploded(spark, d):
-    return _comparables(spark, d).select("c_custkey", F.explode("comparables").alias("c")).select("c_custkey", F.col("c.place").cast("long").alias("place"), "c.id", "c.s_name", "c.value")
+    return _comparables(spark, d).select("c_custkey", F.explode("comparables").alias("c")).select("c_custkey", F.col("c.place").cast("long").alias("place"), "c.id", "c.s_name", "c.value", "c.miles")
 
 
 def _flips(spark, d):
