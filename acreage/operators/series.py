@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from acreage.functions.maths import t_column
+from acreage.operators.quantiles import quantiles
 
 
 def date_grid(df: DataFrame, first: str, last: str, days: int = 7) -> DataFrame:
@@ -68,8 +69,7 @@ def distinct_by_place(df: DataFrame, levels: dict[str, str], counts: dict[str, s
 
 def iqr_filter(df: DataFrame, keys: list[str], columns: list[str], k: float = 1.5, nulls_pass: tuple[str, ...] = ()) -> DataFrame:
     """Rows within Tukey's fences of their group in all columns, fences from the same input."""
-    quartiles = df.groupBy(*keys).agg(*(F.percentile(c, F.array(F.lit(0.25), F.lit(0.75))).alias(f"_q_{c}") for c in columns))
-    joined = df.join(quartiles, keys)
+    joined = df.dropna(subset=keys).join(quantiles(df, keys, columns), keys, "left")
     ok = F.lit(True)
     for c in columns:
         low, high = F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1]
