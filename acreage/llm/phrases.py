@@ -39,7 +39,7 @@ LONGEST = 4
 TOP = 2000
 #: A longer phrase with this share of a phrase's occurrences stands for it, in percent.
 COVERED = 80
-SHARDS = 5
+SHARDS = 3
 #: The Bloom filter has 2 ** FILTER_BITS bits in blocks of 64 KB, and three probes within a block.
 FILTER_BITS = 27
 _BLOCK_BITS = 19
@@ -131,7 +131,7 @@ def _local_counts(docs: DataFrame, size: int, frequent: Broadcast | None) -> Dat
     """(lang, lang_hash, shard, phrase, n) of phrases of ``size`` words, both of whose parts of one word less are in the filter."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text", 4 << 20):
+        for piece in slices(batches, "text", 3 << 20):
             scan = _Scan(piece)
             group = _group(piece.column("lang_hash").to_numpy(), piece.column("shard").to_numpy())[scan.row]
             at, phrase = scan.phrases(size)
@@ -153,7 +153,7 @@ def _global_counts(docs: DataFrame, longest: int, shards: int, candidates: Broad
     """(lang, size, phrase, f): occurrences of the phrases in the filter."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text", 4 << 20):
+        for piece in slices(batches, "text", 3 << 20):
             scan = _Scan(piece)
             group = _group(piece.column("lang_hash").to_numpy(), shards)[scan.row]
             for size in range(1, longest + 1):
