@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from acreage.functions import maths as M
 from acreage.operators import series
 from acreage.plans import marts
-from acreage.plans.oracle import _A, _B, _geodesic
+from acreage.plans.oracle import _A, _B, _geodesic, _t_values
 from acreage.plans.queries import AS_OF, _point, _read
 from acreage.sources import tables
 
@@ -30,7 +30,7 @@ def _pick(key: str, *texts: str):
 
 def _buildings(spark, d):
     s = _read(spark, d, "supplier")
-    return s.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("msa"), F.col("s_nationkey").cast("string")).alias("msa"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_nationkey").cast("string")).alias("zip_code"), *_point("s_suppkey", 9973, 9967), (F.col("s_suppkey") % 10 / 10.0).alias("leased_percentage"))
+    return s.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("msa"), F.col("s_nationkey").cast("string")).alias("msa"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_nationkey").cast("string")).alias("zip_code"), *_point("s_suppkey", 9973, 9967), (F.col("s_suppkey") % 10 / 10.0).alias("leased_percentage"), (F.col("s_suppkey") % 7 / 10.0).alias("exposure_percentage"))
 
 
 def _units(spark, d):
@@ -274,13 +274,21 @@ def _all_around(spark, d, rows, sets):
     return tables.settled(marts.smoothed(rows, ["source", "source_id"], sets, AROUND, {"buildings": "building_id", "homes": "id"}), "mart-all-around")
 
 
+def _places(name: str) -> int:
+    """Decimals that a mean is compared with: prices of whole properties are large."""
+    return 1 if "price" in name else 3
+
+
 @query
 def mart_all_surroundings(spark, d):
+    """All means, counts and lists around each developed property."""
     developed, lots = _unified(spark, d)
-    around = _all_around(spark, d, developed, _all_sets(spark, d, developed, lots))
-    means = ["avg_beds", "avg_concession_percentage", "avg_home_price_per_bedroom", "avg_home_average_percent_gain_per_year", "avg_home_predicted_current_price_per_sqft", "avg_interior_sqft_cost", "avg_developed_lot_cost_per_sqft"]
-    counts = [f"{n}_within_radius" for n in ("buildings", "homes", "lots", "developed")]
-    return around.select("source", "source_id", "num_units", "avg_home_data_span_days", *(F.round(c, 3).alias(c) for c in means), *counts, F.array_join("closest_homes", ",").alias("closest_homes"))
+    sets = _all_sets(spark, d, developed, lots)
+    around = _all_around(spark, d, developed, sets)
+    floats = [n for _, names, _ in sets.values() for n in names]
+    whole = [n for _, _, names in sets.values() for n in names]
+    lists = [F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c) for c in ("closest_buildings", "closest_homes")]
+    return around.select("source", "source_id", *whole, *(M.rounded(F.col(c), _places(c)).alias(c) for c in floats), *(f"{n}_within_radius" for n in sets), *lists)
 
 
 @query
@@ -301,7 +309,7 @@ def mart_accepted_flips(spark, d):
 
 _LAND_POINT = _A.replace("10000)", "9941)", 1).replace("104729 % 10000)", "104729 % 9931)").format("p_partkey")
 _POINT_SIN = "2 * 6371008.8::double * asin(sqrt(least(pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2), 1)))"
-_STAGED = f"""build as (select s_suppkey as building_id, 'msa' || s_nationkey as msa, case when s_suppkey % 3 > 0 then s_nationkey::varchar end as bzip, s_suppkey % 10 / 10.0::double as leased, {_B.format('s_suppkey')} from supplier),
+_STAGED = f"""build as (select s_suppkey as building_id, 'msa' || s_nationkey as msa, case when s_suppkey % 3 > 0 then s_nationkey::varchar end as bzip, s_suppkey % 10 / 10.0::double as leased, s_suppkey % 7 / 10.0::double as exposure, {_B.format('s_suppkey')} from supplier),
 home0 as (select 'h' || c_custkey as id, 'u' || c_custkey as url, c_custkey as k, c_custkey || ' Main Road' as street_address, c_nationkey::varchar as zip, c_acctbal * 100 + 150000 as price, {_A.format('c_custkey')},
   ['single_family', 'condo', 'apartment', 'manufactured'][c_custkey % 4 + 1] as home_type, c_custkey % 7 * 300.0::double as area from customer),
 home1 as (select *, case when k % 5 = 0 and area > 0 then 1 else k % 5 end::int as bedrooms, case when k % 6 = 0 then area * 10.7639::double else area end as interior_sqft, case when k % 2 = 0 then (k % 11 + 1) * 0.15::double * 43560 else (k % 11 + 1) * 5000.0::double end as lot_sqft from home0 where not (area = 0 and k % 5 <> 0)),
@@ -402,6 +410,67 @@ _HOMES_FOUND = f"""{_FOUND.removeprefix(_STAGED + ', ')},
   developed_prices as (select lat, lon, price / interior_sqft as per_interior, case when lot_sqft > 0 then price / lot_sqft end as per_lot from developed)"""
 
 
+def _fit_sql(source: str, keys: str, value: str, x: str, date: str) -> str:
+    """Everything that a trend's forecasts, bounds and growth need."""
+    return f"""select *, (select t from tt where dof = greatest(n - 2, 1)) as t, greatest((syy - slope * sxy) / n, 0) as mse from (select *, case when sxx > 0 then sxy / sxx else 0 end as slope from
+      (select {keys}, count(*) as n, avg({x}) as mx, avg({value}) as my, regr_sxx({value}, {x}) as sxx, regr_sxy({value}, {x}) as sxy, regr_syy({value}, {x}) as syy, min({date}) as min_date, max({date}) as max_date,
+       arg_min({value}, {date}) as a_v, arg_max({value}, {date}) as z_v from {source} group by {keys}))"""
+
+
+def _forecast(f: str, ahead: int, side: str = "") -> str:
+    point = f"({f}.my + {f}.slope * ({_X0} + {ahead} - {f}.mx))"
+    half = f"{f}.t * sqrt({f}.mse * case when {f}.sxx > 0 then 1 + pow({_X0} + {ahead} - {f}.mx, 2) / {f}.sxx else 1.1 end)"
+    return point if not side else f"(case when {f}.n > 2 then {point} {'-' if side == '_lower' else '+'} {half} when {f}.n is not null then 0 end)"
+
+
+def _growth(f: str) -> str:
+    return f"case when {f}.max_date > {f}.min_date and {f}.a_v > 0 then (pow({f}.z_v / {f}.a_v, 365.25::double / ({f}.max_date - {f}.min_date)) - 1) * 100 when {f}.n is not null then 0 end"
+
+
+def _all_surroundings_sql() -> str:
+    """Means of six sets, each under the name that the mart gives it."""
+    sides, times = ("", "_lower", "_upper"), (("current", 0), ("future", 365))
+    forecasts = {f"predicted_{time}{kind}_price{side}": _forecast(f, ahead, side) for time, ahead in times for kind, f in (("", "fp"), ("_effective", "fe")) for side in sides}
+    columns = {f"avg_{c}_per_{u}": f"{x} / nullif({by}, 0)" for c, x in forecasts.items() for u, by in (("sqft", "m.sqft"), ("bed", "m.beds"))}
+    columns |= {f"avg_{k}rent_price_per_{u}": f"m.{v} / nullif({by}, 0)" for k, v in (("", "price"), ("effective_", "effective")) for u, by in (("sqft", "m.sqft"), ("bed", "m.beds"))}
+    columns |= {"avg_beds": "m.beds", "avg_baths": "m.baths", "avg_sqft": "m.sqft", "avg_price": "m.price", "avg_effective_price": "m.effective", "num_units": "m.num_units"}
+    columns |= {"avg_leased_percentage": "b.leased", "avg_exposure_percentage": "b.exposure", "avg_concession_percentage": "(m.price - m.effective) / nullif(m.price, 0)"}
+    of_homes = {"price": "h.price"} | {f"predicted_{time}_price{side}": _forecast("f", ahead, side) for time, ahead in times for side in sides}
+    homes = {f"avg_home_{c}_per_{u}": f"case when {by} > 0 then {x} / {by} end" for c, x in of_homes.items() for u, by in (("bedroom", "h.bedrooms"), ("sqft", "h.interior_sqft"))}
+    homes |= {"avg_home_current_price": "h.price", "avg_home_bedrooms": "h.bedrooms", "avg_home_living_area_sqft": "h.interior_sqft"}
+    gains = {"avg_building_average_percent_gain_per_year": _growth("fp"), "avg_building_average_percent_gain_per_year_effective": _growth("fe")}
+    trends = {"avg_home_average_percent_gain_per_year": _growth("f"), "avg_home_trend_strength_pct": "case when s.n >= 3 then s.hits / s.m * 100 else 0 end", "avg_home_trend_variance_pct": "case when s.n >= 3 then s.sd * 100 else 0 end", "avg_home_data_span_days": "(f.max_date - f.min_date)"}
+    listed = lambda names: ", ".join(f"{x} as {n}" for n, x in names.items())
+    sets = {"buildings": columns, "building_trends": gains, "homes": homes, "home_trends": trends, "lots": {"avg_empty_lot_cost_per_sqft": ""}, "developed": {"avg_interior_sqft_cost": "", "avg_developed_lot_cost_per_sqft": ""}}
+    means = ", ".join(_means_sql(f"a_{name}", "developed", f"s_{name}", {n: n for n in names}) for name, names in sets.items())
+    joins = " ".join(f"left join a_{name} on a_{name}.source = p.source and a_{name}.source_id = p.source_id" for name in sets)
+    whole = ("num_units", "avg_home_data_span_days")
+    shown = [f"round_even(a_{name}.{n}, 0)::int as {n}" if n in whole else f"{_up(f'a_{name}.{n}', _places(n))} as {n}" for name, names in sets.items() for n in names]
+    shown += [f"coalesce(a_{name}.n, 0) as {name}_within_radius" for name in sets]
+    gap = _POINT_SIN.format(a="p", b="o")
+    near = ", ".join(
+        f"n_{name} as (select source, source_id, string_agg(id::varchar, ',' order by rk) as ids from (select *, row_number() over (partition by source, source_id order by gap, id) as rk from (select p.source, p.source_id, o.{key} as id, {gap} as gap from developed p, s_{name} o) where gap <= {AROUND}) where rk <= 10 group by 1, 2)"
+        for name, key in (("buildings", "building_id"), ("homes", "id"))
+    )
+    lists = " ".join(f"left join n_{name} on n_{name}.source = p.source and n_{name}.source_id = p.source_id" for name in ("buildings", "homes"))
+    return f"""with tt(dof, t) as (values {_t_values()}), {_DEVELOPED}, {_SUMMARY}, {_FOUND.removeprefix(_STAGED + ', ')},
+      means2 as (select building_id, avg(bed) as beds, avg(l_linenumber % 3) as baths, avg(sqft) as sqft, avg(price) as price, avg(effective) as effective, count(*) as num_units from (select *, bed as l_linenumber from units) group by 1),
+      mdates as (select *, date '1970-01-01' + x::int as day from months), fp as ({_fit_sql('mdates', 'building_id', 'price', 'x', 'day')}), fe as ({_fit_sql('mdates', 'building_id', 'effective', 'x', 'day')}),
+      daily as (select *, date_diff('day', date '1970-01-01', date)::double as x from byday where id in (select id from found)), hf as ({_fit_sql('daily', 'id', 'price', 'x', 'date')}),
+      changes as (select id, date, price, price / lag(price) over (partition by id order by date) - 1 as ch from daily),
+      ways as (select id, count(*) as n, count(ch) as m, stddev_pop(ch) as sd, case when arg_max(price, date) > arg_min(price, date) then 1 else -1 end as way from changes group by 1),
+      strengths as (select w.*, h.hits from ways w join (select c.id, count(*) filter (sign(ch) = way)::double as hits from changes c join ways using (id) group by 1) h using (id)),
+      s_buildings as (select b.building_id, b.lat, b.lon, {listed(columns)} from build b left join means2 m on m.building_id = b.building_id left join fp on fp.building_id = b.building_id left join fe on fe.building_id = b.building_id),
+      s_building_trends as (select b.lat, b.lon, {listed(gains)} from build b join fp on fp.building_id = b.building_id left join fe on fe.building_id = b.building_id),
+      s_homes as (select h.id, h.lat, h.lon, {listed(homes)} from homes h left join hf f on f.id = h.id),
+      s_home_trends as (select h.lat, h.lon, {listed(trends)} from homes h join hf f on f.id = h.id join strengths s on s.id = h.id),
+      s_lots as (select lat, lon, case when lot_sqft > 0 then price / lot_sqft end as avg_empty_lot_cost_per_sqft from lots),
+      s_developed as (select lat, lon, price / interior_sqft as avg_interior_sqft_cost, case when lot_sqft > 0 then price / lot_sqft end as avg_developed_lot_cost_per_sqft from developed),
+      {means}, {near}
+      select p.source, p.source_id, {', '.join(shown)}, n_buildings.ids as closest_buildings, n_homes.ids as closest_homes from developed p {joins} {lists}"""
+
+
+_ALL_SURROUNDINGS = _all_surroundings_sql()
 ORACLE_SQL = {
     "mart_surroundings": f"""with {_MAIN}, near as (select source, source_id, string_agg(building_id::varchar, ',' order by rk) as ids from (select *, row_number() over (partition by source, source_id order by gap, building_id) as rk from
       (select p.source, p.source_id, o.building_id, {_POINT_SIN.format(a="p", b="o")} as gap from developed p, summary o) where gap <= {AROUND}) where rk <= 10 group by 1, 2)
@@ -458,14 +527,7 @@ ORACLE_SQL = {
         where m * (3963 / 6371008.8::double) <= 8 and id in (select id from pair where m <= {NEAR}) group by id, cost)
       select id, {_up('bed')} as potential_rent_per_bed, {_up('acre')} as acre_cost_per_bed, {_up('case when acre > 0 then bed / acre end', 4)} as estimate_profit from e""",
     "mart_lots_main": f"""with {_MAIN}, {_main_sql('lots')} select row_number() over (order by source, source_id) as unified_id, source, source_id, round(a_lot, 3) as avg_empty_lot_cost_per_sqft, round(a_home, 3) as avg_home_price_per_sqft, l_n as lots_within_radius from lots_main""",
-    "mart_all_surroundings": f"""with {_MAIN}, {_HOMES_FOUND},
-      {_means_sql('ah', 'developed', 'home_sums', {'h_bedroom': 'per_bedroom', 'h_now': 'now_sqft'})}, {_means_sql('ag', 'developed', 'home_trends', {'t_gain': 'gain', 't_span': 'span'})}, {_means_sql('ad', 'developed', 'developed_prices', {'d_in': 'per_interior', 'd_lot': 'per_lot'})},
-      near as (select source, source_id, string_agg(id, ',' order by rk) as ids from (select *, row_number() over (partition by source, source_id order by gap, id) as rk from
-        (select p.source, p.source_id, o.id, {_POINT_SIN.format(a="p", b="o")} as gap from developed p, home_sums o) where gap <= {AROUND}) where rk <= 10 group by 1, 2)
-      select m.source, m.source_id, round_even(a_units, 0)::int as num_units, round_even(t_span, 0)::int as avg_home_data_span_days, round(a_beds, 3) as avg_beds, round(a_concession, 3) as avg_concession_percentage, round(h_bedroom, 3) as avg_home_price_per_bedroom,
-      round(t_gain, 3) as avg_home_average_percent_gain_per_year, round(h_now, 3) as avg_home_predicted_current_price_per_sqft, round(d_in, 3) as avg_interior_sqft_cost, round(d_lot, 3) as avg_developed_lot_cost_per_sqft,
-      b_n as buildings_within_radius, coalesce(ah.n, 0) as homes_within_radius, l_n as lots_within_radius, coalesce(ad.n, 0) as developed_within_radius, near.ids as closest_homes from developed_main m
-      left join ah on ah.source = m.source and ah.source_id = m.source_id left join ag on ag.source = m.source and ag.source_id = m.source_id left join ad on ad.source = m.source and ad.source_id = m.source_id left join near on near.source = m.source and near.source_id = m.source_id""",
+    "mart_all_surroundings": _ALL_SURROUNDINGS,
     "mart_accepted_flips": f"""with {_MAIN}, {_HOMES_FOUND}, {_means_sql('ah', 'developed', 'home_sums', {'h_price': 'per_sqft'})}
       select m.source, m.source_id, round(h_price * interior_sqft, 2) as estimate_potential_home_value, round(h_price * interior_sqft - price, 2) as estimated_home_value_increase, round(interior_sqft * a_now_sqft * a_leased, 2) as estimated_income_sqft
       from developed_main m left join ah on ah.source = m.source and ah.source_id = m.source_id where price <= 900000 and price > 45000 and url in (select 'u' || c_custkey from customer where c_acctbal > 0)""",
