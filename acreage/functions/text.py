@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SQFT_PER_ACRE = 43560.0
 SQFT_PER_SQM = 10.7639
@@ -74,4 +75,22 @@ def list_items(c: Column) -> Column:
 
 
 def valid_utf8(c: Column) -> Column:
-    return F.make_valid_utf8(c)
+    """The text without bytes that aren't UTF-8."""
+    return F.when(F.is_valid_utf8(c), c).otherwise(F.replace(F.make_valid_utf8(c), F.lit("\ufffd"), F.lit("")))
+
+
+def plain_values(c: Column, kind: T.DataType) -> Column:
+    """A value of any nesting with its texts in valid UTF-8 and its dates and times as ISO text."""
+    if isinstance(kind, T.StringType):
+        return valid_utf8(c)
+    if isinstance(kind, T.DateType):
+        return F.date_format(c, "yyyy-MM-dd")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    if isinstance(kind, T.ArrayType):
+        return F.transform(c, lambda x: plain_values(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(F.transform_keys(c, lambda k, _: plain_values(k, kind.keyType)), lambda _, v: plain_values(v, kind.valueType))
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*(plain_values(c[f.name], f.dataType).alias(f.name) for f in kind)))
+    return c

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acreage.operators.dedup import latest_by
+from acreage.sources.scratch import settled
+from acreage.sources.swap import locked
+from acreage.sources.tables import read_table, replace_table
 
 
 def claimable(urls: DataFrame, as_of: Column, states: list[str] | None = None, lease_hours: int = 5) -> DataFrame:
@@ -19,10 +22,27 @@ def claimable(urls: DataFrame, as_of: Column, states: list[str] | None = None, l
 def claim_batch(urls: DataFrame, as_of: Column, n: int, worker: str, states: list[str] | None = None, lease_hours: int = 5, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """A random batch of claimable urls, and the queue with their lease stamped."""
     batch = sample_rows(claimable(urls, as_of, states, lease_hours), n, "url", seed)
+    return batch, stamped(urls, batch, as_of, worker)
+
+
+def stamped(urls: DataFrame, batch: DataFrame, as_of: Column, worker: str) -> DataFrame:
+    """The queue with the lease of the batch's urls."""
     mine = F.col("_claimed").isNotNull()
     marked = urls.join(batch.select("url", F.lit(True).alias("_claimed")), "url", "left")
     marked = marked.withColumns({"last_pulled": F.when(mine, as_of).otherwise(F.col("last_pulled")), "processing_id": F.when(mine, F.lit(worker)).otherwise(F.col("processing_id"))})
-    return batch, marked.select(*urls.columns)
+    return marked.select(*urls.columns)
+
+
+def claim(spark: SparkSession, path: str, as_of: Column, n: int, worker: str, states: list[str] | None = None, lease_hours: int = 5, seed: int = 0, wait_seconds: float = 300) -> DataFrame:
+    """Claim a batch from the queue's table: the batch (url, state), whose leases are in the table when this returns.
+
+    Reading, choosing and stamping are one step under the table's lock, so that two workers never get one url; if it fails, the table is as it was.
+    """
+    with locked(spark, path, wait_seconds):
+        urls = read_table(spark, path)
+        batch = settled(sample_rows(claimable(urls, as_of, states, lease_hours), n, "url", seed), "claimed")
+        replace_table(stamped(urls, batch, as_of, worker), path, stamp=None)
+    return batch
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
@@ -56,6 +76,7 @@ def insert_absent(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def register_urls(urls: DataFrame, new: DataFrame, skip_existing: bool = True) -> DataFrame:
+    """The queue with the new urls; known ones are left out, or listed once more."""
     return insert_absent(urls, new, "url") if skip_existing else urls.unionByName(new)
 
 

@@ -22,6 +22,8 @@ def _geodesic(a: str, b: str) -> str:
 _PAIRS = f"{_CUSTOMERS}, {_SUPPLIERS}, pairs as (select * from (select c.c_custkey, c.c_acctbal, c.lat, c.lon, s.s_suppkey, s.s_name, s.s_acctbal, s.lat as slat, s.lon as slon, {_DISTANCE.format('c', 's')} as distance from cust c, supp s) where distance <= 8046.7)"
 _URLS = "urls as (select (event_id % 4000)::varchar as url, event_type as state, case when value > 20 then ts::date end as scraped_at, ts as created_at, case when event_id % 3 = 0 then ts end as last_pulled, event_id from events)"
 _LISTINGS = "listings as (select (o_custkey % 400)::varchar as url, o_orderdate as created_at, o_orderkey as id, o_orderstatus as status, o_orderpriority as priority from orders)"
+_CLAIMED = """claimed as (select url, state, case when place <= 25 then 'first' else 'second' end as worker from (select *, row_number() over (order by md5('0:' || url), url) as place from
+  (select url, min(state) as state from urls group by 1 having count(scraped_at) = 0 and count(*) filter (last_pulled > timestamp '2024-01-30' - interval 48 hour) = 0)) where place <= 65)"""
 _LEASES = "leases as (select o_orderkey, o_custkey as building_id, o_orderdate::date as from_date, o_totalprice as price, o_orderpriority, to_date from orders join (select l_orderkey, max(l_shipdate::date) as to_date from lineitem group by 1) on l_orderkey = o_orderkey)"
 _WEEKLY = f"""{_LEASES},
 grid as (select unnest(generate_series((select min(from_date) from leases), (select max(to_date) from leases), interval 7 day))::date as date),
@@ -220,7 +222,22 @@ ORACLE_SQL = {
     "list_items": "select p_partkey, p_brand || '|' || p_type || '|x' || p_size as items from part",
     "synced_rows": "select event_id, replace(props, ' ', '') as props, event_type from events",
     "seeded_sample": "select c_custkey, c_name from customer order by md5('7:' || c_custkey), c_custkey limit 20",
-    "slice_counts": "select c_mktsegment, count(*) as rows from customer group by 1",
+    "copied_slices": """
+      with s(slice) as (values ('AUTOMOBILE'), ('MACHINERY'), ('BUILDING'), ('none')), c as (select s.slice, count(c_custkey) as n, sum(c_acctbal::decimal(18,2))::double / nullif(count(c_custkey), 0) as a from s left join customer on c_mktsegment = slice group by 1)
+      select slice, case when slice <> 'MACHINERY' then n end as expected, case when slice = 'MACHINERY' then 0 else n end as rows, case when slice = 'MACHINERY' then 'failed' else 'copied' end as status,
+        case when slice = 'MACHINERY' then 0 else n end as held, case when slice <> 'MACHINERY' then floor(a * 100 + 0.500001::double) / 100 end as average from c""",
+    "exported_table": "select c_custkey, case when c_mktsegment = 'MACHINERY' and c_custkey % 2 = 0 then 'unknown' else c_acctbal::decimal(18,2)::varchar end as c_amount, c_mktsegment from customer",
+    "synced_table": "select event_id, replace(props, ' ', '') as props, event_type from events",
+    "claimed_batch": f"with {_URLS}, {_CLAIMED} select url, state, worker from claimed",
+    "stamped_queue": f"with {_URLS}, {_CLAIMED} select event_id, u.url, case when worker is not null then timestamp '2024-01-30' else last_pulled end as last_pulled, worker as processing_id from urls u left join claimed c on c.url = u.url",
+    "registered_urls": f"""
+      with {_URLS}, {_LISTINGS}, n as (select distinct url || case when id % 3 = 0 then 'x' else '' end as url, status as state from listings),
+      f as (select url, min(state) as state from n group by 1)
+      select true as skip, url, 'old' as origin, count(*) as rows, min(state) as state from urls group by url union all select true, url, 'new', 1, state from f where url not in (select url from urls)
+      union all select false, url, 'old', count(*), min(state) from urls group by url union all select false, url, 'new', count(*), min(state) from n group by url""",
+    "plain_values": """
+      select event_id, case when event_id % 5 > 0 then '{"texts":["' || event_type || 'é",null],"days":{"' || event_type || 'é":"' || strftime(ts, '%Y-%m-%d') || '"},"times":[{"at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || '","event_id":' || event_id || '}]}' end as v from events""",
+    "slice_counts": "select c_mktsegment, count(*) as rows from customer where c_mktsegment is not null group by 1",
     "first_by_id": "select o_orderkey, o_custkey from orders order by o_orderkey limit 10",
     "newest_events": "select event_id, ts from events order by ts desc, event_id desc limit 5",
     "distinct_listing": "select distinct o_orderpriority, o_orderstatus from orders order by 1, 2 limit 12",
@@ -228,7 +245,7 @@ ORACLE_SQL = {
     "listed_in_queue": f"with {_URLS}, {_LISTINGS} select url, id from listings where url in (select url from urls where scraped_at is null) qualify row_number() over (partition by url order by created_at desc, id) = 1",
     "latest_for_display": f"with {_DAYS} select user_id, day, v from days qualify row_number() over (partition by user_id order by day desc) = 1",
     "declared_columns": "select c_custkey::varchar as c_custkey, trunc(c_acctbal)::bigint as c_acctbal, null::varchar as c_phone from customer",
-    "replaced_table": "select c_custkey, c_acctbal, c_mktsegment from customer where c_acctbal > 0",
+    "replaced_table": "select c_custkey, c_acctbal, c_mktsegment, true as stamped from customer where c_acctbal > 0",
     "appended_rows": """select s_suppkey, '{"s_name":"' || s_name || '","s_nationkey":' || s_nationkey || '}' as about, 2::bigint as times from supplier""",
     "seed_file": """select n_name || ', "x"' as name, n_nationkey as key from nation""",
     "copied_children": "select o_orderkey, o_custkey, case when o_totalprice > 1000 then o_orderstatus end as o_orderstatus from orders where o_custkey in (select c_custkey from customer where c_acctbal > 0)",

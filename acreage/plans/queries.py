@@ -6,6 +6,9 @@ way here and in ``oracle``.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +17,7 @@ from acreage.functions import maths as M
 from acreage.functions import text as X
 from acreage.operators import checks, dedup, filters, series, spatial, work_queue
 from acreage.sources import pages as P
-from acreage.sources import tables
+from acreage.sources import jdbc, tables
 
 AS_OF = "2001-09-01"
 QUERIES = {}
@@ -429,6 +432,45 @@ def claimable_urls(spark, d):
     return work_queue.claimable(_urls(spark, d), F.lit("2024-01-30 00:00:00").cast("timestamp_ntz"), lease_hours=48)
 
 
+CLAIMS = {"first": 25, "second": 40}
+
+
+def _claimed(spark, d):
+    """A queue from which two workers claimed, and their batches."""
+    path, as_of = tables.scratch(spark, "queue"), F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
+    tables.replace_table(_urls(spark, d), path, stamp=None)
+    batches = [work_queue.claim(spark, path, as_of, n, worker, lease_hours=48).withColumn("worker", F.lit(worker)) for worker, n in CLAIMS.items()]
+    return path, batches[0].unionByName(batches[1])
+
+
+@query
+def claimed_batch(spark, d):
+    return _claimed(spark, d)[1]
+
+
+@query
+def stamped_queue(spark, d):
+    return tables.read_table(spark, _claimed(spark, d)[0]).select("event_id", "url", "last_pulled", "processing_id")
+
+
+@query
+def registered_urls(spark, d):
+    """New urls in the queue, known ones left out or not."""
+    urls = _urls(spark, d).select("url", "state", F.lit("old").alias("origin"))
+    new = _listings(spark, d).select(F.concat("url", F.when(F.col("id") % 3 == 0, "x").otherwise("")).alias("url"), F.col("status").alias("state"), F.lit("new").alias("origin")).distinct()
+    both = [work_queue.register_urls(urls, new, skip).withColumn("skip", F.lit(skip)) for skip in (True, False)]
+    return both[0].unionByName(both[1]).groupBy("skip", "url", "origin").agg(F.count("*").alias("rows"), F.min("state").alias("state"))
+
+
+@query
+def plain_values(spark, d):
+    """Events with dates, times and texts with a broken byte inside arrays, maps and structs, as a sink takes them."""
+    broken = F.concat(F.col("event_type"), F.unhex(F.lit("FF")).cast("string"), F.lit("é"))
+    nested = F.struct(F.array(broken, F.lit(None).cast("string")).alias("texts"), F.create_map(broken, F.to_date("ts")).alias("days"), F.array(F.struct(F.date_trunc("second", "ts").alias("at"), "event_id")).alias("times"))
+    e = _read(spark, d, "events").select("event_id", F.when(F.col("event_id") % 5 > 0, nested).alias("v"))
+    return e.select("event_id", F.to_json(X.plain_values(F.col("v"), e.schema["v"].dataType)).alias("v"))
+
+
 @query
 def marked_scraped(spark, d):
     done = _listings(spark, d).where("status = 'F'")
@@ -548,9 +590,35 @@ def synced_rows(spark, d):
 
 @query
 def slice_counts(spark, d):
+    """The customers of all segments that have a name, copied segment by segment."""
     c = _read(spark, d, "customer")
-    segments = [r[0] for r in c.where("c_mktsegment is not null").select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]  # the slices to copy, a few
-    return tables.copy_slices(c, tables.scratch(spark, "slices"), "c_mktsegment", segments)
+    return tables.copy_slices(c, tables.scratch(spark, "slices"), "c_mktsegment", c.select("c_mktsegment"))
+
+
+def _database(spark, d) -> str:
+    """A database that holds the customers, amounts as text. Derby keeps it in the driver's memory, where local tasks reach it; on a cluster ``acreage.jdbc.url`` names one."""
+    url = spark.conf.get("acreage.jdbc.url", f"jdbc:derby:memory:{uuid.uuid4().hex};create=true")
+    amount = F.when((F.col("c_mktsegment") == "MACHINERY") & (F.col("c_custkey") % 2 == 0), "unknown").otherwise(F.col("c_acctbal").cast("decimal(18,2)").cast("string"))
+    jdbc.to_database(_read(spark, d, "customer").select("c_custkey", amount.alias("c_amount"), "c_mktsegment").coalesce(4), url, "customers", {"c_amount": 32, "c_mktsegment": 32})
+    return url
+
+
+@query
+def copied_slices(spark, d):
+    """Segments copied from a database in pages of 100 rows; one fails, as some of its amounts aren't numbers, and one is empty. The copies are counted and summed beside the report."""
+    path, key, segment = tables.scratch(spark, "copied"), "c_custkey", "c_mktsegment"
+    typed = '(select "c_custkey", cast("c_amount" as decimal(18,2)) as "c_amount", "c_mktsegment" from customers)'
+    report = jdbc.copy_database(spark, _database(spark, d), typed, path, segment, ["AUTOMOBILE", "MACHINERY", "BUILDING", "none"], key, 100)
+    held = spark.read.schema("c_custkey long, c_amount decimal(18,2), c_mktsegment string").parquet(path).groupBy(F.col(segment).alias("slice")).agg(F.countDistinct(key).alias("held"), _exact_avg("c_amount").alias("average"))
+    return report.join(held, "slice", "left").select("slice", "expected", "rows", "status", F.coalesce("held", F.lit(0)).alias("held"), M.rounded(F.col("average"), 2).alias("average"))
+
+
+@query
+def exported_table(spark, d):
+    """A database table as Parquet, read in two predicates."""
+    path = tables.scratch(spark, "exported")
+    jdbc.export_table(spark, _database(spark, d), "customers", path, ['"c_custkey" < 100', '"c_custkey" >= 100'])
+    return tables.read_table(spark, path).select("c_custkey", "c_amount", "c_mktsegment")
 
 
 @query
@@ -593,21 +661,35 @@ def declared_columns(spark, d):
 
 @query
 def replaced_table(spark, d):
-    """A table that is written, replaced by other rows, partitioned, and read back."""
+    """A table that is written, replaced by a part of its own rows, and kept where the third replacement fails."""
     path = tables.scratch(spark, "replaced")
     c = _read(spark, d, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     tables.replace_table(c, path, ["c_mktsegment"], stamp=None)
-    tables.replace_table(c.where("c_acctbal > 0"), path, ["c_mktsegment"], stamp=None)
-    return spark.read.parquet(path)
+    tables.replace_table(tables.read_table(spark, path).where("c_acctbal > 0"), path, ["c_mktsegment"])
+    try:
+        tables.replace_table(c.withColumn("c_custkey", F.when(F.col("c_custkey") == 7, F.raise_error(F.lit("no such row"))).otherwise(F.col("c_custkey"))), path)
+    except PySparkException:
+        return tables.read_table(spark, path).select("c_custkey", "c_acctbal", "c_mktsegment", F.col("created_at").isNotNull().alias("stamped"))
+    raise AssertionError("the third replacement must fail")
+
+
+@query
+def synced_table(spark, d):
+    """Events synced into a table that held others."""
+    path = tables.scratch(spark, "synced")
+    e = _read(spark, d, "events").select("event_id", "props", "event_type")
+    for rows in (e.limit(5), e.unionByName(e.withColumn("event_type", F.lit("zz")))):
+        tables.sync_table(rows, path, "event_id", ["props"])
+    return tables.read_table(spark, path)
 
 
 @query
 def appended_rows(spark, d):
-    """Two appends of rows with nested values as JSON text, read back."""
+    """Appends of rows with nested values as JSON text, read back: a batch that is sent again adds nothing, named or not."""
     path = tables.scratch(spark, "appended")
     s = _read(spark, d, "supplier").select("s_suppkey", F.struct("s_name", "s_nationkey").alias("about"))
-    for _ in range(2):
-        tables.append_rows(s, path)
+    for batch in ("a", "a", None, None):
+        tables.append_rows(s, path, batch)
     return spark.read.schema("s_suppkey long, about string").json(path).groupBy("s_suppkey", "about").agg(F.count("*").alias("times"))
 
 

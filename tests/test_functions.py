@@ -151,5 +151,5 @@ def test_tables(spark, tmp_path):
     (tmp_path / "s.csv").write_text('address,cost\n"1 A St, X",5\n\n\n"2 B St",6\n')
     assert tables.read_seed(spark, str(tmp_path / "s.csv"), "address string, cost int").count() == 2
     rows = spark.createDataFrame([("UT", 1), ("UT", 2), ("NV", 3), ("CA", 4)], "state string, v int")
-    report = tables.copy_slices(rows, str(tmp_path / "o"), "state", ["UT", "NV", "AZ"])
+    report = tables.copy_slices(rows, str(tmp_path / "o"), "state", spark.createDataFrame([("UT",), ("NV",), ("AZ",), (None,), ("UT",)], "state string"))
     assert {r.state: r["rows"] for r in report.collect()} == {"UT": 2, "NV": 1, "AZ": 0}
