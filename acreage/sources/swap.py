@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,10 +39,21 @@ class Folder:
 
     def claim(self, path: str) -> bool:
         """Whether this call made the file."""
-        return self._files.createNewFile(self._at(path))
+        try:
+            return self._files.createNewFile(self._at(path))
+        except Py4JJavaError as failure:
+            if "FileAlreadyExists" in failure.java_exception.getClass().getName():  # made by another in this moment
+                return False
+            raise
 
     def age(self, path: str) -> float:
-        return time.time() - self._files.getFileStatus(self._at(path)).getModificationTime() / 1000
+        """Seconds since the file was made; 0 if it is gone."""
+        try:
+            return time.time() - self._files.getFileStatus(self._at(path)).getModificationTime() / 1000
+        except Py4JJavaError:
+            if self.exists(path):
+                raise
+            return 0.0
 
 
 def written_beside(df: DataFrame, folder: Folder, partition_by: list[str] | None = None, kind: str = "parquet") -> str:
