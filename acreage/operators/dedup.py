@@ -9,13 +9,18 @@ from acreage.sources.scratch import settled
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[Column], null_keys: str = "collapse") -> DataFrame:
-    """One row per key, the first in ``order`` (which should be total). Null keys are one key, or all kept (``keep_all``)."""
-    numbered = df.withColumn("_row", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    first = F.col("_row") == 1
-    if null_keys == "keep_all":
-        for k in keys:
-            first = first | F.col(k).isNull()
-    return numbered.where(first).drop("_row")
+    """One row per key, the first in ``order`` (which should be total). Null keys are one key, or all kept (``keep_all``).
+
+    Asking for the first row number lets Spark keep one row per key in each task
+    before the shuffle, so that a hot key, null ones among them, arrives as a row per task.
+    """
+    first = lambda rows: rows.withColumn("_row", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_row = 1").drop("_row")
+    if null_keys != "keep_all":
+        return first(df)
+    some_null = F.lit(False)
+    for k in keys:
+        some_null = some_null | F.col(k).isNull()
+    return first(df.where(~some_null)).unionByName(df.where(some_null))
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

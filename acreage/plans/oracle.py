@@ -209,6 +209,15 @@ ORACLE_SQL = {
         union all select 'unique', 'o_custkey', (select count(*) from (select 1 from orders group by o_custkey having count(*) > 1)), 'error'
         union all select 'not_null', 'k', (select count(*) from orders where o_custkey = 7), 'error'
         union all select 'range', 'o_totalprice', (select count(*) from orders where o_totalprice not between 1000 and 400000), 'warn')""",
+    "failing_rows": """
+      with o as (select o_orderkey, o_custkey, case when o_custkey <> 7 then o_custkey end as k, trunc(o_totalprice)::int as o_totalprice from orders),
+      j as (select *, '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || case when k is null then '' else ',"k":' || k end || ',"o_totalprice":' || o_totalprice || '}' as v from o)
+      select 'unique' as test, 'o_orderkey' as column_name, o_orderkey::varchar as value, count(*) as n from o group by 3 having count(*) > 1 union all select 'unique', 'o_custkey', o_custkey::varchar, count(*) from o group by 3 having count(*) > 1
+      union all select 'not_null', 'k', v, count(*) from j where k is null group by 3 union all select 'range', 'o_totalprice', v, count(*) from j where o_totalprice not between 1000 and 400000 group by 3""",
+    "area_distinct": """
+      with o as (select c_mktsegment, o_orderpriority, c_nationkey, o_orderdate as d, o_custkey as c from orders join customer on c_custkey = o_custkey),
+      s as (select 'segment' as geography_type, c_mktsegment as geography_value, d, c from o union all select 'priority', o_orderpriority, d, c from o union all select 'nation', c_nationkey::varchar, d, c from o)
+      select geography_type, geography_value, count(distinct d) as dates, count(distinct c) as buildings from s where geography_value is not null group by 1, 2""",
     "freshness": "select round(h, 3) as age_hours, case when h > 48 then 'error' when h > 24 then 'warn' else 'pass' end as status from (select (epoch(timestamp '2024-02-01') - floor(epoch(max(ts)))) / 3600 as h from events)",
     "page_links": """select distinct page_id, case when starts_with(l, '/') then 'https://example.org' || l else l end as link from (select page_id, unnest(regexp_extract_all(html, '<a[^>]*href="([^"]*)"', 1)) as l from pages) where contains(l, '/')""",
     "page_title_host": r"select page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) as title, regexp_extract(url, '^https?://([^/?#]+)', 1) as host from pages",

@@ -516,11 +516,29 @@ def reconcile_report(spark, d):
     return checks.table_report("events", _urls(spark, d), _listings(spark, d))
 
 
+_RULES = [("unique", "o_orderkey", (), "error"), ("unique", "o_custkey", (), "error"), ("not_null", "k", (), "error"), ("range", "o_totalprice", (1000, 400000), "warn")]
+
+
 @query
 def quality_report(spark, d):
     o = _read(spark, d, "orders").withColumn("k", F.nullif("o_custkey", F.lit(7)))
-    rules = [("unique", "o_orderkey", (), "error"), ("unique", "o_custkey", (), "error"), ("not_null", "k", (), "error"), ("range", "o_totalprice", (1000, 400000), "warn")]
-    return checks.quality_report(o, rules)
+    return checks.quality_report(o, _RULES)
+
+
+@query
+def failing_rows(spark, d):
+    """The rows that fail a rule, stored by rule and read back."""
+    path = tables.scratch(spark, "failures")
+    o = _read(spark, d, "orders").select("o_orderkey", "o_custkey", F.nullif("o_custkey", F.lit(7)).alias("k"), F.col("o_totalprice").cast("int").alias("o_totalprice"))
+    checks.store_failures(o, _RULES, path)
+    return tables.read_table(spark, path).drop("created_at")
+
+
+@query
+def area_distinct(spark, d):
+    """Distinct dates and buildings of areas, each counted once per area."""
+    o = _read(spark, d, "orders").join(_read(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return series.distinct_by_level(o, {"segment": "c_mktsegment", "priority": "o_orderpriority", "nation": "c_nationkey"}, {"dates": "o_orderdate", "buildings": "o_custkey"})
 
 
 @query
