@@ -1,10 +1,10 @@
 """Phrase collocation mining by SON partitioning.
 
 The documents are dealt to a fixed number of shards by the hash of their text. Each
-shard is mined completely, level by level: a phrase is frequent in a shard if its count
-there reaches the global support lowered in proportion to the shard's share of its language's
-words, and a longer phrase is looked at only where both phrases of one word less
-are frequent in the shard. A phrase with enough support overall reaches the lowered one in some
+shard is mined completely, in three levels: words, pairs, and longer phrases. A phrase is frequent in a
+shard if its count there reaches the global support lowered in proportion to the shard's share of
+its language's words; a pair is looked at only where both words are frequent in the shard, and a
+longer phrase where all its pairs are. A phrase with enough support overall reaches the lowered one in some
 shard, so the union of the locally frequent ones misses none. One more pass counts that union
 in all documents, exactly and by its text.
 
@@ -16,7 +16,7 @@ mistake, or because it is full, costs time and is counted away by the last pass.
 Defined results: a null text is empty, a null lang is ``und``; phrases don't cross
 pieces; overlapping occurrences all count; repeated rows are documents of their own; ties
 go by count and then by the phrase's UTF-8; texts of any length are taken whole; an empty table
-gives no rows; other columns are not looked at. Local counts go by 64-bit hashes, which can
+gives no rows; other columns are not looked at. Local counts go by 58-bit hashes, whose collisions can
 only add candidates; in one slice of some MB the last pass tells phrases apart by 64-bit hashes too.
 """
 
@@ -43,6 +43,7 @@ SHARDS = 3
 #: The Bloom filter has 2 ** FILTER_BITS bits in blocks of 64 KB, and three probes within a block.
 FILTER_BITS = 27
 _BLOCK_BITS = 19
+_GROUP_BITS = 6
 _SALTS = 64
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -113,13 +114,13 @@ class _Scan:
         out = np.full(len(at), size, np.uint64)
         for k, factor in enumerate(multipliers(size, 12)):
             out += self.hashes[at + k] * factor
-        return at, mix64(out)
+        return at, mix64(out) >> np.uint64(_GROUP_BITS)
 
 
-def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first place of each key, and how often it occurs."""
-    _, first, n = np.unique(key, return_index=True, return_counts=True)
-    return first, n
+def _edges(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each sorted key begins, and how often it occurs."""
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]]))
+    return first, np.diff(np.concatenate([first, [len(key)]]))
 
 
 def _docs(docs: DataFrame, shards: int) -> DataFrame:
@@ -127,26 +128,39 @@ def _docs(docs: DataFrame, shards: int) -> DataFrame:
     return docs.select(lang.alias("lang"), F.xxhash64(lang).alias("lang_hash"), F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int").alias("shard"), "text")
 
 
-def _local_counts(docs: DataFrame, size: int, frequent: Broadcast | None) -> DataFrame:
-    """(lang, lang_hash, shard, phrase, n) of phrases of ``size`` words, both of whose parts of one word less are in the filter."""
+def _local_counts(docs: DataFrame, sizes: tuple[int, ...], known: int = 0, frequent: Broadcast | None = None) -> DataFrame:
+    """(lang_hash, shard, size, phrase, n) of phrases of so many words, all of whose parts of ``known`` words are in the filter."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text", 3 << 20):
             scan = _Scan(piece)
-            group = _group(piece.column("lang_hash").to_numpy(), piece.column("shard").to_numpy())[scan.row]
-            at, phrase = scan.phrases(size)
-            if frequent is not None and len(at):
-                shorter, hashes = scan.phrases(size - 1)
-                held = np.zeros(len(scan.row), bool)
-                held[shorter] = _held(frequent.value, _keys(group[shorter], hashes))
-                both = held[at] & held[at + 1]
-                at, phrase = at[both], phrase[both]
-            first, n = _counted(_keys(group[at], phrase))
-            row = pa.array(scan.row[at[first]])
-            yield pa.RecordBatch.from_arrays([*(piece.column(c).take(row) for c in ("lang", "lang_hash", "shard")), pa.array(phrase[first].view(np.int64)), pa.array(n)], names=["lang", "lang_hash", "shard", "phrase", "n"])
-
-    parts = docs.mapInArrow(go, "lang string, lang_hash long, shard int, phrase long, n long")
-    return parts.groupBy("lang", "lang_hash", "shard", "phrase").agg(F.sum("n").alias("n"))
+            langs, shards = piece.column("lang_hash").to_numpy(), piece.column("shard").to_numpy()
+            groups, group = np.unique(_group(langs, shards), return_inverse=True)
+            some = np.zeros(len(groups), np.int64)
+            some[group] = np.arange(len(group))  # a row of each group
+            group = group[scan.row]
+            held = None
+            if frequent is not None:
+                at, phrase = scan.phrases(known)
+                held = np.zeros(len(scan.row) + 1, bool)
+                held[at] = _held(frequent.value, _keys(groups[group[at]], phrase))
+            for size in sizes:
+                at, phrase = scan.phrases(size)
+                for k in range(size - known + 1 if held is not None and len(at) else 0):
+                    kept = held[at + k]
+                    at, phrase = at[kept], phrase[kept]
+                for low in range(0, len(groups), 1 << _GROUP_BITS):  # so many groups fit beside a phrase in one number, which sorts fast
+                    within = group[at] - low
+                    mine = slice(None) if len(groups) <= 1 << _GROUP_BITS else (within >= 0) & (within < 1 << _GROUP_BITS)
+                    key = np.sort((phrase[mine] << np.uint64(_GROUP_BITS)) | within[mine].astype(np.uint64))
+                    first, n = _edges(key)
+                    key = key[first]
+                    row = some[low + (key & np.uint64((1 << _GROUP_BITS) - 1)).astype(np.int64)]
+                    columns = [langs[row], shards[row], np.full(len(key), size, np.int32), (key >> np.uint64(_GROUP_BITS)).astype(np.int64), n]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["lang_hash", "shard", "size", "phrase", "n"])
+
+    parts = docs.mapInArrow(go, "lang_hash long, shard int, size int, phrase long, n long")
+    return parts.groupBy("lang_hash", "shard", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _global_counts(docs: DataFrame, longest: int, shards: int, candidates: Broadcast) -> DataFrame:
@@ -161,10 +175,11 @@ def _global_counts(docs: DataFrame, longest: int, shards: int, candidates: Broad
                 key = _keys(group[at], phrase)
                 held = _held(candidates.value, key)
                 at, key = at[held], key[held]
-                first, n = _counted(key)
+                order = np.argsort(key)
+                first, n = _edges(key[order])
                 if len(first):
-                    langs = piece.column("lang").take(pa.array(scan.row[at[first]]))
-                    yield pa.RecordBatch.from_arrays([langs, pa.array(np.full(len(n), size, np.int32)), texts_of(scan.words, at[first], size), pa.array(n)], names=["lang", "size", "phrase", "n"])
+                    at = at[order[first]]
+                    yield pa.RecordBatch.from_arrays([piece.column("lang").take(pa.array(scan.row[at])), pa.array(np.full(len(n), size, np.int32)), texts_of(scan.words, at, size), pa.array(n)], names=["lang", "size", "phrase", "n"])
 
     return docs.mapInArrow(go, "lang string, size int, phrase string, n long").groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f"))
 
@@ -172,20 +187,19 @@ def _global_counts(docs: DataFrame, longest: int, shards: int, candidates: Broad
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases of up to ``longest`` words that occur ``least`` times in their language, and (lang, n), its words."""
     docs = _docs(docs, shards)
-    words = written(_local_counts(docs, 1, None), "phrases-words")
-    shares = words.groupBy("lang", "shard").agg(F.sum("n").alias("shard_n"))
-    totals = written(shares.groupBy("lang").agg(F.sum("shard_n").alias("lang_n")), "phrases-totals")
-    shares = written(shares.join(totals, "lang"), "phrases-shares")
+    words = written(_local_counts(docs, (1,)), "phrases-words")
+    shares = words.groupBy("lang_hash", "shard").agg(F.sum("n").alias("shard_n"))
+    totals = shares.groupBy("lang_hash").agg(F.sum("shard_n").alias("lang_n")).join(docs.select("lang", "lang_hash").distinct(), "lang_hash")
+    totals = written(totals, "phrases-totals")
+    shares = written(shares.join(totals.drop("lang"), "lang_hash"), "phrases-shares")
     wide = lambda c: F.col(c).cast("decimal(19,0)")
     enough = wide("n") * wide("lang_n") >= wide("shard_n") * F.lit(least)
-    levels, frequent = [], None
-    for size in range(1, longest + 1):
-        counts = words if size == 1 else _local_counts(docs, size, frequent)
-        levels.append(written(counts.join(shares, ["lang", "shard"]).where(enough).select("lang_hash", "shard", "phrase"), f"phrases-frequent-{size}"))
-        if frequent is not None:
-            frequent.destroy()
-        if size < longest:
-            frequent = bloom_filter(levels[-1], bits)
+    locally = lambda counts, label: written(counts.join(shares, ["lang_hash", "shard"]).where(enough).select("lang_hash", "shard", "phrase"), f"phrases-frequent-{label}")
+    levels = [locally(words, "words")]
+    for sizes in [(2,), tuple(range(3, longest + 1))] if longest > 2 else [(2,)]:
+        frequent = bloom_filter(levels[-1], bits)
+        levels.append(locally(_local_counts(docs, sizes, sizes[0] - 1, frequent), "pairs" if sizes == (2,) else "longer"))
+        frequent.destroy()
     union = levels[0]
     for level in levels[1:]:
         union = union.unionByName(level)
@@ -193,7 +207,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     found = written(_global_counts(docs, longest, shards, candidates).where(F.col("f") >= least), "phrases-found")
     candidates.destroy()
     released(words, shares, *levels)
-    return found, totals.withColumnRenamed("lang_n", "n")
+    return found, totals.select("lang", F.col("lang_n").alias("n"))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, covered: int = COVERED, shards: int = SHARDS) -> DataFrame:
