@@ -1,6 +1,6 @@
 """The same queries in SQL, for comparison on the same tables."""
 
-from acreage.sources.pages import STATES
+from acreage.sources.pages import HOME_FLAGS, HOME_NUMBERS, HOME_TEXTS, HOME_WHOLE, LAND_WORDS, STATES
 
 _A = "40 + ({0} * 7919 % 10000) / 10000.0::double as lat, -112 + ({0} * 104729 % 10000) / 10000.0::double as lon"
 _B = "40 + ({0} * 7919 % 9973) / 10000.0::double as lat, -112 + ({0} * 104729 % 9967) / 10000.0::double as lon"
@@ -75,6 +75,25 @@ def _rolling() -> str:
     return ", ".join(parts)
 
 
+def _home_columns() -> str:
+    """Every column of the made homes."""
+    texts = [n for n in HOME_TEXTS if n not in ("status", "city", "zipcode")]
+    numbers = [n for n in HOME_NUMBERS if n not in ("price", "living_area")]
+    columns = {n: f"'{i}-' || page_id" for i, n in enumerate(texts)} | {n: f"page_id * {i + 2} + 0.5::double" for i, n in enumerate(numbers)}
+    columns |= {n: f"(page_id * 10 + {i})::int" for i, n in enumerate(HOME_WHOLE)} | {n: f"page_id % {i + 2} = 0" for i, n in enumerate(HOME_FLAGS)}
+    columns |= {
+        "status": "'FOR_SALE'", "price": "(page_id * 1000)::double", "bedrooms": "(page_id % 5)::int", "zipcode": "(84000 + page_id % 100)::varchar", "living_area": "(page_id % 7 * 100)::double", "city": "'O''Neil \"' || page_id % 9 || '\"'", "selling_soon": "'[' || page_id || ']'", "address": """'{"city":"x"}'""",
+        "price_history": "'2020-01-0' || page_id % 9 + 1 || '|' || page_id * 900 || '|0.5;2021-01-01|1'", "most_recent_price": "(page_id * 900)::double", "most_recent_price_date": "'2020-01-0' || page_id % 9 + 1", "most_recent_price_change_rate": "0.5::double", "home_insights": "'a,b,c' || page_id % 3",
+        "school_distances": "case when page_id % 3 = 0 then '' else '1.5,' || page_id % 4 || '.0' end", "num_schools_close_to": "case when page_id % 3 = 0 then 0 else 2 end::int", "avg_school_distance": "case when page_id % 3 > 0 then (1.5::double + page_id % 4) / 2 end",
+        "risks": "'1|0.' || page_id % 10 || '|Minor|' || page_id % 6 || '|10'", "foreclosure": "case when page_id % 2 = 1 then 'foreclosureAmount=1,' else '' end || 'foreclosureDate=2020'",
+    }
+    return ", ".join(f"{x} as {n}" for n, x in columns.items())
+
+
+def _page_words() -> str:
+    return ", ".join(f"array_to_string(list_filter([{', '.join(repr(w) for w in words)}], lambda w: contains(said, w)), ',') as {n}" for n, words in LAND_WORDS.items())
+
+
 ORACLE_SQL = {
     "latest_event_per_user_type": "select user_id, event_type, event_id, round(value, 4) as value from events qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1",
     "first_order_per_customer": "select o_custkey, o_orderkey from orders qualify row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) = 1",
@@ -258,15 +277,18 @@ ORACLE_SQL = {
     "appended_rows": """select s_suppkey, '{"s_name":"' || s_name || '","s_nationkey":' || s_nationkey || '}' as about, 2::bigint as times from supplier""",
     "seed_file": """select n_name || ', "x"' as name, n_nationkey as key from nation""",
     "copied_children": "select o_orderkey, o_custkey, case when o_totalprice > 1000 then o_orderstatus end as o_orderstatus from orders where o_custkey in (select c_custkey from customer where c_acctbal > 0)",
-    "home_records": """select page_id, 'FOR_SALE' as status, (page_id * 1000)::double as price, (page_id % 5)::int as bedrooms, (84000 + page_id % 100)::varchar as zipcode, (page_id % 7 * 100)::double as living_area, 'O''Neil "' || page_id % 9 || '"' as city,
-      '{"city":"x"}' as address, page_id % 2 = 0 as is_eligible_property, case when page_id % 3 = 0 then 0 else 2 end::int as num_schools_close_to, case when page_id % 3 > 0 then (1.5::double + page_id % 4) / 2 end as avg_school_distance,
-      (page_id * 900)::double as most_recent_price, '2020-01-0' || page_id % 9 + 1 as most_recent_price_date, 2 as prices, 'a,b,c' || page_id % 3 as insights, case when page_id % 2 = 1 then 'foreclosureAmount,foreclosureDate' else 'foreclosureDate' end as foreclosure,
-      '0.' || page_id % 10 as fire, 1 as risks, (page_id % 6)::int as fire_value from pages""",
-    "land_records": f"""select page_id, 'UT' as state, 'provo' as city, (84000 + page_id % 100)::varchar as zip, page_id || ' "main" rd' as address1, (page_id % 10)::double as acres, (page_id % 5)::int as beds, (page_id % 4 * 500)::double as homesqft, '["a","b"]' as property_types,
-      page_id % 2 = 0 as is_gold, null::boolean as is_diamond, (page_id * 100)::double as price, floor(case when page_id % 10 > 0 then page_id * 100 / (page_id % 10) end * 100 + 0.500001::double) / 100 as cost_per_acre,
-      floor(case when page_id % 4 > 0 then page_id * 100 / (page_id % 4 * 500) end * 1000 + 0.500001::double) / 1000 as cost_per_homesqft,
-      floor(case when page_id % 3 > 0 then {_DISTANCE.format('a', 'b')} / 1609.34::double end * 1000 + 0.500001::double) / 1000 as miles, concat_ws(',', case when contains(html, 'Desert') then 'Desert' end, case when contains(html, 'Mountain') then 'Mountain' end, case when contains(html, 'Rural') then 'Rural' end) as geography
-      from (select *, {{'lat': 40::double, 'lon': -112::double}} as a, {{'lat': 40.5::double, 'lon': -112 + page_id % 50 / 100.0::double}} as b from pages)""",
+    "home_records": f"select page_id, {_home_columns()} from pages",
+    "land_records": f"""select page_id, 'https://e.org/sanpete-county-utah-' || case when page_id % 2 = 0 then 'farms-and-ranches' else 'homes' end || '-for-sale/pid/' || page_id as url, case when page_id % 2 = 0 then 'farms-and-ranches' else 'homes' end as property_type, 'sanpete' as county,
+      'n' || page_id as name, '2020' as date_posted, case when page_id % 4 > 0 then page_id % 90 * 1000 + 0.5::double end as lot_size, case when page_id % 4 > 0 then 'acres' end as lot_size_units, case when page_id % 4 > 0 then 'Farm,Lot' else '' end as lot_type, 'well ' || page_id || ',barn' as amenities,
+      'UT' as state, (84000 + page_id % 100)::varchar as zip, 'provo' as city, page_id || ' "main" rd' as address1, 'unit ' || page_id % 8 as address2, 40::double as latitude, -112::double as longitude, case when page_id % 3 > 0 then 40.5::double end as city_latitude, case when page_id % 3 > 0 then -112 + page_id % 50 / 100.0::double end as city_longitude,
+      (page_id % 10)::double as acres, (page_id % 5)::int as beds, (page_id % 3)::int as baths, (page_id % 4 * 500)::double as homesqft, '["a","b"]' as property_types, true as is_irrigated, false as is_residence, (page_id * 100)::double as price, '2020-01-0' || page_id % 9 + 1 as listing_date,
+      'T' || page_id as title, 'D' || page_id as description, 'E' || page_id as executive_summary, page_id % 3 = 0 as is_diamond, page_id % 2 = 0 as is_gold, page_id % 5 = 0 as is_platinum, page_id % 7 = 0 as is_showcase,
+      floor(case when page_id % 10 > 0 then page_id * 100 / (page_id % 10) end * 100 + 0.500001::double) / 100 as cost_per_acre, floor(case when page_id % 4 > 0 then page_id * 100 / (page_id % 4 * 500) end * 1000 + 0.500001::double) / 1000 as cost_per_homesqft,
+      floor(case when page_id % 3 > 0 then {_DISTANCE.format('a', 'b')} / 1609.34::double end * 1000 + 0.500001::double) / 1000 as distance_to_city_miles, {_page_words()}
+      from (select *, {{'lat': 40::double, 'lon': -112::double}} as a, {{'lat': 40.5::double, 'lon': -112 + page_id % 50 / 100.0::double}} as b,
+        case when page_id % 2 = 0 then 'Owner Finance Camping' else 'Acreage' end || case page_id % 3 when 0 then ' Gravel/Rock' when 1 then ' Dirt Gravel' else ' Paved' end || html as said from pages)""",
+    "sitemap_jobs": """select 'https://e.org/homedetails/' || page_id || case page_id % 3 when 0 then '-Main-St-Ogden-UT-84403/' else '-Oak-Reno-nv-1/' end as url, case page_id % 3 when 0 then 'UT' else 'NV' end as state, 'for-sale-by-' || case when page_id % 2 = 0 then 'agent' else 'owner' end as type
+      from pages where page_id % 3 < 2""",
     "linked_data": "select page_id, ['l', 'o', 's'][page_id % 3 + 1] || page_id as name from pages",
     "url_states": f"""with u as (select page_id, list_filter(string_split_regex(upper('https://e.org/' || page_id || case page_id % 3 when 0 then '-Main-St-Ogden-UT-84403/' when 1 then '-ne-main-st-ogden-ut/x' else '-nowhere/' end || url), '[/-]'),
       lambda x: x in {_CODES}) as t from pages) select page_id, t[1] as "first", t[-1] as "last" from u""",

@@ -733,50 +733,76 @@ def _json(*parts) -> Column:
     return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
 
 
+#: What a made home's JSON says besides what ``_home_pages`` writes: page_id in texts and numbers that tell columns apart.
+_HOME_TEXTS = {n: p for n, p in P.HOME_TEXTS.items() if n not in ("status", "city", "zipcode")}
+_HOME_NUMBERS = {n: p for n, p in P.HOME_NUMBERS.items() if n not in ("price", "living_area")}
+
+
 def _home_pages(spark, d):
-    """Pages that carry a home's JSON as text inside the JSON of a script."""
+    """Pages that carry a home's JSON as text inside the JSON of a script, in each of the places where sites put it."""
     p = _read(spark, d, "pages")
     k = F.col("page_id")
     schools = F.when(k % 3 == 0, "[]").otherwise(_json('[{"distance": 1.5}, {"distance": ', k % 4, "}]"))
+    texts = [x for i, path in enumerate(_HOME_TEXTS.values()) for x in (f'"{path}": "{i}-', k, '", ')]
+    numbers = [x for i, path in enumerate(_HOME_NUMBERS.values()) for x in (f'"{path}": ', k * (i + 2), ".5, ")]
+    whole = [x for i, (n, path) in enumerate(P.HOME_WHOLE.items()) if n != "bedrooms" for x in (f'"{path}": ', k * 10 + i, ", ")]
+    flags = [x for i, (n, path) in enumerate(P.HOME_FLAGS.items()) if "." not in path for x in (f'"{path}": ', F.when(k % (i + 2) == 0, "true").otherwise("false"), ", ")]
     home = _json(
-        '{"homeStatus": "FOR_SALE", "price": ', k * 1000, ', "bedrooms": ', k % 5, ', "zipCode": "', 84000 + k % 100, '", "livingAreaValue": ', k % 7 * 100, ', "city": "O\'Neil \\"', k % 9, '\\"", "schools": ', schools,
-        ', "buyAbilityData": {"isEligibleProperty": ', F.when(k % 2 == 0, "true").otherwise("false"), '}, "address": {"city": "x"}, "priceHistory": [{"date": "2020-01-0', k % 9 + 1, '", "price": ', k * 900, ', "source": "s"}, {"date": "2021-01-01", "price": 1}],',
+        "{", *texts, *numbers, *whole, *flags, '"homeStatus": "FOR_SALE", "price": ', k * 1000, ', "bedrooms": ', k % 5, ', "zipCode": "', 84000 + k % 100, '", "livingAreaValue": ', k % 7 * 100, ', "city": "O\'Neil \\"', k % 9, '\\"", "schools": ', schools,
+        ', "buyAbilityData": {"isEligibleProperty": ', F.when(k % 2 == 0, "true").otherwise("false"), '}, "sellingSoon": [', k, '], "address": {"city": "x"}, "priceHistory": [{"date": "2020-01-0', k % 9 + 1, '", "price": ', k * 900, ', "priceChangeRate": 0.5, "source": "s"}, {"date": "2021-01-01", "price": 1}],',
         ' "homeInsights": [{"insights": [{"phrases": ["b", "a"]}, {"phrases": ["a", "c', k % 3, '"]}]}], "foreclosingBank": "", "foreclosureAmount": ', k % 2, ', "foreclosureDate": "2020"}',
     )
     climate = _json('{"fire": {"primary": {"probability": "0.', k % 10, '", "riskScore": {"label": "Minor", "value": ', k % 6, ', "max": 10}}}, "flood": {"primary": null}}')
-    cache = _json('{"k": {"property": ', home, ', "zgProperty": {"odpPropertyModels": {"climate": ', climate, "}}}}")
-    script = F.to_json(F.struct(F.struct(F.struct(F.struct(cache.alias("gdpClientCache")).alias("componentProps")).alias("pageProps")).alias("props")))
-    return p.select("page_id", F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), script, F.lit("</script>"), "html").alias("html"))
+    page = _json('{"property": ', home, ', "zgProperty": {"odpPropertyModels": {"climate": ', climate, "}}}")
+    cache, rented = _json('{"k": ', page, "}").alias("gdpClientCache"), _json('{"other": 1, "ForRentDoubleScrollFullRenderQuery-', k, '": ', page, "}").alias("apiCache")
+    props = lambda held: F.struct(F.struct(held.alias("pageProps")).alias("props"))
+    script = F.when(k % 4 == 1, F.to_json(F.struct(rented))).when(k % 4 == 3, F.to_json(props(F.struct(cache)))).otherwise(F.to_json(props(F.struct(F.struct(cache).alias("componentProps")))))
+    tag = F.when(k % 5 == 0, "<script id=hdpApolloPreloadedData").otherwise('<script id="__NEXT_DATA__"')
+    return p.select("page_id", F.concat(tag, F.lit(' type="application/json">'), script, F.lit("</script>"), "html").alias("html"))
 
 
 @query
 def home_records(spark, d):
-    found = P.embedded_json(F.col("html"), [r'(?s)<script id="__NEXT_DATA__" type="application/json">(.*?)</script>', r'(?s)<script id=hdpApolloPreloadedData type="application/json">(.*?)</script>'])
-    pages = _home_pages(spark, d).select("page_id", P.first_value(found, "$.props.pageProps.componentProps.gdpClientCache").alias("page"))
+    """All columns of homes' pages; lists and maps as text."""
+    pages = _home_pages(spark, d).select("page_id", P.home_page(P.embedded_json(F.col("html"), P.HOME_SCRIPTS)).alias("page"))
     r = pages.select("page_id", *(c.alias(n) for n, c in P.home_record(F.col("page")).items()))
-    return r.select(
-        "page_id", "status", "price", "bedrooms", "zipcode", "living_area", "city", "address", "is_eligible_property", "num_schools_close_to", "avg_school_distance", "most_recent_price", "most_recent_price_date", F.size("price_history").alias("prices"),
-        F.array_join("home_insights", ",").alias("insights"), F.array_join(F.array_sort(F.map_keys("foreclosure")), ",").alias("foreclosure"), F.col("risks.fire.probability").alias("fire"), F.size("risks").alias("risks"), F.col("risks.fire.risk_value").alias("fire_value"),
-    )
+    fire = F.col("risks.fire")
+    return r.withColumns({
+        "price_history": F.array_join(F.transform("price_history", lambda x: F.concat_ws("|", x["date"], x["price"].cast("int").cast("string"), x["priceChangeRate"].cast("string"))), ";"), "home_insights": F.array_join("home_insights", ","),
+        "school_distances": F.array_join(F.transform("school_distances", lambda x: x.cast("decimal(9,1)").cast("string")), ","), "foreclosure": F.array_join(F.array_sort(F.transform(F.map_entries("foreclosure"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ","),
+        "risks": F.concat_ws("|", F.size("risks").cast("string"), fire["probability"], fire["risk_label"], fire["risk_value"].cast("string"), fire["risk_value_out_of"].cast("string")),
+    })
 
 
 @query
 def land_records(spark, d):
-    """Pages whose script assigns a land listing as quoted JSON; every third has no city."""
+    """All columns of land listings' pages, whose script assigns a listing as quoted JSON; every third has no city, some have no facts."""
     k = F.col("page_id")
     city = F.when(k % 3 == 0, "null").otherwise(_json('{"latitude": 40.5, "longitude": ', -112 + k % 50 / 100.0, "}"))
+    flags = [x for n, m in (("Diamond", 3), ("Platinum", 5), ("Showcase", 7)) for x in (f', "is{n}": ', F.when(k % m == 0, "true").otherwise("false"))]
     state = _json(
-        '{"propertyDetailPage": {"propertyData": {"latitude": 40, "longitude": -112, "city": ', city, ', "address": {"city": "PROVO", "stateAbbreviation": "UT", "zip": "', 84000 + k % 100, '", "address1": "', k, ' \\"Main\\" RD"}, "acres": ', k % 10,
-        ', "price": ', k * 100, ', "homesqft": ', k % 4 * 500, ', "beds": ', k % 5, ', "types": ["a", "b"], "isGold": ', F.when(k % 2 == 0, "true").otherwise("false"), "}}}",
+        '{"propertyDetailPage": {"propertyData": {"latitude": 40, "longitude": -112, "city": ', city, ', "address": {"city": "PROVO", "stateAbbreviation": "UT", "zip": "', 84000 + k % 100, '", "address1": "', k, ' \\"Main\\" RD", "address2": "Unit ', k % 8, '"}, "acres": ', k % 10,
+        ', "price": ', k * 100, ', "homesqft": ', k % 4 * 500, ', "beds": ', k % 5, ', "baths": ', k % 3, ', "types": ["a", "b"], "isIrrigated": true, "isResidence": false, "listingDate": "2020-01-0', k % 9 + 1, '", "title": "T', k, '", "description": "D', k, '", "executiveSummary": "E', k, '", "isGold": ', F.when(k % 2 == 0, "true").otherwise("false"), *flags, "}}}",
     )
     quoted = F.regexp_extract(F.to_json(F.struct(state.alias("s"))), r"(?s)^.{5}(.*).$", 1)
-    html = F.concat(F.lit("<script>window.serverState = "), quoted, F.lit(";</script>"), "html")
-    p = _read(spark, d, "pages").select("page_id", html.alias("html"))
-    r = p.select("page_id", *(c.alias(n) for n, c in P.land_record(P.server_state(F.col("html"), r"window\.serverState"), F.col("html")).items()))
-    return r.select(
-        "page_id", "state", "city", "zip", "address1", "acres", "beds", "homesqft", "property_types", "is_gold", "is_diamond", "price", M.rounded(F.col("cost_per_acre"), 2).alias("cost_per_acre"),
-        M.rounded(F.col("cost_per_homesqft"), 3).alias("cost_per_homesqft"), M.rounded(F.col("distance_to_city_miles"), 3).alias("miles"), F.array_join("geography", ",").alias("geography"),
-    )
+    facts = F.when(k % 4 > 0, _json('<div class="a _66d543c"><b>Size:</b> ', k % 90, ',000.5 Acres </div><div class="_66d543c"><b> Type:</b><a href="/x"> Farm </a>, <a href="/y"><i>Lot</i></a></div><div class="_66d543cx"><b>Size:</b>7 rods</div>'))
+    words = F.concat(F.when(k % 2 == 0, "Owner Finance Camping").otherwise("Acreage"), F.when(k % 3 == 0, " Gravel/Rock").when(k % 3 == 1, " Dirt Gravel").otherwise(" Paved"))
+    about = _json('<section aria-label="Property Description"><div class="_01623cf"> well <b>', k, '</b></div><div class="b">no</div><div class="_01623cf c">barn</div></section><script type="application/ld+json">{"name": "n', k, '", "datePosted": "2020"}</script>')
+    html = F.concat(F.lit("<script>window.serverState = "), quoted, F.lit(";</script>"), F.coalesce(facts, F.lit("")), words, about, "html")
+    url = F.concat(F.lit("https://e.org/sanpete-county-utah-"), F.when(k % 2 == 0, "farms-and-ranches").otherwise("homes"), F.lit("-for-sale/pid/"), k.cast("string"))
+    p = _read(spark, d, "pages").select("page_id", url.alias("url"), html.alias("html"))
+    r = p.select("page_id", *(c.alias(n) for n, c in P.land_page(F.col("html"), F.col("url")).items()))
+    lists = ("lot_type", "amenities", *P.LAND_WORDS)
+    return r.withColumns({"cost_per_acre": M.rounded(F.col("cost_per_acre"), 2), "cost_per_homesqft": M.rounded(F.col("cost_per_homesqft"), 3), "distance_to_city_miles": M.rounded(F.col("distance_to_city_miles"), 3)} | {n: F.array_join(n, ",") for n in lists})
+
+
+@query
+def sitemap_jobs(spark, d):
+    """Listings of two site maps with their state and the kind of listing that the file's name tells."""
+    k = F.col("page_id")
+    file = F.concat(F.lit("https://e.org/xml/for-sale-by-"), F.when(k % 2 == 0, "agent").otherwise("owner"), F.lit(".xml.gz"))
+    xml = F.concat(F.lit("<urlset><loc>https://e.org/homedetails/"), k.cast("string"), F.when(k % 3 == 0, "-Main-St-Ogden-UT-84403/").when(k % 3 == 1, "-Oak-Reno-nv-1/").otherwise("-King-St-Toronto-ON-M5V/"), F.lit("</loc></urlset>"))
+    return P.sitemap_jobs(_read(spark, d, "pages").select(file.alias("file"), xml.alias("xml")), "file", "xml")
 
 
 @query

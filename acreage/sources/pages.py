@@ -22,9 +22,22 @@ def embedded_json(html: Column, patterns: list[str]) -> Column:
     return F.coalesce(*(F.try_parse_json(F.nullif(F.regexp_extract(html, p, 1), F.lit(""))) for p in patterns))
 
 
-def inner_json(value: Column, path: str) -> Column:
-    """A variant from JSON text that lies inside a variant."""
-    return F.try_parse_json(F.try_variant_get(value, path, "string"))
+# Where sites put a listing's JSON, and which of its caches holds a rented building's
+HOME_SCRIPTS = [r'(?s)<script id="__NEXT_DATA__" type="application/json">(.*?)</script>', r'(?s)<script id=hdpApolloPreloadedData type="application/json">(.*?)</script>']
+LAND_STATE = r"window\.serverState"
+RENTAL_CACHE = "ForRentDoubleScrollFullRenderQuery"
+# Words of a land listing's page and the lists that they belong to
+LAND_WORDS = {
+    "mortgage_options": ["Owner Finance"], "activities": ["Camping"], "lot_description": ["Acreage"], "geography": ["Desert", "Mountain", "Rural"], "road_frontage_desc": ["Dirt", "Gravel/Rock"],
+}
+# Classes and names of the parts of a land listing's page
+LAND_FACTS, LAND_AMENITIES = "_66d543c", ("Property Description", "_01623cf")
+
+
+def home_page(data: Column) -> Column:
+    """A home's page from a script's JSON: the rented building in ``apiCache``, or else the first entry of the client's cache, both JSON text inside the JSON."""
+    rented = keyed_value(data, "$.apiCache", RENTAL_CACHE)
+    return F.coalesce(rented, *(first_value(data, f"$.props.pageProps.{c}gdpClientCache") for c in ("componentProps.", "")))
 
 
 def json_ld(html: Column) -> Column:
@@ -46,6 +59,32 @@ def lot_size(text: Column) -> tuple[Column, Column]:
     return value, F.nullif(F.lower(F.regexp_extract(text, r"([\d,]*\.?\d+)\s*([A-Za-z]+)", 2)), F.lit(""))
 
 
+def _bare(text: Column) -> Column:
+    """What is left of markup without its tags, trimmed."""
+    return F.regexp_replace(F.regexp_replace(text, "<[^>]*>", ""), r"^\s+|\s+$", "")
+
+
+def _blocks(html: Column, tag: str, name: str) -> Column:
+    """The insides of the elements of a class; an element ends at the first closing tag."""
+    return F.regexp_extract_all(html, F.lit(rf'(?s)<{tag}[^>]*class="(?:[^"]*\s)?{name}(?:\s[^"]*)?"[^>]*>(.*?)</{tag}>'), F.lit(1))
+
+
+def labelled(html: Column, label: str) -> Column:
+    """What follows the bold label (``Size:``) in the last of a page's facts that has it; case and colon don't count."""
+    own = lambda block: F.rtrim(F.lower(_bare(F.regexp_extract(block, r"(?s)<b[^>]*>(.*?)</b>", 1))), F.lit(":")) == label
+    return F.regexp_replace(F.try_element_at(F.filter(_blocks(html, "div", LAND_FACTS), own), F.lit(-1)), r"(?s)^.*?</b>", "")
+
+
+def lot_facts(html: Column) -> dict[str, Column]:
+    """A lot's size and unit, its types, and what the page says of amenities."""
+    value, unit = lot_size(_bare(labelled(html, "size")))
+    linked = lambda part: F.transform(F.regexp_extract_all(part, F.lit(r"(?s)<a\b[^>]*>(.*?)</a>"), F.lit(1)), _bare)
+    section, name = LAND_AMENITIES
+    about = F.regexp_extract(html, rf'(?s)<section[^>]*aria-label="{section}"[^>]*>(.*?)</section>', 1)
+    none = F.array().cast("array<string>")
+    return {"lot_size": value, "lot_size_units": unit, "lot_type": F.coalesce(linked(labelled(html, "type")), none), "amenities": F.coalesce(F.transform(_blocks(about, "div", name), _bare), none)}
+
+
 def keyword_flags(text: Column, words: list[str]) -> Column:
     """Those of the words that the text contains."""
     return F.filter(F.array(*(F.lit(w) for w in words)), lambda w: F.contains(text, w))
@@ -68,6 +107,17 @@ def sitemap_urls(df: DataFrame, xml: str) -> DataFrame:
     return df.withColumn("loc", F.explode(F.regexp_extract_all(F.col(xml), F.lit(r"(?s)<loc>\s*(.*?)\s*</loc>"), F.lit(1))))
 
 
+def listing_type(url: Column) -> Column:
+    """The kind of listing that a site map is of, from its file's name."""
+    return F.regexp_replace(F.element_at(F.split(url, "/"), -1), r"\.xml\.gz$", "")
+
+
+def sitemap_jobs(df: DataFrame, url: str, xml: str) -> DataFrame:
+    """(url, state, type) of the listings in site maps; those whose url names no state are left out."""
+    rows = sitemap_urls(df.withColumn("type", listing_type(F.col(url))), xml)
+    return rows.select(F.col("loc").alias("url"), state_code(F.col("loc")).alias("state"), "type").where("state is not null")
+
+
 def page_links(df: DataFrame, html: str, containing: str, base: str) -> DataFrame:
     """Distinct links of each page that contain a text, made absolute."""
     found = F.filter(F.regexp_extract_all(F.col(html), F.lit(r'<a[^>]*href="([^"]*)"'), F.lit(1)), lambda x: F.contains(x, F.lit(containing)))
@@ -109,6 +159,12 @@ def first_value(value: Column, path: str) -> Column:
     return F.try_parse_json(F.get(F.map_values(F.from_json(F.try_variant_get(value, path, "string"), "map<string, string>")), F.lit(0)))
 
 
+def keyed_value(value: Column, path: str, containing: str) -> Column:
+    """The first value, as a variant, whose key contains a text, of the object that is JSON text inside a variant."""
+    entries = F.map_entries(F.from_json(F.try_variant_get(value, path, "string"), "map<string, string>"))
+    return F.try_parse_json(F.get(F.filter(entries, lambda e: F.contains(e["key"], F.lit(containing))), F.lit(0))["value"])
+
+
 def _nested(v: Column, path: str, kind: str) -> Column:
     return F.from_json(F.to_json(F.try_variant_get(v, path, "variant")), kind)
 
@@ -149,5 +205,13 @@ def land_record(state: Column, html: Column) -> dict[str, Column]:
         "property_types": F.to_json(get("types", "variant")), "is_irrigated": get("isIrrigated", "boolean"), "is_residence": get("isResidence", "boolean"), "price": price, "listing_date": get("listingDate", "string"),
         "title": get("title", "string"), "description": get("description", "string"), "executive_summary": get("executiveSummary", "string"), **{f"is_{n.lower()}": get(f"is{n}", "boolean") for n in ("Diamond", "Gold", "Platinum", "Showcase")},
         "cost_per_acre": ratio(price, acres), "cost_per_homesqft": ratio(price, sqft), "distance_to_city_miles": haversine(*known) / METERS_PER_MILE,
-        "geography": keyword_flags(html, ["Desert", "Mountain", "Rural"]), "road_frontage_desc": keyword_flags(html, ["Dirt", "Gravel", "Paved"]),
+        **{n: keyword_flags(html, words) for n, words in LAND_WORDS.items()},
     }
+
+
+def land_page(html: Column, url: Column) -> dict[str, Column]:
+    """All columns of a land listing: what its url, linked data, facts, words and server state say."""
+    county, _, kind = url_parts(url)
+    about = json_ld(html)
+    texts = {n: F.try_variant_get(about, f"$.{p}", "string") for n, p in (("name", "name"), ("date_posted", "datePosted"))}
+    return {"url": url, "property_type": kind, "county": county, **texts, **lot_facts(html), **land_record(server_state(html, LAND_STATE), html)}
