@@ -12,7 +12,7 @@ from acreage.functions import maths as M
 from acreage.operators import series
 from acreage.plans import marts
 from acreage.plans.oracle import _A, _B, _geodesic, _t_values
-from acreage.plans.queries import AS_OF, _point, _read
+from acreage.plans.queries import AS_OF, _json, _point, _read
 from acreage.sources import tables
 
 NEAR, AROUND = 20000.0, 15000.0
@@ -42,19 +42,24 @@ def _homes(spark, d):
     o = _read(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.to_json(F.collect_list(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_totalprice").alias("price")))).alias("price_history"))
     k = F.col("c_custkey")
     return _read(spark, d, "customer").join(o, "c_custkey", "left").select(
-        F.concat(F.lit("h"), k.cast("string")).alias("id"), F.concat(F.lit("u"), k.cast("string")).alias("url"), F.lit(None).cast("timestamp").alias("created_at"), F.concat(F.lit(" "), k.cast("string"), F.lit(" main ROAD")).alias("street_address"),
+        F.concat(F.lit("h"), k.cast("string")).alias("id"), F.concat(F.lit("u"), k.cast("string")).alias("url"), F.date_add(F.lit("2024-01-01").cast("date"), (k % 50).cast("int")).cast("timestamp").alias("created_at"), F.concat(F.lit(" "), k.cast("string"), F.lit(" main ROAD")).alias("street_address"),
         F.lit("provo ").alias("city"), F.lit("ut").alias("state"), F.col("c_nationkey").cast("string").alias("zip_code"), (F.col("c_acctbal") * 100 + 150000).alias("price"), *_point("c_custkey"), _pick("c_custkey", "Single Family", "condominium ", "APTS", "Mobile home").alias("home_type"),
         (k % 5).cast("int").alias("bedrooms"), (k % 3).cast("double").alias("bathrooms"), (k % 7 * 300.0).alias("living_area"), F.when(k % 6 == 0, "sqm").otherwise("sqft").alias("living_area_units"),
         F.when(k % 2 == 0, (k % 11 + 1) * 0.15).otherwise((k % 11 + 1) * 5000.0).alias("lot_area_value"), F.when(k % 2 == 0, "Acres").otherwise("Sq Ft").alias("lot_area_units"), F.lit("2024-01-15T00").alias("date_posted_text"), (1990 + k % 40).cast("int").alias("year_built"), "price_history",
+        F.when(k % 3 == 0, F.concat(F.lit("The "), k.cast("string"))).alias("marketing_name"), F.lit("FOR_SALE").alias("status"), (k % 90).alias("days_on_market"), (k % 1000).alias("page_view_count"), (k % 17).alias("favorite_count"), (k % 5 == 0).alias("is_income_restricted"),
+        (k % 7 == 0).alias("is_preforeclosure_auction"), _json('{"k": ', k, "}").alias("address"), F.when(k % 2 == 0, _json("[", k % 4, ", 1]")).otherwise("{bad").alias("selling_soon"), F.array((k % 6) / 2.0).alias("school_distances"), F.lit("nice").alias("description"),
+        F.create_map(F.lit("flood"), (k % 3).cast("string")).alias("risks"), F.lit("{}").alias("foreclosure"), F.lit(1).alias("num_schools_close_to"), ((k % 6) / 2.0).alias("avg_school_distance"), (k % 100).alias("lot_size"),
     )
 
 
 def _land(spark, d):
     k = F.col("p_partkey")
     return _read(spark, d, "part").select(
-        F.concat(F.lit("l"), k.cast("string")).alias("id"), F.concat(F.lit("v"), k.cast("string")).alias("url"), F.lit(None).cast("timestamp").alias("created_at"), F.concat((k % 200).cast("string"), F.when(k % 5 == 0, " main road").otherwise(" side road")).alias("street_address"),
+        F.concat(F.lit("l"), k.cast("string")).alias("id"), F.concat(F.lit("v"), k.cast("string")).alias("url"), F.date_add(F.lit("2024-02-01").cast("date"), (k % 50).cast("int")).cast("timestamp").alias("created_at"), F.concat((k % 200).cast("string"), F.when(k % 5 == 0, " main road").otherwise(" side road")).alias("street_address"),
         F.lit("PROVO").alias("city"), F.lit("ut").alias("state"), F.lit("1").alias("zip_code"), (F.col("p_retailprice") * 200).alias("price"), *_point("p_partkey", 9941, 9931), _pick("p_partkey", "Vacant land", "home", "Hunting Property", "recreational").alias("property_type"),
         (F.col("p_size") % 4).cast("int").alias("beds"), (k % 3).cast("double").alias("baths"), F.when(k % 4 == 1, F.col("p_size") * 100.0).alias("homesqft"), (F.col("p_size") * 0.1).alias("lot_size"), _pick("p_partkey", "Acres", "acre", "rods").alias("lot_size_units"),
+        F.when(k % 2 == 0, F.col("p_name")).alias("name"), F.col("p_brand").alias("title"), F.when(k % 3 == 0, "unit 2").alias("address2"), F.lit(40.25).alias("city_latitude"), F.when(k % 4 > 0, -111.5).alias("city_longitude"), (k % 30 / 2.0).alias("distance_to_city_miles"),
+        F.lit("2024-03-04").cast("date").alias("date_posted"),
     )
 
 
@@ -119,10 +124,77 @@ def mart_buildings(spark, d):
     return _summary(spark, d).select("building_id", "num_units", *(F.round(c, 3).alias(c) for c in columns))
 
 
+def _shown(rows):
+    """All columns of a unified table; dates without a time, the length of histories (their order is none), rounded prices."""
+    out = {"created_at": F.to_date("created_at"), "price": M.rounded(F.col("price"), 2), "lot_sqft": M.rounded(F.col("lot_sqft"), 1), "price_per_lot_sqft": M.rounded(F.col("price_per_lot_sqft"), 3)}
+    if "interior_sqft" in rows.columns:
+        out |= {"interior_sqft": M.rounded(F.col("interior_sqft"), 1), "price_per_sqft": M.rounded(F.col("price_per_sqft"), 2), "price_history": F.json_array_length("price_history")}
+    return rows.withColumns(out)
+
+
 @query
 def mart_developed(spark, d):
+    """All 38 columns of the unified developed properties, manual ones among them."""
     homes, land = _staged(spark, d)
-    return marts.developed(homes, land).select("source", "source_id", "property_type", "year_built", M.rounded(F.col("price_per_sqft"), 2).alias("price_per_sqft"), M.rounded(F.col("price_per_lot_sqft"), 3).alias("price_per_lot_sqft"))
+    manual = _manual(spark, d)
+    kept = marts.manual_staging(manual, marts.building_lookup(_buildings(spark, d), {"manual": manual}), NEAR)
+    return _shown(marts.developed(homes, land, kept))
+
+
+@query
+def mart_empty_lots(spark, d):
+    """All 23 columns of the unified empty lots."""
+    return _shown(marts.empty_lots(*_staged(spark, d)))
+
+
+def _raw_listings(spark, d, rows, key: str):
+    """Versions of listings: one per order of a customer (or line of a part), some sold, abroad, in another state, too dear or without a place."""
+    n, k = F.col("version"), F.col(key)
+    return rows.withColumns({
+        "state": F.when(n % 7 == 0, "NV").otherwise("UT"), "status": F.when(n % 5 == 0, "SOLD").when(n % 5 == 1, F.lit(None)).otherwise("FOR_SALE"), "country": F.when(n % 11 == 0, "CAN").when(n % 11 == 1, "USA"),
+        "latitude": F.when(n % 13 > 0, F.col("lat")), "longitude": F.col("lon"), "price": n % 900 * 1000.0 + k % 10, "created_at": F.date_add(F.lit("2024-01-01").cast("date"), (n % 300).cast("int")).cast("timestamp"),
+    }).drop("lat", "lon", "id", "version", key)
+
+
+def _queue(spark, d):
+    """The urls that are known; some twice."""
+    c = _read(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k"))
+    p = _read(spark, d, "part").where("p_size > 10").select(F.col("p_partkey").alias("k"))
+    urls = c.select(F.concat(F.lit("u"), F.col("k").cast("string")).alias("url")).unionByName(p.select(F.concat(F.lit("v"), F.col("k").cast("string")).alias("url")))
+    return urls.unionByName(urls.where("url like '%7'")).unionByName(urls.limit(1).select(F.lit(None).cast("string").alias("url")))
+
+
+@query
+def mart_homes_from_raw(spark, d):
+    """Home listings from their raw versions: known urls, the market, the newest version, ids, the nearest building, staging."""
+    versions = _read(spark, d, "orders").select(F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("_url"), F.col("o_orderkey").alias("version"), F.col("o_custkey").alias("_k"))
+    homes = _homes(spark, d).withColumnRenamed("url", "source_url").drop("state", "status", "price", "created_at")
+    raw = marts.raw_homes(_raw_listings(spark, d, homes.join(versions, F.col("source_url") == F.col("_url")).drop("_url"), "_k"), _queue(spark, d))
+    raw = tables.settled(raw, "mart-raw-homes")
+    staged = marts.home_staging(raw, marts.building_lookup(_buildings(spark, d), {"home": raw}), NEAR)
+    return staged.select("id", "url", F.to_date("created_at").alias("created_at"), "status", "price", "home_type", M.rounded(F.col("lot_sqft"), 1).alias("lot_sqft"), "zip_code", "closest_building_id")
+
+
+@query
+def mart_land_from_raw(spark, d):
+    """Land listings from their raw versions, likewise; some lack what a land listing needs."""
+    versions = _read(spark, d, "lineitem").select(F.concat(F.lit("v"), F.col("l_partkey").cast("string")).alias("_url"), (F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("version"), F.col("l_partkey").alias("_k"))
+    land = _land(spark, d).drop("state", "price", "created_at").withColumn("city_longitude", F.coalesce("city_longitude", F.lit(0.0))).withColumn("lot_size", F.when(F.col("lot_size") > 0.3, F.col("lot_size")))
+    raw = marts.raw_land(_raw_listings(spark, d, land.join(versions, F.col("url") == F.col("_url")).drop("_url"), "_k"), _queue(spark, d))
+    raw = tables.settled(raw, "mart-raw-land")
+    staged = marts.land_staging(raw, marts.building_lookup(_buildings(spark, d), {"land": raw}), NEAR)
+    return staged.select("id", "url", F.to_date("created_at").alias("created_at"), "price", "property_type", M.rounded(F.col("lot_sqft"), 1).alias("lot_sqft"), "closest_building_id")
+
+
+@query
+def mart_rental_staging(spark, d):
+    """The kept buildings and units in their declared types: per building its units, their rounded prices and recoded beds."""
+    raw = _raw_units(spark, d).withColumns({"bed": F.col("l_beds") % 4, "bath": F.lit("2"), "floor": F.lit("n/a"), "effective_price": F.col("price") * 0.9})
+    buildings = marts.rental_buildings(_raw_buildings(spark, d).withColumns({"year_built": F.lit("1990"), "is_condo": F.lit("true"), "leased_percentage": F.lit("0.5")}))
+    units = marts.unit_staging(marts.rental_units(raw, buildings, AS_OF))
+    about = units.groupBy("building_id").agg(F.count("*").alias("units"), F.sum("price").alias("price"), F.sum("effective_price").alias("effective_price"), F.sum("bed").alias("beds"), F.sum("bath").alias("baths"), F.count("floor").alias("floors"))
+    kept = marts.building_staging(buildings).select(F.col("id").alias("building_id"), "year_built", "is_condo", "leased_percentage", "number_stories")
+    return kept.join(about, "building_id")
 
 
 @query
@@ -167,7 +239,7 @@ def _raw_units(spark, d):
     return li.select(
         F.concat_ws("-", "l_orderkey", "l_partkey").alias("id"), F.col("l_suppkey").alias("building_id"), F.when(area >= 10, price).alias("price"), F.when(area >= 5, price * 2).alias("min_price"), (price * 3).alias("max_price"),
         F.when(F.col("l_tax") > 0.02, area * 20).alias("sqft"), F.when(F.col("l_tax") > 0.01, area * 10).alias("min_sqft"), F.when(F.col("l_tax") > 0, area * 30).alias("max_sqft"), (F.col("l_returnflag") == "A").alias("is_floorplan"),
-        F.when(F.col("l_linenumber") > 1, F.to_date("l_shipdate")).alias("exit_market"), F.to_date("l_shipdate").alias("created_on"),
+        F.when(F.col("l_linenumber") > 1, F.to_date("l_shipdate")).alias("exit_market"), F.to_date("l_shipdate").alias("created_on"), F.col("l_linenumber").alias("l_beds"),
     )
 
 
@@ -319,7 +391,7 @@ land0 as (select 'l' || p_partkey as id, 'v' || p_partkey as url, p_partkey % 20
   p_size % 4 as beds0, p_partkey % 3 as baths, case when p_partkey % 4 = 1 then p_size * 100.0::double else 0 end as interior_sqft, case when p_partkey % 3 < 2 then p_size * 0.1::double * 43560 end as lot_sqft from part),
 land1 as (select *, case when beds0 = 0 and interior_sqft > 0 then 1 else beds0 end::int as beds from land0 where property_type <> 'hunting property'),
 land2 as (select * from land1 where not (interior_sqft > 0 and beds = 0 and baths = 0) and not (interior_sqft = 0 and beds <> 0 and baths <> 0)),
-landnear as (select l.*, b.building_id, sqrt(pow(l.lat - b.lat, 2) + pow(l.lon - b.lon, 2)) * 111000 as distance from land2 l, build b qualify row_number() over (partition by id order by sqrt(pow(l.lat - b.lat, 2) + pow(l.lon - b.lon, 2)), building_id) = 1),
+landnear as (select l.*, b.building_id, b.msa, sqrt(pow(l.lat - b.lat, 2) + pow(l.lon - b.lon, 2)) * 111000 as distance from land2 l, build b qualify row_number() over (partition by id order by sqrt(pow(l.lat - b.lat, 2) + pow(l.lon - b.lon, 2)), building_id) = 1),
 land as (select * from landnear where distance <= {NEAR})"""
 
 
@@ -471,6 +543,39 @@ def _all_surroundings_sql() -> str:
 
 
 _ALL_SURROUNDINGS = _all_surroundings_sql()
+_VERSION = """o_orderkey % 900 * 1000.0::double + o_custkey % 10 as price, date '2024-01-01' + (o_orderkey % 300)::int as created"""
+_MARKET = "n % 7 > 0 and n % 13 > 0 and v.price between 5000 and 700000"
+_QUEUE_SQL = "queue as (select 'u' || c_custkey as url from customer where c_acctbal > 0 union all select 'v' || p_partkey from part where p_size > 10)"
+_WIDE = f"""wide_home as (select h.*, n.points from homes h left join (select o_custkey, count(*)::int as points from orders group by 1) n on o_custkey = h.k), wide_land as (select l.*, p.p_name, p.p_brand, p.p_partkey as k from land l join part p on 'l' || p.p_partkey = l.id
+  where l.id in (select id from ({_free('>')}) union all select id from ({_free('=')})))"""
+_EVERY = {"source_id": "id", "lat": "lat", "lon": "lon", "price": "price::double", "closest_building_id": "building_id", "msa": "msa", "interior_sqft": "interior_sqft::double", "status": "'FOR_SALE'"}
+_NONE = {n: f"null::{(kind or 'string').replace('string', 'varchar')}" for n, kind in (marts.DEVELOPED | marts.LOTS).items()} | {"price_history": "null::int", "created_at": "null::date"}
+_FALSE = {n: "false" for n in ("is_income_restricted", "is_auction", "has_estimate")}
+_HOME_SHAPE = {
+    **_NONE, **_EVERY, **_FALSE, "source_url": "url", "created_at": "date '2024-01-01' + (k % 50)::int", "property_name": "case when k % 3 = 0 then 'The ' || k else street_address end", "street_address": "street_address", "city": "'Provo'", "state": "'UT'", "zip_code": "zip_code", "beds": "bedrooms",
+    "baths": "(k % 3)::double", "year_built": "(1990 + k % 40)::int", "property_type": "home_type", "lot_sqft": "lot_sqft", "date_posted": "date '2024-01-15'", "days_on_market": "(k % 90)::int", "page_view_count": "(k % 1000)::int", "favorite_count": "(k % 17)::int", "is_income_restricted": "k % 5 = 0",
+    "is_auction": "k % 7 = 0", "address": "'{\"k\":' || k || '}'", "selling_soon": "case when k % 2 = 0 then '[' || k % 4 || ',1]' end", "price_history": "points", "school_distances": "'[' || ((k % 6) / 2.0::double) || ']'", "risks": "'{\"flood\":\"' || k % 3 || '\"}'", "foreclosure": "'{}'",
+    "num_schools_close_to": "1::int", "avg_school_distance": "(k % 6) / 2.0::double", "lot_size": "(k % 100)::double",
+}
+_LAND_SHAPE = {
+    **_NONE, **_EVERY, **_FALSE, "source_url": "url", "created_at": "date '2024-02-01' + (k % 50)::int", "property_name": "case when k % 2 = 0 then p_name else p_brand end", "street_address": "street_address", "city": "'Provo'", "state": "'UT'", "zip_code": "'1'", "beds": "beds", "baths": "baths::double",
+    "property_type": "property_type", "lot_sqft": "lot_sqft", "date_posted": "date '2024-03-04'", "avg_school_distance": "k % 30 / 2.0::double",
+    "address": "'{\"address1\":\"' || street_address || '\",\"address2\":' || case when k % 3 = 0 then '\"unit 2\"' else 'null' end || ',\"city_coords\":{\"lat\":40.25,\"lon\":' || case when k % 4 > 0 then '-111.5' else 'null' end || '}}'",
+}
+_MANUAL_SHAPE = {
+    **_NONE, **_EVERY, **_FALSE, "property_name": "n_name", "street_address": "n_name", "zip_code": "'84001'", "beds": "beds::int", "baths": "baths", "property_type": "'manual_property'", "address": "'{\"address\":\"' || n_name || '\",\"zip_code\":\"84001\"}'",
+}
+
+
+def _shape_sql(source: str, own: dict[str, str], table: str) -> str:
+    """All columns of a unified table from one source."""
+    shape = marts.DEVELOPED if table == "developed" else marts.LOTS
+    given = own | {"source": f"'{source}'", "geog_point": "'POINT(' || lon || ' ' || lat || ')'", "description": "'nice'" if source == "home" and table == "lots" else "null::varchar"}
+    if table == "lots" and source == "land":
+        given["lot_size"] = "(select p_size * 0.1::double from part where 'l' || p_partkey = wide_land.id)"
+    return ", ".join(f"{given[n]} as {n}" for n in shape)
+
+
 ORACLE_SQL = {
     "mart_surroundings": f"""with {_MAIN}, near as (select source, source_id, string_agg(building_id::varchar, ',' order by rk) as ids from (select *, row_number() over (partition by source, source_id order by gap, building_id) as rk from
       (select p.source, p.source_id, o.building_id, {_POINT_SIN.format(a="p", b="o")} as gap from developed p, summary o) where gap <= {AROUND}) where rk <= 10 group by 1, 2)
@@ -493,7 +598,30 @@ ORACLE_SQL = {
       select geography_type, geography_value, date_trunc('month', date)::date as month, round(avg(price), 1) as price, count(distinct id) as homes from s where geography_value is not null group by 1, 2, 3""",
     "mart_buildings": f"""with {_STAGED}, {_SUMMARY} select building_id, num_units, round(rent_sqft, 3) as avg_rent_price_per_sqft, round(effective_bed, 3) as avg_effective_rent_price_per_bed, round(now_sqft, 3) as predicted_current_price_per_sqft,
       round(next_effective_bed, 3) as predicted_future_effective_price_per_bed, round(concession, 3) as concession_percentage from summary""",
-    "mart_developed": f"with {_DEVELOPED} select source, source_id, property_type, year_built, floor(price / interior_sqft * 100 + 0.500001::double) / 100 as price_per_sqft, floor(case when lot_sqft > 0 then price / lot_sqft end * 1000 + 0.500001::double) / 1000 as price_per_lot_sqft from developed",
+    "mart_developed": f"""with {_DEVELOPED}, {_MANUAL.removeprefix(_STAGED + ', ')}, {_WIDE},
+      d as (select {_shape_sql('home', _HOME_SHAPE, 'developed')} from wide_home where interior_sqft > 0 union all by name select {_shape_sql('land', _LAND_SHAPE, 'developed')} from wide_land where interior_sqft > 0
+        union all by name select {_shape_sql('manual', _MANUAL_SHAPE, 'developed')} from (select m.*, n.n_name from manual m join nation n on 'm' || n_nationkey = id) where interior_sqft > 0)
+      select * replace ({_up('price', 2)} as price, {_up('lot_sqft')} as lot_sqft, {_up('interior_sqft')} as interior_sqft), {_up('price / interior_sqft', 2)} as price_per_sqft, {_up('case when lot_sqft > 0 then price / lot_sqft end', 3)} as price_per_lot_sqft from d""",
+    "mart_empty_lots": f"""with {_DEVELOPED}, {_WIDE},
+      d as (select {_shape_sql('home', _HOME_SHAPE, 'lots')} from wide_home where interior_sqft = 0 union all by name select {_shape_sql('land', _LAND_SHAPE, 'lots')} from wide_land where interior_sqft = 0)
+      select * replace ({_up('price', 2)} as price, {_up('lot_sqft')} as lot_sqft), {_up('case when lot_sqft > 0 then price / lot_sqft end', 3)} as price_per_lot_sqft from d""",
+    "mart_homes_from_raw": f"""with {_STAGED}, {_QUEUE_SQL}, v as (select 'u' || o_custkey as url, o_orderkey as n, o_custkey as k, {_VERSION} from orders),
+      kept as (select * from v where {_MARKET} and n % 5 > 1 and n % 11 > 0 and url in (select url from queue) qualify row_number() over (partition by url order by created desc, price) = 1),
+      r as (select *, 'home_' || row_number() over (order by url) as rid from kept),
+      h as (select r.rid as id, r.url, r.created as created_at, 'FOR_SALE' as status, r.price, h.home_type, h.lot_sqft, h.zip, h.lat, h.lon from r join home1 h on h.k = r.k where lot_sqft < 65340),
+      near as (select h.*, b.building_id, b.bzip, sqrt(pow(h.lat - b.lat, 2) + pow(h.lon - b.lon, 2)) * 111000 as distance from h, build b qualify row_number() over (partition by id order by sqrt(pow(h.lat - b.lat, 2) + pow(h.lon - b.lon, 2)), building_id) = 1)
+      select id, url, created_at, status, price, home_type, {_up('lot_sqft')} as lot_sqft, coalesce(bzip, zip) as zip_code, building_id as closest_building_id from near where distance <= {NEAR}""",
+    "mart_land_from_raw": f"""with {_STAGED}, {_QUEUE_SQL}, v as (select 'v' || l_partkey as url, l_orderkey * 7 + l_linenumber as n, l_partkey as k, {_VERSION.replace('o_orderkey', '(l_orderkey * 7 + l_linenumber)').replace('o_custkey', 'l_partkey')} from lineitem),
+      kept as (select v.* from v join part on p_partkey = v.k where {_MARKET} and p_size * 0.1::double > 0.3::double and url in (select url from queue) qualify row_number() over (partition by url order by created desc, price) = 1),
+      r as (select *, 'land_' || row_number() over (order by url) as rid from kept),
+      l as (select r.rid as id, r.url, r.created as created_at, r.price, l.property_type, l.lot_sqft, l.lat, l.lon from r join land2 l on l.id = 'l' || r.k),
+      near as (select l.*, b.building_id, sqrt(pow(l.lat - b.lat, 2) + pow(l.lon - b.lon, 2)) * 111000 as distance from l, build b qualify row_number() over (partition by id order by sqrt(pow(l.lat - b.lat, 2) + pow(l.lon - b.lon, 2)), building_id) = 1)
+      select id, url, created_at, price, property_type, {_up('lot_sqft')} as lot_sqft, building_id as closest_building_id from near where distance <= {NEAR}""",
+    "mart_rental_staging": f"""with {_RAW}, u as (select l_orderkey || '-' || l_partkey as id, l_suppkey as building_id, l_shipdate::date as created, l_linenumber % 4 as bed, l_extendedprice as price, coalesce(case when l_tax > 0.02 then 1 end, case when l_tax > 0.01 then 1 end, case when l_tax > 0 then 1 end) as sqft from lineitem
+        where l_quantity >= 10 and l_returnflag <> 'A' and (l_linenumber = 1 or l_shipdate::date >= date '{AS_OF}' - interval 24 month) and l_suppkey in (select s_suppkey from rb)),
+      n as (select * from u where sqft is not null qualify row_number() over (partition by id order by created desc, price) = 1)
+      select building_id::varchar as building_id, 1990::int as year_built, true as is_condo, 0.5::double as leased_percentage, null::int as number_stories, count(*) as units, sum(round(price)::bigint)::bigint as price, sum(round(price * 0.9::double)::bigint)::bigint as effective_price,
+        sum(case when bed = 0 then 1 else bed end)::bigint as beds, (2 * count(*))::bigint as baths, 0::bigint as floors from n group by 1""",
     "mart_rental_buildings": f"with {_RAW} select s_suppkey as id, s_name as street_address, created as created_on from rb",
     "mart_rental_units": f"""with {_RAW}, u as (select l_orderkey || '-' || l_partkey as id, l_suppkey as building_id, l_shipdate::date as created, l_extendedprice as price,
         coalesce(case when l_tax > 0.02 then l_quantity * 20 end, case when l_tax > 0.01 then l_quantity * 10 end, case when l_tax > 0 then l_quantity * 30 end) as sqft from lineitem

@@ -26,8 +26,16 @@ LAND_TYPES = {
     "home": "homes", "residential": "homes",
 }
 LAND_KEPT = ("undeveloped-land", "homes", "recreational-property")
-COMMON = ["source", "source_id", "source_url", "created_at", "street_address", "city", "state", "zip_code", "lat", "lon", "price", "lot_sqft", "property_type", "closest_building_id", "msa"]
-DEVELOPED = [*COMMON, "beds", "baths", "interior_sqft", "year_built"]
+_PLACE = {"property_name": "string", "street_address": "string", "city": "string", "state": "string", "zip_code": "string", "lat": "double", "lon": "double", "geog_point": "string", "price": "double"}
+_SOURCE = {"source": "string", "source_id": "string", "source_url": "string", "created_at": "timestamp"}
+_NEAR = {"closest_building_id": None, "msa": "string"}
+#: The unified tables: each source's columns under common names, with their types (None: as they come). JSON columns are text.
+DEVELOPED = {
+    **_SOURCE, **_PLACE, "beds": "int", "baths": "double", "interior_sqft": "double", "year_built": "int", "property_type": "string", "lot_sqft": "double", "status": "string", "date_posted": "date", "days_on_market": "int",
+    "page_view_count": "int", "favorite_count": "int", "is_income_restricted": "boolean", "is_auction": "boolean", "has_estimate": "boolean", "address": "string", "selling_soon": "string", "price_history": "string", "school_distances": "string",
+    "risks": "string", "description": "string", "foreclosure": "string", "num_schools_close_to": "int", "avg_school_distance": "double", **_NEAR,
+}
+LOTS = {**_SOURCE, **_PLACE, "lot_sqft": "double", "lot_size": "double", "status": "string", "date_posted": "date", "days_on_market": "int", "description": "string", "risks": "string", "avg_school_distance": "double", **_NEAR}
 
 
 def _filed(c: str, types: dict[str, str]) -> Column:
@@ -82,6 +90,57 @@ def rental_history(history: DataFrame, buildings: DataFrame) -> DataFrame:
     return filters.coalesced(history, "price", "min_price", "max_price").join(buildings.select(F.col("id").alias("building_id")), "building_id", "left_semi")
 
 
+def raw_homes(listings: DataFrame, urls: DataFrame, state: str = "UT", low: float = 5000, high: float = 700000) -> DataFrame:
+    """Home listings (source_url, created_at, status, country) of the queue's urls, in the market and for sale: the newest per url, numbered by url. A tie goes to the lower price."""
+    known = listings.join(urls.select(F.col("url").alias("source_url")).where("source_url is not null"), "source_url", "left_semi")
+    rows = filters.in_market(known, state, low, high).where(~F.col("status").isin("SOLD", "FOR_RENT") & filters.not_value(F.col("country"), "CAN"))
+    newest = dedup.latest_by(rows, ["source_url"], [F.desc("created_at"), F.asc("price")])
+    return dedup.sequential_id(newest, "id", "home_", [F.asc("source_url")]).withColumnsRenamed({"source_url": "url", "latitude": "lat", "longitude": "lon"})
+
+
+def raw_land(listings: DataFrame, urls: DataFrame, state: str = "UT", low: float = 5000, high: float = 700000) -> DataFrame:
+    """Land listings of the queue's urls, in the market and complete: the newest per url, numbered by url. A tie goes to the lower price."""
+    known = listings.join(urls.select("url").where("url is not null"), "url", "left_semi")
+    rows = filters.complete(filters.in_market(known, state, low, high), ["zip_code", "lot_size", "city", "street_address", "city_latitude", "city_longitude"])
+    newest = dedup.latest_by(rows, ["url"], [F.desc("created_at"), F.asc("price")])
+    return dedup.sequential_id(newest, "id", "land_", [F.asc("url")]).withColumnsRenamed({"latitude": "lat", "longitude": "lon"})
+
+
+# The declared columns of staged buildings and units
+UNIT_TYPES = {
+    "id": "string", "building_id": "string", "floorplan_name": "string", "unit_name": "string", "availability": "date", "price": "int", "bed": "int", "bath": "int", "partial_bath": "int", "sqft": "int", "created_on": "date", "enter_market": "date",
+    "exit_market": "date", "days_on_market": "int", "effective_price": "int", "floor": "int", "renovated": "boolean", "furnished": "boolean", "den": "boolean", "convertible": "boolean", "amenities": None,
+}
+BUILDING_TYPES = {
+    "id": "string", "street_address": "string", "street_address_alias": None, "city": "string", "state": "string", "zip_code": "string", "lat": "double", "lon": "double", "msa": "string", "building_name": "string", "building_website": "string",
+    "is_single_family": "boolean", "is_condo": "boolean", "is_apartment": "boolean", "number_units": "int", "year_built": "int", "number_stories": "int", "management_company": "string", "created_on": "date", "verified_listing": "boolean",
+    "avg_quality": "double", "estimated_occupancy": "double", "is_student": "boolean", "is_senior": "boolean", "latest_unit_source": "string", "is_affordable": "boolean", "building_amenities": None, "unit_amenities": None,
+    "leased_percentage": "double", "exposure_percentage": "double", "listing_urls": None,
+}
+
+
+def _typed(df: DataFrame, types: dict[str, str | None]) -> DataFrame:
+    """The declared columns; what the source lacks is null, fractions are rounded to whole numbers, a value that can't be cast is null."""
+    kinds, numbers = dict(df.dtypes), ("float", "double", "decimal")
+
+    def one(name: str, kind: str | None) -> Column:
+        if name not in kinds:
+            return F.lit(None).cast(kind or "string")
+        value = F.round(name) if kind == "int" and kinds[name].startswith(numbers) else F.col(name)
+        return value.try_cast(kind) if kind else value
+
+    return df.select(*(one(name, kind).alias(name) for name, kind in types.items()))
+
+
+def unit_staging(units: DataFrame) -> DataFrame:
+    """Units in their declared types; one without bedrooms has one."""
+    return _typed(units, UNIT_TYPES).withColumn("bed", F.when(F.col("bed") == 0, 1).otherwise(F.col("bed")))
+
+
+def building_staging(buildings: DataFrame) -> DataFrame:
+    return _typed(buildings, BUILDING_TYPES)
+
+
 def home_staging(homes: DataFrame, lookup: DataFrame, meters: float = NEAR_METERS, most_lot: float = MOST_LOT_SQFT) -> DataFrame:
     """Home listings (home_type, bedrooms, bathrooms, living_area and its unit, lot_area_value and its unit) near a rental building, on small lots.
 
@@ -104,7 +163,7 @@ def land_staging(land: DataFrame, lookup: DataFrame, meters: float = NEAR_METERS
         "property_type": _filed("property_type", LAND_TYPES), "beds": beds.cast("int"), "baths": _zero("baths"), "interior_sqft": _zero("homesqft").cast("double"), "lot_sqft": X.to_sqft(F.col("lot_size"), F.col("lot_size_units"), False),
     })
     rows = rows.where(F.col("property_type").isin(*LAND_KEPT)).withColumn("cost_per_acre", F.coalesce(M.ratio(F.col("price"), F.col("lot_sqft")) * X.SQFT_PER_ACRE, F.lit(0.0)))
-    return _near_building(rows, lookup, "land", meters).drop("building_zip", "homesqft", "lot_size", "lot_size_units")
+    return _near_building(rows, lookup, "land", meters).drop("building_zip", "homesqft", "lot_size_units")
 
 
 def manual_staging(manual: DataFrame, lookup: DataFrame, meters: float = FOUR_MILES_METERS) -> DataFrame:
@@ -191,11 +250,43 @@ def home_summary(homes: DataFrame, found: DataFrame) -> DataFrame:
     return rows.withColumns({f"{c}_per_{unit}": M.ratio(F.col(c), F.col(by)) for c in prices for unit, by in (("bedroom", "bedrooms"), ("sqft", "interior_sqft"))})
 
 
-def _unified(df: DataFrame, source: str, columns: list[str]) -> DataFrame:
-    """The common columns under common names; what a source lacks is null."""
-    df = df.withColumnsRenamed({"id": "source_id", "url": "source_url", "home_type": "property_type", "bedrooms": "beds", "bathrooms": "baths"}).withColumn("source", F.lit(source))
-    kinds = {"lot_sqft": "double", "year_built": "int", "beds": "int", "baths": "double", "interior_sqft": "double", "price": "double", "property_type": "string"}
-    return df.select(*((F.col(c) if c in df.columns else F.lit(None)).cast(kinds.get(c, df.schema[c].dataType if c in df.columns else "string")).alias(c) for c in columns))
+def _given(df: DataFrame, *names: str) -> Column:
+    """The first of the columns that has a value; null where the source has none of them."""
+    return F.coalesce(*(F.col(n) for n in names if n in df.columns), F.lit(None))
+
+
+def _unified(df: DataFrame, source: str, shape: dict[str, str | None], own: dict[str, Column]) -> DataFrame:
+    """One source in the common shape: its ``own`` expressions, else its column of that name, else null."""
+    common = {
+        "source": F.lit(source), "source_id": F.col("id"), "source_url": _given(df, "url"), "geog_point": F.concat(F.lit("POINT("), F.col("lon").cast("string"), F.lit(" "), F.col("lat").cast("string"), F.lit(")")),
+        "beds": _given(df, "beds", "bedrooms"), "baths": _given(df, "baths", "bathrooms"), "is_income_restricted": F.lit(False), "is_auction": F.lit(False), "has_estimate": F.lit(False), "status": F.lit("FOR_SALE"),
+    }
+    held = {n: own.get(n, common.get(n, _given(df, n))) for n in shape}
+    return df.select(*((held[n].cast(kind) if kind else held[n]).alias(n) for n, kind in shape.items()))
+
+
+def _as_json(df: DataFrame, name: str) -> Column:
+    return X.clean_json(F.col(name)) if dict(df.dtypes)[name] == "string" else F.to_json(name)
+
+
+def _unified_home(homes: DataFrame, shape: dict[str, str | None]) -> DataFrame:
+    own = {
+        "property_name": _given(homes, "marketing_name", "street_address"), "property_type": _given(homes, "home_type"), "status": _given(homes, "status"), "is_income_restricted": _given(homes, "is_income_restricted"),
+        "is_auction": _given(homes, "is_preforeclosure_auction"), **{n: _as_json(homes, n) for n in ("address", "selling_soon", "price_history", "school_distances", "risks", "foreclosure") if n in homes.columns},
+    }
+    return _unified(homes, "home", shape, own if shape is LOTS else {**own, "description": F.lit(None)})
+
+
+def _unified_land(land: DataFrame, shape: dict[str, str | None]) -> DataFrame:
+    spot = F.struct(*(_given(land, f"city_{c}").cast("double").alias(n) for n, c in (("lat", "latitude"), ("lon", "longitude"))))
+    address = F.to_json(F.struct(_given(land, "street_address").alias("address1"), _given(land, "address2").cast("string").alias("address2"), spot.alias("city_coords")), {"ignoreNullFields": "false"})
+    own = {"property_name": _given(land, "name", "title"), "address": address, "avg_school_distance": _given(land, "distance_to_city_miles"), "description": F.lit(None), "year_built": F.lit(None)}
+    return _unified(land, "land", shape, own)
+
+
+def _unified_manual(manual: DataFrame) -> DataFrame:
+    own = {"property_name": F.col("street_address"), "city": F.lit(None), "state": F.lit(None), "property_type": F.lit("manual_property"), "lot_sqft": F.lit(None), "address": F.to_json(F.struct(F.col("street_address").alias("address"), "zip_code"), {"ignoreNullFields": "false"})}
+    return _unified(manual, "manual", DEVELOPED, own)
 
 
 def _with_land(homes: DataFrame, land: DataFrame) -> DataFrame:
@@ -204,17 +295,17 @@ def _with_land(homes: DataFrame, land: DataFrame) -> DataFrame:
 
 
 def developed(homes: DataFrame, land: DataFrame, manual: DataFrame | None = None) -> DataFrame:
-    """All staged listings with a building, in one table, with their price per square foot of interior and of lot."""
-    rows = _with_land(_unified(homes, "home", DEVELOPED).where("interior_sqft > 0"), _unified(land, "land", DEVELOPED).where("interior_sqft > 0"))
+    """All staged listings with a building, in one table of 38 columns, with their price per square foot of interior and of lot."""
+    rows = _with_land(_unified_home(homes, DEVELOPED).where("interior_sqft > 0"), _unified_land(land, DEVELOPED).where("interior_sqft > 0"))
     if manual is not None:
-        rows = rows.unionByName(_unified(manual, "manual", DEVELOPED).where("interior_sqft > 0"))
+        rows = rows.unionByName(_unified_manual(manual).where("interior_sqft > 0"))
     return rows.withColumns({"price_per_sqft": M.ratio(F.col("price"), F.col("interior_sqft")), "price_per_lot_sqft": M.ratio(F.col("price"), F.col("lot_sqft"))})
 
 
 def empty_lots(homes: DataFrame, land: DataFrame) -> DataFrame:
-    """All staged listings without a building, in one table."""
-    lots = _with_land(_unified(homes, "home", DEVELOPED).where("interior_sqft = 0"), _unified(land, "land", DEVELOPED).where("interior_sqft = 0"))
-    return lots.select(*COMMON).withColumn("price_per_lot_sqft", M.ratio(F.col("price"), F.col("lot_sqft")))
+    """All staged listings without a building, in one table of 23 columns, with their price per square foot of lot."""
+    lots = _with_land(_unified_home(homes.where("interior_sqft = 0"), LOTS), _unified_land(land.where("interior_sqft = 0"), LOTS))
+    return lots.withColumn("price_per_lot_sqft", M.ratio(F.col("price"), F.col("lot_sqft")))
 
 
 def smoothed(properties: DataFrame, keys: list[str], sets: dict[str, tuple[DataFrame, dict[str, str], dict[str, str]]], meters: float = M.SMOOTHING_METERS, closest: dict[str, str] | None = None) -> DataFrame:
