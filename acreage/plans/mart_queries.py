@@ -1,11 +1,14 @@
 """The marts applied to listings that are derived from the supplied tables, and the same in SQL.
 
 Customers stand for homes (their orders for price histories), parts for land,
-suppliers for rental buildings and line items for their units.
+suppliers for rental buildings and line items for their units. Steps that several
+queries need are tables, written once per session.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from acreage.functions import maths as M
@@ -24,13 +27,27 @@ def query(f):
     return f
 
 
+def step(f):
+    """A step of the plan: its tables are written once per session and input, and shared by all queries that need them."""
+    held = {}
+
+    @functools.wraps(f)
+    def once(spark, d):
+        key = (spark.sparkContext.applicationId, d)
+        if key not in held:
+            held[key] = f(spark, d)
+        return held[key]
+
+    return once
+
+
 def _pick(key: str, *texts: str):
     return F.element_at(F.array(*(F.lit(t) for t in texts)), (F.col(key) % len(texts) + 1).cast("int"))
 
 
 def _buildings(spark, d):
     s = _read(spark, d, "supplier")
-    return s.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("msa"), F.col("s_nationkey").cast("string")).alias("msa"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_nationkey").cast("string")).alias("zip_code"), *_point("s_suppkey", 9973, 9967), (F.col("s_suppkey") % 10 / 10.0).alias("leased_percentage"), (F.col("s_suppkey") % 7 / 10.0).alias("exposure_percentage"))
+    return s.select(F.col("s_suppkey").alias("id"), F.concat(F.lit("msa"), F.col("s_nationkey").cast("string")).alias("msa"), F.when(F.col("s_suppkey") % 3 > 0, F.col("s_nationkey").cast("string")).alias("zip_code"), *_point("s_suppkey", 9973, 9967), (F.col("s_suppkey") % 10 / 10.0).alias("leased_percentage"), (F.col("s_suppkey") % 7 / 10.0).alias("exposure_percentage"), F.array(F.concat(F.lit("u"), F.col("s_nationkey").cast("string"))).alias("listing_urls"))
 
 
 def _units(spark, d):
@@ -63,12 +80,14 @@ def _land(spark, d):
     )
 
 
+@step
 def _staged(spark, d):
     homes, land = _homes(spark, d), _land(spark, d)
     lookup = tables.settled(marts.building_lookup(_buildings(spark, d), {"home": homes, "land": land}), "mart-lookup")
     return tables.settled(marts.home_staging(homes, lookup, NEAR), "mart-homes"), tables.settled(marts.land_staging(land, lookup, NEAR), "mart-land")
 
 
+@step
 def _summary(spark, d):
     units = _units(spark, d)
     points = units.groupBy("building_id", F.trunc("date", "month").alias("date")).agg(F.avg("price").alias("price"), F.avg("effective_price").alias("effective_price"))
@@ -76,12 +95,15 @@ def _summary(spark, d):
     return tables.settled(marts.building_summary(_buildings(spark, d), units, found), "mart-buildings")
 
 
+@step
 def _unified(spark, d):
     homes, land = _staged(spark, d)
     return tables.settled(marts.developed(homes, land), "mart-developed"), tables.settled(marts.empty_lots(homes, land), "mart-lots")
 
 
-def _sets(spark, d, developed, lots):
+@step
+def _sets(spark, d):
+    developed, lots = _unified(spark, d)
     rents = ["avg_rent_price_per_sqft", "avg_rent_price_per_bed", "avg_effective_rent_price_per_sqft"]
     predicted = [f"predicted_current_effective_price_per_{u}" for u in ("sqft", "bed")]
     return {
@@ -95,13 +117,31 @@ def _around(spark, d, rows, sets):
     return tables.settled(marts.smoothed(rows, ["source", "source_id"], sets, AROUND, {"buildings": "building_id"}), "mart-around")
 
 
+@step
 def _main(spark, d):
     """Developed properties with their surroundings, empty lots, and what surroundings are made of."""
     developed, lots = _unified(spark, d)
-    sets = _sets(spark, d, developed, lots)
+    sets = _sets(spark, d)
     return tables.settled(marts.developed_main(developed, _around(spark, d, developed, sets)), "mart-main"), lots, sets
 
 
+@step
+def _lots_around(spark, d):
+    return _around(spark, d, _unified(spark, d)[1], _sets(spark, d))
+
+
+@step
+def _manual_staged(spark, d):
+    manual = _manual(spark, d)
+    return tables.settled(marts.manual_staging(manual, marts.building_lookup(_buildings(spark, d), {"manual": manual}), NEAR), "mart-manual")
+
+
+@step
+def _with_manual(spark, d):
+    """Developed properties, manual ones among them."""
+    return tables.settled(marts.developed(*_staged(spark, d), _manual_staged(spark, d)), "mart-with-manual")
+
+
 @query
 def mart_homes(spark, d):
     return _staged(spark, d)[0].select("id", "street_address", "home_type", "bedrooms", F.round("interior_sqft", 2).alias("interior_sqft"), F.round("lot_sqft", 1).alias("lot_sqft"), "zip_code", "msa", "closest_building_id", F.round("distance", 1).alias("distance"))
@@ -115,7 +155,7 @@ def mart_land(spark, d):
 @query
 def mart_home_history(spark, d):
     points = marts.home_history(_staged(spark, d)[0], ["msa", "zip_code"]).withColumn("month", F.trunc("date", "month"))
-    return series.geo_rollup(points, {"msa": "msa", "zip": "zip_code"}, ["month"], [F.round(F.avg("price"), 1).alias("price"), F.count_distinct("id").alias("homes")])
+    return series.geo_rollup(points, {"msa": "msa", "zip": "zip_code"}, ["month"], [M.rounded(F.avg("price"), 1).alias("price"), F.count_distinct("id").alias("homes")])
 
 
 @query
@@ -135,16 +175,13 @@ def _shown(rows):
 @query
 def mart_developed(spark, d):
     """All 38 columns of the unified developed properties, manual ones among them."""
-    homes, land = _staged(spark, d)
-    manual = _manual(spark, d)
-    kept = marts.manual_staging(manual, marts.building_lookup(_buildings(spark, d), {"manual": manual}), NEAR)
-    return _shown(marts.developed(homes, land, kept))
+    return _shown(_with_manual(spark, d))
 
 
 @query
 def mart_empty_lots(spark, d):
     """All 23 columns of the unified empty lots."""
-    return _shown(marts.empty_lots(*_staged(spark, d)))
+    return _shown(_unified(spark, d)[1])
 
 
 def _raw_listings(spark, d, rows, key: str):
@@ -199,8 +236,7 @@ def mart_rental_staging(spark, d):
 
 @query
 def mart_surroundings(spark, d):
-    developed, lots = _unified(spark, d)
-    around = _around(spark, d, developed, _sets(spark, d, developed, lots))
+    around = _main(spark, d)[0]
     means = ["avg_rent_price_per_sqft", "avg_predicted_current_effective_price_per_bed", "avg_leased_percentage", "avg_home_price_per_sqft", "avg_empty_lot_cost_per_sqft"]
     return around.select("source", "source_id", *(F.round(c, 3).alias(c) for c in means), "buildings_within_radius", "homes_within_radius", "lots_within_radius", F.array_join(F.transform("closest_buildings", lambda x: x.cast("string")), ",").alias("closest_buildings"))
 
@@ -213,8 +249,8 @@ def mart_profits(spark, d):
 
 @query
 def mart_lots(spark, d):
-    main, lots, sets = _main(spark, d)
-    rows = marts.expanded_lots(lots.join(_around(spark, d, lots, sets), ["source", "source_id"], "left"), main)
+    main, lots, _ = _main(spark, d)
+    rows = marts.expanded_lots(lots.join(_lots_around(spark, d), ["source", "source_id"], "left"), main)
     return rows.select("source", "source_id", *(F.round(c, 1).alias(c) for c in ("potential_sqft", "lot_payment", "full_payment", "profit_sqft")))
 
 
@@ -251,10 +287,12 @@ def _manual(spark, d):
     )
 
 
+@step
 def _history(spark, d):
     return tables.settled(marts.home_history(_staged(spark, d)[0], ["url", "msa", "zip_code"]), "mart-history")
 
 
+@step
 def _found_homes(spark, d):
     return tables.settled(marts.home_analysis(_history(spark, d), AS_OF), "mart-home-analysis")
 
@@ -278,17 +316,12 @@ def mart_rental_history(spark, d):
 
 @query
 def mart_manual(spark, d):
-    manual = _manual(spark, d)
-    lookup = marts.building_lookup(_buildings(spark, d), {"manual": manual})
-    return marts.manual_staging(manual, lookup, NEAR).select("id", "closest_building_id", "msa", "interior_sqft", "price")
+    return _manual_staged(spark, d).select("id", "closest_building_id", "msa", "interior_sqft", "price")
 
 
 @query
 def mart_developed_manual(spark, d):
-    homes, land = _staged(spark, d)
-    manual = _manual(spark, d)
-    kept = marts.manual_staging(manual, marts.building_lookup(_buildings(spark, d), {"manual": manual}), NEAR)
-    return marts.developed(homes, land, kept).where("source = 'manual'").select("source_id", "beds", "baths", M.rounded(F.col("price_per_sqft"), 2).alias("price_per_sqft"))
+    return _with_manual(spark, d).where("source = 'manual'").select("source_id", "beds", "baths", M.rounded(F.col("price_per_sqft"), 2).alias("price_per_sqft"))
 
 
 @query
@@ -335,8 +368,10 @@ def mart_lot_profitability(spark, d):
     return rows.select("id", *(M.rounded(F.col(c), 1).alias(c) for c in ("potential_rent_per_bed", "acre_cost_per_bed")), M.rounded(F.col("estimate_profit"), 4).alias("estimate_profit"))
 
 
-def _all_sets(spark, d, developed, lots):
+@step
+def _all_sets(spark, d):
     """The six sets in full, from the same listings."""
+    developed, lots = _unified(spark, d)
     homes, found = _staged(spark, d)[0], _found_homes(spark, d)
     summary = tables.settled(marts.home_summary(homes, found.drop("url")), "mart-home-summary")
     return marts.surroundings(_summary(spark, d), summary, found.join(homes.select("id", "lat", "lon"), "id"), lots, developed)
@@ -354,9 +389,8 @@ def _places(name: str) -> int:
 @query
 def mart_all_surroundings(spark, d):
     """All means, counts and lists around each developed property."""
-    developed, lots = _unified(spark, d)
-    sets = _all_sets(spark, d, developed, lots)
-    around = _all_around(spark, d, developed, sets)
+    sets = _all_sets(spark, d)
+    around = _all_main(spark, d)[0]
     floats = [n for _, names, _ in sets.values() for n in names]
     whole = [n for _, _, names in sets.values() for n in names]
     lists = [F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c) for c in ("closest_buildings", "closest_homes")]
@@ -365,18 +399,50 @@ def mart_all_surroundings(spark, d):
 
 @query
 def mart_lots_main(spark, d):
-    developed, lots = _unified(spark, d)
-    rows = marts.lots_main(lots, _around(spark, d, lots, _sets(spark, d, developed, lots)))
+    rows = marts.lots_main(_unified(spark, d)[1], _lots_around(spark, d))
     return rows.select("unified_id", "source", "source_id", F.round("avg_empty_lot_cost_per_sqft", 3).alias("avg_empty_lot_cost_per_sqft"), F.round("avg_home_price_per_sqft", 3).alias("avg_home_price_per_sqft"), "lots_within_radius")
 
 
+@step
+def _all_main(spark, d):
+    """Developed properties with all their surroundings, and the summaries that these come from."""
+    developed, sets = _unified(spark, d)[0], _all_sets(spark, d)
+    main = developed.join(_all_around(spark, d, developed, sets), ["source", "source_id"], "left")
+    return tables.settled(main, "mart-all-main"), sets["buildings"][0], sets["homes"][0]
+
+
+def _accepted(spark, d, main):
+    accepted = _read(spark, d, "customer").where("c_acctbal > 0").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"))
+    return marts.accepted_flips(main, accepted, most=400000)
+
+
 @query
 def mart_accepted_flips(spark, d):
-    developed, lots = _unified(spark, d)
-    main = developed.join(_all_around(spark, d, developed, _all_sets(spark, d, developed, lots)), ["source", "source_id"], "left")
-    accepted = _read(spark, d, "customer").where("c_acctbal > 0").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("url"))
-    rows = marts.accepted_flips(main, accepted, most=900000)
-    return rows.select("source", "source_id", *(F.round(c, 2).alias(c) for c in ("estimate_potential_home_value", "estimated_home_value_increase", "estimated_income_sqft")))
+    """Flips of accepted urls within the prices, and manual properties whatever their price and state."""
+    every = _with_manual(spark, d)
+    main = every.join(_all_around(spark, d, every, _all_sets(spark, d)), ["source", "source_id"], "left")
+    return _accepted(spark, d, main).select("source", "source_id", *(F.round(c, 2).alias(c) for c in ("estimate_potential_home_value", "estimated_home_value_increase", "estimated_income_sqft")))
+
+
+def _rounded(rows):
+    return rows.withColumns({c: M.rounded(F.col(c), _places(c)) for c, kind in rows.dtypes if kind == "double" and c != "distance_miles"} | {c: F.array_join(c, ",") for c in rows.columns if c == "listing_urls"}).withColumn("place", F.col("place").cast("long"))
+
+
+@query
+def mart_building_report(spark, d):
+    return _rounded(marts.comparables_report(marts.explanations(*_all_main(spark, d)), "buildings"))
+
+
+@query
+def mart_home_report(spark, d):
+    return _rounded(marts.comparables_report(marts.explanations(*_all_main(spark, d)), "homes"))
+
+
+@query
+def mart_flip_report(spark, d):
+    """The full report: accepted flips with the buildings around."""
+    main, buildings, homes = _all_main(spark, d)
+    return _rounded(marts.flip_report(_accepted(spark, d, main), marts.comparables_report(marts.explanations(main, buildings, homes), "buildings")))
 
 
 _LAND_POINT = _A.replace("10000)", "9941)", 1).replace("104729 % 10000)", "104729 % 9931)").format("p_partkey")
@@ -499,7 +565,7 @@ def _growth(f: str) -> str:
     return f"case when {f}.max_date > {f}.min_date and {f}.a_v > 0 then (pow({f}.z_v / {f}.a_v, 365.25::double / ({f}.max_date - {f}.min_date)) - 1) * 100 when {f}.n is not null then 0 end"
 
 
-def _all_surroundings_sql() -> str:
+def _all_surroundings_sql() -> tuple[str, str]:
     """Means of six sets, each under the name that the mart gives it."""
     sides, times = ("", "_lower", "_upper"), (("current", 0), ("future", 365))
     forecasts = {f"predicted_{time}{kind}_price{side}": _forecast(f, ahead, side) for time, ahead in times for kind, f in (("", "fp"), ("_effective", "fe")) for side in sides}
@@ -510,10 +576,14 @@ def _all_surroundings_sql() -> str:
     of_homes = {"price": "h.price"} | {f"predicted_{time}_price{side}": _forecast("f", ahead, side) for time, ahead in times for side in sides}
     homes = {f"avg_home_{c}_per_{u}": f"case when {by} > 0 then {x} / {by} end" for c, x in of_homes.items() for u, by in (("bedroom", "h.bedrooms"), ("sqft", "h.interior_sqft"))}
     homes |= {"avg_home_current_price": "h.price", "avg_home_bedrooms": "h.bedrooms", "avg_home_living_area_sqft": "h.interior_sqft"}
+    columns |= {"gain_effective": _growth("fe")}
+    homes |= {"gain": _growth("f"), "home_url": "h.url"}
+    own = ("gain_effective", "gain", "home_url")  # of reports only
     gains = {"avg_building_average_percent_gain_per_year": _growth("fp"), "avg_building_average_percent_gain_per_year_effective": _growth("fe")}
     trends = {"avg_home_average_percent_gain_per_year": _growth("f"), "avg_home_trend_strength_pct": "case when s.n >= 3 then s.hits / s.m * 100 else 0 end", "avg_home_trend_variance_pct": "case when s.n >= 3 then s.sd * 100 else 0 end", "avg_home_data_span_days": "(f.max_date - f.min_date)"}
     listed = lambda names: ", ".join(f"{x} as {n}" for n, x in names.items())
     sets = {"buildings": columns, "building_trends": gains, "homes": homes, "home_trends": trends, "lots": {"avg_empty_lot_cost_per_sqft": ""}, "developed": {"avg_interior_sqft_cost": "", "avg_developed_lot_cost_per_sqft": ""}}
+    sets = {name: {n: x for n, x in names.items() if n not in own} for name, names in sets.items()}
     means = ", ".join(_means_sql(f"a_{name}", "developed", f"s_{name}", {n: n for n in names}) for name, names in sets.items())
     joins = " ".join(f"left join a_{name} on a_{name}.source = p.source and a_{name}.source_id = p.source_id" for name in sets)
     whole = ("num_units", "avg_home_data_span_days")
@@ -521,7 +591,7 @@ def _all_surroundings_sql() -> str:
     shown += [f"coalesce(a_{name}.n, 0) as {name}_within_radius" for name in sets]
     gap = _POINT_SIN.format(a="p", b="o")
     near = ", ".join(
-        f"n_{name} as (select source, source_id, string_agg(id::varchar, ',' order by rk) as ids from (select *, row_number() over (partition by source, source_id order by gap, id) as rk from (select p.source, p.source_id, o.{key} as id, {gap} as gap from developed p, s_{name} o) where gap <= {AROUND}) where rk <= 10 group by 1, 2)"
+        f"l_{name} as (select * from (select *, row_number() over (partition by source, source_id order by gap, id) as rk from (select p.source, p.source_id, o.{key} as id, {gap} as gap from developed p, s_{name} o) where gap <= {AROUND}) where rk <= 10), n_{name} as (select source, source_id, string_agg(id::varchar, ',' order by rk) as ids from l_{name} group by 1, 2)"
         for name, key in (("buildings", "building_id"), ("homes", "id"))
     )
     lists = " ".join(f"left join n_{name} on n_{name}.source = p.source and n_{name}.source_id = p.source_id" for name in ("buildings", "homes"))
@@ -538,11 +608,27 @@ def _all_surroundings_sql() -> str:
       s_home_trends as (select h.lat, h.lon, {listed(trends)} from homes h join hf f on f.id = h.id join strengths s on s.id = h.id),
       s_lots as (select lat, lon, case when lot_sqft > 0 then price / lot_sqft end as avg_empty_lot_cost_per_sqft from lots),
       s_developed as (select lat, lon, price / interior_sqft as avg_interior_sqft_cost, case when lot_sqft > 0 then price / lot_sqft end as avg_developed_lot_cost_per_sqft from developed),
-      {means}, {near}
-      select p.source, p.source_id, {', '.join(shown)}, n_buildings.ids as closest_buildings, n_homes.ids as closest_homes from developed p {joins} {lists}"""
+      {means}, {near}""", f"select p.source, p.source_id, {', '.join(shown)}, n_buildings.ids as closest_buildings, n_homes.ids as closest_homes from developed p {joins} {lists}"
+
+
+def _report_sql(name: str, details: dict[str, str]) -> str:
+    """Comparables of properties with a rent nearby, by their distance on the spheroid."""
+    gap, key = _geodesic("p", "o"), "building_id" if name == "buildings" else "id"
+    return f"""pairs as (select p.source, p.source_id, {gap} as meters, o.* from l_{name} l join developed p on p.source = l.source and p.source_id = l.source_id join s_{name} o on o.{key} = l.id
+      join a_buildings a on a.source = l.source and a.source_id = l.source_id where coalesce(a.avg_rent_price_per_sqft, a.avg_predicted_current_effective_price_per_sqft) is not null),
+      report as (select source, source_id, row_number() over (partition by source, source_id order by meters, {key}) - 1 as place, {key} as id, round(meters / 1609.34::double, 2) as distance_miles, {', '.join(f'{x} as {n}' for n, x in details.items())} from pairs)"""
 
 
-_ALL_SURROUNDINGS = _all_surroundings_sql()
+_AROUND_ALL, _SHOWN_AROUND = _all_surroundings_sql()
+_ALL_SURROUNDINGS = f"{_AROUND_ALL} {_SHOWN_AROUND}"
+_BUILDING_REPORT = {
+    "listing_urls": "(select 'u' || s_nationkey from supplier where s_suppkey = building_id)", "leased_percentage": _up("avg_leased_percentage", 3), "average_percent_gain_per_year_effective": _up("gain_effective", 3),
+    **{f"avg_effective_rent_price_per_{u}": _up(f"avg_effective_rent_price_per_{u}") for u in ("bed", "sqft")}, **{f"predicted_{t}_effective_price_per_{u}": _up(f"avg_predicted_{t}_effective_price_per_{u}") for t in ("current", "future") for u in ("bed", "sqft")},
+}
+_HOME_REPORT = {
+    "url": "home_url", "price": _up("avg_home_current_price"), "bedrooms": "avg_home_bedrooms", "interior_sqft": _up("avg_home_living_area_sqft", 3), "average_percent_gain_per_year": _up("gain", 3),
+    **{f"price_per_{u}": _up(f"avg_home_price_per_{u}") for u in ("bedroom", "sqft")}, **{f"predicted_{t}_price_per_{u}": _up(f"avg_home_predicted_{t}_price_per_{u}") for t in ("current", "future") for u in ("bedroom", "sqft")},
+}
 _VERSION = """o_orderkey % 900 * 1000.0::double + o_custkey % 10 as price, date '2024-01-01' + (o_orderkey % 300)::int as created"""
 _MARKET = "n % 7 > 0 and n % 13 > 0 and v.price between 5000 and 700000"
 _QUEUE_SQL = "queue as (select 'u' || c_custkey as url from customer where c_acctbal > 0 union all select 'v' || p_partkey from part where p_size > 10)"
@@ -595,7 +681,7 @@ ORACLE_SQL = {
     "mart_home_history": f"""with {_STAGED}, pts as (select id, msa, zip_code, o_orderdate::date as date, o_totalprice as price from homes join orders on o_custkey = k where o_totalprice > 0),
       q as (select id, quantile_cont(price, [0.25, 0.75]) as q from pts group by 1), kept as (select pts.* from pts join q using (id) where price between q[1] - 1.5 * (q[2] - q[1]) and q[2] + 1.5 * (q[2] - q[1])),
       s as (select 'msa' as geography_type, msa as geography_value, * from kept union all select 'zip', zip_code, * from kept)
-      select geography_type, geography_value, date_trunc('month', date)::date as month, round(avg(price), 1) as price, count(distinct id) as homes from s where geography_value is not null group by 1, 2, 3""",
+      select geography_type, geography_value, date_trunc('month', date)::date as month, {_up('avg(price)')} as price, count(distinct id) as homes from s where geography_value is not null group by 1, 2, 3""",
     "mart_buildings": f"""with {_STAGED}, {_SUMMARY} select building_id, num_units, round(rent_sqft, 3) as avg_rent_price_per_sqft, round(effective_bed, 3) as avg_effective_rent_price_per_bed, round(now_sqft, 3) as predicted_current_price_per_sqft,
       round(next_effective_bed, 3) as predicted_future_effective_price_per_bed, round(concession, 3) as concession_percentage from summary""",
     "mart_developed": f"""with {_DEVELOPED}, {_MANUAL.removeprefix(_STAGED + ', ')}, {_WIDE},
@@ -656,7 +742,15 @@ ORACLE_SQL = {
       select id, {_up('bed')} as potential_rent_per_bed, {_up('acre')} as acre_cost_per_bed, {_up('case when acre > 0 then bed / acre end', 4)} as estimate_profit from e""",
     "mart_lots_main": f"""with {_MAIN}, {_main_sql('lots')} select row_number() over (order by source, source_id) as unified_id, source, source_id, round(a_lot, 3) as avg_empty_lot_cost_per_sqft, round(a_home, 3) as avg_home_price_per_sqft, l_n as lots_within_radius from lots_main""",
     "mart_all_surroundings": _ALL_SURROUNDINGS,
-    "mart_accepted_flips": f"""with {_MAIN}, {_HOMES_FOUND}, {_means_sql('ah', 'developed', 'home_sums', {'h_price': 'per_sqft'})}
+    "mart_accepted_flips": f"""with {_MAIN}, {_HOMES_FOUND}, {_MANUAL.removeprefix(_STAGED + ', ')},
+      every as (select source, source_id, url, price, interior_sqft, lat, lon from developed union all select 'manual', id, null, price, interior_sqft, lat, lon from manual where interior_sqft > 0),
+      {_means_sql('eh', 'every', 'home_sums', {'h_price': 'per_sqft'})}, {_means_sql('eb', 'every', 'summary', {'a_now_sqft': 'now_effective_sqft', 'a_leased': 'leased'})}
       select m.source, m.source_id, round(h_price * interior_sqft, 2) as estimate_potential_home_value, round(h_price * interior_sqft - price, 2) as estimated_home_value_increase, round(interior_sqft * a_now_sqft * a_leased, 2) as estimated_income_sqft
-      from developed_main m left join ah on ah.source = m.source and ah.source_id = m.source_id where price <= 900000 and price > 45000 and url in (select 'u' || c_custkey from customer where c_acctbal > 0)""",
+      from every m left join eh on eh.source = m.source and eh.source_id = m.source_id left join eb on eb.source = m.source and eb.source_id = m.source_id
+      where m.source = 'manual' or price <= 400000 and price > 45000 and url in (select 'u' || c_custkey from customer where c_acctbal > 0)""",
+    "mart_building_report": f"{_AROUND_ALL}, {_report_sql('buildings', _BUILDING_REPORT)} select * from report",
+    "mart_home_report": f"{_AROUND_ALL}, {_report_sql('homes', _HOME_REPORT)} select * from report",
+    "mart_flip_report": f"""{_AROUND_ALL}, {_report_sql('buildings', _BUILDING_REPORT)}
+      select source, source_id, place, listing_urls, distance_miles, predicted_current_effective_price_per_sqft, leased_percentage from report join developed using (source, source_id)
+      where price <= 400000 and price > 45000 and url in (select 'u' || c_custkey from customer where c_acctbal > 0)""",
 }

@@ -425,3 +425,48 @@ def accepted_flips(main: DataFrame, accepted: DataFrame, most: float = 210000, m
         "estimated_income_sqft": F.col("interior_sqft") * F.col("avg_predicted_current_effective_price_per_sqft") * F.col("avg_leased_percentage") * months,
         "predicted_effective_rent_price_growth_percentage": growth("predicted_{}_effective_price_per_sqft"), "predicted_price_growth_percentage": growth("home_predicted_{}_price_per_bedroom"),
     }).orderBy(F.desc_nulls_last("estimated_home_value_increase"), "source", "source_id")
+
+
+#: What the reports tell of each comparable, besides its distance.
+BUILDING_DETAILS = [
+    "listing_urls", "leased_percentage", "average_percent_gain_per_year_effective", "avg_effective_rent_price_per_bed", "avg_effective_rent_price_per_sqft", "predicted_current_effective_price_per_bed",
+    "predicted_future_effective_price_per_bed", "predicted_current_effective_price_per_sqft", "predicted_future_effective_price_per_sqft",
+]
+HOME_DETAILS = [
+    "url", "price", "bedrooms", "interior_sqft", "average_percent_gain_per_year", "price_per_bedroom", "price_per_sqft", "predicted_current_price_per_bedroom", "predicted_future_price_per_bedroom", "predicted_current_price_per_sqft",
+    "predicted_future_price_per_sqft",
+]
+
+
+def _detailed(rows: DataFrame, listed: str, summary: DataFrame, key: str, details: list[str], name: str) -> DataFrame:
+    """(source, source_id, name): the listed ids' rows of the summary, nearest first on the spheroid, ten at most per property as the lists are."""
+    about = F.struct(*(_given(summary, c).alias(c) for c in details))
+    known = summary.select(F.col(key).alias("_id"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), about.alias("_about"))
+    pairs = rows.select("source", "source_id", "lat", "lon", F.explode(listed).alias("_id")).join(known, "_id").withColumn("_meters", M.geodesic(F.col("lat"), F.col("lon"), F.col("_lat"), F.col("_lon")))
+    item = F.struct("_meters", "_id", M.miles(F.col("_meters")).alias("distance_miles"), "_about.*")
+    return pairs.groupBy("source", "source_id").agg(F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(x["_id"].alias("id"), x["distance_miles"].alias("distance_miles"), *(x[c].alias(c) for c in details))).alias(name))
+
+
+def explanations(main: DataFrame, buildings: DataFrame, homes: DataFrame) -> DataFrame:
+    """(source, source_id, buildings, homes): for each property with a rent nearby, all fields of the buildings and homes in its lists of nearest ones; empty without any.
+
+    ``main`` has lat, lon, closest_buildings, closest_homes and the rents around; ``buildings`` as of ``building_summary``, ``homes`` of ``home_summary``.
+    """
+    rows = main.where(F.coalesce("avg_rent_price_per_sqft", "avg_predicted_current_effective_price_per_sqft").isNotNull())
+    out = rows.select("source", "source_id")
+    for name, summary, key, details in (("buildings", buildings, "building_id", BUILDING_DETAILS), ("homes", homes, "id", HOME_DETAILS)):
+        found = _detailed(rows, f"closest_{name}", summary, key, details, name)
+        none = F.array().cast(found.schema[name].dataType)
+        out = out.join(found, ["source", "source_id"], "left").withColumn(name, F.coalesce(name, none))
+    return out
+
+
+def comparables_report(explained: DataFrame, name: str) -> DataFrame:
+    """A row per property and comparable (``buildings`` or ``homes``), nearest first."""
+    return explained.select("source", "source_id", F.posexplode(name).alias("place", "_c")).select("source", "source_id", "place", "_c.*").orderBy("source_id", "place")
+
+
+def flip_report(flips: DataFrame, report: DataFrame) -> DataFrame:
+    """The ranked flips with the buildings that their rents come from."""
+    columns = ["listing_urls", "distance_miles", "predicted_current_effective_price_per_sqft", "leased_percentage"]
+    return flips.select("source", "source_id").join(report.select("source", "source_id", "place", *columns), ["source", "source_id"])
