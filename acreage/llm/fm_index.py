@@ -39,16 +39,23 @@ class Bits:
 
 
 class FmIndex:
-    """Counts of patterns of at most ``depth`` symbols in several sequences; a pattern doesn't reach over their ends."""
+    """Counts of patterns of at most ``depth`` symbols in several sequences; a pattern doesn't reach over their ends.
 
-    def __init__(self, sequences: list[np.ndarray], depth: int) -> None:
+    ``times``: a sequence stands for so many equal ones, and so do its suffixes: a range of them counts as the sum of theirs.
+    """
+
+    def __init__(self, sequences: list[np.ndarray], depth: int, times: np.ndarray | None = None) -> None:
         lengths = np.array([len(s) for s in sequences])
         self.symbols, ids = np.unique(np.concatenate(sequences), return_inverse=True)
         text = np.ones(len(ids) + len(sequences) + 1, np.int64)  # 0 ends the text, 1 ends a sequence
         at = np.arange(len(ids)) + np.repeat(np.arange(len(lengths)), lengths)
         text[at] = ids + 2
         text[-1] = 0
-        last = text[suffix_order(text, depth) - 1]
+        order = suffix_order(text, depth)
+        last = text[order - 1]
+        owner = np.repeat(np.arange(len(lengths)), lengths + 1)  # a sequence's end is its own
+        each = np.ones(len(lengths), np.int64) if times is None else np.asarray(times, np.int64)
+        self.upto = np.concatenate([[0], np.cumsum(np.concatenate([each[owner], [0]])[order])])
         sigma = len(self.symbols) + 2
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
         self.size = len(text)
@@ -65,6 +72,10 @@ class FmIndex:
             at = np.where((symbol >> bit) & 1, zeros + ones, at - ones)
         return at
 
+    def count(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Occurrences in ranges of suffixes."""
+        return self.upto[np.maximum(high, low)] - self.upto[low]
+
     def encode(self, words: np.ndarray) -> np.ndarray:
         """The words' symbols; all must be in the index."""
         return np.searchsorted(self.symbols, words) + 2
@@ -76,7 +87,7 @@ class FmIndex:
         return base + moved[: len(symbol)], base + moved[len(symbol) :]
 
 
-def matching_intervals(index: FmIndex, streamed: list[np.ndarray], size: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def matching_intervals(index: FmIndex, streamed: list[np.ndarray], size: int, least: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sequence, begin, end) of the maximal runs of at least ``size`` symbols of each streamed sequence that the index holds ``least`` times.
 
     These are the matching statistics that reach ``size``. All sequences are
@@ -89,7 +100,6 @@ def matching_intervals(index: FmIndex, streamed: list[np.ndarray], size: int, le
     lengths = np.array([len(s) for s in streamed], np.int64)
     text = index.encode(np.concatenate([*streamed, np.zeros(0, np.int64)]))
     base = np.cumsum(lengths) - lengths
-    least = np.asarray(least, np.int64)
     end, at, floor = lengths.copy(), lengths.copy(), np.zeros(len(lengths), np.int64)
     held, rare_length, probed = (np.zeros(len(lengths), np.int64) for _ in range(3))  # of parts that begin at ``floor``
     probing = np.zeros(len(lengths), bool)
@@ -98,7 +108,7 @@ def matching_intervals(index: FmIndex, streamed: list[np.ndarray], size: int, le
     while len(lane):
         at[lane] -= 1
         low[lane], high[lane] = index.extend(text[base[lane] + at[lane]], low[lane], high[lane])
-        rare = high[lane] - low[lane] < least[lane]
+        rare = index.count(low[lane], high[lane]) < least
         halted = rare | (at[lane] == floor[lane])
         probe = probing[lane]
 

@@ -11,7 +11,7 @@ from acreage.llm.quality_rules import op10_quality_rules
 from acreage.llm.secrets import OP2_SQL, op2_secret_scan
 from acreage.llm.sharding import op8_kd_shards
 from acreage.llm.simhash import op11_simhash
-from acreage.llm.substring import op6_substring_dedup
+from acreage.llm.substring import OP6_SQL, op6_substring_dedup
 from acreage.llm.warc import OP9_SQL, op9_warc
 
 QUERIES = {
@@ -34,6 +34,7 @@ ORACLE_SQL = {
     "op1_mix_sources": OP1_SQL,
     "op2_secret_scan": OP2_SQL,
     "op3_chat_format": OP3_SQL,
+    "op6_substring_dedup": OP6_SQL,
     "op9_warc": OP9_SQL,
     "op12_phrase_mining": OP12_SQL,
     "op13_source_divergence": OP13_SQL,

@@ -3,16 +3,17 @@
 Every window of ``size`` words is led by its minimizer, the least hash among
 its runs of ``anchor`` words; consecutive windows with the same one form a
 region. Equal windows have equal minimizers, so a region whose minimizer occurs
-nowhere else has no repeated window. The distinct regions of the others are dealt
+nowhere else has no repeated window. The others are dealt
 by minimizer to shards. Each shard builds an FM-index of its regions and streams
 all of them through it; backward search gives their matching statistics, and the
-maximal runs of ``size`` words or more that occur elsewhere too are reported. A
-region that occurs in several places is indexed once, so one match of it is enough.
+maximal runs of ``size`` words or more that occur at least twice are reported. Equal
+regions are one sequence of the index with their number as its multiplicity, so that the
+range of suffixes that a search ends in tells how often its words occur.
 
-A minimizer with more than ``shard_words`` words of distinct regions isn't given to
-one shard: its regions are cut into their windows, and the distinct windows are
-dealt to further shards by their own hash, where they are indexed and searched
-in the same way.
+Equal windows agree in all their runs. Regions whose minimizer has more than ``shard_words`` words
+are cut where the windows' second least run changes, and the parts are dealt by both;
+what is still too much for a shard is cut and dealt by the third, and so on. However many
+texts share a passage, a shard gets about as much, and the result is the same for any ``shard_words``.
 
 Words are compared by 64-bit hashes, and so are regions and windows. Texts are
 shuffled twice, to where their regions are asked for and to their spans.
@@ -55,6 +56,22 @@ def _hash_at(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     return mix64(out)
 
 
+def _runs(w: Words, starts: np.ndarray, value: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, first word, words) of each run of consecutive windows of a row with one value."""
+    if not len(starts):
+        return (np.zeros(0, np.int64),) * 3
+    head = np.concatenate([[True], (value[1:] != value[:-1]) | (starts[1:] != starts[:-1] + 1)])
+    first = np.flatnonzero(head)
+    last = np.concatenate([first[1:], [len(starts)]]) - 1
+    row = np.searchsorted(w.at, starts[first], "right") - 1
+    return row, starts[first], starts[last] - starts[first] + size
+
+
+def _content(hashes: np.ndarray, first: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """A hash of runs of n words: the first and the last window together are the whole."""
+    return mix64(_hash_at(hashes, first, size) * np.uint64(3) + _hash_at(hashes, first + n - size, size) + (n - size).astype(np.uint64))
+
+
 def _regions(w: Words, hashes: np.ndarray, size: int, anchor: int) -> tuple[np.ndarray, ...]:
     """(row, start within the row, words, minimizer, content hash) of each region."""
     starts = windows_in_rows(w.at, size)
@@ -65,14 +82,8 @@ def _regions(w: Words, hashes: np.ndarray, size: int, anchor: int) -> tuple[np.n
     views = np.lib.stride_tricks.sliding_window_view(anchors, width)
     parts = [views[k : k + _CHUNK].argmin(axis=1) for k in range(0, len(views), _CHUNK)]  # argmin copies its rows
     least = np.concatenate(parts)[starts] + starts
-    head = np.concatenate([[True], (least[1:] != least[:-1]) | (starts[1:] != starts[:-1] + 1)])
-    first = np.flatnonzero(head)
-    last = np.concatenate([first[1:], [len(starts)]]) - 1
-    a, b = starts[first], starts[last]
-    row = np.searchsorted(w.at, a, "right") - 1
-    # the first and the last window together are the whole region
-    content = mix64(_hash_at(hashes, a, size) * np.uint64(3) + _hash_at(hashes, b, size) + (b - a).astype(np.uint64))
-    return row, a - w.at[row], b - a + size, anchors[least[first]], content
+    row, first, n = _runs(w, starts, least, size)
+    return row, first - w.at[row], n, anchors[least[np.searchsorted(starts, first)]], _content(hashes, first, n, size)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -127,32 +138,61 @@ def _contents(docs: DataFrame, regions: DataFrame) -> DataFrame:
     return _with_lists(_keyed(docs), lists, "inner").drop("doc_id", "_t").mapInArrow(go, f"{schema}, text string")
 
 
-def _windows(contents: DataFrame, size: int) -> DataFrame:
-    """(content, times, window, begin, text) of each window of the regions; ``window`` is its hash."""
+def _cut(nodes: DataFrame, level: int, size: int, anchor: int) -> DataFrame:
+    """(node, begin, key, content, times, n, text): each node's runs of windows with one value of their least run of words but ``level``."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text", 1 << 18):
             w = Words.of(piece.column("text"))
+            hashes = w.hashes()
             starts = windows_in_rows(w.at, size)
-            row = np.searchsorted(w.at, starts, "right") - 1
-            texts = _parts(w, starts, np.full(len(starts), size))
-            window = _hash_at(w.hashes(), starts, size).view(np.int64) if len(starts) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*(piece.column(c).take(pa.array(row)) for c in ("content", "times")), pa.array(window), pa.array(starts - w.at[row]), texts.cast(pa.string())], names=["content", "times", "window", "begin", "text"])
+            views = np.lib.stride_tricks.sliding_window_view(window_hashes(hashes, anchor, 9), size - anchor + 1)
+            parts = [np.partition(views[starts[k : k + _CHUNK]], level, axis=1)[:, level] for k in range(0, len(starts), _CHUNK)]
+            value = np.concatenate([*parts, np.zeros(0, np.uint64)])
+            row, first, n = _runs(w, starts, value, size)
+            key = mix64(piece.column("key").to_numpy().view(np.uint64)[row] * np.uint64(5) + value[np.searchsorted(starts, first)])
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("content").take(at), pa.array(first - w.at[row]), pa.array(key.view(np.int64)), pa.array(_content(hashes, first, n, size).view(np.int64)), piece.column("times").take(at), pa.array(n), _parts(w, first, n).cast(pa.string())],
+                names=["node", "begin", "key", "content", "times", "n", "text"],
+            )
 
-    return contents.select("content", "times", "text").mapInArrow(go, "content long, times long, window long, begin long, text string")
+    return nodes.select("key", "content", "times", "text").mapInArrow(go, "node long, begin long, key long, content long, times long, n long, text string")
 
 
 def _search(sequences: DataFrame, size: int) -> DataFrame:
-    """(key, cut, begin, end) of the runs of words of (shard, key, cut, times, text) that occur elsewhere too, by one FM-index per shard."""
+    """(content, begin, end) of the runs of words of (shard, content, times, text) that occur at least twice, by one FM-index per shard."""
 
     def go(pdf: pd.DataFrame) -> pd.DataFrame:
         w = Words.of(pa.array(pdf["text"], pa.large_string()))
         words = np.split(w.hashes().view(np.int64), w.at[1:-1])
-        which, begin, end = matching_intervals(FmIndex(words, 2 * size), words, size, np.where(pdf["times"] > 1, 1, 2))
-        return pd.DataFrame({"key": pdf["key"].to_numpy()[which], "cut": pdf["cut"].to_numpy()[which], "begin": begin, "end": end})
-
-    # least distinct keys: a shard is a hash range of minimizers or windows
-    return sequences.groupBy("shard").applyInPandas(go, "key long, cut boolean, begin long, end long")
+        which, begin, end = matching_intervals(FmIndex(words, 2 * size, pdf["times"].to_numpy()), words, size)
+        return pd.DataFrame({"content": pdf["content"].to_numpy()[which], "begin": begin, "end": end})
+
+    # a shard is a hash range of keys with bounded words each
+    return sequences.groupBy("shard").applyInPandas(go, "content long, begin long, end long")
+
+
+def _dealt(contents: DataFrame, size: int, anchor: int, shard_words: int) -> tuple[DataFrame, DataFrame]:
+    """The sequences that fit into shards by their keys (key, content, times, n, text), and where each lies in a region: (root, offset, content)."""
+    nodes = contents.select(F.col("least").alias("key"), "content", "times", F.col("n").cast("long").alias("n"), "text")
+    places = contents.select(F.col("content").alias("root"), F.lit(0).cast("long").alias("offset"), "content")
+    fitting, where = [], []
+    for level in range(1, size - anchor + 2):
+        sums = nodes.groupBy("key").agg(F.sum("n").alias("_n"), F.count("*").alias("_m"))
+        hot = written(sums.where((F.col("_n") > shard_words) & (F.col("_m") > 1)).select("key"), "substring-hot")
+        if level > size - anchor or not hot.limit(1).count():  # windows that agree in all runs are equal
+            break
+        fitting.append(nodes.join(hot, "key", "left_anti"))
+        cut = written(_cut(nodes.join(hot, "key"), level, size, anchor), "substring-cut")
+        # what was not cut keeps its places
+        where.append(places.join(cut.select(F.col("node").alias("content")).distinct(), "content", "left_anti").select("root", "offset", "content"))
+        places = written(places.withColumnRenamed("content", "node").join(cut.select("node", "begin", "content"), "node").select("root", (F.col("offset") + F.col("begin")).alias("offset"), "content"), "substring-places")
+        nodes = cut.groupBy("content").agg(F.min("key").alias("key"), F.sum("times").alias("times"), F.min("n").alias("n"), F.min("text").alias("text"))
+        nodes = written(nodes.select("key", "content", "times", "n", "text"), "substring-nodes")
+    for more, at in zip(fitting, where, strict=True):
+        nodes, places = nodes.unionByName(more), places.unionByName(at)
+    return nodes, places
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -165,20 +205,13 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, anchor: int = ANCHOR, shar
     # a content hash also tells the minimizer; equal regions are counted in each task first
     distinct = met.groupBy("least", "content").agg(F.count("*").alias("times"), F.min(F.struct("doc_id", "_t", "start", "n")).alias("_first"))
     distinct = written(distinct.select("least", "content", "times", "_first.*"), "substring-distinct")
-    hot = distinct.groupBy("least").agg(F.sum("n").alias("_n")).where(F.col("_n") > shard_words).select("least", F.lit(True).alias("cut"))
-    asked = distinct.join(written(hot, "substring-hot"), "least", "left").withColumn("cut", F.coalesce("cut", F.lit(False)))
-    contents = written(_contents(docs, asked), "substring-contents")
-    windows = written(_windows(contents.where("cut"), size), "substring-windows")
-    n_words, n_windows = contents.where("not cut").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], windows.count()
-    shards, more = max(1, -(-n_words // shard_words)), max(1, -(-n_windows * size // shard_words))
-    whole = contents.where("not cut").select(F.pmod(F.xxhash64("least"), F.lit(shards)).alias("shard"), F.col("content").alias("key"), "cut", "times", "text")
-    single = windows.groupBy("window").agg(F.sum("times").alias("times"), F.min("text").alias("text"))
-    single = single.select((F.pmod(F.xxhash64("window"), F.lit(more)) + shards).alias("shard"), F.col("window").alias("key"), F.lit(True).alias("cut"), "times", "text")
-    found = written(_search(whole.unionByName(single), size), "substring-found")
-    by_content = found.where("not cut").select(F.col("key").alias("content"), "begin", "end")
-    cut = windows.select("content", "window", "begin").join(found.where("cut").select(F.col("key").alias("window")), "window")
-    by_content = written(by_content.unionByName(cut.select("content", "begin", (F.col("begin") + size).alias("end"))), "substring-by-content")
-    released(contents, windows, found)
+    contents = written(_contents(docs, distinct), "substring-contents")
+    sequences, places = _dealt(contents, size, anchor, shard_words)
+    shards = max(1, -(-sequences.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] // shard_words))
+    found = written(_search(sequences.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))), size), "substring-found")
+    by_content = places.join(found, "content").select(F.col("root").alias("content"), (F.col("offset") + F.col("begin")).alias("begin"), (F.col("offset") + F.col("end")).alias("end"))
+    by_content = written(by_content, "substring-by-content")
+    released(contents, distinct, found)
     return met.join(by_content, "content").select("doc_id", "_t", (F.col("start") + F.col("begin")).alias("begin"), (F.col("start") + F.col("end")).alias("end"))
 
 
@@ -215,3 +248,17 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     done = _apply(docs, repeated_spans(docs), "doc_id", "long", lambda kept: [hashlib.sha256(x).hexdigest() for x in kept])
     return done.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+starts as (select r, ws, unnest(range(1, len(ws) - 33)) as i from d),
+windows as materialized (select r, i, md5(array_to_string(ws[i:i + 34], ' ')) as w from starts),
+again as (select r, i from windows where w in (select w from windows group by w having count(*) > 1)),
+words as (select r, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as i from d),
+marked as (
+  select words.r, words.i, word, max(again.i) over (partition by words.r order by words.i rows between unbounded preceding and current row) as latest
+  from words left join again on again.r = words.r and again.i = words.i),
+kept as (select r, count(*) as n, count(*) filter (latest > i - 35) as gone, string_agg(word, ' ' order by i) filter (latest is null or latest <= i - 35) as rest from marked group by r)
+select doc_id, coalesce(n, 0)::bigint as n_words, coalesce(gone, 0)::bigint as n_removed, sha256(coalesce(rest, '')) as kept_sha256 from d left join kept on kept.r = d.r
+"""

@@ -223,10 +223,40 @@ def test_fm_index():
         for k, t in enumerate(texts):
             runs = [(i, j) for i in range(len(t)) for j in range(i + size, len(t) + 1) if times[tuple(t[i:j])] >= least]
             brute += [(k, i, j) for i, j in runs if not any((a, b) != (i, j) and a <= i and j <= b for a, b in runs)]
-        found = matching_intervals(FmIndex(texts, 64), texts, size, np.full(len(texts), least))
+        found = matching_intervals(FmIndex(texts, 64), texts, size, least)
         assert list(zip(*(x.tolist() for x in found), strict=True)) == sorted(brute)
 
 
+def test_fm_index_multiplicities():
+    """Sequences that stand for several: ranges of suffixes count them all."""
+    random.seed(2)
+    texts = [np.array([random.randrange(3) for _ in range(random.randrange(5, 40))]) for _ in range(20)]
+    times = [random.choice([1, 1, 2, 5]) for _ in texts]
+    every = [t for t, n in zip(texts, times, strict=True) for _ in range(n)]
+    for least in (2, 3, 6):
+        found = {tuple(x) for x in zip(*(x.tolist() for x in matching_intervals(FmIndex(texts, 64, np.array(times)), texts, 5, least)), strict=True)}
+        which = np.repeat(np.arange(len(texts)), times)
+        plain = {(int(which[k]), i, j) for k, i, j in zip(*(x.tolist() for x in matching_intervals(FmIndex(every, 64), every, 5, least)), strict=True)}
+        assert found == plain
+
+
+def test_substring_of_a_hot_passage(spark):
+    """One passage in most texts, with other words around it, edited in some: far more than a shard holds, cut by many runs."""
+    random.seed(3)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for k in range(150):
+        own = [f"w{random.randrange(4000)}" for _ in range(30)]
+        said = passage[:]
+        if k % 3 == 0:
+            said[random.randrange(60)] = "x"
+        rows.append((k, " ".join(own[:15] + said[: 60 - k % 20] + own[15:])))
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    for most in (2000, 100, 1):
+        got = substring.remove_repeats(df, shard_words=most)
+        assert sorted((r.doc_id, r.text, r.n_words, r.n_removed) for r in got.collect()) == sorted(brute_repeats(rows))
+
+
 def brute_classes(rows):
     sets = {}
     for r in rows:
