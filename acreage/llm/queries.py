@@ -3,7 +3,7 @@
 from acreage.llm.chat import OP3_SQL, op3_chat_format
 from acreage.llm.decontaminate import op4_decontaminate
 from acreage.llm.divergence import OP13_SQL, op13_source_divergence
-from acreage.llm.jaccard import op7_jaccard_join
+from acreage.llm.jaccard import OP7_SQL, op7_jaccard_join
 from acreage.llm.mixing import OP1_SQL, op1_mix_sources
 from acreage.llm.perplexity import op5_perplexity
 from acreage.llm.phrases import OP12_SQL, op12_phrase_mining
@@ -35,6 +35,7 @@ ORACLE_SQL = {
     "op2_secret_scan": OP2_SQL,
     "op3_chat_format": OP3_SQL,
     "op6_substring_dedup": OP6_SQL,
+    "op7_jaccard_join": OP7_SQL,
     "op9_warc": OP9_SQL,
     "op12_phrase_mining": OP12_SQL,
     "op13_source_divergence": OP13_SQL,
