@@ -6,7 +6,7 @@ the source's cumulative words divided by the source's target. All copies are
 range-sorted by that time (less half of their own service) and the order is cut where the total budget is
 reached. All arithmetic is native and reruns agree.
 
-Defined results: a null text has no words and is never taken; a null source
+Defined results: a text without words (null, empty or blank) is never taken; a null source
 is a source of its own, last in order; an empty table gives an empty mix;
 repeated rows are documents of their own; other columns, of any name, are carried
 through; doc_ids of any type; texts of any length are counted whole.
@@ -76,7 +76,7 @@ def schedule(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     copies = copies.withColumn("_bin", F.when(F.col("turn") < 2, F.floor(F.col("turn") * _BINS)).otherwise(late))
     served = running_total(copies.withColumn("_all", F.lit(0)), ["_all"], "_bin", ["turn", "_rank", "copy", "_h", "doc_id", "size", "_t", "_row"], F.col("size"), "served")
     budget = targets.agg((F.sum("source_size") * share).alias("_budget"))
-    return served.crossJoin(F.broadcast(budget)).withColumn("taken", F.col("served") - F.col("size") / 2 <= F.col("_budget")).drop("_all", "_budget", "_bin", "_end", "_rank")
+    return served.crossJoin(F.broadcast(budget)).withColumn("taken", (F.col("size") > 0) & (F.col("served") - F.col("size") / 2 <= F.col("_budget"))).drop("_all", "_budget", "_bin", "_end", "_rank")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS) -> DataFrame:
