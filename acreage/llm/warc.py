@@ -8,9 +8,13 @@ frame per record and checks the frame's length, the WARC and HTTP headers,
 the block's length and the payload's digest; a mismatch raises ValueError.
 
 Defined results: a null html is an empty payload; a null url has no target
-header; a null page_id is read back as null and is never referred to unless
+header; urls are percent-encoded in the archive and come back as they were; a
+null page_id is read back as null and is never referred to unless
 all pages of its payload have none; repeated rows are records of their own,
-and those that share the smallest page_id of a payload are all responses.
+and those that share the smallest page_id of a payload are all responses;
+page_ids are whole numbers or texts (``id_type`` of the reader), anything else is
+refused; an empty table makes no archive; a payload of any length is one record,
+which a task holds whole; other columns are not written.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ import posixpath
 import struct
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
@@ -62,11 +66,11 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
         f"Content-Length: {len(block)}",
     ]
     if page_id is not None:
-        headers.append(f"X-Page-Id: {page_id}")
+        headers.append(f"X-Page-Id: {quote(str(page_id), safe='')}")
     if url is not None:
-        headers.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~' + chr(39))}")
+        headers.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=~' + chr(39))}")
     if refers_to is not None:
-        headers += [f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}')}>", f"X-Refers-To-Page-Id: {refers_to}", f"WARC-Profile: {PROFILE}"]
+        headers += [f"WARC-Refers-To: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{refers_to}')}>", f"X-Refers-To-Page-Id: {quote(str(refers_to), safe='')}", f"WARC-Profile: {PROFILE}"]
     return "\r\n".join(headers).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -181,6 +185,8 @@ def with_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str, least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> int:
     """Write every page as a record; the number of records. ``folder`` is a URI that all tasks can reach."""
+    if (kind := dict(pages.dtypes)["page_id"]) not in ("tinyint", "smallint", "int", "bigint", "string"):
+        raise ValueError(f"page_id is {kind}; archives tell pages by whole numbers or texts")
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
@@ -210,11 +216,13 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, archive_bytes:
     return ready.mapInArrow(go, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per record: page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (null for a revisit)."""
-    schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
+def read_archives(spark: SparkSession, folder: str, id_type: str = "long") -> DataFrame:
+    """One row per record: page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload (null for a revisit). ``id_type``: long or string."""
+    schema = f"page_id {id_type}, url string, record_type string, payload_bytes long, payload_digest string, refers_to {id_type}, payload binary"
+    texts = id_type == "string"
     names = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+    own = pa.string() if texts else pa.int64()
+    kinds = [own, pa.string(), pa.string(), pa.int64(), pa.string(), own, pa.binary()]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(rows: list[tuple]) -> pa.RecordBatch:
@@ -226,8 +234,9 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                 for data in records_of(content.as_py()):
                     r = parse(data)
                     warc, kind = r["warc"], r["warc"]["warc-type"]
-                    number = lambda k: int(warc[k]) if k in warc else None  # noqa: E731, B023
-                    rows.append((number("x-page-id"), warc.get("warc-target-uri"), kind, int(r["http"]["content-length"]), warc["warc-payload-digest"].removeprefix("sha1:"), number("x-refers-to-page-id"), r["payload"] if kind == "response" else None))
+                    given = lambda k: unquote(warc[k]) if k in warc else None  # noqa: E731, B023
+                    page_id, refers_to = (x if texts or x is None else int(x) for x in map(given, ("x-page-id", "x-refers-to-page-id")))
+                    rows.append((page_id, given("warc-target-uri"), kind, int(r["http"]["content-length"]), warc["warc-payload-digest"].removeprefix("sha1:"), refers_to, r["payload"] if kind == "response" else None))
                     size += len(data)
                     if size > 4 << 20:
                         yield flush(rows)
