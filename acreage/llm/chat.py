@@ -8,7 +8,9 @@ Templates that change what they have rendered before are detected.
 
 Defined results: a null text or role is empty; turns are ordered by turn
 (null first), then role and text; repeated rows are turns of their own; null
-conv_id is a conversation; an empty table gives no rows. A conversation is
+conv_id is a conversation, and conv_ids of any type; an empty table gives no rows; texts of any
+length are taken whole, and rendered once per later turn; turns that tie in turn, role and text are
+equal, so their order shows nowhere; other columns are not looked at. A conversation is
 one row of the output, so one must fit in a task's memory.
 """
 

@@ -16,7 +16,8 @@ rejected as toxic.
 
 Defined results: a null or empty text has zero figures and fails the base
 rules (fewer than 50 words); without labels of both kinds the classifier
-keeps everything that passes the base rules; repeated rows get one row each;
+keeps everything that passes the base rules; repeated rows get one row each, and rows that
+share a doc_id are scored each by its own text (labelled ones are all fitted with its label);
 texts of any length are taken whole; doc_ids of any type; an empty table gives no
 rows; further columns of the input are carried through, and those that clash
 with an output name are replaced (a ``prefix`` to those names avoids it).

@@ -10,7 +10,8 @@ over every document.
 Defined results: a null text is empty; spans are code point offsets, end
 exclusive; matches of a rule are leftmost and don't overlap, and those whose
 value is too short are dropped afterwards; rows that share a doc_id share
-postings, and each is scanned on its own; texts of any length are scanned whole; an
+postings, and each is scanned on its own; texts of any length are scanned whole, once for trigrams and
+once by each rule that may match; an
 empty table gives no rows; other columns, of any name, are carried by ``scan``, but for
 ``found``, which it replaces; doc_ids of any type.
 """

@@ -11,7 +11,7 @@ unless they hold more than half a shard; such a unit is cut into pieces by
 the hash of doc_id.
 
 Defined results: a null text has 0 bytes, size 1 and the CRC of no bytes, and
-all null texts are equal; null metadata are the least value; repeated rows
+all null texts are equal; texts are told apart by 64-bit hashes, so two that collide would be one unit (no row is lost); null metadata are the least value; repeated rows
 are rows of their own; texts of any length have their own size; an empty table gives
 no rows; doc_ids of any type; other columns, of any name, are carried by ``shard``,
 which replaces those with the names it adds.

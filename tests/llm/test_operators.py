@@ -213,6 +213,20 @@ def test_substring_edge_cases(spark, rows):
     assert by[None].text == "x" and by["f"].n_removed == 40 and by["e"].n_removed == 36 and by["g"].n_removed == 0 and by["h"].n_removed == 35
 
 
+def test_texts_without_words_are_never_mixed(spark):
+    rows = [(1, "a b c", "s"), (2, None, "s"), (3, "", "s"), (4, " \t\n", None), (5, "d e", None), (6, "f", "s"), (6, "f", "s")]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id int, text string, source string")).collect()
+    assert {r.doc_id for r in mixed} <= {1, 5, 6} and all(r.text.strip() for r in mixed)
+
+
+def test_long_and_repeated_turns(spark):
+    """Turns that tie or are repeated, a text of 200,000 characters, string ids and other columns."""
+    rows = [("a", 1, "user", "hi <|im_start|>", 0), ("a", 1, "user", "hi <|im_start|>", 0), ("a", 2, "assistant", "é" * 200_000, 0), (None, None, None, None, 0), ("b", 1, "assistant", "", 0), ("b", 1, "assistant", "z", 0)]
+    got = {r.conv_id: r for r in chat.read_back(chat.format_chats(spark.createDataFrame(rows, "conv_id string, turn int, role string, text string, formatted int"))).collect()}
+    assert {k: (r.n_turns, r.loss_chars) for k, r in got.items()} == {"a": (3, 200_000), None: (1, 0), "b": (2, 1)}
+    assert got["a"].loss_sha256 == hashlib.sha256(("é" * 200_000).encode()).hexdigest()
+
+
 def test_fm_index():
     """Maximal runs by backward search equal those found by trying all runs."""
     random.seed(1)
@@ -287,6 +301,24 @@ def test_jaccard(docs, nothing, rows, monkeypatch):
     assert jaccard.similar_classes(nothing).count() == 0
 
 
+def test_jaccard_of_a_hot_group(spark, monkeypatch):
+    """A passage that most texts begin with: copies of some texts, near copies, and many texts that only share the passage, over one part or many."""
+    random.seed(4)
+    passage = [f"p{i}" for i in range(12)]
+    rows, bases = [], [[f"b{k}w{i}" for i in range(40)] for k in range(12)]
+    for k in range(160):
+        words = passage + (bases[k % 12][:] if k % 2 else [f"o{k}w{i}" for i in range(random.randrange(6, 40))])
+        if k % 4 == 3:
+            words[12 + random.randrange(len(words) - 12)] = "edited"
+        rows.append((k, " ".join(words)))
+    rows += [(200 + k, " ".join(passage)) for k in range(4)] + [(300, "P0 p1 p2 p3"), (301, "p0 p1 p2 p3"), (302, None)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    said = brute_classes([(d, t) for d, t in rows])
+    for elements in (jaccard.PART_ELEMENTS, 1500, 120):
+        monkeypatch.setattr(jaccard, "PART_ELEMENTS", elements)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_classes(df).collect()} == said
+
+
 def test_sharding(docs, nothing, rows):
     got = sharding.shard(docs, 4).collect()
     by = collections.defaultdict(list)
@@ -307,6 +339,13 @@ def test_warc(spark, tmp_path):
     got = {r.page_id: r for r in warc.read_archives(spark, folder).collect()}
     assert (got[2].record_type, got[2].refers_to, got[2].payload_bytes) == ("revisit", 1, 50) and (got[4].record_type, got[4].refers_to) == ("revisit", 3)
     assert got[1].payload.decode() == "x" * 50 and got[5].payload_bytes == 2 and got[None].record_type == "response" and got[5].payload_digest == warc.sha1_base32("ü".encode())
+    named = spark.createDataFrame([("a b\r\n", "http://x/%20 é%", "t", 1), ("ä", None, "t", 2), ("ä", None, "t", 2), (None, "n", "o" * 300_000, 3)], "page_id string, url string, html string, _first int")
+    assert warc.write_archives(named, folder + "2") == 4
+    again = sorted(((r.page_id, r.url, r.record_type, r.refers_to, r.payload_bytes) for r in warc.read_archives(spark, folder + "2", "string").collect()), key=str)
+    assert again == sorted([("a b\r\n", "http://x/%20 é%", "response", None, 1), ("ä", None, "revisit", "a b\r\n", 1), ("ä", None, "revisit", "a b\r\n", 1), (None, "n", "response", None, 300_000)], key=str)
+    assert warc.write_archives(pages.limit(0), folder + "3") == 0
+    with pytest.raises(ValueError, match="page_id is double"):
+        warc.write_archives(pages.withColumn("page_id", F.col("page_id").cast("double")), folder)
     frames = next(warc.archives(iter([warc.record(1, "u", b"abc", None)])))
     data = b"".join(frames)
     with pytest.raises(Exception):
