@@ -11,8 +11,8 @@ regions are one sequence of the index with their number as its multiplicity, so
 range of suffixes that a search ends in tells how often its words occur.
 
 Equal windows agree in all their runs. Regions whose minimizer has more than ``shard_words`` words
-are cut where the windows' second least run changes, and the parts are dealt by both;
-what is still too much for a shard is cut and dealt by the third, and so on. However many
+are cut where the windows' two least runs change, and the parts are dealt by both;
+what is still too much for a shard is cut and dealt by the four least, by eight, and so on. However many
 texts share a passage, a shard gets about as much, and the result is the same for any ``shard_words``.
 
 Words are compared by 64-bit hashes, and so are regions and windows. Texts are
@@ -138,8 +138,8 @@ def _contents(docs: DataFrame, regions: DataFrame) -> DataFrame:
     return _with_lists(_keyed(docs), lists, "inner").drop("doc_id", "_t").mapInArrow(go, f"{schema}, text string")
 
 
-def _cut(nodes: DataFrame, level: int, size: int, anchor: int) -> DataFrame:
-    """(node, begin, key, content, times, n, text): each node's runs of windows with one value of their least run of words but ``level``."""
+def _cut(nodes: DataFrame, most: int, size: int, anchor: int) -> DataFrame:
+    """(node, begin, key, content, times, n, text): each node's stretches of windows that agree in their ``most`` least runs of words, which the key tells."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text", 1 << 18):
@@ -147,17 +147,17 @@ def _cut(nodes: DataFrame, level: int, size: int, anchor: int) -> DataFrame:
             hashes = w.hashes()
             starts = windows_in_rows(w.at, size)
             views = np.lib.stride_tricks.sliding_window_view(window_hashes(hashes, anchor, 9), size - anchor + 1)
-            parts = [np.partition(views[starts[k : k + _CHUNK]], level, axis=1)[:, level] for k in range(0, len(starts), _CHUNK)]
-            value = np.concatenate([*parts, np.zeros(0, np.uint64)])
+            parts = [mix64(np.partition(views[starts[k : k + _CHUNK]], most - 1, axis=1)[:, :most]).sum(axis=1) for k in range(0, len(starts), _CHUNK)]
+            value = mix64(np.concatenate([*parts, np.zeros(0, np.uint64)]))
             row, first, n = _runs(w, starts, value, size)
-            key = mix64(piece.column("key").to_numpy().view(np.uint64)[row] * np.uint64(5) + value[np.searchsorted(starts, first)])
+            key = value[np.searchsorted(starts, first)]
             at = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [piece.column("content").take(at), pa.array(first - w.at[row]), pa.array(key.view(np.int64)), pa.array(_content(hashes, first, n, size).view(np.int64)), piece.column("times").take(at), pa.array(n), _parts(w, first, n).cast(pa.string())],
                 names=["node", "begin", "key", "content", "times", "n", "text"],
             )
 
-    return nodes.select("key", "content", "times", "text").mapInArrow(go, "node long, begin long, key long, content long, times long, n long, text string")
+    return nodes.select("content", "times", "text").mapInArrow(go, "node long, begin long, key long, content long, times long, n long, text string")
 
 
 def _search(sequences: DataFrame, size: int) -> DataFrame:
@@ -177,14 +177,15 @@ def _dealt(contents: DataFrame, size: int, anchor: int, shard_words: int) -> tup
     """The sequences that fit into shards by their keys (key, content, times, n, text), and where each lies in a region: (root, offset, content)."""
     nodes = contents.select(F.col("least").alias("key"), "content", "times", F.col("n").cast("long").alias("n"), "text")
     places = contents.select(F.col("content").alias("root"), F.lit(0).cast("long").alias("offset"), "content")
-    fitting, where = [], []
-    for level in range(1, size - anchor + 2):
+    fitting, where, most = [], [], 1
+    while True:
         sums = nodes.groupBy("key").agg(F.sum("n").alias("_n"), F.count("*").alias("_m"))
         hot = written(sums.where((F.col("_n") > shard_words) & (F.col("_m") > 1)).select("key"), "substring-hot")
-        if level > size - anchor or not hot.limit(1).count():  # windows that agree in all runs are equal
+        if most > size - anchor or not hot.limit(1).count():  # windows that agree in all runs are equal
             break
+        most = min(2 * most, size - anchor + 1)
         fitting.append(nodes.join(hot, "key", "left_anti"))
-        cut = written(_cut(nodes.join(hot, "key"), level, size, anchor), "substring-cut")
+        cut = written(_cut(nodes.join(hot, "key"), most, size, anchor), "substring-cut")
         # what was not cut keeps its places
         where.append(places.join(cut.select(F.col("node").alias("content")).distinct(), "content", "left_anti").select("root", "offset", "content"))
         places = written(places.withColumnRenamed("content", "node").join(cut.select("node", "begin", "content"), "node").select("root", (F.col("offset") + F.col("begin")).alias("offset"), "content"), "substring-places")
