@@ -17,6 +17,7 @@ from acreage.plans import marts
 from acreage.plans.oracle import _A, _B, _geodesic, _t_values
 from acreage.plans.queries import AS_OF, _json, _point, _read
 from acreage.sources import tables
+from acreage.sources.swap import Folder
 
 NEAR, AROUND = 20000.0, 15000.0
 QUERIES = {}
@@ -27,16 +28,27 @@ def query(f):
     return f
 
 
+_HELD, _MARK = {}, {}
+
+
 def step(f):
-    """A step of the plan: its tables are written once per session and input, and shared by all queries that need them."""
-    held = {}
+    """A step of the plan: its tables are written once per session and input, and shared by all queries that need them.
+
+    A mark lies beside the tables: once somebody has cleared the folder, all steps are made anew.
+    """
 
     @functools.wraps(f)
     def once(spark, d):
-        key = (spark.sparkContext.applicationId, d)
-        if key not in held:
-            held[key] = f(spark, d)
-        return held[key]
+        app = spark.sparkContext.applicationId
+        if app not in _MARK or not Folder(spark, _MARK[app]).exists(_MARK[app]):
+            for key in [k for k in _HELD if k[0] == app]:
+                del _HELD[key]
+            _MARK[app] = tables.scratch(spark, "mart-steps")
+            Folder(spark, _MARK[app]).claim(_MARK[app])
+        if (app, d, f.__name__) not in _HELD:
+            made = f(spark, d)
+            _HELD[app, d, f.__name__] = made
+        return _HELD[app, d, f.__name__]
 
     return once
 
