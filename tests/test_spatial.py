@@ -65,3 +65,61 @@ def test_geodesic(spark):
     lines = [(-37.95103342, 144.42486789, -37.65282114, 143.92649553, 54972.271), (0.0, 0.0, 0.0, 1.0, 111319.491), (0.0, 5.0, 1.0, 5.0, 110574.389), (40.0, -112.0, 40.0, -112.0, 0.0), (40.0, 179.9995, 40.0, -179.9995, 85.394)]
     rows = spark.createDataFrame(lines, "a double, b double, c double, d double, m double").withColumn("got", M.geodesic(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()
     assert [r.got for r in rows] == pytest.approx([r.m for r in rows], rel=3e-5, abs=1e-6)
+
+
+def _town(spark):
+    """Copies of places, places around longitude 180 and a pole, values with nulls, more rows in a cell than a block holds."""
+    places = [(40 + k % 30 * 0.01, -112 + k // 30 * 0.01) for k in range(300)] + [(40.0, -112.0)] * 20 + [(10.0, 179.99), (10.0, -179.99), (89.99, 5.0), (89.99, -175.0), (None, 1.0)]
+    left = frame(spark, [(i, *p) for i, p in enumerate(places)], "k")
+    right = spark.createDataFrame([(i, *p, None if i % 5 == 0 else float(i)) for i, p in enumerate(places)], "id int, lat double, lon double, v double")
+    return places, left, right
+
+
+def test_sums_around_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_LEFT_BLOCK", 7)
+    monkeypatch.setattr(spatial, "_RIGHT_BLOCK", 11)
+    places, left, right = _town(spark)
+    found = {}
+    for r in spatial.sums_around(left, {"all": (right, ["v", "id"]), "few": (right.where("id < 40"), ["id"])}, 5000.0, 4.4 / 5000).collect():
+        n, sums, weights = found.setdefault((r.lat, r.lon, r._set), [0, [0.0, 0.0], [0.0, 0.0]])
+        found[r.lat, r.lon, r._set][0] += r.n
+        for i, (s, w) in enumerate(zip(r.sums, r.weights, strict=True)):
+            sums[i] += s
+            weights[i] += w
+    for p in {p for p in places if p[0] is not None}:
+        near = [(j, math.exp(-4.4 / 5000 * sphere(p, q))) for j, q in enumerate(places) if q[0] is not None and sphere(p, q) <= 5000]
+        got = found[(*p, "all")]
+        assert got[0] == len(near)
+        assert got[1] == pytest.approx([sum(w * j for j, w in near if j % 5), sum(w * j for j, w in near)])
+        assert got[2] == pytest.approx([sum(w for j, w in near if j % 5), sum(w for _, w in near)])
+        few = [w for j, w in near if j < 40]
+        assert found[(*p, "few")][0] == len(few) if few else (*p, "few") not in found
+
+
+def test_nearest_around_and_within_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_LEFT_BLOCK", 7)
+    monkeypatch.setattr(spatial, "_RIGHT_BLOCK", 11)
+    places, left, right = _town(spark)
+    found = {}
+    for r in spatial.nearest_around(left, right, "id", 3000.0, 4).collect():
+        found.setdefault((r.lat, r.lon), {})[r.place] = (r.distance, r.id)
+    for p in {p for p in places if p[0] is not None}:
+        best = sorted((sphere(p, q), j) for j, q in enumerate(places) if q[0] is not None and sphere(p, q) <= 3000)[:4]
+        assert [found[p][n + 1][0] for n in range(len(best))] == pytest.approx([g for g, _ in best], abs=1e-6) and len(found[p]) == len(best)
+    assert [found[40.0, -112.0][n][1] for n in (1, 2, 3, 4)] == [0, 300, 301, 302]
+    got = {r.k for r in spatial.within(left, right.where("id in (0, 320)"), "k", 3000.0).collect()}
+    assert got == {i for i, p in enumerate(places) if p[0] is not None and min(sphere(p, places[0]), sphere(p, places[320])) <= 3000}
+
+
+def test_work_on_copies_of_a_place_is_done_once(spark, monkeypatch):
+    """Left rows at one place reach the blocks, and the twins' join, as one."""
+    seen = []
+    real, pairs = spatial._in_blocks, spatial.candidate_pairs
+    monkeypatch.setattr(spatial, "_in_blocks", lambda left, right, *a: seen.append((left.count(), right.count())) or real(left, right, *a))
+    monkeypatch.setattr(spatial, "candidate_pairs", lambda left, right, *a: seen.append((left.count(), right.count())) or pairs(left, right, *a))
+    rows = frame(spark, [(i, 40.0, -112.0) for i in range(500)], "k")
+    assert spatial.sums_around(rows, {"s": (rows, ["k"])}, 500.0, 0.001).first().n == 500
+    assert spatial.within(rows, rows, "k", 500.0).count() == 500
+    named = lambda df, t: df.withColumn("t", F.concat(F.lit(t), F.col("k").cast("string")))
+    assert spatial.resolve_sources(named(rows, "a"), named(rows.unionByName(frame(spark, [(900, 41.0, -112.0)], "k")), "b"), "k", ["t"]).select("k").collect() == [(900,)]
+    assert seen == [(1, 1), (1, 1), (2, 1)]
