@@ -123,3 +123,12 @@ def test_work_on_copies_of_a_place_is_done_once(spark, monkeypatch):
     named = lambda df, t: df.withColumn("t", F.concat(F.lit(t), F.col("k").cast("string")))
     assert spatial.resolve_sources(named(rows, "a"), named(rows.unionByName(frame(spark, [(900, 41.0, -112.0)], "k")), "b"), "k", ["t"]).select("k").collect() == [(900,)]
     assert seen == [(1, 1), (1, 1), (2, 1)]
+
+
+def test_nearest_k_looks_at_a_place_of_many_rows_once(spark, monkeypatch):
+    sizes, real = [], spatial.settled
+    monkeypatch.setattr(spatial, "settled", lambda df, label: (lambda out: (sizes.append(out.count()) if label == "nearest-open" else None) or out)(real(df, label)))
+    left = frame(spark, [(i, 40.0, -112.0) for i in range(300)], "k")
+    found = spatial.nearest_k(left, frame(spark, [(7, 40.0, -112.1), (8, 40.0, -112.2), (9, 41.0, -112.0)], "id"), "k", "id", 2, leaf=1).collect()
+    assert len(found) == 600 and {(r.place, r.r_id) for r in found} == {(1, 7), (2, 8)} and len({r.k for r in found}) == 300
+    assert max(sizes) <= 3
