@@ -132,3 +132,27 @@ def test_nearest_k_looks_at_a_place_of_many_rows_once(spark, monkeypatch):
     found = spatial.nearest_k(left, frame(spark, [(7, 40.0, -112.1), (8, 40.0, -112.2), (9, 41.0, -112.0)], "id"), "k", "id", 2, leaf=1).collect()
     assert len(found) == 600 and {(r.place, r.r_id) for r in found} == {(1, 7), (2, 8)} and len({r.k for r in found}) == 300
     assert max(sizes) <= 3
+
+
+def _shares(pairs):
+    """Rows of the fullest task, and of all."""
+    counts = [r["count"] for r in pairs.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts), sum(counts)
+
+
+def _crowd(spark):
+    """Rows in one task, most of them in one cell, some at one place."""
+    places = [(40 + k % 20 * 1e-4, -112 + k // 20 * 1e-4) for k in range(200)] + [(40.0, -112.0)] * 60 + [(40.002, -111.9), (None, 1.0)]
+    return places, frame(spark, [(i, *p) for i, p in enumerate(places)], "k").coalesce(1), frame(spark, [(i, *p) for i, p in enumerate(places)], "id").coalesce(1)
+
+
+def test_pairs_of_a_full_cell_are_dealt_to_all_tasks(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "_LEFT_PAIRED", 10, raising=False)
+    monkeypatch.setattr(spatial, "_RIGHT_BLOCK", 40)
+    places, left, right = _crowd(spark)
+    for meters in (0.001, 300.0, 3e7):
+        pairs = spatial.radius_join(left, right, meters)
+        assert sorted((r.k, r.r_id) for r in pairs.select("k", "r_id").collect()) == [(i, j) for i, p in enumerate(places[:-1]) for j, q in enumerate(places[:-1]) if sphere(p, q) <= meters]
+        assert pairs.columns == ["k", "lat", "lon", "r_id", "r_lat", "r_lon", "distance"]
+    most, all_ = _shares(spatial.radius_join(left, right, 3000.0))
+    assert all_ == 260**2 + 1 and most < 0.5 * all_
