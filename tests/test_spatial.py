@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acreage.functions import maths as M
 from acreage.operators import spatial
+from acreage.plans import queries
 
 
 def frame(spark, rows, key):
@@ -156,3 +157,16 @@ def test_pairs_of_a_full_cell_are_dealt_to_all_tasks(spark, monkeypatch):
         assert pairs.columns == ["k", "lat", "lon", "r_id", "r_lat", "r_lon", "distance"]
     most, all_ = _shares(spatial.radius_join(left, right, 3000.0))
     assert all_ == 260**2 + 1 and most < 0.5 * all_
+
+
+def test_pairs_of_radius_pairs_are_made_once_for_each_place(spark, monkeypatch, tmp_path):
+    """Customers whose keys differ by 10,000 lie at one place; each has all its pairs, in shares that tasks divide."""
+    monkeypatch.setattr(spatial, "_LEFT_PAIRED", 10, raising=False)
+    seen, pairs = [], spatial.candidate_pairs
+    monkeypatch.setattr(spatial, "candidate_pairs", lambda left, *a: seen.append(left.count()) or pairs(left, *a))
+    spark.range(50).select((F.pmod("id", F.lit(3)) + F.col("id") * 10000).alias("c_custkey"), F.lit(1.0).alias("c_acctbal"), F.lit("x").alias("c_mktsegment")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(400).select(F.col("id").alias("s_suppkey"), F.lit(1.0).alias("s_acctbal")).write.parquet(f"{tmp_path}/supplier.parquet")
+    got = [(r.c_custkey, r.r_s_suppkey) for r in queries.radius_pairs(spark, str(tmp_path)).collect()]
+    at = lambda k, a, b: (40 + k * 7919 % a / 10000, -112 + k * 104729 % b / 10000)
+    assert sorted(got) == sorted((k % 3 + k * 10000, s) for k in range(50) for s in range(400) if sphere(at(k % 3 + k * 10000, 10000, 10000), at(s, 9973, 9967)) <= M.SMOOTHING_METERS)
+    assert seen == [3] and len(got) > 100
