@@ -170,3 +170,12 @@ def test_pairs_of_radius_pairs_are_made_once_for_each_place(spark, monkeypatch,
     at = lambda k, a, b: (40 + k * 7919 % a / 10000, -112 + k * 104729 % b / 10000)
     assert sorted(got) == sorted((k % 3 + k * 10000, s) for k in range(50) for s in range(400) if sphere(at(k % 3 + k * 10000, 10000, 10000), at(s, 9973, 9967)) <= M.SMOOTHING_METERS)
     assert seen == [3] and len(got) > 100
+
+
+def test_cells_are_never_null(spark):
+    """Else Spark measures the cells of all rows a second time, before copies of a place drop out, to leave out null ones."""
+    rows = frame(spark, [(1, 40.0, -112.0), (2, -90.0, 180.0)], "k")
+    placed = spatial._Bands(400.0).placed(rows.distinct(), "lat", "lon")
+    assert not any(placed.schema[c].nullable for c in ("_band", "_column")) and placed.where("_band is null or _column is null").count() == 0
+    plan = spatial.candidate_pairs(rows.select("lat", "lon").distinct(), rows, 400.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "COS" in line.upper()]
