@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from acreage.operators import series
 from acreage.operators.quantiles import quantiles
@@ -32,3 +33,11 @@ def test_fences(spark):
     df = spark.createDataFrame(rows, "k string, a double, b double")
     assert sorted(r.a for r in series.iqr_filter(df, ["k"], ["a", "b"], nulls_pass=("b",)).where("k = 'g'").collect()) == [float(k) for k in range(20)]
     assert series.iqr_filter(df, ["k"], ["b"]).where("k = 'h'").count() == 0 and series.iqr_filter(df, ["k"], ["b"], nulls_pass=("b",)).where("k = 'h'").count() == 2
+
+
+def test_values_that_differ_in_their_last_digits_each_time_they_are_made(spark):
+    """As means do whose rows a shuffle brings in another order; neither a rank nor a row on a fence may be lost."""
+    jitter = F.udf(lambda v: v * (1 + random.SystemRandom().randrange(-9, 9) * 2.0**-52), "double").asNondeterministic()
+    df = spark.createDataFrame([(g, float(k)) for g in range(40) for k in range(1, 10)], "g int, v double").withColumn("v", jitter("v"))
+    assert {(r.g, *(round(q, 9) for q in r._q_v)) for r in quantiles(df, ["g"], ["v"]).collect()} == {(g, 3.0, 7.0) for g in range(40)}
+    assert series.iqr_filter(df, ["g"], ["v"]).count() == 360
