@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,3 +181,21 @@ def test_cells_are_never_null(spark):
     assert not any(placed.schema[c].nullable for c in ("_band", "_column")) and placed.where("_band is null or _column is null").count() == 0
     plan = spatial.candidate_pairs(rows.select("lat", "lon").distinct(), rows, 400.0)._jdf.queryExecution().optimizedPlan().toString()
     assert not [line for line in plan.splitlines() if "Filter" in line and "COS" in line.upper()]
+
+
+def test_weights_are_made_in_arrays_that_fit_a_cache():
+    """However many rows lie around a place; arcs by their series are arcs, near and far."""
+    rng = np.random.default_rng(3)
+    a, b = (pd.DataFrame({"lat": 40 + rng.random(n) / 10, "lon": -112 + rng.random(n) / 10}) for n in (300, 5000))
+    chunks, reach = spatial._chunks(15000.0, spatial._AT_ONCE)
+    sums, sizes = np.zeros(300), []
+    for rows, near, square in chunks(a, b):
+        sizes.append(square.size)
+        sums[rows] += spatial._decayed(square, (square <= reach * reach).astype(float), 3e-4, 1).sum(axis=1)
+    assert max(sizes) <= 128 * 512
+    y1, x1, y2, x2 = (np.radians(v) for v in (a["lat"].to_numpy()[:, None], a["lon"].to_numpy()[:, None], b["lat"].to_numpy(), b["lon"].to_numpy()))
+    meters = 2 * 6371008.8 * np.arcsin(np.sqrt(np.sin((y2 - y1) / 2) ** 2 + np.cos(y1) * np.cos(y2) * np.sin((x2 - x1) / 2) ** 2))
+    assert sums == pytest.approx(np.where(meters <= 15000, np.exp(-3e-4 * meters), 0).sum(axis=1), rel=1e-9)
+    for square in ([0.0, 1e-12, 3e-4, 4e-4], [0.0, 1e-3, 1.0, 4.0]):
+        arcs = 2 * 6371008.8 * np.arcsin(np.sqrt(square) / 2)
+        assert spatial._decayed(np.array(square), np.array([1.0, 1.0, 1.0, 0.0]), 1e-7, 1) == pytest.approx(np.exp(-1e-7 * arcs) * [1, 1, 1, 0], rel=1e-14)
