@@ -199,3 +199,20 @@ def test_weights_are_made_in_arrays_that_fit_a_cache():
     for square in ([0.0, 1e-12, 3e-4, 4e-4], [0.0, 1e-3, 1.0, 4.0]):
         arcs = 2 * 6371008.8 * np.arcsin(np.sqrt(square) / 2)
         assert spatial._decayed(np.array(square), np.array([1.0, 1.0, 1.0, 0.0]), 1e-7, 1) == pytest.approx(np.exp(-1e-7 * arcs) * [1, 1, 1, 0], rel=1e-14)
+
+
+def test_nearest_k_sends_cells_of_places_down_instead_of_each_place(spark, monkeypatch):
+    """Many places look at fewer cells than they are; where rows around a cell are too many for a task, each place goes by itself, to the same end."""
+    sizes, real = [], spatial.settled
+    monkeypatch.setattr(spatial, "settled", lambda df, label: (lambda out: (sizes.append(out.count()) if label == "nearest-open" else None) or out)(real(df, label)))
+    points = [(40 + k * 7919 % 997 / 1000, -112 + k * 104729 % 991 / 1000) for k in range(1500)]
+    places = [(40 + k * 7919 % 983 / 1000, -112 + k * 104729 % 977 / 1000) for k in range(300)]
+    left, right = frame(spark, [(i, *p) for i, p in enumerate(points)], "k"), frame(spark, [(i, *p) for i, p in enumerate(places)], "id")
+    told = lambda: {(r.k, r.place): (r.r_id, round(r.distance, 5)) for r in spatial.nearest_k(left, right, "k", "id", 2).collect()}
+    found = told()
+    assert len(found) == 3000 and max(sizes) < 1500
+    for i in range(0, 1500, 50):
+        best = sorted((planar(points[i], q), j) for j, q in enumerate(places))[:2]
+        assert [found[i, n] for n in (1, 2)] == [(j, round(g * 111000, 5)) for g, j in best]
+    monkeypatch.setattr(spatial, "_RIGHT_BLOCK", 5)
+    assert told() == found
